@@ -16,25 +16,35 @@ from kawara.operators import proximity, skew
 from kawara.session import cut_lineage
 
 
-def _neighbours_min(pairs: DataFrame) -> DataFrame:
-    """(u, m, n): smallest neighbour of each node, and its degree as the join's weight."""
-    return pairs.groupBy("u").agg(F.min("v").alias("m"), F.count(F.lit(1)).alias("n"))
+def _with_min(pairs: DataFrame, rows: int) -> DataFrame:
+    """(u, v, m): each pair with the smallest neighbour of its node ``u``."""
+    m = pairs.groupBy("u").agg(F.min("v").alias("m"), F.count(F.lit(1)).alias("n"))
+    if rows <= skew.HOT_FLOOR:  # too few rows for any node to be hot
+        return pairs.join(m.drop("n"), "u")
+    return skew.lookup_join(pairs, m, "u", weight="n")
 
 
-def _large_star(edges: DataFrame) -> DataFrame:
+def _large_star(edges: DataFrame, rows: int) -> DataFrame:
     both = edges.select("u", "v").unionByName(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
-    m = _neighbours_min(both).withColumn("m", F.least("u", "m"))
-    linked = skew.lookup_join(both, m, "u", weight="n")
-    return linked.where(F.col("v") > F.col("u")).select(F.col("v").alias("u"), F.col("m").alias("v")).distinct()
+    linked = _with_min(both, 2 * rows).where(F.col("v") > F.col("u"))
+    return linked.select(F.col("v").alias("u"), F.least("u", "m").alias("v")).distinct()
 
 
-def _small_star(edges: DataFrame) -> DataFrame:
-    down = edges.select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v"))
-    m = _neighbours_min(down)
-    linked = skew.lookup_join(down, m, "u", weight="n")
-    moved = linked.where(F.col("v") != F.col("m")).select(F.col("v").alias("u"), F.col("m").alias("v"))
-    own = m.select("u", F.col("m").alias("v"))
-    return moved.unionByName(own).distinct()
+def _small_star(edges: DataFrame, rows: int) -> DataFrame:
+    """Edges point from the larger node ``u`` to the smaller ``v``; so do the results."""
+    linked = _with_min(edges, rows)
+    moved = F.when(F.col("v") != F.col("m"), F.struct(F.col("v").alias("u"), F.col("m").alias("v")))
+    own = F.struct(F.col("u").alias("u"), F.col("m").alias("v"))
+    return (
+        linked.select(F.explode(F.array_compact(F.array(moved, own))).alias("e")).select("e.u", "e.v").distinct()
+    )
+
+
+def _state(edges: DataFrame) -> tuple:
+    """Row count and order-free checksum: equal before and after a round that changed nothing."""
+    return tuple(
+        edges.agg(F.count(F.lit(1)), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first()
+    )
 
 
 def connected_components(links: DataFrame, max_rounds: int = 60) -> DataFrame:
@@ -44,17 +54,14 @@ def connected_components(links: DataFrame, max_rounds: int = 60) -> DataFrame:
         .select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v"))
         .distinct()
     )
-    # two scalars tell whether a round changed anything
-    state = edges.agg(F.count(F.lit(1)), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first()
+    state = _state(edges)
     for _ in range(max_rounds):
-        edges = cut_lineage(_small_star(_large_star(edges)))
-        after = edges.agg(F.count(F.lit(1)), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first()
-        if after == state:
+        edges = cut_lineage(_small_star(_large_star(edges, state[0]), state[0]))
+        before, state = state, _state(edges)
+        if state == before:
             nodes = edges.select(F.col("u").alias("node"), F.col("v").alias("root"))
-            return nodes.unionByName(
-                edges.select(F.col("v").alias("node"), F.col("v").alias("root")).distinct()
-            )
-        state = after
+            roots = edges.select(F.col("v").alias("node"), F.col("v").alias("root")).distinct()
+            return nodes.unionByName(roots)
     raise RuntimeError(f"components did not settle in {max_rounds} rounds")
 
 
@@ -97,7 +104,11 @@ def building_complexes(
         .groupBy("complex_uid")
         .agg(F.max("height").alias("_max"), F.count(F.lit(1)).alias("_n"))
     )
-    named = skew.lookup_join(comps, heights, "complex_uid", weight="_n").withColumn("_linked", F.lit(True))
+    if comps.count() <= skew.HOT_FLOOR:
+        named = comps.join(heights.drop("_n"), "complex_uid")
+    else:
+        named = skew.lookup_join(comps, heights, "complex_uid", weight="_n")
+    named = named.withColumn("_linked", F.lit(True))
     out = buildings.drop("complex_uid", "complex_max_height").join(named, "building_uid", "left")
     return (
         out.withColumn("complex_uid", F.coalesce("complex_uid", "building_uid"))

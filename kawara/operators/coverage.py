@@ -19,7 +19,7 @@ EXTENT, HAZARD = "extent", "hazard"
 
 def with_point(buildings: DataFrame) -> DataFrame:
     """Representative point from ``parts``, as ``centroid_lon`` / ``centroid_lat``."""
-    p = g.representative_point(F.col("parts"))
+    p = g.representative_point("parts")
     return (
         buildings.withColumn("_p", p)
         .withColumn("centroid_lon", F.col("_p.x"))

@@ -29,22 +29,26 @@ from kawara.session import cut_lineage
 MAX_GROUP = 256
 
 
-def _near_cell(edges: Column, x0: Column, y0: Column, size: float, dist: float) -> Column:
-    """Is the footprint at most ``dist`` away from the cell?"""
-    box = g.box_edges(x0, y0, x0 + size, y0 + size)
-    return g.polygons_within(edges, box, dist)
-
-
-def _covers_cell(edges: Column, x0: Column, y0: Column, size: float) -> Column:
-    """Does the footprint hold the whole cell? No edge enters it and its middle is inside."""
-    cx, cy = x0 + size / 2, y0 + size / 2
-    sides = g.box_edges(x0, y0, x0 + size, y0 + size)
-    clear = ~F.exists(
-        edges,
-        lambda e: F.exists(sides, lambda s: g.segments_touch(e, s))
-        | (e.x1.between(x0, x0 + size) & e.y1.between(y0, y0 + size)),
+def _cell_box(size: float) -> str:
+    x0, y0 = f"cx * {g.num(size)}", f"cy * {g.num(size)}"
+    x1, y1 = f"(cx + 1) * {g.num(size)}", f"(cy + 1) * {g.num(size)}"
+    return g.box_edges_sql(x0, y0, x1, y1)
+
+
+def _near_cell(size: float, dist: float) -> Column:
+    """Is the footprint at most ``dist`` away from its cell?"""
+    return F.expr(g.polygons_within("edges", _cell_box(size), dist))
+
+
+def _covers_cell(size: float) -> Column:
+    """Does the footprint hold its whole cell? No edge reaches it and its middle is inside."""
+    mid_x, mid_y = f"((cx + 0.5D) * {g.num(size)})", f"((cy + 0.5D) * {g.num(size)})"
+    reaches = (
+        f"exists(edges, a -> exists({_cell_box(size)}, b -> {g.segments_touch('a', 'b')})"
+        f" OR (a.x1 BETWEEN cx * {g.num(size)} AND (cx + 1) * {g.num(size)}"
+        f" AND a.y1 BETWEEN cy * {g.num(size)} AND (cy + 1) * {g.num(size)}))"
     )
-    return clear & g.inside_parity(edges, cx, cy)
+    return F.expr(f"NOT {reaches} AND {g.inside_parity('edges', mid_x, mid_y)}")
 
 
 def _members(shapes: DataFrame, size: float, eps: float) -> DataFrame:
@@ -84,7 +88,7 @@ def _pairs(left: DataFrame, right: DataFrame, size: float, eps: float, once: boo
     return (
         a.join(b, ["cx", "cy"])
         .where(near)
-        .where(g.polygons_within(F.col("a_edges"), F.col("b_edges"), eps))
+        .where(F.expr(g.polygons_within("a_edges", "b_edges", eps)))
         .select(F.col("a_node").alias("a"), F.col("b_node").alias("b"))
     )
 
@@ -127,9 +131,11 @@ def proximity_links(
     ).withColumns(g.bbox(F.col("edges")))
     prepared = cut_lineage(prepared)
     copies = prepared.where(F.col("n") > 1).select("node", F.col("n").cast("long").alias("n"))
-    links = skew.lookup_join(
-        keyed.select("node", "member"), copies, "node", weight="n"
-    ).select(F.col("member").alias("a"), F.col("node").alias("b"))
+    if copies.where(F.col("n") > skew.HOT_FLOOR).isEmpty():
+        tied = keyed.select("node", "member").join(copies.drop("n"), "node")
+    else:
+        tied = skew.lookup_join(keyed.select("node", "member"), copies, "node", weight="n")
+    links = tied.select(F.col("member").alias("a"), F.col("node").alias("b"))
 
     size, uncut = cell, True
     members = _members(prepared.drop("n"), size, eps)
@@ -141,19 +147,18 @@ def proximity_links(
         thin = members.join(crowded, ["cx", "cy"], "left_anti")
         links = links.unionByName(_pairs(thin, thin, size, eps, once=False))
 
-        x0, y0 = F.col("cx") * F.lit(size), F.col("cy") * F.lit(size)
         dense = members.join(crowded, ["cx", "cy"], "left_semi").where(
-            _near_cell(F.col("edges"), x0, y0, size, eps / 2)
+            _near_cell(size, eps / 2)
         )
         name = _node("cell", F.lit(repr(size)), "cx", "cy")
         reach = (eps - size * math.sqrt(2)) / 2  # reach + diagonal + reach = eps
         if reach < eps / 4:
-            dense = cut_lineage(dense.withColumn("_covers", _covers_cell(F.col("edges"), x0, y0, size)))
+            dense = cut_lineage(dense.withColumn("_covers", _covers_cell(size)))
             covered = cut_lineage(dense.where("_covers").select("cx", "cy").distinct())
             tied = dense.join(covered, ["cx", "cy"], "left_semi")
             rest = dense.join(covered, ["cx", "cy"], "left_anti").drop("_covers")
         else:
-            dense = cut_lineage(dense.withColumn("_core", _near_cell(F.col("edges"), x0, y0, size, reach)))
+            dense = cut_lineage(dense.withColumn("_core", _near_cell(size, reach)))
             tied = dense.where("_core")
             rim = dense.where(~F.col("_core"))
             wide = rim.groupBy("cx", "cy").agg(F.count(F.lit(1)).alias("_n")).where(F.col("_n") > max_group)

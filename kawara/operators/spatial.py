@@ -37,44 +37,49 @@ def _high(v: Column, size: float) -> Column:
 
 
 def _mid(cy: Column, size: float) -> Column:
-    return (cy + 0.5) * F.lit(size)
+    return (cy + F.lit(0.5)) * F.lit(size)
+
+
+def _mid_sql(size: float) -> str:
+    return f"((cy + 0.5D) * {g.num(size)})"
+
+
+def _touches(axis: str, cell_no: str, size: float) -> str:
+    """Does edge ``e`` reach a grid row or column (SQL text)?"""
+    a, b = f"e.{axis}1", f"e.{axis}2"
+    return (
+        f"floor(least({a}, {b}) / {g.num(size)} - {g.num(_MARGIN)}) <= {cell_no}"
+        f" AND floor(greatest({a}, {b}) / {g.num(size)} + {g.num(_MARGIN)}) >= {cell_no}"
+    )
 
 
 def _small_cells(polys: DataFrame, ids: list[str], size: float, edges: str) -> DataFrame:
     """Cell rows of polygons with few edges; narrow, no shuffle."""
-    es = F.col(edges)
-    b = g.bbox(es)
-    rows = polys.where(F.size(es) <= CHUNK).select(
+    b = g.bbox(F.col(edges))
+    rows = polys.where(F.size(edges) <= CHUNK).select(
         *ids,
-        es.alias("_edges"),
+        F.col(edges).alias("_edges"),
         _low(b["minx"], size).alias("_c0"),
         _high(b["maxx"], size).alias("_c1"),
         F.explode(F.sequence(_low(b["miny"], size), _high(b["maxy"], size))).alias("cy"),
     )
-    cy, edges_col = F.col("cy"), F.col("_edges")
+    mid = _mid_sql(size)
     rows = rows.select(
         *ids,
         "cy",
-        F.filter(
-            edges_col,
-            lambda e: (_low(F.least(e.y1, e.y2), size) <= cy) & (_high(F.greatest(e.y1, e.y2), size) >= cy),
-        ).alias("_row"),
-        F.transform(
-            F.filter(edges_col, lambda e: g.straddles_y(e, _mid(cy, size))),
-            lambda e: _cell(g.x_at(e, _mid(cy, size)), size),
+        F.expr(f"filter(_edges, e -> {_touches('y', 'cy', size)})").alias("_row"),
+        F.expr(
+            f"transform(filter(_edges, e -> {g.straddles_y('e', mid)}),"
+            f" e -> floor({g.x_at('e', mid)} / {g.num(size)}))"
         ).alias("_cross"),
         F.explode(F.sequence("_c0", "_c1")).alias("cx"),
     )
-    cx = F.col("cx")
     cells = rows.select(
         *ids,
         "cx",
         "cy",
-        (F.size(F.filter("_cross", lambda c: c < cx)) % 2).alias("base"),
-        F.filter(
-            "_row",
-            lambda e: (_low(F.least(e.x1, e.x2), size) <= cx) & (_high(F.greatest(e.x1, e.x2), size) >= cx),
-        ).alias("edges"),
+        F.expr("size(filter(_cross, c -> c < cx)) % 2").alias("base"),
+        F.expr(f"filter(_row, e -> {_touches('x', 'cx', size)})").alias("edges"),
     )
     return cells.where((F.col("base") == 1) | (F.size("edges") > 0))
 
@@ -170,21 +175,16 @@ def polygon_cells(
     return small.unionByName(large.withColumn("base", F.col("base").cast("int")))
 
 
-def _flips(edges: Column, cx: Column, cy: Column, px: Column, py: Column, size: float) -> Column:
-    """Edges crossed on the way from the cell's left side to the point."""
-    mid = _mid(cy, size)
-
-    def crossed(e):
-        at_mid = g.right_of(e, px, mid)
-        along = (
-            g.straddles_y(e, mid)
-            & (_cell(g.x_at(e, mid), size) == cx)
-            & (at_mid == (e.y2 > e.y1))
-        )
-        up_or_down = ((e.x1 > px) != (e.x2 > px)) & (at_mid != g.right_of(e, px, py))
-        return along != up_or_down
-
-    return F.size(F.filter(edges, crossed))
+def _flips(size: float) -> Column:
+    """Edges crossed on the way from the cell's left side to the point (_px, _py)."""
+    mid = _mid_sql(size)
+    at_mid, at_point = g.right_of("e", "_px", mid), g.right_of("e", "_px", "_py")
+    along = (
+        f"({g.straddles_y('e', mid)} AND floor({g.x_at('e', mid)} / {g.num(size)}) = cx"
+        f" AND ({at_mid} = (e.y2 > e.y1)))"
+    )
+    up_or_down = f"({g.straddles_x('e', '_px')} AND ({at_mid} != {at_point}))"
+    return F.expr(f"size(filter(edges, e -> {along} != {up_or_down}))")
 
 
 def points_in_polygons(
@@ -215,11 +215,10 @@ def points_in_polygons(
         _cell(F.col(x), cell).alias("cx"),
         _cell(F.col(y), cell).alias("cy"),
     ).where(F.col("cx").isNotNull() & F.col("cy").isNotNull())
-    px, py, cx, cy = F.col("_px"), F.col("_py"), F.col("cx"), F.col("cy")
     keys = ["cx", "cy"]
-    flips = _flips(F.col("edges"), cx, cy, px, py, cell)
+    flips = _flips(cell)
     inside = (F.col("base") + flips) % 2 == 1
-    on_edge = F.exists("edges", lambda e: g.on_segment(e, px, py))
+    on_edge = F.expr(f"exists(edges, e -> {g.on_segment('e', '_px', '_py')})")
 
     if not large:
         es = F.col(edges)
@@ -290,7 +289,7 @@ def intersecting_pairs(
     out = [*left_cols, *right_cols]
 
     def starts(df, ids, edges):
-        return df.select(*ids, F.explode(g.ring_starts(F.col(edges))).alias("v")).select(
+        return df.select(*ids, F.expr(f"explode({g.ring_starts(edges)})").alias("v")).select(
             *ids, F.col("v.x").alias("px"), F.col("v.y").alias("py")
         )
 
@@ -315,7 +314,7 @@ def intersecting_pairs(
     )
     touching = (
         m.join(f, ["cx", "cy", "salt"])
-        .where(F.exists("_le", lambda a: F.exists("_re", lambda b: g.segments_touch(a, b))))
+        .where(F.expr(f"exists(_le, a -> exists(_re, b -> {g.segments_touch('a', 'b')}))"))
         .select(*out)
     )
     return left_in_right.unionByName(right_in_left).unionByName(touching).distinct()
