@@ -1,9 +1,11 @@
 """How much of one polygon set another one contains, by exact area.
 
-The plane is cut into horizontal slabs at every vertex and every crossing, so that inside a
-slab no two edges meet and each region between neighbouring edges is a trapezoid: its area is
-its width on the middle line times the slab's height. Slabs never leave a band of height
-``band``; band number and dataset are the join key, so the work spreads over all bands.
+Polygons are cut along a grid first (``spatial.polygon_cells``), so every area is a sum over
+cells and all work is local to a cell. A cell wholly inside a polygon of a set is settled for
+that set; edges of the set's other polygons in it are dropped. In the remaining cells the
+plane is cut into horizontal slabs at every vertex, every crossing, and where an edge meets
+the cell's left or right side. Inside a slab no two edges meet, so each region between
+neighbouring edges is a trapezoid: width on the slab's middle line times its height.
 """
 
 from __future__ import annotations
@@ -12,26 +14,29 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from kawara.functions import geometry as g
+from kawara.operators import spatial
+from kawara.session import cut_lineage
 
+_TAG = ["role", "pid"]
 
-def _crossings_y(edges: DataFrame, key: str, cell: float) -> DataFrame:
-    """Heights at which two edges of one dataset cross, from a join on grid cells."""
 
-    def span(c):
-        lo, hi = F.least(f"{c}1", f"{c}2"), F.greatest(f"{c}1", f"{c}2")
-        return F.explode(F.sequence(F.floor(lo / cell - 1e-7), F.floor(hi / cell + 1e-7)))
-
-    cells = edges.withColumn("cx", span("x")).withColumn("cy", span("y"))
-    a = cells.select(key, "cx", "cy", F.struct("x1", "y1", "x2", "y2").alias("a"))
-    b = cells.select(key, "cx", "cy", F.struct("x1", "y1", "x2", "y2").alias("b"))
-    # an edge meets only edges of other slopes, and each pair once
-    slope = "(a.x2 - a.x1) * (b.y2 - b.y1) - (a.y2 - a.y1) * (b.x2 - b.x1)"
-    t = f"((b.x1 - a.x1) * (b.y2 - b.y1) - (b.y1 - a.y1) * (b.x2 - b.x1)) / ({slope})"
-    return (
-        a.join(b, [key, "cx", "cy"])
-        .where(F.expr(f"a < b AND ({slope}) != 0D AND {g.segments_touch('a', 'b')}"))
-        .select(key, F.expr(f"a.y1 + {t} * (a.y2 - a.y1)").alias("y"))
+def _local_edges(polys: DataFrame, key: str, cell: float) -> tuple[DataFrame, DataFrame]:
+    """(bases, edges) of every polygon and cell, settled cells reduced to one base row."""
+    at = [key, "cx", "cy"]
+    # used many times below: computed once
+    rows = cut_lineage(spatial.polygon_cells(polys, [key, *_TAG], cell))
+    state = rows.groupBy(*at, *_TAG).agg(
+        F.sum("base").alias("base"), F.sum(F.size("edges")).alias("n_edges")
+    )
+    full = state.where("base % 2 = 1 AND n_edges = 0").select(*at, "role").distinct()
+    open_rows = rows.join(full, [*at, "role"], "left_anti")
+    bases = (
+        open_rows.where("base = 1")
+        .select(*at, *_TAG)
+        .unionByName(full.withColumn("pid", F.lit("*")))
     )
+    edges = open_rows.select(*at, *_TAG, F.explode("edges").alias("e")).select(*at, *_TAG, "e.*")
+    return bases, edges
 
 
 def containment_ratio(
@@ -39,7 +44,7 @@ def containment_ratio(
     hazards: DataFrame,
     *,
     key: str = "dataset_id",
-    band: float,
+    cell: float,
     poly_id: str = "poly_id",
 ) -> DataFrame:
     """(key, hazard_area, contained_area, ratio) per dataset.
@@ -48,74 +53,113 @@ def containment_ratio(
     gets no row.
     """
 
-    def long(df, role):
+    def tagged(df, role):
         return df.select(
-            key,
-            F.lit(role).alias("role"),
-            F.col(poly_id).cast("string").alias("pid"),
-            F.explode("edges").alias("e"),
-        ).select(key, "role", "pid", "e.*")
-
-    edges = long(extents, "extent").unionByName(long(hazards, "hazard"))
-    # only datasets with hazard polygons need work
-    edges = edges.join(hazards.select(key).distinct(), key, "left_semi")
-
-    lo, hi = F.least("y1", "y2"), F.greatest("y1", "y2")
-    breaks = (
-        edges.select(key, F.col("y1").alias("y"))
-        .unionByName(_crossings_y(edges, key, band))
-        .select(key, "y", F.floor(F.col("y") / band).alias("b"))
+            key, F.lit(role).alias("role"), F.col(poly_id).cast("string").alias("pid"), "edges"
+        )
+
+    wanted = tagged(hazards, "hazard")
+    offered = tagged(extents, "extent").join(wanted.select(key).distinct(), key, "left_semi")
+    bases, edges = _local_edges(wanted.unionByName(offered), key, cell)
+    at = [key, "cx", "cy"]
+
+    size = g.num(cell)
+    left, right = f"(cx * {size})", f"((cx + 1) * {size})"
+    bottom, top = f"(cy * {size})", f"((cy + 1) * {size})"
+    mid = f"((cy + 0.5D) * {size})"
+
+    def y_at(x):
+        return f"(y1 + ({x} - x1) * (y2 - y1) / (x2 - x1))"
+
+    # slab borders of a cell
+    ends = edges.select(
+        *at,
+        F.explode(
+            F.expr(
+                "array_compact(array(y1, y2,"
+                f" CASE WHEN (x1 >= {left}) != (x2 >= {left}) THEN {y_at(left)} END,"
+                f" CASE WHEN (x1 >= {right}) != (x2 >= {right}) THEN {y_at(right)} END))"
+            )
+        ).alias("y"),
+    )
+    a = edges.select(*at, F.struct("x1", "y1", "x2", "y2").alias("a"))
+    b = edges.select(*at, F.struct("x1", "y1", "x2", "y2").alias("b"))
+    turn = "((a.x2 - a.x1) * (b.y2 - b.y1) - (a.y2 - a.y1) * (b.x2 - b.x1))"
+    t = f"(((b.x1 - a.x1) * (b.y2 - b.y1) - (b.y1 - a.y1) * (b.x2 - b.x1)) / {turn})"
+    crossings = (
+        a.join(b, at)
+        .where(F.expr(f"a < b AND {turn} != 0D AND {g.segments_touch('a', 'b')}"))
+        .select(*at, F.expr(f"a.y1 + {t} * (a.y2 - a.y1)").alias("y"))
     )
-    # flat edges bound no width; the others go to every band they pass
-    banded = edges.where("y1 <> y2").withColumn(
-        "b", F.explode(F.sequence(F.floor(lo / band), F.floor(hi / band)))
+    sides = (
+        bases.select(*at)
+        .unionByName(edges.select(*at))
+        .distinct()
+        .select(*at, F.explode(F.expr(f"array({bottom}, {top})")).alias("y"))
     )
-    # the borders of every used band are breaks too, so slabs stay inside their band
-    used = banded.select(key, "b").distinct()
-    borders = used.select(key, "b", F.explode(F.array(F.col("b") * F.lit(band), (F.col("b") + 1) * F.lit(band))).alias("y"))
-    w = Window.partitionBy(key, "b").orderBy("y")
+    w = Window.partitionBy(*at).orderBy("y")
     slabs = (
-        breaks.select(key, "b", "y")
-        .unionByName(borders)
+        ends.unionByName(crossings)
+        .where(F.expr(f"y > {bottom} AND y < {top}"))
+        .unionByName(sides)
         .distinct()
-        .select(key, "b", F.col("y").alias("lo"), F.lead("y").over(w).alias("hi"))
+        .select(*at, F.col("y").alias("lo"), F.lead("y").over(w).alias("hi"))
         .where("hi > lo")
     )
-    mid = (F.col("lo") + F.col("hi")) / 2
-    cuts = (
-        banded.join(slabs, [key, "b"])
-        .where((lo <= F.col("lo")) & (hi >= F.col("hi")))
-        .select(
-            key, "b", "lo", "hi", "role", "pid",
-            (F.col("x1") + (mid - F.col("y1")) * (F.col("x2") - F.col("x1")) / (F.col("y2") - F.col("y1"))).alias("x"),
+    slabs = cut_lineage(slabs)
+
+    # where edges cut a slab's middle line, and on which side each polygon starts at the left
+    line = "((lo + hi) / 2D)"
+    met = edges.join(slabs, at).withColumn(
+        "x", F.expr(f"CASE WHEN (y1 > {line}) != (y2 > {line}) THEN x1 + ({line} - y1) * (x2 - x1) / (y2 - y1) END")
+    )
+    slab = [*at, "lo", "hi"]
+    flips = met.where(
+        F.expr(
+            f"CASE WHEN (x1 >= {left}) != (x2 >= {left})"
+            f" THEN ({y_at(left)} > {mid}) != ({y_at(left)} > {line}) ELSE false END"
         )
+    ).select(*slab, *_TAG)
+    starts = (
+        flips.unionByName(bases.join(slabs, at).select(*slab, *_TAG))
+        .groupBy(*slab, *_TAG)
+        .agg(F.count(F.lit(1)).alias("n"))
+        .where("n % 2 = 1")
+        .select(*slab, *_TAG, F.expr(left).alias("x"))
     )
-    slab = [key, "b", "lo"]
-    own = Window.partitionBy(*slab, "role", "pid").orderBy("x")
-    step = cuts.withColumn("d", F.when(F.row_number().over(own) % 2 == 1, 1).otherwise(-1))
-    sweep = Window.partitionBy(*slab).orderBy("x")
+    cuts = met.where(F.expr(f"floor(x / {size}) = cx")).select(*slab, *_TAG, "x")
+    own = Window.partitionBy(*slab, *_TAG).orderBy("x")
+    closing = slabs.select(
+        *slab, F.lit("end").alias("role"), F.lit("").alias("pid"), F.expr(right).alias("x")
+    )
+    steps = (
+        starts.unionByName(cuts)
+        .withColumn("d", F.when(F.row_number().over(own) % 2 == 1, 1).otherwise(-1))
+        .unionByName(closing.withColumn("d", F.lit(0)))
+    )
+    sweep = Window.partitionBy(*slab).orderBy("x", "d")
     upto = sweep.rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    width = step.select(
-        key,
-        (F.col("hi") - F.col("lo")).alias("h"),
-        F.sum(F.when(F.col("role") == "hazard", F.col("d")).otherwise(0)).over(upto).alias("nh"),
-        F.sum(F.when(F.col("role") == "extent", F.col("d")).otherwise(0)).over(upto).alias("ne"),
-        (F.lead("x").over(sweep) - F.col("x")).alias("dx"),
-    ).where("nh > 0")
+    area = F.col("dx") * (F.col("hi") - F.col("lo"))
     return (
-        width.groupBy(key)
+        steps.select(
+            *slab,
+            F.sum(F.when(F.col("role") == "hazard", F.col("d")).otherwise(0)).over(upto).alias("nh"),
+            F.sum(F.when(F.col("role") == "extent", F.col("d")).otherwise(0)).over(upto).alias("ne"),
+            (F.lead("x").over(sweep) - F.col("x")).alias("dx"),
+        )
+        .where("nh > 0")
+        .groupBy(key)
         .agg(
-            F.sum(F.col("dx") * F.col("h")).alias("hazard_area"),
-            F.coalesce(F.sum(F.when(F.col("ne") > 0, F.col("dx") * F.col("h"))), F.lit(0.0)).alias("contained_area"),
+            F.sum(area).alias("hazard_area"),
+            F.coalesce(F.sum(F.when(F.col("ne") > 0, area)), F.lit(0.0)).alias("contained_area"),
         )
         .where("hazard_area > 0")
         .withColumn("ratio", F.col("contained_area") / F.col("hazard_area"))
     )
 
 
-def union_area(polys: DataFrame, *, key: str, band: float, poly_id: str = "poly_id") -> DataFrame:
+def union_area(polys: DataFrame, *, key: str, cell: float, poly_id: str = "poly_id") -> DataFrame:
     """(key, area) of the union of each group of polygons."""
-    none = polys.limit(0)
-    return containment_ratio(none, polys, key=key, band=band, poly_id=poly_id).select(
+    return containment_ratio(polys.limit(0), polys, key=key, cell=cell, poly_id=poly_id).select(
         key, F.col("hazard_area").alias("area")
     )

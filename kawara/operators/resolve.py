@@ -53,7 +53,7 @@ def resolve_extents(
     mapped: DataFrame | None = None,
     hazards: DataFrame | None = None,
     admin: DataFrame | None = None,
-    band: float,
+    cell: float,
     threshold: float = model.CONTAINMENT_THRESHOLD,
 ) -> DataFrame:
     """Extent polygons (dataset_id, kind, confidence, source_id, poly_id, edges).
@@ -85,7 +85,7 @@ def resolve_extents(
     if mapped is not None:
         kept = mapped.drop("kind").join(ident, "dataset_id")
         if hazards is not None:
-            ratio = containment_ratio(kept, hazards, band=band).where(F.col("ratio") < threshold)
+            ratio = containment_ratio(kept, hazards, cell=cell).where(F.col("ratio") < threshold)
             kept = kept.join(ratio.select("dataset_id"), "dataset_id", "left_anti")
         candidate(
             kept, 2, "explicit_polygon", mapped_source_id(F.col("dataset_id"), F.col("documents"))
