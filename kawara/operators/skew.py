@@ -1,30 +1,39 @@
 """Hot keys: find them, salt them, join around them.
 
-A key is hot when it holds more than ``floor`` rows and more than ``share`` of all rows that sit
-in such big groups, so small tables are left alone. There can be at most ``1 / share`` such keys, which is the
-size bound that makes broadcasting them safe at any scale.
+Before a join on grid cells or graph nodes, one map-side-combined count per key finds the keys
+with more than ``floor`` rows; the ``1 / share`` largest of them, at most, come back to the
+driver. That bound is what makes broadcasting them safe at any scale. Where nothing is hot,
+which is the usual case, the join is planned without any salting at all.
 """
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from kawara.session import cut_lineage
+
 HOT_SHARE = 1e-4
 HOT_FLOOR = 1_000_000
 
 
 def hot_keys(
     df: DataFrame, keys: list[str], share: float = HOT_SHARE, floor: int = HOT_FLOOR
-) -> DataFrame:
-    """(keys, n_salt): the hot keys and into how many pieces each should be split."""
+) -> DataFrame | None:
+    """(keys, n_salt): the hot keys and into how many pieces to split each; None if none is.
+
+    At most ``1 / share`` keys, and at most about twice as many pieces in all.
+    """
     counts = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"))
-    big = counts.where(F.col("_n") > floor)
-    # a share of the rows in big groups: still at most 1 / share keys can exceed it
-    limit = F.greatest(big.agg(F.sum("_n") * F.lit(share)).scalar(), F.lit(float(floor)))
-    return big.where(F.col("_n") > limit).select(
-        *keys, F.ceil(F.col("_n") / limit).cast("int").alias("n_salt")
-    )
+    top = counts.where(F.col("_n") > floor).orderBy(F.desc("_n")).limit(int(1 / share)).collect()
+    if not top:
+        return None
+    piece = max(floor, share * sum(r["_n"] for r in top))
+    rows = [(*[r[k] for k in keys], math.ceil(r["_n"] / piece)) for r in top]
+    ddl = ", ".join(f"{k} {df.schema[k].dataType.simpleString()}" for k in keys)
+    return df.sparkSession.createDataFrame(rows, f"{ddl}, n_salt int").where("n_salt > 1")
 
 
 def salted(
@@ -32,15 +41,16 @@ def salted(
     few: DataFrame,
     keys: list[str],
     spread_by: list[str],
-    share: float = HOT_SHARE,
-    floor: int = HOT_FLOOR,
-) -> tuple[DataFrame, DataFrame]:
-    """Add a ``salt`` key to both sides of a join.
+    hot: DataFrame | None,
+) -> tuple[DataFrame, DataFrame, list[str]]:
+    """Both sides of a join and its keys, with a ``salt`` key added where keys are hot.
 
     Rows of a hot key on the ``many`` side are spread over its salts; the ``few`` side is
     repeated once per salt of its key. Other keys keep salt 0 and are not repeated.
     """
-    hot = F.broadcast(hot_keys(many, keys, share, floor))
+    if hot is None:
+        return many, few, keys
+    hot = F.broadcast(hot)
     m = many.join(hot, keys, "left").withColumn(
         "salt",
         F.coalesce(F.pmod(F.xxhash64(*spread_by), F.col("n_salt")), F.lit(0)).cast("int"),
@@ -48,7 +58,7 @@ def salted(
     f = few.join(hot, keys, "left").withColumn(
         "salt", F.explode(F.sequence(F.lit(0), F.coalesce(F.col("n_salt"), F.lit(1)) - 1))
     )
-    return m.drop("n_salt"), f.drop("n_salt")
+    return m.drop("n_salt"), f.drop("n_salt"), [*keys, "salt"]
 
 
 def lookup_join(
@@ -61,11 +71,13 @@ def lookup_join(
 ) -> DataFrame:
     """Inner join with a table that has one row per key and knows each key's row count.
 
-    Keys whose ``weight`` marks them as hot are joined by broadcast (at most ``1 / share`` of
-    them), so that no task receives all rows of one hot key; the rest is a plain join.
+    The hot keys (at most ``1 / share``) are joined by broadcast, so that no task receives all
+    rows of one key; the rest is a plain join.
     """
-    big_groups = lookup.where(F.col(weight) > floor)
-    limit = F.greatest(big_groups.agg(F.sum(weight) * F.lit(share)).scalar(), F.lit(float(floor)))
-    hot = F.broadcast(big_groups.where(F.col(weight) > limit).drop(weight))
-    around = big.join(hot.select(key), key, "left_anti")
-    return big.join(hot, key).unionByName(around.join(lookup.drop(weight), key))
+    hot = lookup.where(F.col(weight) > floor).orderBy(F.desc(weight)).limit(int(1 / share))
+    hot = cut_lineage(hot.drop(weight))
+    lookup = lookup.drop(weight)
+    if hot.isEmpty():
+        return big.join(lookup, key)
+    around = big.join(F.broadcast(hot.select(key)), key, "left_anti")
+    return big.join(F.broadcast(hot), key).unionByName(around.join(lookup, key))

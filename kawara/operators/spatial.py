@@ -214,8 +214,9 @@ def points_in_polygons(
         F.col(y).alias("_py"),
         _cell(F.col(x), cell).alias("cx"),
         _cell(F.col(y), cell).alias("cy"),
-    ).where(F.col("cx").isNotNull() & F.col("cy").isNotNull())
-    keys = ["cx", "cy"]
+    )
+    hot = skew.hot_keys(pts, ["cx", "cy"], share, floor)
+    spread = [*point_cols, "_px", "_py"]
     flips = _flips(cell)
     inside = (F.col("base") + flips) % 2 == 1
     on_edge = F.expr(f"exists(edges, e -> {g.on_segment('e', '_px', '_py')})")
@@ -225,41 +226,29 @@ def points_in_polygons(
         polys = polys.withColumn(
             edges,
             F.when(F.size(es) > CHUNK, F.raise_error(F.lit("polygon too large for large=False"))).otherwise(es),
-        )
-        small_cells = _small_cells(polys.where(F.size(edges) > 0), ids, cell, edges)
-    else:
-        small_cells = _small_cells(polys, ids, cell, edges)
-
-    m, f = skew.salted(pts, small_cells, keys, [*point_cols, "_px", "_py"], share, floor)
-    small_hits = (
-        m.join(f, [*keys, "salt"]).where(inside & ~on_edge).select(*point_cols, *poly_cols)
-    )
+        ).where(F.size(edges) > 0)
+    m, f, keys = skew.salted(pts, _small_cells(polys, ids, cell, edges), ["cx", "cy"], spread, hot)
+    small_hits = m.join(f, keys).where(inside & ~on_edge).select(*point_cols, *poly_cols)
     if not large:
         return small_hits
 
-    m, f = skew.salted(
-        pts, _large_cells(polys, ids, cell, edges), keys, [*point_cols, "_px", "_py"], share, floor
-    )
+    m, f, keys = skew.salted(pts, _large_cells(polys, ids, cell, edges), ["cx", "cy"], spread, hot)
     # all rows of one point and polygon meet in one cell, so these aggregates need no shuffle
+    one = [*keys, *spread, *ids]
     per_block = (
-        m.join(f, [*keys, "salt"])
+        m.join(f, keys)
         .select(
-            *keys,
-            "salt",
-            *point_cols,
-            "_px",
-            "_py",
-            *ids,
+            *one,
             "_block",
             ((F.col("base") + flips) % 2).alias("_odd"),
             on_edge.cast("int").alias("_edge"),
         )
         .where((F.col("_odd") == 1) | (F.col("_edge") == 1))
-        .groupBy(*keys, "salt", *point_cols, "_px", "_py", *ids, "_block")
+        .groupBy(*one, "_block")
         .agg(F.max("_odd").alias("_odd"), F.max("_edge").alias("_edge"))
     )
     large_hits = (
-        per_block.groupBy(*keys, "salt", *point_cols, "_px", "_py", *ids)
+        per_block.groupBy(*one)
         .agg(F.sum("_odd").alias("_odd"), F.max("_edge").alias("_edge"))
         .where((F.col("_odd") % 2 == 1) & (F.col("_edge") == 0))
         .select(*point_cols, *poly_cols)
@@ -306,14 +295,19 @@ def intersecting_pairs(
         cells = polygon_cells(df, ids, cell, edges) if large else _small_cells(df, ids, cell, edges)
         return cells.where(F.size("edges") > 0).select(*ids, "cx", "cy", F.col("edges").alias(name))
 
-    m, f = skew.salted(
+    # a crowded cell shows in the ring starts already, which are cheaper to count than edges
+    at = starts(left, lids, left_edges).select(
+        _cell(F.col("px"), cell).alias("cx"), _cell(F.col("py"), cell).alias("cy")
+    )
+    m, f, keys = skew.salted(
         boundary(left, lids, left_edges, "_le"),
         boundary(right, rids, right_edges, "_re"),
         ["cx", "cy"],
         lids,
+        skew.hot_keys(at, ["cx", "cy"]),
     )
     touching = (
-        m.join(f, ["cx", "cy", "salt"])
+        m.join(f, keys)
         .where(F.expr(f"exists(_le, a -> exists(_re, b -> {g.segments_touch('a', 'b')}))"))
         .select(*out)
     )

@@ -15,6 +15,9 @@ from pyspark.sql import functions as F
 from kawara import model
 from kawara.functions import geometry as g
 from kawara.operators import tiles
+from kawara.session import cut_lineage
+
+_LAYERS: dict[tuple[str, str, str], DataFrame] = {}
 
 D = "CAST({} AS DOUBLE)".format
 
@@ -208,15 +211,35 @@ class Inputs:
         es = g.box_edges(F.col("x0"), F.col("y0"), F.col("x1"), F.col("y1"))
         return df.withColumn("edges", es).withColumn("parts", F.array(F.array("edges")))
 
+    def located(self) -> DataFrame:
+        """Buildings with their representative point; boxes need no edges for it."""
+        p = g.box_point(F.col("x0"), F.col("y0"), F.col("x1"), F.col("y1"))
+        return self.sql(BUILDINGS, "orders").select(
+            "k", "gml_id", "building_uid", p["x"].alias("centroid_lon"), p["y"].alias("centroid_lat")
+        )
+
     def footprints(self) -> DataFrame:
         return self.boxed(
             self.sql(BUILDINGS, "orders").select("k", "gml_id", "building_uid", "x0", "y0", "x1", "y1")
         )
 
+    def _layer(self, name: str, make) -> DataFrame:
+        """A polygon layer, written once per session and folder: a stored table, as layers are.
+
+        Layers are far smaller than the buildings, and many queries share them.
+        """
+        key = (self.spark.sparkContext.applicationId, self.sf_dir, name)
+        if key not in _LAYERS:
+            _LAYERS[key] = cut_lineage(make())
+        return _LAYERS[key]
+
     def attributes(self) -> DataFrame:
         return self.sql(ATTRIBUTES, "orders")
 
     def hazards(self) -> DataFrame:
+        return self._layer("hazards", self._hazards)
+
+    def _hazards(self) -> DataFrame:
         rows = self.sql(HAZARDS, "supplier")
         shapes = F.when(F.lit(False), None)
         for s, edges in SHAPE_EDGES.items():
@@ -224,20 +247,23 @@ class Inputs:
                 F.col("shape") == s,
                 F.array(*[g.edge(*[F.lit(float(v)) for p in e for v in p]) for e in edges]),
             )
-        scaled = "transform(_shape, e -> struct(cx + e.x1 * w AS x1, cy + e.y1 * w AS y1, cx + e.x2 * w AS x2, cy + e.y2 * w AS y2))"
+        scaled = (
+            "transform(_shape, e -> struct(cx + e.x1 * w AS x1, cy + e.y1 * w AS y1,"
+            " cx + e.x2 * w AS x2, cy + e.y2 * w AS y2))"
+        )
         return rows.withColumn("_shape", shapes).withColumn("edges", F.expr(scaled)).drop("_shape")
 
     def extents(self) -> DataFrame:
-        return self.boxed(self.sql(EXTENTS, "supplier"))
+        return self._layer("extents", lambda: self.boxed(self.sql(EXTENTS, "supplier")))
 
     def wards(self) -> DataFrame:
-        return self.boxed(self.sql(WARDS, "supplier"))
+        return self._layer("wards", lambda: self.boxed(self.sql(WARDS, "supplier")))
 
     def cities(self) -> DataFrame:
-        return self.boxed(self.sql(CITIES, "supplier"))
+        return self._layer("cities", lambda: self.boxed(self.sql(CITIES, "supplier")))
 
     def zoning(self) -> DataFrame:
-        return self.boxed(self.sql(ZONING, "part"))
+        return self._layer("zoning", lambda: self.boxed(self.sql(ZONING, "part")))
 
     def placements(self) -> DataFrame:
         lists = (

@@ -43,7 +43,7 @@ def _dbl(name: str, places: int = 6):
 
 
 def located(t: Inputs) -> DataFrame:
-    return coverage.with_point(t.footprints())
+    return t.located()
 
 
 def layers(t: Inputs) -> tuple[DataFrame, DataFrame]:
