@@ -82,7 +82,7 @@ FROM (SELECT *, {_pick('(o_custkey * 7 + k) % 22', USAGE_NAMES)} AS usage_label,
 
 # three shapes in units of the half width: L, triangle, box with a hole
 SHAPE_VERTICES = {
-    0: [[(-1, -1), (1, -1), (1, 0), (0, 0), (0, 1), (-1, 1)]],
+    0: [[(-1, -1), (1, -1), (1, -0.25), (0, -0.25), (0, 1), (-1, 1)]],
     1: [[(-1, -1), (1, -1), (0.25, 1)]],
     2: [[(-1, -1), (1, -1), (1, 1), (-1, 1)], [(-0.5, -0.5), (-0.5, 0.5), (0.5, 0.5), (0.5, -0.5)]],
 }
