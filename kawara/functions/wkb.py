@@ -6,15 +6,16 @@ written for software that expects a binary geometry column.
 
 from __future__ import annotations
 
+import json
 import struct
 
 import numpy as np
 import pandas as pd
+from pyspark.sql import Column
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-RINGS = T.ArrayType(T.ArrayType(T.ArrayType(T.DoubleType())))
-POLYGONS = T.ArrayType(RINGS)
+POLYGONS = "array<array<array<array<double>>>>"
 
 
 def encode(polygons) -> bytes | None:
@@ -81,11 +82,20 @@ def decode(blob) -> list | None:
     raise ValueError(f"geometry type {kind} is not polygonal")
 
 
+# both sides cross into Python as flat text or bytes: deeply nested Arrow arrays are slow there
 @F.pandas_udf(T.BinaryType())
-def wkb_of(polygons: pd.Series) -> pd.Series:
-    return polygons.map(encode)
+def _wkb_of_json(text: pd.Series) -> pd.Series:
+    return text.map(lambda t: None if t is None else encode(json.loads(t)))
 
 
-@F.pandas_udf(POLYGONS)
-def polygons_of(blob: pd.Series) -> pd.Series:
-    return blob.map(decode)
+@F.pandas_udf(T.StringType())
+def _json_of_wkb(blob: pd.Series) -> pd.Series:
+    return blob.map(lambda b: None if b is None else json.dumps(decode(b)))
+
+
+def wkb_of(polygons: Column) -> Column:
+    return _wkb_of_json(F.to_json(polygons))
+
+
+def polygons_of(blob: Column) -> Column:
+    return F.from_json(_json_of_wkb(blob), POLYGONS)

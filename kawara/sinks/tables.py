@@ -15,7 +15,7 @@ from kawara.operators import quality, tiles
 
 def with_geometry(df: DataFrame) -> DataFrame:
     """Binary ``geometry`` from ``polygons``, for other tools."""
-    return df.withColumn("geometry", wkb.wkb_of("polygons"))
+    return df.withColumn("geometry", wkb.wkb_of(F.col("polygons")))
 
 
 def to_public_schema(df: DataFrame, extra: tuple[str, ...] = ()) -> DataFrame:

@@ -107,8 +107,8 @@ def input_files(spark: SparkSession, path: str, pattern: str = "*.gml") -> list[
     return files
 
 
-def read_buildings(spark: SparkSession, path: str | list[str], tag: str = "bldg:Building") -> DataFrame:
-    """One row per building element, straight from the XML."""
+def read_buildings(spark: SparkSession, path: str | list[str], tag: str = "Building") -> DataFrame:
+    """One row per building element, straight from the XML (namespaces are dropped first)."""
     return spark.read.format("xml").options(rowTag=tag, **XML_OPTIONS).schema(BUILDING_SCHEMA).load(path)
 
 
