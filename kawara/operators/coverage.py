@@ -100,37 +100,52 @@ def hazard_hits(
 
 
 def summarise_hits(hits: DataFrame, kinds=model.HAZARD_KINDS) -> DataFrame:
-    """Hits -> one row per building with the five columns of every kind (ids as arrays).
+    """Hits -> one row per building with the five columns of every kind.
 
-    Depth, zone flag and hit ids appear only where the same kind is covered.
+    First one row per building and kind, then the kinds side by side. A kind that does not
+    cover the building is dropped in between: its hits must not show, and its columns are the
+    same as if there were none.
     """
-    aggs = []
-    for k in kinds:
-        cov = (F.col("role") == EXTENT) & (F.col("kind") == k)
-        hit = (F.col("role") == HAZARD) & (F.col("kind") == k)
-        aggs += [
-            F.coalesce(F.max(cov), F.lit(False)).alias(f"{k}_covered"),
-            F.collect_set(F.when(cov, F.col("source_id"))).alias(f"{k}_cov_ids"),
-            F.max(F.when(cov, F.col("rank"))).alias(f"{k}_rank"),
-            F.collect_set(F.when(hit, F.col("source_id"))).alias(f"{k}_hit_ids"),
-            (
-                F.max(F.when(hit, F.col("in_zone")))
-                if k == model.ZONE_KIND
-                else F.max(F.when(hit, F.col("depth_m")))
-            ).alias(f"{k}_value"),
-        ]
-    per = hits.groupBy("building_uid").agg(*aggs)
-    out = ["building_uid"]
+    cov, hit = F.col("role") == EXTENT, F.col("role") == HAZARD
+    per_kind = (
+        hits.groupBy("building_uid", "kind")
+        .agg(
+            F.max(cov).alias("covered"),
+            F.collect_set(F.when(cov, F.col("source_id"))).alias("cov_ids"),
+            F.max("rank").alias("rank"),
+            F.collect_set(F.when(hit, F.col("source_id"))).alias("hit_ids"),
+            F.max("depth_m").alias("depth"),
+            F.max(F.when(hit, F.col("in_zone"))).alias("zone"),
+        )
+        .where("covered")
+        .select(
+            "building_uid",
+            "kind",
+            F.struct(
+                F.lit(True).alias("covered"),
+                idf.id_list(F.col("cov_ids")).alias("cov_ids"),
+                F.col("depth"),
+                F.col("zone"),
+                idf.id_list(F.col("hit_ids")).alias("hit_ids"),
+                idf.confidence_name(F.col("rank")).alias("confidence"),
+            ).alias("v"),
+        )
+    )
+    side_by_side = per_kind.groupBy("building_uid").agg(
+        F.map_from_entries(F.collect_list(F.struct("kind", "v"))).alias("m")
+    )
+    out = []
     for k in kinds:
-        covered = F.col(f"{k}_covered")
+        v = F.try_element_at("m", F.lit(k))
+        value = v["zone"] if k == model.ZONE_KIND else v["depth"]
         out += [
-            covered,
-            idf.id_list(F.col(f"{k}_cov_ids")).alias(f"{k}_coverage_source_ids"),
-            F.when(covered, F.col(f"{k}_value")).alias(model.hazard_value_column(k)),
-            F.when(covered, idf.id_list(F.col(f"{k}_hit_ids"))).alias(f"{k}_hit_source_ids"),
-            idf.confidence_name(F.col(f"{k}_rank")).alias(f"{k}_coverage_confidence"),
+            v["covered"].alias(f"{k}_covered"),
+            v["cov_ids"].alias(f"{k}_coverage_source_ids"),
+            value.alias(model.hazard_value_column(k)),
+            v["hit_ids"].alias(f"{k}_hit_source_ids"),
+            v["confidence"].alias(f"{k}_coverage_confidence"),
         ]
-    return per.select(*out)
+    return side_by_side.select("building_uid", *out)
 
 
 def with_hazard_columns(

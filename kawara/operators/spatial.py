@@ -19,6 +19,7 @@ from pyspark.sql import functions as F
 
 from kawara.functions import geometry as g
 from kawara.operators import skew
+from kawara.session import spread
 
 CHUNK = 64
 _MARGIN = 1e-7  # in cells: an extra edge in a cell does no harm, a missing one would
@@ -201,11 +202,13 @@ def points_in_polygons(
     large: bool = True,
     share: float = skew.HOT_SHARE,
     floor: int = skew.HOT_FLOOR,
+    hot: DataFrame | None | str = "find",
 ) -> DataFrame:
     """(point_cols, poly_cols) for every point strictly inside a polygon.
 
     ``large=False`` states that no polygon has more than ``CHUNK`` edges; it is checked while
-    running. Hot cells are salted, so one crowded cell does not become one task.
+    running. Hot cells are salted, so one crowded cell does not become one task; a caller that
+    knows them already hands them in.
     """
     ids = list(dict.fromkeys([poly_id, *poly_cols]))
     pts = points.select(
@@ -215,8 +218,10 @@ def points_in_polygons(
         _cell(F.col(x), cell).alias("cx"),
         _cell(F.col(y), cell).alias("cy"),
     )
-    hot = skew.hot_keys(pts, ["cx", "cy"], share, floor)
-    spread = [*point_cols, "_px", "_py"]
+    if isinstance(hot, str):
+        hot = skew.hot_keys(pts, ["cx", "cy"], share, floor)
+    own = [*point_cols, "_px", "_py"]
+    pts = spread(pts, *point_cols)
     flips = _flips(cell)
     inside = (F.col("base") + flips) % 2 == 1
     on_edge = F.expr(f"exists(edges, e -> {g.on_segment('e', '_px', '_py')})")
@@ -227,14 +232,14 @@ def points_in_polygons(
             edges,
             F.when(F.size(es) > CHUNK, F.raise_error(F.lit("polygon too large for large=False"))).otherwise(es),
         ).where(F.size(edges) > 0)
-    m, f, keys = skew.salted(pts, _small_cells(polys, ids, cell, edges), ["cx", "cy"], spread, hot)
+    m, f, keys = skew.salted(pts, _small_cells(polys, ids, cell, edges), ["cx", "cy"], own, hot)
     small_hits = m.join(f, keys).where(inside & ~on_edge).select(*point_cols, *poly_cols)
     if not large:
         return small_hits
 
-    m, f, keys = skew.salted(pts, _large_cells(polys, ids, cell, edges), ["cx", "cy"], spread, hot)
+    m, f, keys = skew.salted(pts, _large_cells(polys, ids, cell, edges), ["cx", "cy"], own, hot)
     # all rows of one point and polygon meet in one cell, so these aggregates need no shuffle
-    one = [*keys, *spread, *ids]
+    one = [*keys, *own, *ids]
     per_block = (
         m.join(f, keys)
         .select(
@@ -282,33 +287,78 @@ def intersecting_pairs(
             *ids, F.col("v.x").alias("px"), F.col("v.y").alias("py")
         )
 
+    def cells_of(df, ids, edges):
+        return polygon_cells(df, ids, cell, edges) if large else _small_cells(df, ids, cell, edges)
+
+    # a crowded cell shows in the first vertices already, which are cheap to count
+    hot = skew.hot_keys(
+        left.select(
+            _cell(F.get(F.col(left_edges), F.lit(0))["x1"], cell).alias("cx"),
+            _cell(F.get(F.col(left_edges), F.lit(0))["y1"], cell).alias("cy"),
+        ),
+        ["cx", "cy"],
+    )
     left_in_right = points_in_polygons(
         starts(left, lids, left_edges), right, cell=cell, point_cols=lids, poly_cols=rids,
-        poly_id=right_id, edges=right_edges, large=large,
+        poly_id=right_id, edges=right_edges, large=large, hot=hot,
     ).select(*out)
-    right_in_left = points_in_polygons(
-        starts(right, rids, right_edges), left, cell=cell, point_cols=rids, poly_cols=lids,
-        poly_id=left_id, edges=left_edges, large=large,
-    ).select(*out)
-
-    def boundary(df, ids, edges, name):
-        cells = polygon_cells(df, ids, cell, edges) if large else _small_cells(df, ids, cell, edges)
-        return cells.where(F.size("edges") > 0).select(*ids, "cx", "cy", F.col("edges").alias(name))
 
-    # a crowded cell shows in the ring starts already, which are cheaper to count than edges
-    at = starts(left, lids, left_edges).select(
-        _cell(F.col("px"), cell).alias("cx"), _cell(F.col("py"), cell).alias("cy")
+    # what a left polygon can meet in a cell: pieces of right boundary, and right vertices
+    none = F.array().cast("array<struct<x1:double,y1:double,x2:double,y2:double>>")
+    met = (
+        cells_of(right, rids, right_edges)
+        .where(F.size("edges") > 0)
+        .select(*rids, "cx", "cy", F.col("edges").alias("_re"), F.lit(None).cast("double").alias("_vx"), F.lit(None).cast("double").alias("_vy"))
+        .unionByName(
+            starts(right, rids, right_edges).select(
+                *rids,
+                _cell(F.col("px"), cell).alias("cx"),
+                _cell(F.col("py"), cell).alias("cy"),
+                none.alias("_re"),
+                F.col("px").alias("_vx"),
+                F.col("py").alias("_vy"),
+            )
+        )
     )
-    m, f, keys = skew.salted(
-        boundary(left, lids, left_edges, "_le"),
-        boundary(right, rids, right_edges, "_re"),
-        ["cx", "cy"],
-        lids,
-        skew.hot_keys(at, ["cx", "cy"]),
+    # small left polygons go to their cells whole: cutting each one up costs more than it saves
+    b = g.bbox(F.col(left_edges))
+    small = left.where(F.size(left_edges) <= CHUNK) if large else left
+    small = small.select(*lids, F.col(left_edges).alias("_le"), *[c.alias(f"_{n}") for n, c in b.items()])
+    placed = spread(small, *lids).withColumn(
+        "cx", F.explode(F.sequence(_low(F.col("_minx"), cell), _high(F.col("_maxx"), cell)))
+    ).withColumn("cy", F.explode(F.sequence(_low(F.col("_miny"), cell), _high(F.col("_maxy"), cell))))
+    m, f, keys = skew.salted(placed, met, ["cx", "cy"], lids, hot)
+    # edges whose boxes miss the left polygon's box cannot meet it
+    reach = (
+        "filter(_re, e -> least(e.x1, e.x2) <= _maxx AND greatest(e.x1, e.x2) >= _minx"
+        " AND least(e.y1, e.y2) <= _maxy AND greatest(e.y1, e.y2) >= _miny)"
     )
-    touching = (
-        m.join(f, keys)
-        .where(F.expr(f"exists(_le, a -> exists(_re, b -> {g.segments_touch('a', 'b')}))"))
-        .select(*out)
+    touching = f"exists({reach}, b -> exists(_le, a -> {g.segments_touch('a', 'b')}))"
+    holding = (
+        "(_vx BETWEEN _minx AND _maxx AND _vy BETWEEN _miny AND _maxy"
+        f" AND {g.inside_parity('_le', '_vx', '_vy')})"
     )
-    return left_in_right.unionByName(right_in_left).unionByName(touching).distinct()
+    found = left_in_right.unionByName(
+        m.join(f, keys).where(F.expr(f"coalesce({holding}, false) OR {touching}")).select(*out)
+    )
+    if large:
+        big = left.where(F.size(left_edges) > CHUNK)
+        right_in_big = points_in_polygons(
+            starts(right, rids, right_edges), big, cell=cell, point_cols=rids, poly_cols=lids,
+            poly_id=left_id, edges=left_edges,
+        ).select(*out)
+        pieces = _large_cells(big, lids, cell, left_edges).where(F.size("edges") > 0)
+        m, f, keys = skew.salted(
+            pieces.select(*lids, "cx", "cy", F.col("edges").alias("_le")),
+            met.where(F.size("_re") > 0).select(*rids, "cx", "cy", "_re"),
+            ["cx", "cy"],
+            lids,
+            hot,
+        )
+        crossing = (
+            m.join(f, keys)
+            .where(F.expr(f"exists(_le, a -> exists(_re, b -> {g.segments_touch('a', 'b')}))"))
+            .select(*out)
+        )
+        found = found.unionByName(right_in_big).unionByName(crossing)
+    return found.distinct()

@@ -230,7 +230,8 @@ class Inputs:
         """
         key = (self.spark.sparkContext.applicationId, self.sf_dir, name)
         if key not in _LAYERS:
-            _LAYERS[key] = cut_lineage(make())
+            cores = self.spark.sparkContext.defaultParallelism
+            _LAYERS[key] = cut_lineage(make().repartition(cores))
         return _LAYERS[key]
 
     def attributes(self) -> DataFrame:

@@ -15,6 +15,8 @@ def session(master: str | None = None, app: str = "kawara", **conf) -> SparkSess
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.sql.adaptive.enabled", "true")
         .config("spark.sql.adaptive.skewJoin.enabled", "true")
+        # geometry is heavy on the processor: keep small shuffles parallel
+        .config("spark.sql.adaptive.coalescePartitions.minPartitionSize", "64k")
         # codes such as "01100" in a partition path must stay strings
         .config("spark.sql.sources.partitionColumnTypeInference.enabled", "false")
     )
@@ -41,3 +43,13 @@ def broadcast_if_small(df: DataFrame, max_rows: int = 100_000) -> DataFrame:
     fixed = cut_lineage(df)
     n = fixed.limit(max_rows + 1).count()
     return F.broadcast(fixed) if n <= max_rows else fixed
+
+
+def spread(df: DataFrame, *cols: str) -> DataFrame:
+    """Rows over all cores when the input comes in fewer files than there are cores.
+
+    A join with a broadcast side runs with the input's own parallelism; a single-file input
+    would leave the cluster idle. Inputs of many files are left as they are.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores, *cols) if 0 < len(df.inputFiles()) < cores else df
