@@ -24,7 +24,7 @@ from pyspark.sql import functions as F
 
 from kawara.functions import geometry as g
 from kawara.operators import skew
-from kawara.session import cut_lineage
+from kawara.session import cut_lineage, spread
 
 MAX_GROUP = 256
 
@@ -105,6 +105,34 @@ def _node(prefix: str, *cols) -> Column:
     return F.concat_ws(":", F.lit("\u0001" + prefix), *cols)
 
 
+def _without_copies(shapes: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """(one footprint per distinct outline, links of copies to their shared node).
+
+    Only outlines whose hash occurs twice are compared as a whole; in a table without copies
+    no geometry is moved at all.
+    """
+    hashed = shapes.withColumn("h", F.xxhash64("edges"))
+    twice = cut_lineage(
+        hashed.groupBy("h").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("h")
+    )
+    none = shapes.select(F.col("node").alias("a"), F.col("node").alias("b")).limit(0)
+    if twice.isEmpty():
+        return shapes, none
+    lone = hashed.join(twice, "h", "left_anti").select("node", "edges")
+    same = hashed.join(twice, "h", "left_semi")
+    groups = cut_lineage(
+        same.groupBy("h", "edges")
+        .agg(F.min("node").alias("first"), F.count(F.lit(1)).alias("n"))
+        .withColumn("rep", F.when(F.col("n") == 1, F.col("first")).otherwise(_node("same", "first")))
+        .drop("first")
+    )
+    tied = skew.lookup_join(same, groups.where("n > 1"), ["h", "edges"], weight="n")
+    return (
+        lone.unionByName(groups.select(F.col("rep").alias("node"), "edges")),
+        tied.select(F.col("node").alias("a"), F.col("rep").alias("b")),
+    )
+
+
 def proximity_links(
     shapes: DataFrame,
     eps: float,
@@ -117,25 +145,11 @@ def proximity_links(
     Some nodes stand for a set of identical footprints or for a covered cell; they start with
     a control character and are no buildings.
     """
-    keyed = shapes.select(F.col(node).alias("member"), "edges").withColumn(
-        "node", _node("same", F.sha2(F.col("edges").cast("string"), 256))
-    )
-    one_each = keyed.groupBy("node").agg(
-        F.min("member").alias("first"), F.count(F.lit(1)).alias("n"), F.first("edges").alias("edges")
-    )
-    # lone footprints keep their own id as node; copies are tied to the shared node
-    prepared = one_each.select(
-        F.when(F.col("n") == 1, F.col("first")).otherwise(F.col("node")).alias("node"),
-        "n",
-        "edges",
-    ).withColumns(g.bbox(F.col("edges")))
-    prepared = cut_lineage(prepared)
-    copies = prepared.where(F.col("n") > 1).select("node", F.col("n").cast("long").alias("n"))
-    tied = skew.lookup_join(keyed.select("node", "member"), copies, "node", weight="n")
-    links = tied.select(F.col("member").alias("a"), F.col("node").alias("b"))
+    prepared, links = _without_copies(spread(shapes.select(F.col(node).alias("node"), "edges"), "node"))
+    prepared = cut_lineage(prepared.withColumns(g.bbox(F.col("edges"))))
 
     size, uncut = cell, True
-    members = _members(prepared.drop("n"), size, eps)
+    members = _members(prepared, size, eps)
     while True:
         counts = members.groupBy("cx", "cy").agg(F.count(F.lit(1)).alias("_n"))
         crowded = cut_lineage(counts.where(F.col("_n") > max_group).select("cx", "cy"))

@@ -64,7 +64,7 @@ def salted(
 def lookup_join(
     big: DataFrame,
     lookup: DataFrame,
-    key: str,
+    key: str | list[str],
     weight: str,
     share: float = HOT_SHARE,
     floor: int = HOT_FLOOR,
@@ -79,5 +79,6 @@ def lookup_join(
     lookup = lookup.drop(weight)
     if hot.isEmpty():
         return big.join(lookup, key)
-    around = big.join(F.broadcast(hot.select(key)), key, "left_anti")
+    keys = [key] if isinstance(key, str) else key
+    around = big.join(F.broadcast(hot.select(*keys)), key, "left_anti")
     return big.join(F.broadcast(hot), key).unionByName(around.join(lookup, key))
