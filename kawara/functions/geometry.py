@@ -152,18 +152,16 @@ def segments_touch(a: str, b: str) -> str:
 def _point_near_segment(x: str, y: str, e: str, eps: float) -> str:
     """Distance of a point and a segment at most ``eps``.
 
-    ``t`` is the place of the foot point on the segment; a zero-length segment is a point.
+    The foot point is written out where it is used: binding it with a nested lambda would let
+    the optimiser take "a near b" and "b near a" for the same expression.
     """
     dx, dy = f"({e}.x2 - {e}.x1)", f"({e}.y2 - {e}.y1)"
     t = (
         f"coalesce(least(greatest(try_divide(({x} - {e}.x1) * {dx} + ({y} - {e}.y1) * {dy},"
         f" {dx} * {dx} + {dy} * {dy}), 0D), 1D), 0D)"
     )
-    foot = f"{x} - {e}.x1 - t * {dx}", f"{y} - {e}.y1 - t * {dy}"
-    return (
-        f"exists(array({t}), t -> ({foot[0]}) * ({foot[0]}) + ({foot[1]}) * ({foot[1]})"
-        f" <= {num(eps * eps)})"
-    )
+    ex, ey = f"({x} - {e}.x1 - {t} * {dx})", f"({y} - {e}.y1 - {t} * {dy})"
+    return f"({ex} * {ex} + {ey} * {ey} <= {num(eps * eps)})"
 
 
 def segments_within(a: str, b: str, eps: float) -> str:
