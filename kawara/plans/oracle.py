@@ -565,4 +565,15 @@ SQL = {
     "catalog_listing": "SELECT city_code, dataset_year, STRING_AGG(DISTINCT theme, ',' ORDER BY theme) AS themes FROM"
     " (SELECT LPAD(CAST(o_custkey AS STRING), 9, '0') AS city_code, CAST(YEAR(o_orderdate) AS INTEGER) AS dataset_year,"
     f" CASE o_orderstatus WHEN 'F' THEN {KIND5.format('o_orderkey % 5')} WHEN 'O' THEN 'building' ELSE 'zoning' END AS theme FROM orders) z GROUP BY 1, 2",
+    "geojson_scan": _with(
+        f"SELECT 'z' || CAST(zone_seq AS STRING) AS gml_id, zone_seq % 3 <> 0 AS rings_closed, {_r('x0', 'minx')}, {_r('y1', 'maxy')},"
+        f" 4 AS n_edges, zoning_use, {_r('far_max', 'far_max')} FROM zoning",
+        "zoning",
+    ),
+    "metadata_scan": "SELECT s_suppkey, s_name AS title, CASE WHEN s_suppkey % 4 <> 0 THEN CAST(s_nationkey AS DOUBLE) END AS east,"
+    " CASE WHEN s_suppkey % 3 = 0 THEN '' ELSE s_name || '洪水浸水想定区域図' END AS documents FROM supplier",
+    "mapping_scan": "SELECT 'doc' || CAST(p_partkey AS STRING) AS document_name, "
+    + KIND5.format("p_partkey % 6")
+    + " AS hazard, 'u' || CAST(p_size AS STRING) || CASE WHEN p_partkey % 4 >= 2 THEN ',u-all' ELSE '' END AS urls"
+    " FROM part WHERE p_partkey % 6 < 5 AND p_partkey % 4 <> 0",
 }

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from kawara import model
 from kawara.functions import attributes as at
@@ -24,6 +25,7 @@ from kawara.operators import (
 )
 from kawara.plans import analytics
 from kawara.plans.inputs import Inputs
+from kawara.sources import geojson, metadata, registry
 
 CELL = 2.0
 EPS = 0.005
@@ -650,3 +652,66 @@ def catalog_listing(t):
         F.when(F.col("o_orderstatus") == "F", F.element_at(F.array(*[F.lit(k) for k in model.HAZARD_KINDS]), (F.col("o_orderkey") % 5 + 1).cast("int"))).alias("hazard_kind"),
     )
     return catalog.catalog_listing(o)
+
+
+# --- sources, over documents made from the tables ----------------------------------
+
+
+@query
+def geojson_scan(t):
+    """Zones written as GeoJSON features and read back; every third ring is left open."""
+    z = t.zoning()
+    corner = [("x0", "y0"), ("x1", "y0"), ("x1", "y1"), ("x0", "y1")]
+    ring = F.array(*[F.array(F.col(x), F.col(y), F.lit(7.0)) for x, y in corner])
+    closed = F.concat(ring, F.slice(ring, 1, 1))
+    feature = F.struct(
+        F.concat(F.lit("z"), F.col("zone_seq").cast("string")).alias("id"),
+        F.struct(F.col("zoning_use").alias("function"), F.col("far_max").cast("string").alias("floorAreaRatio")).alias("properties"),
+        F.struct(
+            F.lit("Polygon").alias("type"),
+            F.array(F.when(F.col("zone_seq") % 3 == 0, ring).otherwise(closed)).alias("coordinates"),
+        ).alias("geometry"),
+    )
+    props = T.StructType([T.StructField(n, T.StringType()) for n in ("function", "floorAreaRatio")])
+    read = geojson.features_of_text(z.select(F.to_json(feature).alias("value")), props)
+    layer = geojson.as_zoning_layer(read).withColumnRenamed("zone_seq", "gml_id")
+    return read.select("gml_id", "rings_closed", _dbl("minx"), _dbl("maxy"), F.size("edges").cast("bigint").alias("n_edges")).join(
+        layer.select("gml_id", "zoning_use", _dbl("far_max")), "gml_id"
+    )
+
+
+@query
+def metadata_scan(t):
+    """Metadata documents made from suppliers: title, box (a side is missing in some), documents."""
+    east = F.when(F.col("s_suppkey") % 4 != 0, F.concat(F.lit("<eastBoundLongitude>"), F.col("s_nationkey").cast("string"), F.lit("</eastBoundLongitude>"))).otherwise("")
+    xml = F.concat(
+        F.lit("<MD_Metadata><identificationInfo><MD_DataIdentification><citation><title>"), "s_name",
+        F.lit("</title></citation><descriptiveKeywords><MD_Keywords><keyword>"), "s_name",
+        F.lit("洪水浸水想定区域図（平成29年）</keyword><keyword>LOD1</keyword><type>"),
+        F.when(F.col("s_suppkey") % 3 == 0, "002").otherwise("005"),
+        F.lit("</type></MD_Keywords></descriptiveKeywords><extent><geographicElement><EX_GeographicBoundingBox><westBoundLongitude>1.5</westBoundLongitude>"),
+        east,
+        F.lit("<southBoundLatitude>2</southBoundLatitude><northBoundLatitude>3</northBoundLatitude></EX_GeographicBoundingBox></geographicElement></extent></MD_DataIdentification></identificationInfo></MD_Metadata>"),
+    )
+    m = metadata.metadata_of_text(t.table("supplier").select("s_suppkey", xml.alias("doc")), "doc", ("s_suppkey",))
+    return m.select(
+        "s_suppkey", "title", F.col("bbox.east").alias("east"),
+        F.array_join(F.transform("source_documents", lambda d: ids.document_name(d)), ",").alias("documents"),
+    )
+
+
+@query
+def mapping_scan(t):
+    """Coverage mapping entries made from parts, some with an unknown hazard or without urls."""
+    kinds = F.array(*[F.lit(k) for k in (*model.HAZARD_KINDS, "meteor")])
+    kind = F.get(kinds, F.pmod("p_partkey", F.lit(6)).cast("int"))
+    url = F.concat(F.lit("u"), F.col("p_size").cast("string"))
+    entry = F.struct(
+        kind.alias("hazard"),
+        F.when(F.col("p_partkey") % 4 == 1, url).alias("ksj_url"),
+        F.when(F.col("p_partkey") % 4 >= 2, F.array(url, F.lit("u-all"))).alias("ksj_urls"),
+    )
+    doc = F.to_json(F.struct(F.create_map(F.col("_name"), entry).alias("entries")))
+    named = t.table("part").withColumn("_name", F.concat(F.lit("doc"), F.col("p_partkey").cast("string")))
+    got = registry.mapping_of_text(named.select(doc.alias("value")), "value")
+    return got.select("document_name", "hazard", F.array_join("urls", ",").alias("urls"))
