@@ -221,8 +221,6 @@ def _pivot(kind: str, limit: str) -> str:
 
 def _polygon_mode() -> str:
     """Box against polygon: a corner inside, a vertex inside the box, or edges that meet."""
-    o = "(({q}x - {p}x) * ({ry} - {p}y) - ({rx} - {p}x) * ({q}y - {p}y))"
-
     def turn(ax, ay, bx, by, cx, cy):
         return f"(({bx} - {ax}) * ({cy} - {ay}) - ({cx} - {ax}) * ({by} - {ay}))"
 

@@ -52,4 +52,6 @@ def spread(df: DataFrame, *cols: str) -> DataFrame:
     would leave the cluster idle. Inputs of many files are left as they are.
     """
     cores = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(cores, *cols) if 0 < len(df.inputFiles()) < cores else df
+    # only the length crosses to Python: a large table has very many file names
+    files = len(df._jdf.inputFiles())
+    return df.repartition(cores, *cols) if 0 < files < cores else df
