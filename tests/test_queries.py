@@ -5,6 +5,8 @@ import os
 import pytest
 
 import __spark_entry__ as entry
+from kawara.plans import oracle
+from kawara.plans.queries import REGISTRY
 from tests import compare
 
 SF_DIR = os.environ.get("TEST_SF_DIR", "/root/testdata/sf0.001")
@@ -18,10 +20,10 @@ def con():
 
 
 def test_every_query_has_sql():
-    assert set(entry.queries()) == set(entry.oracle_sql())
+    assert set(REGISTRY) == set(oracle.SQL)
 
 
-@pytest.mark.parametrize("name", sorted(entry.queries()))
+@pytest.mark.parametrize("name", sorted(REGISTRY))
 def test_query_matches_sql(spark, con, name):
     assert compare.compare(spark, con, name, SF_DIR) is None
 
