@@ -2,12 +2,15 @@
 
 from __future__ import annotations
 
-from kawara.llm import exact_dedup, mixing, sharding
+from kawara.llm import exact_dedup, mixing, near_dedup, packing, sharding, token_counts
 
 REGISTRY = {
     "op2_exact_dedup": exact_dedup.op2_exact_dedup,
     "op3_sharding": sharding.op3_sharding,
+    "op5_near_dedup": near_dedup.op5_near_dedup,
     "op6_mixing": mixing.op6_mixing,
+    "op8_token_counts": token_counts.op8_token_counts,
+    "op10_packing": packing.op10_packing,
 }
 
 SQL = {
