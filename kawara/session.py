@@ -27,14 +27,24 @@ def session(master: str | None = None, app: str = "kawara", **conf) -> SparkSess
     return b.getOrCreate()
 
 
-def cut_lineage(df: DataFrame) -> DataFrame:
-    """Reliable checkpoint: survives the loss of executors, keeps iterative plans short."""
-    spark = df.sparkSession
+def shared_folder(spark: SparkSession) -> str:
+    """The folder that driver and executors share, from ``spark.checkpoint.dir``.
+
+    Only a session on this one machine may do without the setting; on a cluster a local folder
+    would be a different one on every executor.
+    """
     sc = spark.sparkContext
     if sc.getCheckpointDir() is None:
         shared = spark.conf.get("spark.checkpoint.dir", None)
-        # unset only in tests and on one machine; a cluster names its shared folder
+        if shared is None and not sc.master.startswith("local[") and sc.master != "local":
+            raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
         sc.setCheckpointDir(shared or tempfile.mkdtemp(prefix="spark-", dir="/tmp"))
+    return sc.getCheckpointDir()
+
+
+def cut_lineage(df: DataFrame) -> DataFrame:
+    """Reliable checkpoint: survives the loss of executors, keeps iterative plans short."""
+    shared_folder(df.sparkSession)
     return df.checkpoint(eager=True)
 
 
