@@ -3,6 +3,9 @@
 from __future__ import annotations
 
 import string
+import tempfile
+import zipfile
+from pathlib import Path
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -35,3 +38,20 @@ def words_in(c: Column) -> Column:
 
 def same(left: Column, right: Column) -> Column:
     return left.eqNullSafe(right)
+
+
+_SHIPPED: set[str] = set()
+
+
+def with_code(df: DataFrame) -> DataFrame:
+    """``df``, once Spark hands this package to Python workers that don't have it installed."""
+    sc = df.sparkSession.sparkContext
+    if sc.applicationId not in _SHIPPED:
+        root = Path(__file__).resolve().parents[1]
+        bundle = f"{tempfile.mkdtemp(prefix='spark-')}/{root.name}.zip"  # read by the driver, which serves it
+        with zipfile.ZipFile(bundle, "w") as z:
+            for p in sorted(root.rglob("*.py")):
+                z.write(p, p.relative_to(root.parent))
+        sc.addPyFile(bundle)
+        _SHIPPED.add(sc.applicationId)
+    return df

@@ -10,11 +10,15 @@ with probability (1 - 0.85^6)^40 = 6e-9, and less above it. Nothing else can los
 
 **Crowded buckets.** Equal sets are one node. A bucket first pairs its members with its smallest
 one only. Where that leaves members in several components, every member outside the largest
-component of the bucket (a straggler) is paired with the members of the other components; pairs
-inside a component need no test, as their link changes no component. A bucket with more than
-``STRAGGLERS`` of them, that is one whose members are mostly not near, is first split by fresh
-bands (the next shifts of ``pi``). After ``LEVELS`` splits its stragglers are all paired, so
-nothing is capped: only members that stay together through independent signatures cost that.
+component of the bucket (a straggler) is held against the members of the other components; pairs
+inside a component need no test, as their link changes no component. In small buckets these are
+pairs like the others. In larger ones stragglers and members are dealt to blocks of about
+``BLOCK`` rows; a tile of two blocks counts its intersections as a product of two 0/1 matrices and
+gives out links only. A pair is counted once, in the first bucket its rows share. A bucket with
+more than ``STRAGGLERS`` of them, that is one whose members are mostly not near, is first split
+by fresh bands (the next shifts of ``pi``); after ``LEVELS`` splits it is tiled, whatever its size,
+so nothing is capped. Families whose members stay together through independent signatures and
+yet are not linked cost the square of their stragglers in tiles, but no rows.
 
 **Confirmation.** Candidates' shingle sets are computed anew from whole texts and intersected;
 sets are never stored or collected. Components come from star rounds.
@@ -35,14 +39,17 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from kawara.llm import shingles
-from kawara.llm.common import documents, same
+from kawara.llm.common import documents, same, with_code
 from kawara.operators.components import connected_components
 from kawara.session import cut_lineage
 
 PERCENT = 85
 BANDS, ROWS = 40, 6
 LEVELS = 2
-STRAGGLERS = 64
+STRAGGLERS = 2_048
+FEW_PAIRS = 256
+BLOCK = 128
+DENSE = 30_000_000  # cells of a tile's matrix; sparser tiles are intersected pair by pair
 BITS = 22  # D = 2^BITS
 SEED = 20_240_229
 _BLOCK = 256
@@ -103,7 +110,7 @@ def signatures(docs: DataFrame, key: str = "doc_id", text: str = "text") -> Data
         F.xxhash64(text).alias("print"),
         F.col(text).alias("text"),
     )
-    signed = rows.mapInPandas(sign, "row long, id string, print long, n long, set_key binary, bands array<long>")
+    signed = with_code(rows).mapInPandas(sign, "row long, id string, print long, n long, set_key binary, bands array<long>")
     return signed.withColumn("id", F.col("id").cast(kind))
 
 
@@ -127,7 +134,7 @@ def _sets(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
 
 def confirm(pairs: DataFrame, texts: DataFrame, percent: int = PERCENT) -> DataFrame:
     """The pairs (a, b) whose whole shingle sets are similar enough."""
-    sets = cut_lineage(texts.mapInPandas(_sets, "row long, shingles array<long>"))
+    sets = cut_lineage(with_code(texts).mapInPandas(_sets, "row long, shingles array<long>"))
     left = sets.select(F.col("row").alias("a"), F.col("shingles").alias("_a"))
     right = sets.select(F.col("row").alias("b"), F.col("shingles").alias("_b"))
     both = F.size(F.array_intersect("_a", "_b"))
@@ -150,13 +157,14 @@ def _stars(buckets: DataFrame) -> tuple[DataFrame, DataFrame]:
 
 
 def _unsettled(members: DataFrame, comps: DataFrame) -> DataFrame:
-    """(bucket, row, comp, top, stragglers): members of buckets that hold several components."""
+    """(bucket, row, comp, top, size, stragglers): members of buckets that hold several components."""
     m = members.join(comps, members["row"] == comps["node"], "left").select(
         "bucket", "row", F.coalesce("root", "row").alias("comp")
     )
     m = cut_lineage(m)
     counts = m.groupBy("bucket", "comp").agg(F.count(F.lit(1)).alias("k"))
     by_bucket = counts.groupBy("bucket").agg(
+        F.sum("k").alias("size"),
         (F.sum("k") - F.max("k")).alias("stragglers"), F.max(F.struct("k", "comp")).getField("comp").alias("top")
     )
     return cut_lineage(m.join(cut_lineage(by_bucket.where("stragglers > 0")), "bucket"))
@@ -170,6 +178,57 @@ def _across(rows: DataFrame) -> DataFrame:
     return met.select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")).distinct()
 
 
+def _tile(percent: int):
+    def links_of(tile: pd.DataFrame) -> pd.DataFrame:
+        """Links between the stragglers and the members of one tile, in other components."""
+        bucket = tile["bucket"].iloc[0]
+        x, y = tile[tile["straggler"]], tile[~tile["straggler"]]
+        sets = [np.asarray(s) for s in tile["shingles"]]
+        size = np.array([len(s) for s in sets])
+        if not len(x) or not len(y):
+            return pd.DataFrame({"a": [], "b": []}, dtype="int64")
+        terms, at = np.unique(np.concatenate(sets), return_inverse=True)
+        left, right = np.flatnonzero(tile["straggler"]), np.flatnonzero(~tile["straggler"])
+        if len(terms) * len(tile) <= DENSE:
+            held = np.zeros((len(tile), len(terms)), np.float32)
+            held[np.repeat(np.arange(len(tile)), size), at] = 1
+            both = held[left] @ held[right].T
+        else:
+            both = np.array([[len(np.intersect1d(sets[i], sets[j], True)) for j in right] for i in left])
+        near = 100 * both >= percent * (size[left][:, None] + size[right][None, :] - both)
+        near &= x["comp"].to_numpy()[:, None] != y["comp"].to_numpy()[None, :]
+        # both ends may be stragglers: the pair counts once
+        near &= (y["comp"] == y["top"]).to_numpy()[None, :] | (x["row"].to_numpy()[:, None] < y["row"].to_numpy()[None, :])
+        bands = np.stack(list(tile["bands"]))
+        out = []
+        for i, j in zip(*np.nonzero(near)):
+            shared = bands[left[i]][bands[left[i]] == bands[right[j]]]
+            if not len(shared) or bucket not in shared[1:] or shared[0] == bucket:
+                out.append(sorted((x["row"].iloc[i], y["row"].iloc[j])))
+        return pd.DataFrame(out, columns=["a", "b"], dtype="int64")
+
+    return links_of
+
+
+def _tiled(rows: DataFrame, texts: DataFrame, leaf: DataFrame, percent: int) -> DataFrame:
+    """Links of stragglers with members of other components, found tile by tile."""
+    sets = cut_lineage(with_code(texts).mapInPandas(_sets, "row long, shingles array<long>").dropDuplicates(["row"]))
+    sets = sets.join(leaf.select("row", "bands"), "row")
+    blocks = lambda n: F.ceil(n / BLOCK).cast("int")
+    own = F.xxhash64("row", F.lit("block"))
+    at = rows.withColumns({"nx": blocks(F.col("stragglers")), "ny": blocks(F.col("size"))})
+    x = at.where("comp <> top").select(
+        "bucket", "row", "comp", "top", F.lit(True).alias("straggler"),
+        F.pmod(own, "nx").cast("int").alias("bx"), F.explode(F.expr("sequence(0, ny - 1)")).alias("by"),
+    )
+    y = at.select(
+        "bucket", "row", "comp", "top", F.lit(False).alias("straggler"),
+        F.explode(F.expr("sequence(0, nx - 1)")).alias("bx"), F.pmod(own, "ny").cast("int").alias("by"),
+    )
+    tiles = x.unionByName(y).join(sets, "row")
+    return tiles.groupBy("bucket", "bx", "by").applyInPandas(_tile(percent), "a long, b long").distinct()
+
+
 def _split(rows: DataFrame, texts: DataFrame, level: int) -> DataFrame:
     """(bucket, row): the members of crowded buckets under fresh bands, never across buckets."""
 
@@ -179,7 +238,7 @@ def _split(rows: DataFrame, texts: DataFrame, level: int) -> DataFrame:
             sets = [shingles.shingle_set(t, cache) for t in b["text"]]
             yield pd.DataFrame({"row": b["row"], "bands": [band_keys(signature(s, level), level) for s in sets]})
 
-    bands = cut_lineage(texts.mapInPandas(sign, "row long, bands array<long>").dropDuplicates(["row"]))
+    bands = cut_lineage(with_code(texts).mapInPandas(sign, "row long, bands array<long>").dropDuplicates(["row"]))
     fresh = rows.select("bucket", "row").join(bands, "row").select("bucket", "row", F.explode("bands").alias("band"))
     return fresh.select(F.xxhash64("bucket", "band").alias("bucket"), "row")
 
@@ -208,12 +267,16 @@ def links(docs: DataFrame, leaf: DataFrame, nodes: DataFrame, key: str, text: st
         done.append(pairs)
         found.append(tested(pairs))
         rest = _unsettled(members, connected_components(union(found)))
+        small = F.col("stragglers") * F.col("size") <= FEW_PAIRS
         few = F.lit(True) if level == LEVELS else F.col("stragglers") <= STRAGGLERS
-        across = cut_lineage(_across(rest.where(few)).join(union(done), ["a", "b"], "left_anti"))
+        across = cut_lineage(_across(rest.where(small)).join(union(done), ["a", "b"], "left_anti"))
         if not across.isEmpty():
             done.append(across)
             found.append(tested(across))
-        crowded = rest.where(~few)
+        larger = cut_lineage(rest.where(few & ~small))
+        if not larger.isEmpty():
+            found.append(cut_lineage(_tiled(larger, texts(larger), leaf, percent)))
+        crowded = rest.where(~few & ~small)
         if level == LEVELS or crowded.isEmpty():
             return union(found)
         buckets = _split(crowded, texts(crowded), level + 1)

@@ -29,7 +29,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from kawara.llm import tokens
-from kawara.llm.common import documents
+from kawara.llm.common import documents, with_code
 
 TIERS = (256, 512, 1024, 2048)
 CLOSING_ID = 1
@@ -169,7 +169,7 @@ def sequences(
 
     # ids as text: pandas turns integers beside NULLs into floats
     rows = docs.select(F.col(key).cast("string").alias("id"), F.col(text).alias("text"))
-    out = rows.mapInPandas(run, schema)
+    out = with_code(rows).mapInPandas(run, schema)
     return out.select(F.col("id").cast(kind).alias(key), *out.columns[1:])
 
 

@@ -21,7 +21,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from kawara.llm import tokens
-from kawara.llm.common import documents
+from kawara.llm.common import documents, with_code
 
 LIMIT = 1024
 FREQUENT = 8_192
@@ -51,7 +51,7 @@ def _frequent(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
 def frequent_lengths(docs: DataFrame, text: str, name: str) -> tuple[dict[str, int], dict[str, int]]:
     """Words at the start of a line and words after a space, with their numbers of tokens."""
     found = (
-        docs.select(F.col(text).alias("text"))
+        with_code(docs.select(F.col(text).alias("text")))
         .mapInPandas(_frequent, "word string, inner boolean, n long")
         .groupBy("word", "inner")
         .agg(F.sum("n").alias("n"))
@@ -96,7 +96,7 @@ def counts(
         F.coalesce(F.octet_length(text), F.lit(0)).cast("long").alias("n_bytes"),
         F.col(text).alias("text"),
     )
-    out = rows.mapInPandas(count, "id string, n_bytes long, n_tokens long")
+    out = with_code(rows).mapInPandas(count, "id string, n_bytes long, n_tokens long")
     return out.select(F.col("id").cast(kind).alias(key), "n_bytes", "n_tokens", (F.col("n_tokens") > limit).alias("over_limit"))
 
 

@@ -79,6 +79,9 @@ def test_crowded_buckets_with_and_without_splits(docs, monkeypatch, stragglers,
     """Copies with a few words changed: some pairs are just below the threshold, chains link them."""
     monkeypatch.setattr(near_dedup, "STRAGGLERS", stragglers)
     monkeypatch.setattr(near_dedup, "LEVELS", levels)
+    monkeypatch.setattr(near_dedup, "FEW_PAIRS", stragglers)
+    monkeypatch.setattr(near_dedup, "DENSE", 30_000_000 if levels == 2 else 0)
+    monkeypatch.setattr(near_dedup, "BLOCK", 16)
     rng = random.Random(stragglers)
     base = [f"w{rng.randrange(5000)}" for _ in range(120)]
     passage = " ".join(f"p{i}" for i in range(60))
