@@ -88,30 +88,28 @@ def slices(m: np.ndarray) -> tuple[np.ndarray, int, int]:
 
 def weighted_sum(sl: np.ndarray, query: np.ndarray) -> list[np.ndarray]:
     """Slices of the sum of all components times the query's, from the least significant one."""
+    bits, size = sl.shape[1], np.abs(query)
+    planes = np.where((query < 0)[:, None, None], ~sl, sl)
     columns: dict[int, list[np.ndarray]] = {}
-    bits = sl.shape[1]
-    for j, q in enumerate(query.tolist()):
-        planes = sl[j] if q > 0 else ~sl[j]
-        for shift in range(abs(q).bit_length()):
-            if abs(q) >> shift & 1:
-                for b in range(bits):
-                    columns.setdefault(shift + b, []).append(planes[b])
+    for shift in range(int(size.max()).bit_length()):
+        own = planes[(size >> shift & 1).astype(bool)]
+        for b in range(bits if len(own) else 0):
+            columns.setdefault(shift + b, []).append(own[:, b])
     out, at, empty = [], 0, np.zeros(sl.shape[2], np.uint64)
     while any(k >= at for k in columns):
-        layer = columns.pop(at, [])
+        held = columns.pop(at, [])
+        layer = np.concatenate(held) if held else empty[None]
         while len(layer) > 1:  # full adders on all triples at once, a half adder on a last pair
-            if len(layer) == 2:
-                a, b = layer
-                columns.setdefault(at + 1, []).append(a & b)
-                layer = [a ^ b]
-                break
             n = len(layer) // 3
-            s = np.stack(layer[: 3 * n])
-            a, b, c = s[:n], s[n : 2 * n], s[2 * n :]
-            half = a ^ b
-            columns.setdefault(at + 1, []).extend((a & b) | (half & c))
-            layer = [*(half ^ c), *layer[3 * n :]]
-        out.append(layer[0] if layer else empty)
+            if n:
+                a, b, c = layer[:n], layer[n : 2 * n], layer[2 * n : 3 * n]
+                half = a ^ b
+                columns.setdefault(at + 1, []).append((a & b) | (half & c))
+                layer = np.concatenate([half ^ c, layer[3 * n :]])
+            else:
+                columns.setdefault(at + 1, []).append(layer[:1] & layer[1:])
+                layer = layer[:1] ^ layer[1:]
+        out.append(layer[0])
         at += 1
     return out
 
