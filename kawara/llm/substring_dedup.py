@@ -71,23 +71,21 @@ def spans(parts: list[str]) -> list[tuple[int, int, int]]:
 
 
 def places(docs: DataFrame, key: str, text: str) -> DataFrame:
-    """(row, id, print, n_sentences, spans): all spans of each document."""
+    """(row, id, print, n_sentences, hash, place): all spans of each document."""
     kind = docs.schema[key].dataType.simpleString()
 
     def cut(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for b in batches:
             out = []
             for t in b["text"]:
-                parts, seen, own = sentences(t), set(), ([], [], [], [])
+                parts, seen, hashes, packed = sentences(t), set(), [], []
                 for h, i, n in spans(parts):
-                    for column, value in zip(own, (h, i, n, h in seen)):
-                        column.append(value)
+                    hashes.append(h)
+                    packed.append(i << 24 | n << 1 | (h in seen))  # one number: this table is the largest
                     seen.add(h)
-                out.append((len(parts), *own))
-            n, h, i, k, again = zip(*out) if out else ((),) * 5
-            yield pd.DataFrame(
-                {"row": b["row"], "id": b["id"], "print": b["print"], "n_sentences": n, "hash": h, "at": i, "n": k, "again": again}
-            )
+                out.append((len(parts), hashes, packed))
+            n, h, p = zip(*out) if out else ((),) * 3
+            yield pd.DataFrame({"row": b["row"], "id": b["id"], "print": b["print"], "n_sentences": n, "hash": h, "place": p})
 
     rows = docs.select(
         F.monotonically_increasing_id().alias("row"), F.col(key).cast("string").alias("id"),
@@ -95,20 +93,21 @@ def places(docs: DataFrame, key: str, text: str) -> DataFrame:
     )
     found = with_code(rows).mapInPandas(
         cut,
-        "row long, id string, print long, n_sentences int, hash array<long>, at array<int>, n array<int>, again array<boolean>",
+        "row long, id string, print long, n_sentences int, hash array<long>, place array<long>",
     )
-    zipped = F.arrays_zip("hash", "at", "n", "again")
-    return found.select("row", F.col("id").cast(kind).alias("id"), "print", "n_sentences", zipped.alias("spans"))
+    return found.withColumn("id", F.col("id").cast(kind))
 
 
 def removals(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
     """(row, id, print, n_sentences, cover, firsts): what each affected document loses, and to which ones."""
     leaf = cut_lineage(places(docs, key, text))
-    span = leaf.select("row", F.explode("spans").alias("s")).select("row", "s.hash", "s.at", "s.n", "s.again")
+    span = leaf.select("row", F.explode(F.arrays_zip("hash", "place")).alias("s")).select("row", "s.hash", "s.place")
     repeated = cut_lineage(span.groupBy("hash").agg(F.count(F.lit(1)).alias("k")).where("k > 1").select("hash"))
-    met = cut_lineage(span.join(repeated, "hash"))
-    ids = met.select("row").distinct().join(leaf.select("row", "id", "print", "n_sentences"), "row")
-    met = cut_lineage(met.join(ids, "row"))
+    met = span.join(repeated, "hash").select(
+        "row", "hash", F.shiftright("place", 24).cast("int").alias("at"),
+        (F.shiftright("place", 1) % (1 << 23)).cast("int").alias("n"), (F.col("place") % 2 == 1).alias("again"),
+    )
+    met = cut_lineage(met.join(leaf.select("row", "id", "print", "n_sentences"), "row"))
     first = met.groupBy("hash").agg(F.min(F.struct(F.col("id").isNull().alias("none"), "id", "row")).alias("first"))
     later = met.join(cut_lineage(first), "hash").where(F.col("again") | (F.col("row") != F.col("first.row")))
     return later.groupBy("row", "id", "print", "n_sentences").agg(
