@@ -49,7 +49,7 @@ LEVELS = 2
 STRAGGLERS = 2_048
 FEW_PAIRS = 256
 BLOCK = 128
-DENSE = 30_000_000  # cells of a tile's matrix; sparser tiles are intersected pair by pair
+DENSE = 10_000_000  # cells of a tile's matrix; sparser tiles are intersected pair by pair
 BITS = 22  # D = 2^BITS
 SEED = 20_240_229
 _BLOCK = 256

@@ -18,7 +18,6 @@ An empty table, or one without both clear classes, is scored by the label model
 from __future__ import annotations
 
 import math
-import operator
 import re
 from itertools import chain
 
@@ -28,7 +27,9 @@ import xxhash
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from kawara.llm.common import documents, with_code
+from kawara.llm import shingles
+from kawara.llm.common import documents, same, with_code
+from kawara.session import cut_lineage
 
 LABELLERS = 9
 SAMPLE = 2_000
@@ -36,7 +37,8 @@ BUCKETS = 4_096
 CLEAR = 0.9
 THRESHOLD = 0.5
 ROUNDS = 60
-_FORMS = 200_000
+_CACHE = 100_000
+_STOP, _MARKS = 1, 2  # flags of a word's code
 
 _SYMBOLS = b"!#$%&*@^~<>{}[]=+_\\|"
 _UPPER = bytes(range(65, 91))
@@ -50,6 +52,34 @@ STOPWORDS = frozenset(
 )
 
 
+class Codes(dict):
+    """Word -> one number: flags, the bucket of the word's form, and a hash of the word.
+
+    A form is the word's kinds of characters, repeats shortened. Emptied when full.
+    """
+
+    def __missing__(self, word: str) -> int:
+        if len(self) >= _CACHE:
+            self.clear()
+        form = re.sub(r"[^\W\d_]+", lambda m: "A" if m[0].isupper() and len(m[0]) > 1 else "a", word)
+        form = re.sub(r"\d+", "0", form)[:12]
+        bucket = xxhash.xxh32_intdigest(form.encode("utf-8", "surrogatepass")) % (BUCKETS - 2) + 2
+        flags = _STOP * (word.strip(".,;:!?").lower() in STOPWORDS) | _MARKS * (not any(map(str.isalnum, word)))
+        own = xxhash.xxh3_64_intdigest(word.encode("utf-8", "surrogatepass"))
+        value = self[word] = own >> 20 << 20 | bucket << 8 | flags
+        return value
+
+
+def codes_of(words: list[str], codes: Codes) -> np.ndarray:
+    return np.fromiter(map(codes.__getitem__, words), np.uint64, len(words))
+
+
+def repeated_triples(code: np.ndarray) -> int:
+    """Runs of three words that occurred before in the text."""
+    triples = shingles.rolling(code, 3)
+    return len(triples) - len(np.unique(triples))
+
+
 def _vote(value: float, good: float, bad: float) -> int:
     """1 on the good side of ``good``, -1 on the bad side of ``bad``, 0 between them."""
     if good < bad:
@@ -62,7 +92,7 @@ def _alarm(value: float, bad: float) -> int:
     return -1 if value >= bad else 0
 
 
-def votes(text: str | None) -> list[int]:
+def votes(text: str | None, codes: Codes) -> list[int]:
     """One vote per labeller: 1 good, -1 bad, 0 none."""
     words = (text or "").split()
     if not words:
@@ -71,15 +101,15 @@ def votes(text: str | None) -> list[int]:
     count = lambda chars: len(raw) - len(raw.translate(None, chars))
     upper, lower = count(_UPPER), count(_LOWER)
     lines = [x for x in text.split("\n") if x.strip()]
-    trigrams = len(set(zip(words, words[1:], words[2:])))
-    stop = sum(map(STOPWORDS.__contains__, (w.strip(".,;:!?").lower() for w in words))) / n
+    code = codes_of(words, codes)
+    stop = np.count_nonzero(code & np.uint64(_STOP)) / n
     marks = count(b".,;:?") / n
     return [
         _vote(count(_SYMBOLS) / len(raw), 0.01, 0.04),
         _alarm(upper / max(1, upper + lower), 0.6) if upper + lower >= 20 else 0,
-        _alarm(sum(map(operator.eq, words, words[1:])) / n, 0.2) if n >= 10 else 0,
-        _alarm(1 - trigrams / (n - 2), 0.4) if n >= 30 else 0,
-        _alarm(sum(not any(c.isalnum() for c in w) for w in words) / n, 0.1) if n >= 10 else 0,
+        _alarm(np.count_nonzero(code[1:] == code[:-1]) / n, 0.2) if n >= 10 else 0,
+        _alarm(repeated_triples(code) / (n - 2), 0.4) if n >= 30 else 0,
+        _alarm(np.count_nonzero(code & np.uint64(_MARKS)) / n, 0.1) if n >= 10 else 0,
         _alarm(abs(sum(map(len, words)) / n - 6), 7) if n >= 10 else 0,
         _vote(marks, 0.04, 0.005) if n >= 20 else 0,
         _vote(stop, 0.12, 0.03) if n >= 20 else 0,
@@ -88,7 +118,8 @@ def votes(text: str | None) -> list[int]:
 
 
 def _patterns(texts: pd.Series) -> pd.Series:
-    return pd.Series(["".join("-0+"[v + 1] for v in votes(t)) for t in texts], dtype=object)
+    codes = Codes()
+    return pd.Series(["".join("-0+"[v + 1] for v in votes(t, codes)) for t in texts], dtype=object)
 
 
 def vote_pattern(text: str) -> Column:
@@ -117,28 +148,16 @@ def label_model(patterns: list[str], counts: list[int], rounds: int = ROUNDS) ->
     return dict(zip(patterns, good.tolist()))
 
 
-class Forms(dict):
-    """Word -> bucket of its form: kinds of characters, repeats shortened, and its last marks."""
-
-    def __missing__(self, word: str) -> int:
-        if len(self) >= _FORMS:
-            self.clear()
-        form = re.sub(r"[^\W\d_]+", lambda m: "A" if m[0].isupper() and len(m[0]) > 1 else "a", word)
-        form = re.sub(r"\d+", "0", form)[:12]
-        value = self[word] = xxhash.xxh32_intdigest(form.encode("utf-8", "surrogatepass")) % (BUCKETS - 2) + 2
-        return value
-
-
-def features(text: str | None, forms: Forms) -> np.ndarray:
+def features(text: str | None, codes: Codes) -> np.ndarray:
     """Hashed counts of word forms, of words that repeat the one before them, and of repeated triples."""
     words = (text or "").split()
-    out = np.zeros(BUCKETS, np.float32)
-    if words:
-        np.add.at(out, np.fromiter(map(forms.__getitem__, words), np.int64, len(words)), 1)
-        out[0] = sum(map(operator.eq, words, words[1:]))
-        out[1] = len(words) - 2 - len(set(zip(words, words[1:], words[2:]))) if len(words) > 2 else 0
-        out = np.sqrt(out / len(words))
-    return out
+    if not words:
+        return np.zeros(BUCKETS, np.float32)
+    code = codes_of(words, codes)
+    out = np.bincount((code >> np.uint64(8) & np.uint64(BUCKETS - 1)).astype(np.int64), minlength=BUCKETS)
+    out[0] = np.count_nonzero(code[1:] == code[:-1])
+    out[1] = repeated_triples(code)
+    return np.sqrt(out / len(words)).astype(np.float32)
 
 
 def train(rows: np.ndarray, good: np.ndarray, rounds: int = 300, rate: float = 0.5, decay: float = 1e-4) -> tuple[np.ndarray, float]:
@@ -155,7 +174,9 @@ def train(rows: np.ndarray, good: np.ndarray, rounds: int = 300, rate: float = 0
 def fit(docs: DataFrame, key: str = "doc_id", text: str = "text", sample: int = SAMPLE):
     """A column function that scores texts; fitted on ``docs``."""
     with_code(docs)
-    counted = docs.select(vote_pattern(text).alias("pattern")).groupBy("pattern").agg(F.count(F.lit(1)).alias("n"))
+    id_and_print = (F.col(key).alias("id"), F.xxhash64(text).alias("print"))
+    marked = cut_lineage(docs.select(*id_and_print, vote_pattern(text).alias("pattern")))
+    counted = marked.groupBy("pattern").agg(F.count(F.lit(1)).alias("n"))
     counted = counted.orderBy("pattern").collect()  # at most 3^LABELLERS rows
     posterior = label_model([r.pattern for r in counted], [r.n for r in counted])
     clear = [[(p, float(q)) for p, q in posterior.items() if f(q)] for f in (lambda q: q >= CLEAR, lambda q: q <= 1 - CLEAR)]
@@ -164,10 +185,14 @@ def fit(docs: DataFrame, key: str = "doc_id", text: str = "text", sample: int =
         parts = []
         for side in clear:
             of = docs.sparkSession.createDataFrame(side, "pattern string, good double")
-            h = F.xxhash64(text)
-            marked = docs.select(F.col(text).alias("text"), h.alias("h"), vote_pattern(text).alias("pattern"))
-            taken = marked.join(F.broadcast(of), "pattern").orderBy("h", "text").limit(sample)
-            parts.append(taken.select("good", F.pandas_udf(_sparse, "at array<int>, value array<float>")("text").alias("x")))
+            # distinct texts of smallest hash: the sample doesn't depend on the order of rows
+            own = marked.join(F.broadcast(of), "pattern").groupBy("print").agg(F.min("id").alias("id"), F.max("good").alias("good"))
+            taken = cut_lineage(own.orderBy("print").limit(sample))
+            found = docs.select(*id_and_print, F.col(text).alias("text")).join(
+                F.broadcast(taken.select("print", F.col("id").alias("_id"), "good")), "print"
+            )
+            found = found.where(same(F.col("id"), F.col("_id")))
+            parts.append(found.select("good", F.pandas_udf(_sparse, "at array<int>, value array<float>")("text").alias("x")))
         rows = list(chain.from_iterable(p.collect() for p in parts))  # 2 * SAMPLE rows of at most BUCKETS entries
         x = np.zeros((len(rows), BUCKETS), np.float32)
         for i, r in enumerate(rows):
@@ -176,15 +201,15 @@ def fit(docs: DataFrame, key: str = "doc_id", text: str = "text", sample: int =
 
     @F.pandas_udf("double")
     def score(texts: pd.Series) -> pd.Series:
-        forms = Forms()
+        codes = Codes()
 
         def of(t: str | None) -> float:
             if not (t or "").strip():
                 return 0.0
             if weights is None:
-                pattern = "".join("-0+"[v + 1] for v in votes(t))
+                pattern = "".join("-0+"[v + 1] for v in votes(t, codes))
                 return posterior.get(pattern, 0.5)
-            return float(1 / (1 + math.exp(-max(-50.0, min(50.0, float(features(t, forms) @ weights[0]) + weights[1])))))
+            return float(1 / (1 + math.exp(-max(-50.0, min(50.0, float(features(t, codes) @ weights[0]) + weights[1])))))
 
         return pd.Series([of(t) for t in texts], dtype=float)
 
@@ -192,9 +217,9 @@ def fit(docs: DataFrame, key: str = "doc_id", text: str = "text", sample: int =
 
 
 def _sparse(texts: pd.Series) -> pd.DataFrame:
-    forms, at, value = Forms(), [], []
+    codes, at, value = Codes(), [], []
     for t in texts:
-        f = features(t, forms)
+        f = features(t, codes)
         at.append(np.flatnonzero(f).astype(np.int32))
         value.append(f[at[-1]])
     return pd.DataFrame({"at": at, "value": value})

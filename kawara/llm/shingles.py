@@ -7,7 +7,7 @@ import xxhash
 
 from kawara.llm.common import SHINGLE
 
-WORD_CACHE = 300_000
+WORD_CACHE = 100_000
 _MUL = np.uint64(0x9E3779B97F4A7C15)
 
 
