@@ -41,9 +41,8 @@ def documents_to_urls(documents: DataFrame, mapping: DataFrame, entries: DataFra
 
 
 def mapped_source_id(dataset_id, documents) -> F.Column:
-    """Dataset id with the documents that led to its extent, cut at 80 characters."""
-    joined = F.substring(F.array_join(documents, ","), 1, 80)
-    return F.concat(dataset_id, F.lit("+ksj:"), joined)
+    """Dataset id with all documents that led to its extent."""
+    return F.concat(dataset_id, F.lit("+ksj:"), F.array_join(documents, ","))
 
 
 def resolve_extents(

@@ -38,10 +38,12 @@ def bbox_count(b: DataFrame, x0: float, y0: float, x1: float, y1: float) -> Data
 
 
 def honesty_pivot(b: DataFrame, kind: str = "river_flood", deeper_than: float = 0.0) -> DataFrame:
+    """Safe means surveyed without any depth: one below ``deeper_than`` is neither safe nor at risk."""
     covered, depth = F.col(f"{kind}_covered"), F.col(f"{kind}_depth_max")
     return b.agg(
         F.count_if(covered & (depth > deeper_than)).alias("at_risk"),
-        F.count_if(covered & (F.coalesce(depth, F.lit(0.0)) <= deeper_than)).alias("surveyed_safe"),
+        F.count_if(covered & (depth > 0) & (depth <= deeper_than)).alias("shallow"),
+        F.count_if(covered & (F.coalesce(depth, F.lit(0.0)) <= 0)).alias("surveyed_safe"),
         F.count_if(~covered).alias("unknown"),
     )
 

@@ -213,7 +213,8 @@ def _pivot(kind: str, limit: str) -> str:
     c, d = f"{kind}_covered", f"{kind}_depth_max"
     return _from_built(
         f"SELECT COUNT(*) FILTER (WHERE {c} AND {d} > {limit}) AS at_risk,"
-        f" COUNT(*) FILTER (WHERE {c} AND COALESCE({d}, 0) <= {limit}) AS surveyed_safe,"
+        f" COUNT(*) FILTER (WHERE {c} AND {d} > 0 AND {d} <= {limit}) AS shallow,"
+        f" COUNT(*) FILTER (WHERE {c} AND COALESCE({d}, 0) <= 0) AS surveyed_safe,"
         f" COUNT(*) FILTER (WHERE NOT {c}) AS unknown FROM built",
         [kind],
     )

@@ -37,45 +37,54 @@ def _normalised(path) -> F.Column:
     )
 
 
-def flatten_tileset(files: DataFrame, root: str = "tileset.json", max_levels: int = 200) -> DataFrame:
+def flatten_tileset(files: DataFrame, root: str = "tileset.json") -> DataFrame:
     """(uri, walk) from (path, value) of all JSON files; ``walk`` sorts leaves in tree order.
 
     External tilesets are followed through their file; uris are relative to the root file.
-    Each step of the loop takes one level of all trees at once.
+    Each step of the loop takes one level of all trees at once, until none is left. A file that
+    leads back to itself is an error.
     """
     trees = cut_lineage(files.select("path", F.try_parse_json("value").alias("doc")))
     roots = trees.select(
         F.col("path").alias("_file"), F.try_variant_get("doc", "$.root", "variant").alias("_root")
     )
     nodes = roots.where(F.col("_file") == root).select(
-        F.lit("").alias("base"), F.col("_root").alias("node"), F.array().cast("array<int>").alias("walk")
-    )
+        F.lit("").alias("base"), F.col("_root").alias("node"), F.array().cast("array<int>").alias("walk"),
+        F.array("_file").alias("above"),
+    )
     leaves = None
-    for _ in range(max_levels):
+    while True:
         nodes = cut_lineage(nodes)
         if nodes.isEmpty():
             break
         uri = F.try_variant_get("node", "$.content.uri", "string")
-        content = nodes.select("base", "walk", uri.alias("u")).where("u IS NOT NULL")
+        content = nodes.select("base", "walk", "above", uri.alias("u")).where("u IS NOT NULL")
         full = _normalised(F.concat("base", "u"))
         found = content.where(~F.col("u").endswith(".json")).select(full.alias("uri"), "walk")
         leaves = found if leaves is None else leaves.unionByName(found)
         # an external tileset comes before the node's own children
         external = (
             content.where(F.col("u").endswith(".json"))
-            .select(full.alias("_file"), F.array_append("walk", F.lit(0)).alias("walk"))
-            .join(roots, "_file")
+            .select(full.alias("_file"), F.array_append("walk", F.lit(0)).alias("walk"), "above")
+        )
+        cyclic = external.where(F.array_contains("above", F.col("_file")))
+        if not cyclic.isEmpty():
+            raise ValueError(f"a tileset leads back to itself: {cyclic.first()['_file']}")
+        external = (
+            external.join(roots, "_file")
             .select(
                 F.regexp_extract("_file", r"^(.*/)?[^/]*$", 1).alias("base"),
                 F.col("_root").alias("node"),
                 "walk",
+                F.array_append("above", F.col("_file")).alias("above"),
             )
         )
         children = nodes.select(
             "base",
             "walk",
+            "above",
             F.posexplode(F.try_variant_get("node", "$.children", "array<variant>")).alias("i", "node"),
-        ).select("base", "node", F.array_append("walk", F.col("i") + 1).alias("walk"))
+        ).select("base", "node", F.array_append("walk", F.col("i") + 1).alias("walk"), "above")
         nodes = external.unionByName(children)
     if leaves is None:
         raise FileNotFoundError(f"no {root} among the files")
