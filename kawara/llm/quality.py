@@ -19,6 +19,7 @@ from __future__ import annotations
 
 import math
 import re
+from collections.abc import Iterator
 from itertools import chain
 
 import numpy as np
@@ -39,6 +40,8 @@ THRESHOLD = 0.5
 ROUNDS = 60
 _CACHE = 100_000
 _STOP, _MARKS = 1, 2  # flags of a word's code
+_ENDS = ".,;:!?"
+_LETTERS, _DIGITS = re.compile(r"[^\W\d_]+"), re.compile(r"\d+")
 
 _SYMBOLS = b"!#$%&*@^~<>{}[]=+_\\|"
 _UPPER = bytes(range(65, 91))
@@ -52,21 +55,45 @@ STOPWORDS = frozenset(
 )
 
 
+def form_of(word: str) -> str:
+    """The word's kinds of characters, repeats shortened."""
+    body = word.rstrip(_ENDS)
+    if body.isalpha():  # most words: no need for the patterns below
+        return (("A" if len(body) > 1 and body.isupper() else "a") + word[len(body) :])[:12]
+    form = _LETTERS.sub(lambda m: "A" if m[0].isupper() and len(m[0]) > 1 else "a", word)
+    return _DIGITS.sub("0", form)[:12]
+
+
+class Forms(dict):
+    """Form -> the bits of its bucket; emptied when full."""
+
+    def __missing__(self, form: str) -> int:
+        if len(self) >= _CACHE:
+            self.clear()
+        bucket = xxhash.xxh32_intdigest(form.encode("utf-8", "surrogatepass")) % (BUCKETS - 2) + 2
+        value = self[form] = bucket << 8
+        return value
+
+
 class Codes(dict):
     """Word -> one number: flags, the bucket of the word's form, and a hash of the word.
 
-    A form is the word's kinds of characters, repeats shortened. Emptied when full.
+    Emptied when full, so its size is bounded.
     """
 
+    def __init__(self):
+        self.forms = Forms()
+
     def __missing__(self, word: str) -> int:
         if len(self) >= _CACHE:
             self.clear()
-        form = re.sub(r"[^\W\d_]+", lambda m: "A" if m[0].isupper() and len(m[0]) > 1 else "a", word)
-        form = re.sub(r"\d+", "0", form)[:12]
-        bucket = xxhash.xxh32_intdigest(form.encode("utf-8", "surrogatepass")) % (BUCKETS - 2) + 2
-        flags = _STOP * (word.strip(".,;:!?").lower() in STOPWORDS) | _MARKS * (not any(map(str.isalnum, word)))
+        code = self.forms[form_of(word)]
+        if word.strip(_ENDS).lower() in STOPWORDS:
+            code |= _STOP
+        if not (word[0].isalnum() or any(map(str.isalnum, word))):
+            code |= _MARKS
         own = xxhash.xxh3_64_intdigest(word.encode("utf-8", "surrogatepass"))
-        value = self[word] = own >> 20 << 20 | bucket << 8 | flags
+        value = self[word] = own >> 20 << 20 | code
         return value
 
 
@@ -95,13 +122,16 @@ def _alarm(value: float, bad: float) -> int:
 def votes(text: str | None, codes: Codes) -> list[int]:
     """One vote per labeller: 1 good, -1 bad, 0 none."""
     words = (text or "").split()
+    return votes_of(text, words, codes_of(words, codes))
+
+
+def votes_of(text: str | None, words: list[str], code: np.ndarray) -> list[int]:
     if not words:
         return [-1] * LABELLERS
     n, raw = len(words), text.encode("utf-8", "surrogatepass")
     count = lambda chars: len(raw) - len(raw.translate(None, chars))
     upper, lower = count(_UPPER), count(_LOWER)
     lines = [x for x in text.split("\n") if x.strip()]
-    code = codes_of(words, codes)
     stop = np.count_nonzero(code & np.uint64(_STOP)) / n
     marks = count(b".,;:?") / n
     return [
@@ -117,14 +147,19 @@ def votes(text: str | None, codes: Codes) -> list[int]:
     ]
 
 
-def _patterns(texts: pd.Series) -> pd.Series:
+def _pattern(votes: list[int]) -> str:
+    return "".join("-0+"[v + 1] for v in votes)
+
+
+def _patterns(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
     codes = Codes()
-    return pd.Series(["".join("-0+"[v + 1] for v in votes(t, codes)) for t in texts], dtype=object)
+    for texts in batches:
+        yield pd.Series([_pattern(votes(t, codes)) for t in texts], dtype=object)
 
 
 def vote_pattern(text: str) -> Column:
     """The votes as text, one character per labeller: ``-``, ``0`` or ``+``."""
-    return F.pandas_udf(_patterns, "string")(F.col(text))
+    return F.pandas_udf(_patterns, "string", F.PandasUDFType.SCALAR_ITER)(F.col(text))
 
 
 def label_model(patterns: list[str], counts: list[int], rounds: int = ROUNDS) -> dict[str, float]:
@@ -150,14 +185,16 @@ def label_model(patterns: list[str], counts: list[int], rounds: int = ROUNDS) ->
 
 def features(text: str | None, codes: Codes) -> np.ndarray:
     """Hashed counts of word forms, of words that repeat the one before them, and of repeated triples."""
-    words = (text or "").split()
-    if not words:
+    return features_of(codes_of((text or "").split(), codes))
+
+
+def features_of(code: np.ndarray) -> np.ndarray:
+    if not len(code):
         return np.zeros(BUCKETS, np.float32)
-    code = codes_of(words, codes)
     out = np.bincount((code >> np.uint64(8) & np.uint64(BUCKETS - 1)).astype(np.int64), minlength=BUCKETS)
     out[0] = np.count_nonzero(code[1:] == code[:-1])
     out[1] = repeated_triples(code)
-    return np.sqrt(out / len(words)).astype(np.float32)
+    return np.sqrt(out / len(code)).astype(np.float32)
 
 
 def train(rows: np.ndarray, good: np.ndarray, rounds: int = 300, rate: float = 0.5, decay: float = 1e-4) -> tuple[np.ndarray, float]:
@@ -172,7 +209,7 @@ def train(rows: np.ndarray, good: np.ndarray, rounds: int = 300, rate: float = 0
 
 
 def fit(docs: DataFrame, key: str = "doc_id", text: str = "text", sample: int = SAMPLE):
-    """A column function that scores texts; fitted on ``docs``."""
+    """A column function that gives (votes, score) of texts; fitted on ``docs``."""
     with_code(docs)
     id_and_print = (F.col(key).alias("id"), F.xxhash64(text).alias("print"))
     marked = cut_lineage(docs.select(*id_and_print, vote_pattern(text).alias("pattern")))
@@ -199,21 +236,24 @@ def fit(docs: DataFrame, key: str = "doc_id", text: str = "text", sample: int =
             x[i, r.x.at] = r.x.value
         weights = train(x, np.array([r.good for r in rows], np.float32))
 
-    @F.pandas_udf("double")
-    def score(texts: pd.Series) -> pd.Series:
+    def judge(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
         codes = Codes()
 
-        def of(t: str | None) -> float:
-            if not (t or "").strip():
-                return 0.0
+        def of(text: str | None) -> tuple[str, float]:
+            words = (text or "").split()
+            code = codes_of(words, codes)
+            pattern = _pattern(votes_of(text, words, code))
+            if not words:
+                return pattern, 0.0
             if weights is None:
-                pattern = "".join("-0+"[v + 1] for v in votes(t, codes))
-                return posterior.get(pattern, 0.5)
-            return float(1 / (1 + math.exp(-max(-50.0, min(50.0, float(features(t, codes) @ weights[0]) + weights[1])))))
+                return pattern, posterior.get(pattern, 0.5)
+            odds = float(features_of(code) @ weights[0]) + weights[1]
+            return pattern, 1 / (1 + math.exp(-max(-50.0, min(50.0, odds))))
 
-        return pd.Series([of(t) for t in texts], dtype=float)
+        for texts in batches:
+            yield pd.DataFrame([of(t) for t in texts], columns=["votes", "score"])
 
-    return score
+    return F.pandas_udf(judge, "votes string, score double", F.PandasUDFType.SCALAR_ITER)
 
 
 def _sparse(texts: pd.Series) -> pd.DataFrame:
@@ -227,15 +267,14 @@ def _sparse(texts: pd.Series) -> pd.DataFrame:
 
 def classify(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
     """Key, votes of the labellers, score and whether the document stays."""
-    score = fit(docs, key, text)
-    out = docs.select(F.col(key), vote_pattern(text).alias("votes"), score(text).alias("score"))
+    judged = docs.select(F.col(key), fit(docs, key, text)(text).alias("_j"))
+    out = judged.select(F.col(key), F.col("_j.votes").alias("votes"), F.col("_j.score").alias("score"))
     return out.withColumn("kept", F.col("score") >= THRESHOLD)
 
 
 def accepted(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
     """The rows of ``docs`` that the classifier keeps, all columns."""
-    score = fit(docs, key, text)
-    return docs.where(score(text) >= THRESHOLD)
+    return docs.where(fit(docs, key, text)(text)["score"] >= THRESHOLD)
 
 
 def op7_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
