@@ -14,6 +14,9 @@ from pyspark.sql import DataFrame, SparkSession
 from kawara.llm import exact_dedup, mixing, near_dedup, packing, quality
 from kawara.session import shared_folder
 
+#: Shared share of five-word shingles, in percent, from which documents are near duplicates.
+NEAR_PERCENT = 80
+
 
 def quality_classifier(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return quality.accepted(docs)
@@ -24,7 +27,7 @@ def exact_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    return near_dedup.deduplicate(docs)
+    return near_dedup.deduplicate(docs, percent=NEAR_PERCENT)
 
 
 def source_mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -6,7 +6,7 @@
 for all coordinates lie side by side in ``pi``, so a signature is a minimum over rows of a table.
 
 **Recall.** ``BANDS`` bands of ``ROWS`` coordinates: a pair at the threshold of 0.85 shares no band
-with probability (1 - 0.85^6)^40 = 6e-9, and less above it. Nothing else can lose a link.
+with probability (1 - 0.85^6)^40 = 6e-9, one at 0.80 with 5e-6, and less above it. Nothing else can lose a link.
 
 **Crowded buckets.** Equal sets are one node. A bucket first pairs its members with its smallest
 one only. Where that leaves members in several components, every member outside the largest

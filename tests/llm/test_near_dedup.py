@@ -21,7 +21,7 @@ def shingle_set(t, k=5):
     return {tuple(w[i : i + k]) for i in range(len(w) - k + 1)}
 
 
-def brute(rows):
+def brute(rows, percent=85):
     sets = [shingle_set(t) for _, t, *_ in rows]
     root = list(range(len(rows)))
 
@@ -34,7 +34,7 @@ def brute(rows):
         for j in range(i):
             if sets[i] and sets[j]:
                 both = len(sets[i] & sets[j])
-                if 100 * both >= 85 * (len(sets[i]) + len(sets[j]) - both):
+                if 100 * both >= percent * (len(sets[i]) + len(sets[j]) - both):
                     root[find(i)] = find(j)
     comp = {}
     for i, r in enumerate(rows):
