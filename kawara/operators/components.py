@@ -47,15 +47,20 @@ def _state(edges: DataFrame) -> tuple:
     )
 
 
-def connected_components(links: DataFrame, max_rounds: int = 60) -> DataFrame:
-    """(node, root): every linked node with the smallest node of its component."""
+def connected_components(links: DataFrame, max_rounds: int | None = None) -> DataFrame:
+    """(node, root): every linked node with the smallest node of its component.
+
+    Runs until nothing changes; with ``max_rounds``, fails where that takes more rounds.
+    """
     edges = cut_lineage(
         links.where(F.col("a") != F.col("b"))
         .select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v"))
         .distinct()
     )
     state = _state(edges)
-    for _ in range(max_rounds):
+    rounds = 0
+    while max_rounds is None or rounds < max_rounds:
+        rounds += 1
         edges = cut_lineage(_small_star(_large_star(edges, state[0]), state[0]))
         before, state = state, _state(edges)
         if state == before:
