@@ -24,7 +24,9 @@ def _local_edges(polys: DataFrame, key: str, cell: float) -> tuple[DataFrame, Da
     """(bases, edges) of every polygon and cell, settled cells reduced to one base row."""
     at = [key, "cx", "cy"]
     # used many times below: computed once
-    rows = cut_lineage(spatial.polygon_cells(polys, [key, *_TAG], cell))
+    rows = spatial.polygon_cells(polys, [key, *_TAG], cell)
+    # copies of a polygon would cancel each other out
+    rows = cut_lineage(rows.dropDuplicates([*at, *_TAG, "_block"]).drop("_block"))
     state = rows.groupBy(*at, *_TAG).agg(
         F.sum("base").alias("base"), F.sum(F.size("edges")).alias("n_edges")
     )
@@ -50,12 +52,15 @@ def containment_ratio(
     """(key, hazard_area, contained_area, ratio) per dataset.
 
     Both areas are of unions: overlapping polygons count once. A dataset without hazard area
-    gets no row.
+    gets no row. Ids need not be unique: polygons of one id count as separate polygons.
     """
 
     def tagged(df, role):
         return df.select(
-            key, F.lit(role).alias("role"), F.col(poly_id).cast("string").alias("pid"), "edges"
+            key,
+            F.lit(role).alias("role"),
+            F.concat_ws(":", F.col(poly_id).cast("string"), F.xxhash64("edges")).alias("pid"),
+            "edges",
         )
 
     wanted = tagged(hazards, "hazard")

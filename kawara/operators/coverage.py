@@ -244,18 +244,23 @@ def clip_to_boundary(
     key: str = "gml_id",
     large: bool = True,
 ) -> DataFrame:
-    """Buildings whose footprint meets a city, once per such city, with its ``city_code``."""
+    """Buildings whose footprint meets a city, once per such city, with its ``city_code``.
+
+    Ids need not be unique: a footprint is known by its id and a hash of its edges.
+    """
+    shape = F.xxhash64("edges")
     pairs = spatial.intersecting_pairs(
-        buildings.select(key, "edges"),
+        buildings.select(key, shape.alias("_shape_of"), "edges"),
         admin.select("city_code", "edges", F.col("city_code").alias("_city")),
         cell=cell,
-        left_cols=[key],
+        left_cols=[key, "_shape_of"],
         right_cols=["city_code"],
         left_id=key,
         right_id="_city",
         large=large,
     )
-    return buildings.drop("city_code").join(pairs, key)
+    own = buildings.drop("city_code").withColumn("_shape_of", shape)
+    return own.join(pairs, [key, "_shape_of"]).drop("_shape_of")
 
 
 def bbox_overlap(df: DataFrame, x0: float, y0: float, x1: float, y1: float) -> DataFrame:

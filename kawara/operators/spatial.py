@@ -86,11 +86,18 @@ def _small_cells(polys: DataFrame, ids: list[str], size: float, edges: str) -> D
 
 
 def _edge_rows(polys: DataFrame, ids: list[str], size: float, edges: str) -> DataFrame:
-    """One row per edge of the larger polygons and grid row it passes."""
+    """One row per edge of the larger polygons and grid row it passes.
+
+    ``_shape``, a hash of the edges, keeps polygons of equal ids apart.
+    """
     e = F.col("e")
-    long = polys.where(F.size(edges) > CHUNK).select(*ids, F.posexplode(edges).alias("_seq", "e"))
+    long = polys.where(F.size(edges) > CHUNK).select(
+        *ids, F.xxhash64(edges).alias("_shape"), F.posexplode(edges).alias("_seq", "e")
+    )
     return long.select(
         *ids,
+        "_shape",
+        "_seq",
         F.floor(F.col("_seq") / CHUNK).alias("_block"),
         "e",
         F.explode(
@@ -102,8 +109,12 @@ def _edge_rows(polys: DataFrame, ids: list[str], size: float, edges: str) -> Dat
 
 
 def _large_cells(polys: DataFrame, ids: list[str], size: float, edges: str) -> DataFrame:
-    """Cell rows of polygons with many edges: edge blocks, plus edge-free base rows."""
+    """Cell rows of polygons with many edges: edge blocks, plus edge-free base rows.
+
+    Exact copies of a polygon become one: an edge counts once per place in its polygon.
+    """
     rows = _edge_rows(polys, ids, size, edges)
+    ids = [*ids, "_shape"]
     e, cy = F.col("e"), F.col("cy")
 
     # the x range of the edge inside this grid row
@@ -116,6 +127,7 @@ def _large_cells(polys: DataFrame, ids: list[str], size: float, edges: str) -> D
         rows.select(
             *ids,
             "_block",
+            "_seq",
             "e",
             "cy",
             F.explode(
@@ -123,7 +135,7 @@ def _large_cells(polys: DataFrame, ids: list[str], size: float, edges: str) -> D
             ).alias("cx"),
         )
         .groupBy(*ids, "cx", "cy", "_block")
-        .agg(F.collect_list("e").alias("edges"))
+        .agg(F.collect_set(F.struct("_seq", "e")).getField("e").alias("edges"))
         .withColumn("base", F.lit(0))
     )
 
@@ -132,7 +144,7 @@ def _large_cells(polys: DataFrame, ids: list[str], size: float, edges: str) -> D
     crossings = (
         rows.where((e["y1"] > mid) != (e["y2"] > mid))
         .groupBy(*ids, "cy", _cell(_x_on(e, mid), size).alias("cx"))
-        .agg(F.count(F.lit(1)).alias("_n"))
+        .agg(F.count_distinct("_seq").alias("_n"))
         .where(F.col("_n") % 2 == 1)
     )
     w = Window.partitionBy(*ids, "cy").orderBy("cx")
@@ -170,9 +182,12 @@ def _clamped_x(e: Column, y: Column) -> Column:
 def polygon_cells(
     polys: DataFrame, ids: list[str], cell: float, edges: str = "edges"
 ) -> DataFrame:
-    """Grid rows (ids, cx, cy, base, edges) of all polygons, small and large."""
-    small = _small_cells(polys, ids, cell, edges)
-    large = _large_cells(polys, ids, cell, edges).drop("_block")
+    """Grid rows (ids, _block, cx, cy, base, edges) of all polygons, small and large.
+
+    ``_block`` tells the rows of one large polygon and cell apart; it is -2 for small polygons.
+    """
+    small = _small_cells(polys, ids, cell, edges).withColumn("_block", F.lit(-2).cast("bigint"))
+    large = _large_cells(polys, ids, cell, edges).drop("_shape")
     return small.unionByName(large.withColumn("base", F.col("base").cast("int")))
 
 
@@ -209,6 +224,9 @@ def points_in_polygons(
     ``large=False`` states that no polygon has more than ``CHUNK`` edges; it is checked while
     running. Hot cells are salted, so one crowded cell does not become one task; a caller that
     knows them already hands them in.
+
+    Ids need not be unique: polygons of one id count as separate polygons. Of exact copies of a
+    large polygon one counts.
     """
     ids = list(dict.fromkeys([poly_id, *poly_cols]))
     pts = points.select(
@@ -239,7 +257,7 @@ def points_in_polygons(
 
     m, f, keys = skew.salted(pts, _large_cells(polys, ids, cell, edges), ["cx", "cy"], own, hot)
     # all rows of one point and polygon meet in one cell, so these aggregates need no shuffle
-    one = [*keys, *own, *ids]
+    one = [*keys, *own, *ids, "_shape"]
     per_block = (
         m.join(f, keys)
         .select(

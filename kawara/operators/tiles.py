@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -19,27 +21,32 @@ def placements_from_id_lists(tiles: DataFrame) -> DataFrame:
     )
 
 
-def canonical_tile_keys(placements: DataFrame, walk: str = "walk") -> DataFrame:
-    """(gml_id, tile_content_uri, tile_feature_id): deepest level, first in walk order on ties."""
+def canonical_tile_keys(placements: DataFrame, walk: str = "walk", by: Sequence[str] = ()) -> DataFrame:
+    """(by, gml_id, tile_content_uri, tile_feature_id): deepest level, first in walk order on ties.
+
+    ``by`` names the columns of a tileset (such as its city) in runs over several of them.
+    """
     order = F.struct(-ids.lod_of(F.col("tile_content_uri")), F.col(walk), F.col("tile_feature_id"))
     return (
-        placements.groupBy("gml_id")
+        placements.groupBy(*by, "gml_id")
         .agg(F.min_by(F.struct("tile_content_uri", "tile_feature_id"), order).alias("k"))
-        .select("gml_id", "k.*")
+        .select(*by, "gml_id", "k.*")
     )
 
 
-def attach_tile_keys(buildings: DataFrame, placements: DataFrame, walk: str = "walk") -> DataFrame:
+def attach_tile_keys(
+    buildings: DataFrame, placements: DataFrame, walk: str = "walk", by: Sequence[str] = ()
+) -> DataFrame:
     """Buildings with their canonical tile key; NULL where no tile shows them."""
-    keys = canonical_tile_keys(placements, walk)
-    return buildings.drop("tile_content_uri", "tile_feature_id").join(keys, "gml_id", "left")
+    keys = canonical_tile_keys(placements, walk, by)
+    return buildings.drop("tile_content_uri", "tile_feature_id").join(keys, [*by, "gml_id"], "left")
 
 
-def style_rows(placements: DataFrame, buildings: DataFrame) -> DataFrame:
+def style_rows(placements: DataFrame, buildings: DataFrame, by: Sequence[str] = ()) -> DataFrame:
     """Attributes on every placement (all levels), restricted to the style columns."""
-    cols = [c for c in model.STYLE_COLUMNS if c in buildings.columns and c != "tile_feature_id"]
-    return placements.select("gml_id", "tile_content_uri", "tile_feature_id").join(
-        buildings.select("gml_id", *cols), "gml_id"
+    cols = [c for c in model.STYLE_COLUMNS if c in buildings.columns and c not in ("tile_feature_id", *by)]
+    return placements.select(*by, "gml_id", "tile_content_uri", "tile_feature_id").join(
+        buildings.select(*by, "gml_id", *cols), [*by, "gml_id"]
     ).drop("gml_id")
 
 
@@ -66,49 +73,56 @@ def tiles_without_rows(contents: DataFrame, rows: DataFrame) -> DataFrame:
     )
 
 
-def feature_heights(vertices: DataFrame, placements: DataFrame) -> DataFrame:
-    """(tile_content_uri, gml_id, height_m) from vertex heights.
+def feature_heights(vertices: DataFrame, placements: DataFrame, by: Sequence[str] = ()) -> DataFrame:
+    """(by, tile_content_uri, gml_id, height_m) from vertex heights.
 
     ``vertices``: uri, feature_id (as stored, a float), y. Feature ids are rounded; those
     without an id in the tile's list, and flat features, fall away.
     """
     spans = (
         vertices.select(
+            *by,
             F.col("uri").alias("tile_content_uri"),
             F.rint("feature_id").cast("int").alias("tile_feature_id"),
             "y",
         )
-        .groupBy("tile_content_uri", "tile_feature_id")
+        .groupBy(*by, "tile_content_uri", "tile_feature_id")
         .agg((F.max("y") - F.min("y")).alias("h"))
         .where("h > 0")
     )
     return (
         spans.join(
-            placements.select("tile_content_uri", "tile_feature_id", "gml_id"),
-            ["tile_content_uri", "tile_feature_id"],
+            placements.select(*by, "tile_content_uri", "tile_feature_id", "gml_id"),
+            [*by, "tile_content_uri", "tile_feature_id"],
         )
-        .groupBy("tile_content_uri", "gml_id")
+        .groupBy(*by, "tile_content_uri", "gml_id")
         .agg(F.max("h").alias("height_m"))
     )
 
 
-def mesh_heights(vertices: DataFrame, placements: DataFrame, contents: DataFrame) -> DataFrame:
-    """(gml_id, mesh_height) over the tiles of the deepest level only."""
-    deepest = contents.agg(F.max(ids.lod_of(F.col("uri")))).scalar()
+def mesh_heights(
+    vertices: DataFrame, placements: DataFrame, contents: DataFrame, by: Sequence[str] = ()
+) -> DataFrame:
+    """(by, gml_id, mesh_height) over the tiles of each tileset's deepest level only."""
     lod = ids.lod_of(F.col("uri"))
-    leaf = vertices.where((lod == deepest) & (lod >= 0))
+    leaf = vertices.where(lod >= 0)
+    if by:
+        deepest = contents.groupBy(*by).agg(F.max(lod).alias("_deepest"))
+        leaf = leaf.join(deepest, [*by]).where(lod == F.col("_deepest")).drop("_deepest")
+    else:
+        leaf = leaf.where(lod == contents.agg(F.max(lod)).scalar())
     return (
-        feature_heights(leaf, placements)
-        .groupBy("gml_id")
+        feature_heights(leaf, placements, by)
+        .groupBy(*by, "gml_id")
         .agg(F.max("height_m").cast("float").alias("mesh_height"))
     )
 
 
-def backfill_heights(buildings: DataFrame, heights: DataFrame) -> DataFrame:
+def backfill_heights(buildings: DataFrame, heights: DataFrame, by: Sequence[str] = ()) -> DataFrame:
     """Height: measured, else from the mesh, else the footprint default; says which in
     ``height_source``."""
     missing = F.col("height").isNull()
-    out = buildings.join(heights, "gml_id", "left")
+    out = buildings.join(heights, [*by, "gml_id"], "left")
     return (
         out.withColumn(
             "height_source",

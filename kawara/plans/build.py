@@ -5,6 +5,8 @@ Each stage is a lazy plan; results are written by the caller (``sinks.tables``).
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -89,15 +91,18 @@ def add_tiles(
     eps: float = model.TOUCH_EPS_M,
     cell: float = 40.0,
     project: bool = True,
+    by: Sequence[str] = (),
 ) -> DataFrame:
     """Canonical tile keys, heights for buildings without a measured one, complexes.
 
+    ``by`` names the columns that tell several tilesets apart, such as ``city_code``.
+
     Heights are back-filled only where tiles were given, so a footprint default never
     stands in for a tileset that is not there.
     """
-    df = tiles.attach_tile_keys(buildings, placements)
+    df = tiles.attach_tile_keys(buildings, placements, by=by)
     if vertices is not None and contents is not None:
-        df = tiles.backfill_heights(df, tiles.mesh_heights(vertices, placements, contents))
+        df = tiles.backfill_heights(df, tiles.mesh_heights(vertices, placements, contents, by), by)
     return components.building_complexes(df, eps=eps, cell=cell, project=project)
 
 

@@ -164,3 +164,12 @@ def test_tiles_then_zoning_keep_each_others_columns(make):
     assert (got["a"].tile_content_uri, got["a"].tile_feature_id, got["a"].height_source) == ("18/y.glb", 4, "measured")
     assert (got["b"].height, got["b"].height_source) == (7.0, "geometric")
     assert got["a"].zoning_use == "living" and got["a"].complex_uid.endswith("/a")
+
+
+def test_clip_tells_footprints_of_one_id_apart(make):
+    city = make([("c1", shapes.box(0, 0, 1, 1))], f"city_code string, edges {shapes.EDGES}")
+    rows = [("a", 1, shapes.box(0.2, 0.2, 0.4, 0.4)), ("a", 2, shapes.box(50, 50, 51, 51)), ("b", 3, shapes.box(60, 60, 61, 61))]
+    b = make(rows, f"gml_id string, no int, edges {shapes.EDGES}")
+    got = coverage.clip_to_boundary(b, city, cell=0.5)
+    assert [(r.gml_id, r.no, r.city_code) for r in got.collect()] == [("a", 1, "c1")]
+    assert set(got.columns) == {*b.columns, "city_code"}

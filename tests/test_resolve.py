@@ -1,3 +1,4 @@
+import math
 import random
 
 import pytest
@@ -123,3 +124,15 @@ def test_documents_map_to_urls_of_the_same_hazard(make):
         ("d1", "u1", names),
         ("d1", "u2", names),
     ]
+
+
+def test_polygons_of_one_id_do_not_cancel_out(make):
+    square = shapes.box(0, 0, 4, 4)
+    round_ = shapes.ring([(10 + 3 * math.cos(k / 25 * math.pi), 10 + 3 * math.sin(k / 25 * math.pi)) for k in range(50)])
+    many = shapes.star(10, 10, 3, 200, random.Random(5))
+    for shape in (square, round_, many):
+        haz = [("d", "h", shape)] * 2
+        ext = [("d", "e", shape), ("d", "e", shapes.box(0, 0, 20, 20)), ("d", "e", shape)]
+        for cell in (1.7, 30.0):
+            assert _ratio(make, ext, haz, cell)["d"][2] == pytest.approx(1.0)
+            assert _ratio(make, ext[:1], haz, cell)["d"][2] == pytest.approx(1.0)

@@ -110,3 +110,16 @@ def test_intersecting_pairs_match_brute_force(make):
     want = {(l, r) for l, le in left for r, re_ in right if shapes.distance(le, re_) == 0.0}
     assert ("touch", "edge") in want and ("in_hole", "ring") not in want
     assert len(rows) == len(set(rows)) and set(rows) == want
+
+
+def test_polygons_of_one_id_count_apart(make):
+    """Small and large ones, twice over: equal ids must not cancel each other out."""
+    rng = random.Random(11)
+    points = _points(rng, 400, 0, 20)
+    for n in (9, 300):
+        a, b = shapes.star(10, 10, 9, n, rng), shapes.star(10, 10, 9, n, rng)
+        pts = make(points, "pid string, px double, py double")
+        pol = make([("same", a), ("same", b), ("same", b)], f"poly_id string, edges {shapes.EDGES}")
+        got = spatial.points_in_polygons(pts, pol, cell=1.5, point_cols=["pid"], poly_cols=["poly_id"])
+        expected = _expected(points, [("same", a), ("same", b)])
+        assert {(r.pid, r.poly_id) for r in got.collect()} == expected

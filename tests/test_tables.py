@@ -177,7 +177,10 @@ def test_analytics_on_small_table(spark):
     assert analytics.filter_by_attrs(t).first().n == 1
     assert [tuple(r) for r in analytics.decade_histogram(t).collect()] == [(1970, 1), (1990, 1)]
     assert analytics.at_risk_count(t).first().n == 1
-    assert tuple(analytics.honesty_pivot(t).first()) == (1, 2, 1)
+    pivot = {"at_risk": 1, "shallow": 0, "surveyed_safe": 2, "unknown": 1}
+    assert analytics.honesty_pivot(t).first().asDict() == pivot
+    # a known depth below the limit is not safe
+    assert analytics.honesty_pivot(t, deeper_than=100.0).first().asDict() == pivot | {"at_risk": 0, "shallow": 1}
     assert analytics.bbox_count(t, 0.5, 0.5, 1, 1).first().n == 4
     assert [r.building_uid for r in analytics.deepest(t).collect()] == ["u1", "u3"]
     assert len(analytics.centroid_table(t, 2).collect()) == 2
@@ -250,3 +253,18 @@ def test_public_schema(spark):
     for f in model.BUILDINGS_SCHEMA.fields:
         if f.name in out.columns:
             assert out.schema[f.name].dataType == f.dataType
+
+
+def test_each_tileset_has_its_own_deepest_level(make):
+    places = make(
+        [("x", "A", "18/a.glb", 0, ""), ("x", "A", "15/c.glb", 0, ""), ("y", "A", "16/a.glb", 0, "")], "city_code string, " + PLACES
+    )
+    v = [("x", "18/a.glb", 0.0, 0.0), ("x", "18/a.glb", 0.0, 9.0), ("x", "15/c.glb", 0.0, 0.0), ("x", "15/c.glb", 0.0, 90.0)]
+    v += [("y", "16/a.glb", 0.0, 0.0), ("y", "16/a.glb", 0.0, 7.0)]
+    contents = make([("x", "18/a.glb"), ("x", "15/c.glb"), ("y", "16/a.glb")], "city_code string, uri string")
+    by = ["city_code"]
+    got = tiles.mesh_heights(make(v, "city_code string, uri string, feature_id double, y double"), places, contents, by)
+    assert {(r.city_code, r.gml_id): r.mesh_height for r in got.collect()} == {("x", "A"): 9.0, ("y", "A"): 7.0}
+    b = make([("x", "A"), ("y", "A"), ("z", "A")], "city_code string, gml_id string")
+    keyed = tiles.attach_tile_keys(b, places, by=by)
+    assert {r.city_code: r.tile_content_uri for r in keyed.collect()} == {"x": "18/a.glb", "y": "16/a.glb", "z": None}
