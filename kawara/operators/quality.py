@@ -66,7 +66,7 @@ def confidence_breakdown(stats: DataFrame) -> DataFrame:
     )
 
 
-def duplicate_uids(df: DataFrame, limit: int | None = 5) -> DataFrame:
+def duplicate_uids(df: DataFrame, limit: int | None = None) -> DataFrame:
     dup = df.groupBy("building_uid").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
     return dup if limit is None else dup.orderBy(F.desc("n"), "building_uid").limit(limit)
 

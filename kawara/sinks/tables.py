@@ -150,8 +150,11 @@ def manifest(
     """(value): the manifest as one JSON text.
 
     ``entries`` are the catalog entries of one city and year. Counts, statistics and fill
-    rates are aggregates; only their single rows meet here.
+    rates are aggregates; only their single rows meet here. Of several entries of one dataset the
+    one of the latest year counts, then of the greatest url.
     """
+    latest = F.max_by(F.struct("city_code", "city_name", "dataset_year", "year", "url", "coverage_extent_url"), F.struct("year", "url", "coverage_extent_url"))
+    entries = entries.groupBy("dataset_id").agg(latest.alias("e")).select("dataset_id", "e.*")
     head = entries.agg(
         F.first("city_code").alias("city_code"),
         F.first("city_name").alias("city_name"),

@@ -245,6 +245,13 @@ def test_manifest(spark, tmp_path, make):
     assert flood["coverage_confidence_breakdown"] == {"inundation_bounded": 1}
 
 
+def test_manifest_lists_a_repeated_dataset_once(spark, make):
+    schema = "city_code string, city_name string, dataset_year int, dataset_id string, year int, url string, coverage_extent_url string"
+    entries = make([("01100", "Sapporo", 2020, "01100-fld", y, u, None) for y, u in ((2019, "z"), (2020, "a"), (2020, "b"))], schema)
+    m = json.loads(tables.manifest(_table(spark, [CLEAN]), entries, attribution="someone", tool_version="1").first().value)
+    assert m["datasets"] == ["01100-fld"] and m["sources"]["01100-fld"]["url"] == "b"
+
+
 def test_public_schema(spark):
     t = _table(spark, [CLEAN]).withColumn("complex_uid", F.lit("u1")).withColumn("raw", F.lit(1))
     out = tables.to_public_schema(t.drop("zoning_use"), extra=("complex_uid",))
