@@ -1,4 +1,4 @@
-"""Repeated passages by sliding spans of sentences.
+"""Repeated passages by sliding spans of sentences and by runs of words.
 
 A span starts at every sentence and takes in the following ones until it has ``MIN_SENTENCES``
 sentences and ``MIN_WORDS`` words (or is one sentence of ``LONG_WORDS`` words or more). Spans are hashed
@@ -7,12 +7,18 @@ is the one in the document of smallest id (rows of equal id in reading order), e
 text. Sentences covered by any other place of a repeated span are removed, with the white space
 that follows them; everything else stays to the character.
 
-Only spans that repeat are joined back to their places; hashes travel, texts do not, except those
-of documents that lose sentences.
+A run of ``LONG_WORDS`` words that stands at an earlier place, wherever it starts and ends, is removed
+too, word by word. Every such run holds a seed at the same word of both places: the smallest hash of
+``SEED`` words among all that lie in it. Seeds are counted with the spans; where one repeats beside
+words that the spans leave, all runs of words around all its places are hashed and counted in turn.
 
-Defined results. NULL and empty texts have no sentences and stay. A span repeated inside one
-document keeps its first place there. Exact copies of a document lose all sentences that are in
-spans. Documents without repeated spans are unchanged.
+Only spans, seeds and runs that repeat are joined back to their places; hashes travel, texts do not,
+except once to find the runs around seeds and once to be rewritten.
+
+Defined results. NULL and empty texts have no sentences and stay. A span or run repeated inside one
+document keeps its first place there, whole. Exact copies of a document lose all sentences that are in
+spans or runs. Words are cut at white space and at sentence breaks. Documents without repeats are
+unchanged.
 """
 
 from __future__ import annotations
@@ -33,6 +39,8 @@ from kawara.session import cut_lineage
 MIN_SENTENCES = 2
 MIN_WORDS = 20
 LONG_WORDS = 50
+SEED = 12
+_WORD = re.compile(r"[^\x20\x09-\x0D]+")
 _BREAK = re.compile(r"(?:(?<=[.!?])[^\S\n]+|(?<=[。！？])|\s*\n\s*)")
 
 
@@ -70,19 +78,40 @@ def spans(parts: list[str]) -> list[tuple[int, int, int]]:
     return out
 
 
+def seeds(hashes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Word numbers of the smallest run of ``SEED`` words of every ``LONG_WORDS`` words; all runs."""
+    runs, width = shingles.rolling(hashes, SEED), LONG_WORDS - SEED + 1
+    if len(runs) < width:
+        return np.empty(0, np.int64), runs.view(np.int64)
+    least = np.lib.stride_tricks.sliding_window_view(runs, width).argmin(axis=1)
+    return np.unique(least + np.arange(len(least))), runs.view(np.int64)
+
+
+def _flat(parts: list[str]) -> tuple[list[bytes], np.ndarray]:
+    """The words of all sentences, and the sentence of each."""
+    words = [shingles.words_of(s) for s in parts]
+    return [w for ws in words for w in ws], np.repeat(np.arange(len(parts)), [len(w) for w in words])
+
+
 def places(docs: DataFrame, key: str, text: str) -> DataFrame:
-    """(row, id, print, n_sentences, hash, place): all spans of each document."""
+    """(row, id, print, n_sentences, hash, place): all spans and seeds of each document."""
     kind = docs.schema[key].dataType.simpleString()
 
     def cut(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        cache = shingles.WordHashes()
         for b in batches:
             out = []
             for t in b["text"]:
-                parts, seen, hashes, packed = sentences(t), set(), [], []
-                for h, i, n in spans(parts):
-                    hashes.append(h)
-                    packed.append(i << 24 | n << 1 | (h in seen))  # one number: this table is the largest
-                    seen.add(h)
+                parts = sentences(t)
+                found = spans(parts)
+                # one number, spans even and seeds odd, in the order of the text: this table is the largest
+                hashes, packed = [h for h, _, _ in found], [(i << 24 | n) << 1 for _, i, n in found]
+                words, of = _flat(parts)
+                at, runs = seeds(shingles.word_hashes(words, cache))
+                low = of[np.maximum(at - (LONG_WORDS - SEED), 0)]
+                n = of[np.minimum(at + LONG_WORDS, len(words)) - 1] - low + 1  # sentences that a run around it meets
+                hashes += runs[at].tolist()
+                packed += ((at << 32 | low << 8 | n) << 1 | 1).tolist()
                 out.append((len(parts), hashes, packed))
             n, h, p = zip(*out) if out else ((),) * 3
             yield pd.DataFrame({"row": b["row"], "id": b["id"], "print": b["print"], "n_sentences": n, "hash": h, "place": p})
@@ -98,21 +127,101 @@ def places(docs: DataFrame, key: str, text: str) -> DataFrame:
     return found.withColumn("id", F.col("id").cast(kind))
 
 
-def removals(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
-    """(row, id, print, n_sentences, cover, firsts): what each affected document loses, and to which ones."""
-    leaf = cut_lineage(places(docs, key, text))
-    span = leaf.select("row", F.explode(F.arrays_zip("hash", "place")).alias("s")).select("row", "s.hash", "s.place")
-    repeated = cut_lineage(span.groupBy("hash").agg(F.count(F.lit(1)).alias("k")).where("k > 1").select("hash"))
-    met = span.join(repeated, "hash").select(
-        "row", "hash", F.shiftright("place", 24).cast("int").alias("at"),
-        (F.shiftright("place", 1) % (1 << 23)).cast("int").alias("n"), (F.col("place") % 2 == 1).alias("again"),
+def _met(leaf: DataFrame) -> DataFrame:
+    """(row, hash, place, id, print, n_sentences) of all hashes that have more than one place."""
+    each = leaf.select("row", F.explode(F.arrays_zip("hash", "place")).alias("s")).select("row", "s.hash", "s.place")
+    repeated = cut_lineage(each.groupBy("hash").agg(F.count(F.lit(1)).alias("k")).where("k > 1").select("hash"))
+    return cut_lineage(each.join(repeated, "hash").join(leaf.drop("hash", "place"), "row"))
+
+
+def _later(met: DataFrame) -> DataFrame:
+    """The places of ``met`` but the first one of each hash, which is ``first``."""
+    own = F.struct(F.col("id").isNull().alias("none"), "id", "row", "place")
+    first = cut_lineage(met.groupBy("hash").agg(F.min(own).alias("first")))
+    return met.join(first, "hash").where((F.col("row") != F.col("first.row")) | (F.col("place") != F.col("first.place")))
+
+
+def _open(late: DataFrame) -> DataFrame:
+    """(hash): seeds that have a later place beside sentences that no span covers."""
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for b in batches:
+            out = []
+            for n, cover, own in zip(b["n_sentences"], b["cover"], b["seeds"]):
+                left = np.concatenate([[0], np.cumsum(~_covered(cover, n))])
+                for s in own:
+                    low = s["place"] >> 9 & (1 << 24) - 1
+                    if left[low + (s["place"] >> 1 & 255)] > left[low]:
+                        out.append(s["hash"])
+            yield pd.DataFrame({"hash": np.unique(np.array(out, np.int64))})
+
+    return with_code(late.where(F.size("seeds") > 0).select("n_sentences", "cover", "seeds")).mapInPandas(run, "hash long").distinct()
+
+
+def _runs(docs: DataFrame, met: DataFrame, seen: DataFrame, key: str, text: str) -> DataFrame:
+    """(row, id, print, n_sentences, hash, place): the runs of words around all places of the seeds."""
+    kind = met.schema["id"].dataType.simpleString()
+    at = met.where("place % 2 = 1").join(seen, "hash").groupBy("row", "id", "print", "n_sentences").agg(
+        F.collect_list(F.shiftright("place", 33)).alias("seeds")
+    )
+    both = _with_text(cut_lineage(at), docs, key, text)
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        cache = shingles.WordHashes()
+        for b in batches:
+            out = []
+            for t, own in zip(b["text"], b["seeds"]):
+                hashes = shingles.rolling(shingles.word_hashes(_flat(sentences(t))[0], cache), LONG_WORDS).view(np.int64)
+                near = np.zeros(len(hashes), bool)
+                for s in own:
+                    near[max(0, s - (LONG_WORDS - SEED)) : s + 1] = True
+                out.append((hashes[near], np.flatnonzero(near)))
+            h, p = zip(*out) if out else ((),) * 2
+            yield b[["row", "id", "print", "n_sentences"]].assign(hash=h, place=p)
+
+    rows = both.select("row", F.col("id").cast("string").alias("id"), "print", "n_sentences", "seeds", "text")
+    found = with_code(rows).mapInPandas(run, "row long, id string, print long, n_sentences int, hash array<long>, place array<long>")
+    return found.withColumn("id", F.col("id").cast(kind))
+
+
+def _with_text(rows: DataFrame, docs: DataFrame, key: str, text: str) -> DataFrame:
+    """``rows`` with the text of their id and print, which is looked up once for each of them."""
+    have = docs.select(F.col(key).alias("_key"), F.col(text).alias("text"), F.xxhash64(text).alias("_p"))
+    known = rows.select(F.col("id").alias("_i"), F.col("print").alias("_q")).distinct()
+    have = have.join(known, same(F.col("_key"), F.col("_i")) & (F.col("_p") == F.col("_q")), "left_semi")
+    have = have.dropDuplicates(["_key", "_p"])
+    return rows.join(have, same(F.col("id"), F.col("_key")) & (F.col("print") == F.col("_p")))
+
+
+def removals(docs: DataFrame, leaf: DataFrame, key: str = "doc_id", text: str = "text", runs: bool = True) -> DataFrame:
+    """(row, id, print, n_sentences, cover, runs, firsts): what each affected document loses, and to which ones."""
+    met = _met(leaf)
+    later, doc = _later(met), ["row", "id", "print", "n_sentences"]
+    span = F.col("place") % 2 == 0
+    cover = F.struct(F.shiftright("place", 25).cast("int").alias("at"), (F.shiftright("place", 1) % (1 << 24)).cast("int").alias("n"))
+    late = later.groupBy(*doc).agg(
+        F.collect_list(F.when(span, cover)).alias("cover"), F.collect_list(F.when(~span, F.struct("hash", "place"))).alias("seeds"),
+        F.collect_set(F.when(span, F.col("first.id"))).alias("firsts"),
+    )
+    late = cut_lineage(late)
+    spans_of = late.where(F.size("cover") > 0).drop("seeds")
+    if not runs:
+        return spans_of.withColumn("runs", F.expr("CAST(array() AS array<struct<at:int,n:int>>)"))
+    more = _later(_met(cut_lineage(_runs(docs, met, cut_lineage(_open(late)), key, text))))
+    # a run that overlaps its own first place leaves that place whole
+    begin = F.when(F.col("row") == F.col("first.row"), F.greatest("place", F.col("first.place") + LONG_WORDS)).otherwise(F.col("place"))
+    more = more.groupBy(*doc).agg(
+        F.collect_list(F.struct(begin.cast("int").alias("at"), (F.col("place") + LONG_WORDS - begin).cast("int").alias("n"))).alias("runs"),
+        F.collect_set("first.id").alias("firsts"),
+    )
+    empty = F.expr("CAST(array() AS array<struct<at:int,n:int>>)")
+    both = spans_of.withColumn("runs", empty).select(*doc, "cover", "runs", "firsts").union(
+        more.withColumn("cover", empty).select(*doc, "cover", "runs", "firsts")
+    )
+    return both.groupBy(*doc).agg(
+        F.flatten(F.collect_list("cover")).alias("cover"), F.flatten(F.collect_list("runs")).alias("runs"),
+        F.array_sort(F.array_distinct(F.flatten(F.collect_list("firsts")))).alias("firsts"),
     )
-    met = cut_lineage(met.join(leaf.select("row", "id", "print", "n_sentences"), "row"))
-    first = met.groupBy("hash").agg(F.min(F.struct(F.col("id").isNull().alias("none"), "id", "row")).alias("first"))
-    later = met.join(cut_lineage(first), "hash").where(F.col("again") | (F.col("row") != F.col("first.row")))
-    return later.groupBy("row", "id", "print", "n_sentences").agg(
-        F.collect_list(F.struct("at", "n")).alias("cover"), F.array_sort(F.collect_set("first.id")).alias("firsts")
-    )
 
 
 def _covered(cover, n: int) -> np.ndarray:
@@ -122,35 +231,40 @@ def _covered(cover, n: int) -> np.ndarray:
     return gone
 
 
-def rewritten(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
-    """The documents that lose sentences: what is left of the text, and what was removed."""
+def without(text: str, cover, runs) -> tuple[str, int, int, list[dict]]:
+    """What is left of a text, how many sentences and words were removed, and where."""
+    parts = sentences(text)
+    starts = np.cumsum([0, *map(len, parts)]).tolist()
+    at = [b + m.start() for b, p in zip(starts, parts) for m in _WORD.finditer(p)] + [len(text)]
+    of = _flat(parts)[1]
+    gone, lost = _covered(cover, len(parts)), _covered(runs, len(of))
+    mask = np.repeat(gone, [len(p) for p in parts])
+    for i in np.flatnonzero(lost):
+        mask[at[i] : at[i + 1]] = True
+    lost |= gone[of]
+    n, k = np.bincount(of, minlength=len(parts)), np.bincount(of[lost], minlength=len(parts))
+    edges = np.flatnonzero(np.diff(np.concatenate([[0], mask.astype(np.int8), [0]]))).tolist()
+    removed = [{"start": i, "length": j - i} for i, j in zip(edges[::2], edges[1::2])]
+    kept = [text[i:j] for i, j in zip([0, *edges[1::2]], [*edges[::2], len(text)])]
+    return "".join(kept), int((gone | (n > 0) & (k == n)).sum()), int(lost.sum()), removed
+
+
+def rewritten(docs: DataFrame, key: str = "doc_id", text: str = "text", runs: bool = False) -> DataFrame:
+    """The documents that lose whole sentences (words, with ``runs``): what is left, and what was removed."""
     kind = docs.schema[key].dataType.simpleString()
-    lost = cut_lineage(removals(docs, key, text))
-    have = docs.select(F.col(key).alias("_key"), F.col(text).alias("text"), F.xxhash64(text).alias("_p"))
-    # rows of equal id and text may lose different sentences: the text is looked up once for each of them
-    have = have.join(lost.select(F.col("id").alias("_i"), F.col("print").alias("_q")).distinct(), same(F.col("_key"), F.col("_i")) & (F.col("_p") == F.col("_q")), "left_semi")
-    have = have.dropDuplicates(["_key", "_p"])
-    both = lost.join(have, same(F.col("id"), F.col("_key")) & (F.col("print") == F.col("_p")))
+    leaf = cut_lineage(places(docs, key, text))
+    both = _with_text(cut_lineage(removals(docs, leaf, key, text, runs)), docs, key, text)
 
     def cut(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for b in batches:
-            out = []
-            for t, cover in zip(b["text"], b["cover"]):
-                parts = sentences(t)
-                gone = _covered(cover, len(parts))
-                ends = np.cumsum([len(p) for p in parts]).tolist()
-                starts = [0, *ends[:-1]]
-                edges = np.flatnonzero(np.diff(np.concatenate([[0], gone.astype(np.int8), [0]])))
-                removed = [{"start": starts[i], "length": ends[j - 1] - starts[i]} for i, j in zip(edges[::2], edges[1::2])]
-                words = sum(len(shingles.words_of(p)) for p, g in zip(parts, gone) if g)
-                out.append(("".join(p for p, g in zip(parts, gone) if not g), int(gone.sum()), words, removed))
+            out = [without(*x) for x in zip(b["text"], b["cover"], b["runs"])]
             left, n, words, removed = zip(*out) if out else ((),) * 4
             yield pd.DataFrame(
                 {"id": b["id"], "n_sentences": b["n_sentences"], "n_removed": n, "words_removed": words,
                  "removed": removed, "first_doc_ids": b["firsts"], "text": left}
             )
 
-    rows = both.select(F.col("id").cast("string").alias("id"), "n_sentences", "cover", F.col("firsts").cast("array<string>").alias("firsts"), "text")
+    rows = both.select(F.col("id").cast("string").alias("id"), "n_sentences", "cover", "runs", F.col("firsts").cast("array<string>").alias("firsts"), "text")
     out = with_code(rows).mapInPandas(
         cut,
         "id string, n_sentences long, n_removed long, words_removed long, "
@@ -163,5 +277,5 @@ def rewritten(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataF
 
 
 def op9_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Every document that loses sentences; the others are unchanged."""
-    return rewritten(documents(spark, sf_dir))
+    """Every document that loses words; the others are unchanged."""
+    return rewritten(documents(spark, sf_dir), runs=True)

@@ -165,3 +165,49 @@ def test_a_passage_of_a_third_of_all_documents_keeps_its_first_place(docs):
     got = substring_dedup.rewritten(docs(rows).repartition(9)).collect()
     assert {r.doc_id for r in got} == {i for i in range(1, 300) if i % 3 == 0}
     assert all(r.first_doc_ids == [0] and r.words_removed == 60 for r in got)
+def brute_runs(rows):
+    """What the passages keep: the sentence law of brute_passages, and every 50 words met before, in order of id."""
+    order = sorted(range(len(rows)), key=lambda i: (rows[i][0] is None, rows[i][0] if rows[i][0] is not None else 0, i))
+    seen, spans, out = {}, set(), {}
+    for i in order:
+        parts = substring_dedup.sentences(rows[i][1])
+        words = [(s, w.lower()) for s, p in enumerate(parts) for w in re.findall(rb"[^\x20\x09-\x0D]+", p.encode())]
+        gone = [False] * len(words)
+        for a in range(len(parts)):
+            inside = lambda b: [j for j, (s, _) in enumerate(words) if a <= s <= b]  # noqa: B023, E731
+            if not inside(a):
+                continue
+            b = a
+            while b < len(parts) and not (len(inside(a)) >= 50 or (b > a and len(inside(b)) >= 20)):
+                b += 1
+            if b < len(parts):
+                span = tuple(words[j][1] for j in inside(b))
+                if span in spans:
+                    for j in inside(b):
+                        gone[j] = True
+                spans.add(span)
+        for a in range(len(words) - 49):
+            f = seen.setdefault(tuple(w for _, w in words[a : a + 50]), (i, a))
+            for j in range(a if f[0] != i else max(a, f[1] + 50), a + 50) if f != (i, a) else ():
+                gone[j] = True
+        if any(gone):
+            out[i] = [w for (_, w), g in zip(words, gone) if not g]
+    return out
+
+
+def mid_sentence_rows():
+    rng = random.Random(11)
+    say = lambda n: " ".join(f"w{rng.randrange(10**6)}" for _ in range(n))
+    p53, p80 = say(53), ", ".join(say(20) for _ in range(4))
+    rows = [(i, f"{say(i % 7 + 3)} {p53} {say(4)}. {say(12)}.") for i in range(8)]
+    rows += [(20 + i, f"{say(5)} {p80.upper() if i % 2 else p80} {say(i)}") for i in range(6)]  # no sentence marks at all
+    rows += [(40, say(30) + " " + p53[: p53.rindex(" ", 0, -40)] + " " + say(30))]  # under 50 words stay
+    rows += [(41, "again " * 130 + say(60)), (42, f"{p80} {say(9)} {p80}. {p53}."), (42, rows[1][1]), (42, rows[1][1]), (None, f"{say(2)} {p53}"), (43, p53)]
+    return rows
+
+
+def test_passages_in_mid_sentence_and_without_marks(docs):
+    rows = mid_sentence_rows()
+    got = sorted((str(r.doc_id), r.text.lower().encode().split()) for r in substring_dedup.rewritten(docs(rows).coalesce(1), runs=True).collect())
+    assert got == sorted((str(rows[i][0]), w) for i, w in brute_runs(rows).items())
+    assert len(got) >= 18
