@@ -30,6 +30,7 @@ import numpy as np
 import pandas as pd
 import xxhash
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from kawara.llm import shingles
@@ -184,13 +185,17 @@ def _runs(docs: DataFrame, met: DataFrame, seen: DataFrame, key: str, text: str)
     return found.withColumn("id", F.col("id").cast(kind))
 
 
+def _keyed(rows: DataFrame, key: str, mark) -> DataFrame:
+    """``rows`` with their id and print as columns without NULL, so that texts are dealt out once for all joins."""
+    return rows.withColumns({"_none": F.col(key).isNull(), "_k": F.coalesce(F.col(key).cast("string"), F.lit("")), "_p": mark})
+
+
 def _with_text(rows: DataFrame, docs: DataFrame, key: str, text: str) -> DataFrame:
     """``rows`` with the text of their id and print, which is looked up once for each of them."""
-    have = docs.select(F.col(key).alias("_key"), F.col(text).alias("text"), F.xxhash64(text).alias("_p"))
-    known = rows.select(F.col("id").alias("_i"), F.col("print").alias("_q")).distinct()
-    have = have.join(known, same(F.col("_key"), F.col("_i")) & (F.col("_p") == F.col("_q")), "left_semi")
-    have = have.dropDuplicates(["_key", "_p"])
-    return rows.join(have, same(F.col("id"), F.col("_key")) & (F.col("print") == F.col("_p")))
+    on, rows = ["_none", "_k", "_p"], _keyed(rows, "id", F.col("print"))
+    have = _keyed(docs.select(F.col(key).alias("_key"), F.col(text).alias("text")), "_key", F.xxhash64("text")).drop("_key")
+    have = have.join(rows.select(*on).distinct(), on, "left_semi").dropDuplicates(on)
+    return rows.join(have, on)
 
 
 def removals(docs: DataFrame, leaf: DataFrame, key: str = "doc_id", text: str = "text", runs: bool = True) -> DataFrame:
@@ -249,33 +254,68 @@ def without(text: str, cover, runs) -> tuple[str, int, int, list[dict]]:
     return "".join(kept), int((gone | (n > 0) & (k == n)).sum()), int(lost.sum()), removed
 
 
-def rewritten(docs: DataFrame, key: str = "doc_id", text: str = "text", runs: bool = False) -> DataFrame:
-    """The documents that lose whole sentences (words, with ``runs``): what is left, and what was removed."""
-    kind = docs.schema[key].dataType.simpleString()
-    leaf = cut_lineage(places(docs, key, text))
-    both = _with_text(cut_lineage(removals(docs, leaf, key, text, runs)), docs, key, text)
+def _ranked(rows: DataFrame, twice: DataFrame | None, key: str, mark: str, order) -> DataFrame:
+    """``rows`` with ``_nth``, their number among rows of equal id and print."""
+    if twice is None:
+        return rows.withColumn("_nth", F.lit(1))
+    again = twice.select(F.col("id").alias("_i"), F.col("print").alias("_q"), F.lit(True).alias("_again"))
+    met = rows.join(again, same(F.col(key), F.col("_i")) & (F.col(mark) == F.col("_q")), "left").drop("_i", "_q")
+    nth = F.row_number().over(W.partitionBy(key, mark).orderBy(order))
+    alone = met.where("_again IS NULL").withColumn("_nth", F.lit(1))
+    return alone.unionByName(met.where("_again").withColumn("_nth", nth)).drop("_again")
 
-    def cut(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for b in batches:
-            out = [without(*x) for x in zip(b["text"], b["cover"], b["runs"])]
-            left, n, words, removed = zip(*out) if out else ((),) * 4
-            yield pd.DataFrame(
-                {"id": b["id"], "n_sentences": b["n_sentences"], "n_removed": n, "words_removed": words,
-                 "removed": removed, "first_doc_ids": b["firsts"], "text": left}
-            )
-
-    rows = both.select(F.col("id").cast("string").alias("id"), "n_sentences", "cover", "runs", F.col("firsts").cast("array<string>").alias("firsts"), "text")
-    out = with_code(rows).mapInPandas(
-        cut,
-        "id string, n_sentences long, n_removed long, words_removed long, "
-        "removed array<struct<start:long,length:long>>, first_doc_ids array<string>, text string",
-    )
-    return out.select(
-        F.col("id").cast(kind).alias(key), "n_sentences", "n_removed", "words_removed", "removed",
-        F.col("first_doc_ids").cast(f"array<{kind}>").alias("first_doc_ids"), "text",
+
+def everything(docs: DataFrame, key: str = "doc_id", text: str = "text", runs: bool = True) -> DataFrame:
+    """(_row, _lost, _cut): every row, whether it loses words, what is left and what was removed.
+
+    Of rows of equal id and text any one may stand for the first: only other columns tell them apart.
+    """
+    leaf = cut_lineage(places(docs, key, text))
+    lost = cut_lineage(removals(docs, leaf, key, text, runs))
+    twice = cut_lineage(leaf.groupBy("id", "print").agg(F.count(F.lit(1)).alias("k")).where("k > 1"))
+    twice = None if twice.isEmpty() else twice
+    own = leaf.select("row", "id", "print", "n_sentences").join(lost.select("row", "cover", "runs", "firsts"), "row", "left")
+    own = _ranked(own, twice, "id", "print", "row").select(
+        F.col("id").alias("_i"), F.col("print").alias("_q"), F.col("_nth").alias("_m"), "n_sentences", "cover", "runs", "firsts"
+    )
+    have = docs.select(F.struct(*docs.columns).alias("_row"), F.col(key).alias("_key"), F.xxhash64(text).alias("_p"))
+    have = _ranked(have, twice, "_key", "_p", "_key")
+    both = have.join(own, same(F.col("_key"), F.col("_i")) & (F.col("_p") == F.col("_q")) & (F.col("_nth") == F.col("_m")))
+
+    @F.pandas_udf("text string, n_removed long, words_removed long, removed array<struct<start:long,length:long>>")
+    def cut(text: pd.Series, cover: pd.Series, runs: pd.Series) -> pd.DataFrame:
+        out = [(None, 0, 0, []) if t is None else without(t, c, r) for t, c, r in zip(text, cover, runs)]
+        return pd.DataFrame(out, columns=["text", "n_removed", "words_removed", "removed"])
+
+    changed = F.col("cover").isNotNull()
+    given = F.col("_row").getField(text)
+    each = with_code(both).select("_row", changed.alias("_lost"), "n_sentences", "firsts", cut(F.when(changed, given), "cover", "runs").alias("_cut"))
+    return each.select(
+        "_row", "_lost",
+        F.struct(
+            F.col("n_sentences").cast("long").alias("n_sentences"), "_cut.n_removed", "_cut.words_removed", "_cut.removed",
+            F.coalesce("firsts", F.expr(f"CAST(array() AS array<{docs.schema[key].dataType.simpleString()}>)")).alias("first_doc_ids"),
+            F.when(F.col("_lost"), F.col("_cut.text")).otherwise(given).alias("text"),
+        ).alias("_cut"),
     )
 
 
+def cleaned(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
+    """One row per row of ``docs``: what is left of its text, and what was removed, if anything."""
+    return everything(docs, key, text).select(F.col("_row").getField(key).alias(key), "_cut.*")
+
+
+def deduplicate(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
+    """The rows of ``docs``, all columns, with what is left of their texts."""
+    left = lambda c: F.col("_cut.text") if c == text else F.col("_row").getField(c)
+    return everything(docs, key, text).select(*[left(c).alias(c) for c in docs.columns])
+
+
+def rewritten(docs: DataFrame, key: str = "doc_id", text: str = "text", runs: bool = False) -> DataFrame:
+    """The documents that lose whole sentences (words, with ``runs``): what is left, and what was removed."""
+    return everything(docs, key, text, runs).where("_lost").select(F.col("_row").getField(key).alias(key), "_cut.*")
+
+
 def op9_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Every document that loses words; the others are unchanged."""
-    return rewritten(documents(spark, sf_dir), runs=True)
+    """Every document; one that loses nothing has its text as it is."""
+    return cleaned(documents(spark, sf_dir))

@@ -211,3 +211,21 @@ def test_passages_in_mid_sentence_and_without_marks(docs):
     got = sorted((str(r.doc_id), r.text.lower().encode().split()) for r in substring_dedup.rewritten(docs(rows).coalesce(1), runs=True).collect())
     assert got == sorted((str(rows[i][0]), w) for i, w in brute_runs(rows).items())
     assert len(got) >= 18
+
+
+def test_passages_return_every_row_with_its_columns(docs, awkward):
+    rows = mid_sentence_rows() + [(r[0] and r[0] + 500, *r[1:]) for r in awkward] + [(43, mid_sentence_rows()[0][1], "other")]
+    df = docs(rows).coalesce(1)
+    whole = substring_dedup.deduplicate(df)
+    assert whole.columns == df.columns and whole.count() == len(rows)
+    want = brute_runs(rows)
+    left = lambda i: " ".join(w.decode() for w in want[i]) if i in want else " ".join(rows[i][1].lower().split()) if rows[i][0] != 509 and rows[i][1] else rows[i][1]  # noqa: E501, E731
+    cleaned = substring_dedup.cleaned(df).collect()
+    for got in (whole.collect(), cleaned):
+        flat = Counter((r.doc_id, r.text if r.doc_id == 509 or not r.text else " ".join(re.findall(r"[^\x20\x09-\x0D]+", r.text)).lower()) for r in got if r.doc_id not in (505, 506, 508))
+        assert flat == Counter((rows[i][0], left(i)) for i in range(len(rows)) if rows[i][0] not in (505, 506, 508))
+    assert Counter(r.source for r in whole.collect()) == Counter(r[2] if len(r) > 2 else "s" for r in rows)
+    same = {r.doc_id: r for r in cleaned if r.doc_id in (501, 502, 505, 506, 508, 509)}
+    assert {i: r.text for i, r in same.items()} == {r[0]: r[1] for r in rows if r[0] in same}
+    assert all((r.n_removed, r.words_removed, r.removed, r.first_doc_ids) == (0, 0, [], []) for r in same.values())
+    assert substring_dedup.deduplicate(docs([])).count() == 0 and substring_dedup.cleaned(docs([])).count() == 0
