@@ -229,3 +229,22 @@ def test_passages_return_every_row_with_its_columns(docs, awkward):
     assert {i: r.text for i, r in same.items()} == {r[0]: r[1] for r in rows if r[0] in same}
     assert all((r.n_removed, r.words_removed, r.removed, r.first_doc_ids) == (0, 0, [], []) for r in same.values())
     assert substring_dedup.deduplicate(docs([])).count() == 0 and substring_dedup.cleaned(docs([])).count() == 0
+
+
+NEAR_MISSES = [
+    ("Licensed under the Creative Commons Attribution 4.0 International License.", "cc-by"),
+    ("Licensed under the Creative Commons Attribution-ShareAlike 4.0 International License.", "cc-by-sa"),
+    ("Licensed under the Creative Commons Attribution-NonCommercial 4.0 International License.", "cc-by-nc"),
+    ("Licensed under the Creative Commons Attribution-NonCommercial-ShareAlike 4.0 International License.", "cc-by-nc,cc-by-sa"),
+    ("Licensed under the Creative Commons Attribution-NoDerivatives 4.0 International License.", ""),
+    ("This work is licensed under the GNU General Public License version 2.", ""),
+    ("This work is licensed under the GNU General Public License, version 3.", "gpl-3"),
+    ("This work is licensed under the GNU Lesser General Public License version 3.", "lgpl"),
+    ("You can redistribute it and/or modify it under the terms of the GNU Affero General Public License as published by the Free Software Foundation", "agpl"),
+]
+
+
+def test_license_notices_that_differ_in_a_word(docs):
+    got = {r.doc_id: r for r in license_scan.scan(docs([(i, t) for i, (t, _) in enumerate(NEAR_MISSES)])).collect()}
+    assert [got[i].labels for i in range(len(got))] == [x for _, x in NEAR_MISSES]
+    assert all((r.score >= license_scan.COVERED) == bool(r.labels) for r in got.values())
