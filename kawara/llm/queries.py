@@ -2,7 +2,19 @@
 
 from __future__ import annotations
 
-from kawara.llm import exact_dedup, license_scan, mixing, near_dedup, packing, quality, sharding, substring_dedup, token_counts, topk_search
+from kawara.llm import (
+    exact_dedup,
+    license_scan,
+    mixing,
+    near_dedup,
+    packing,
+    prefix_trie,
+    quality,
+    sharding,
+    substring_dedup,
+    token_counts,
+    topk_search,
+)
 
 REGISTRY = {
     "op1_license_scan": license_scan.op1_license_scan,
@@ -15,9 +27,11 @@ REGISTRY = {
     "op8_token_counts": token_counts.op8_token_counts,
     "op9_substring_dedup": substring_dedup.op9_substring_dedup,
     "op10_packing": packing.op10_packing,
+    "op11_prefix_trie": prefix_trie.op11_prefix_trie,
 }
 
 SQL = {
     "op2_exact_dedup": exact_dedup.SQL,
     "op4_topk_search": topk_search.SQL,
+    "op11_prefix_trie": prefix_trie.SQL,
 }
