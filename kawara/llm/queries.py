@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from kawara.llm import (
     exact_dedup,
+    hard_negatives,
     license_scan,
     mixing,
     near_dedup,
@@ -28,10 +29,12 @@ REGISTRY = {
     "op9_substring_dedup": substring_dedup.op9_substring_dedup,
     "op10_packing": packing.op10_packing,
     "op11_prefix_trie": prefix_trie.op11_prefix_trie,
+    "op13_hard_negatives": hard_negatives.op13_hard_negatives,
 }
 
 SQL = {
     "op2_exact_dedup": exact_dedup.SQL,
     "op4_topk_search": topk_search.SQL,
     "op11_prefix_trie": prefix_trie.SQL,
+    "op13_hard_negatives": hard_negatives.SQL,
 }
