@@ -5,6 +5,7 @@ from __future__ import annotations
 from kawara.llm import (
     exact_dedup,
     hard_negatives,
+    language_id,
     license_scan,
     mixing,
     near_dedup,
@@ -29,6 +30,7 @@ REGISTRY = {
     "op9_substring_dedup": substring_dedup.op9_substring_dedup,
     "op10_packing": packing.op10_packing,
     "op11_prefix_trie": prefix_trie.op11_prefix_trie,
+    "op12_language_id": language_id.op12_language_id,
     "op13_hard_negatives": hard_negatives.op13_hard_negatives,
 }
 
@@ -36,5 +38,6 @@ SQL = {
     "op2_exact_dedup": exact_dedup.SQL,
     "op4_topk_search": topk_search.SQL,
     "op11_prefix_trie": prefix_trie.SQL,
+    "op12_language_id": language_id.op12_language_id,
     "op13_hard_negatives": hard_negatives.SQL,
 }
