@@ -18,7 +18,7 @@ as partial rows, are merged by the digest of their path, and add what only then
 savings, whether they are leaves, distinct children) to themselves and to the spine nodes above.
 
 Defined results. Rows of NULL conv_id take no part. Turns of equal number are ordered by the MD5 of
-role and text (``turn_digest``), equal rows follow each other. NULL role or text is empty. ``c % 5``
+role and text (``turn_digest``); equal rows follow each other. NULL role or text is empty. ``c % 5``
 has the sign of ``c``. Conversations without turns are members of the root alone. An empty table has
 no node. Other columns are ignored. The member lists behind ``ends_sha256`` are sorted and hashed as a
 stream: a hash of a list has to see it in order, but never holds it.
@@ -43,6 +43,7 @@ SEGMENT = 512
 RUN = 50_000
 BLOCK = 64
 FEW = 100_000
+STRETCH = 8_192  # ids
 NOBODY = hashlib.sha256(b"").hexdigest()
 DIGEST = 16
 
@@ -288,19 +289,28 @@ def segments(turns: DataFrame, convs: DataFrame, segment: int) -> tuple[DataFram
     return rows.select("level", "root", "path", "sizes", "c", last.alias("last")), deepest or 0
 
 
+def _lists(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    """Sorted ids as comma-joined stretches, each with its first id."""
+    for b in batches:
+        out = []
+        for end, ids in b.groupby("end", sort=False)["c"]:
+            own = ids.to_numpy()
+            out += [(end, own[i], ",".join(map(str, own[i : i + STRETCH].tolist()))) for i in range(0, len(own), STRETCH)]
+        yield pd.DataFrame(out, columns=["end", "first", "ids"])
+
+
 def _hashes(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    """SHA-256 of the sorted ids of each path, read as a stream."""
+    """SHA-256 over the stretches of each path, read as a stream."""
     path, h = None, None
     for b in batches:
         out = []
-        for p, ids in b.groupby("end", sort=False)["c"]:
+        for p, ids in zip(b["end"], b["ids"]):
             if p != path:
                 if path is not None:
                     out.append((path, h.hexdigest()))
-                path, h = p, hashlib.sha256()
+                path, h = p, hashlib.sha256(ids.encode())
             else:
-                h.update(b",")
-            h.update(",".join(map(str, ids)).encode())
+                h.update(f",{ids}".encode())
         yield pd.DataFrame(out, columns=["end", "sha"])
     if path is not None:
         yield pd.DataFrame([(path, h.hexdigest())], columns=["end", "sha"])
@@ -315,7 +325,9 @@ def distinct_paths(rows: DataFrame) -> DataFrame:
     paths = cut_lineage(paths.withColumn("end", F.md5(F.concat(F.col("level").cast("string"), F.lit("/"), "root", F.hex("path")))))
     many = paths.where("n_ends > 1").select("level", "root", "path", "end")
     ids = rows.where("last").join(many, ["level", "root", "path"]).select("end", "c")
-    shas = with_code(ids.repartition("end").sortWithinPartitions("end", "c")).mapInPandas(_hashes, "end string, sha string")
+    # the ids of a path that very many share are put in order by many tasks; one reads what they joined
+    lists = with_code(ids.repartitionByRange("end", "c").sortWithinPartitions("end", "c")).mapInPandas(_lists, "end string, first long, ids string")
+    shas = lists.repartition("end").sortWithinPartitions("end", "first").mapInPandas(_hashes, "end string, sha string")
     one = F.when(F.col("n_ends") == 1, F.sha2(F.col("only").cast("string"), 256))
     return cut_lineage(paths.join(shas, "end", "left").select("level", "root", "path", "sizes", "m", "lo", F.coalesce("sha", one).alias("ends")))
 
