@@ -20,7 +20,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from kawara.llm.common import ascii_lower, documents, same, text_or_empty
+from kawara.llm.common import ascii_lower, documents, remaining, same, text_or_empty
 from kawara.session import cut_lineage
 
 FAN = 8
@@ -88,17 +88,9 @@ def assign(docs: DataFrame, key: str = "doc_id", text: str = "text", largest: bo
 
 def deduplicate(docs: DataFrame, key: str = "doc_id", text: str = "text", largest: bool = True) -> DataFrame:
     """The rows of ``docs`` that stay, all columns."""
-    verdict = groups(docs, key, text, largest)
-    gone = verdict.where(F.col("_row") != F.col("_best._row")).select(
-        "_id", *DIGEST, same(F.col("_id"), F.col("_best._id")).alias("_repeat")
-    )
-    gone = cut_lineage(gone)
-    marked = docs.withColumn("_sha", F.unhex(F.sha2(ascii_lower(text_or_empty(text)), 256)))
-    lost = gone.where(~F.col("_repeat")).select(F.col("_id").alias("_gone"), F.col("_sha").alias("_gone_sha"))
-    left = marked.join(lost, same(F.col(key), F.col("_gone")) & (F.col("_sha") == F.col("_gone_sha")), "left_anti")
-    if not gone.where("_repeat").isEmpty():  # the same id and text more than once: keep one of the rows
-        left = left.dropDuplicates([key, "_sha"])
-    return left.select(*docs.columns)
+    lost = groups(docs, key, text, largest).where(F.col("_row") != F.col("_best._row"))
+    gone = cut_lineage(lost.select(F.col("_id").alias("id"), F.col("_sha").alias("print"), same(F.col("_id"), F.col("_best._id")).alias("repeat")))
+    return remaining(docs, gone, key, F.unhex(F.sha2(ascii_lower(text_or_empty(text)), 256)))
 
 
 def op2_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:

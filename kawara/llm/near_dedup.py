@@ -39,7 +39,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from kawara.llm import shingles
-from kawara.llm.common import documents, same, with_code
+from kawara.llm.common import documents, remaining, same, suspects, with_code
 from kawara.operators.components import connected_components
 from kawara.session import cut_lineage
 
@@ -117,10 +117,10 @@ def signatures(docs: DataFrame, key: str = "doc_id", text: str = "text") -> Data
 def _texts_of(docs: DataFrame, leaf: DataFrame, rows: DataFrame, key: str, text: str) -> DataFrame:
     """(row, set_key, text) of some rows: found again by id and fingerprint, texts stay whole."""
     want = leaf.join(rows, "row").select("row", F.col("id").alias("_id"), F.col("print").alias("_print"), "set_key")
-    have = docs.select(F.col(key).alias("_key"), F.col(text).alias("text"), F.xxhash64(text).alias("_p"))
-    return have.join(want, same(F.col("_key"), F.col("_id")) & (F.col("_p") == F.col("_print"))).select(
-        "row", "set_key", "text"
-    )
+    want = cut_lineage(want)
+    have = docs.select(F.col(key).alias("id"), F.col(text).alias("text"), F.xxhash64(text).alias("print"))
+    have, _ = suspects(have, want.select(F.col("_id").alias("id"), F.col("_print").alias("print")), "id", "print")
+    return have.join(want, same(F.col("id"), F.col("_id")) & (F.col("print") == F.col("_print"))).select("row", "set_key", "text")
 
 
 def _sets(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -317,12 +317,7 @@ def deduplicate(docs: DataFrame, key: str = "doc_id", text: str = "text", percen
     repeat = same(F.col("id"), F.col("best.id")) & (F.col("print") == F.col("best.print"))
     gone = groups(docs, key, text, percent).where(F.col("row") != F.col("best.row"))
     gone = cut_lineage(gone.select("id", "print", repeat.alias("repeat")))
-    lost = gone.where("NOT repeat").select(F.col("id").alias("_gone"), F.col("print").alias("_gone_print"))
-    marked = docs.withColumn("_print", F.xxhash64(text))
-    left = marked.join(lost, same(F.col(key), F.col("_gone")) & (F.col("_print") == F.col("_gone_print")), "left_anti")
-    if not gone.where("repeat").isEmpty():  # the same id and text more than once: keep one of the rows
-        left = left.dropDuplicates([key, "_print"])
-    return left.select(*docs.columns)
+    return remaining(docs, gone, key, F.xxhash64(text))
 
 
 def op5_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
