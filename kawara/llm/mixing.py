@@ -8,14 +8,15 @@ size only, so the iterations run over the table of (source, size, count), which
 once; each of them is one grouped sum. Sums are decimal, hence free of order: reruns agree.
 
 Rates become copies by systematic rounding: documents are laid out by source, size and a hash of
-their id, each as long as its rate, and a document is taken as often as the marks at whole
+id and row, each as long as its rate, and a document is taken as often as the marks at whole
 numbers fall into its stretch. The rounding error of a source is about the size of one document.
 Stretches are first summed over cells of (source, size, bucket); only cells are put in order per
 source, and documents only within their cell, so no task holds all documents of a source.
 
 Defined results. NULL text has size 0; documents of size 0 are taken once and add nothing. NULL
 sources are a source of their own, last in order. An empty table gives an empty result. Repeated
-rows are rounded one by one. Only id, source and size are moved, never texts.
+rows are rounded one by one, rows of one id by their own source and size. Only id, source, size and
+a hash of the row are moved, never texts, until rows are taken.
 """
 
 from __future__ import annotations
@@ -24,19 +25,24 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from kawara.llm.common import documents, same, words_in
+from kawara.llm.common import documents, row_hash, same, words_in
 from kawara.session import cut_lineage
 
 WEIGHTS = (5.0, 2.0, 1.0)
 SHARE = 1.5
 CAP = 2.0
 TOLERANCE = 1e-9
-CELL_ROWS = 4_096
+CELL_ROWS = 1_024
+UNFOLD = 4_096
 UNIT = 1 << 24  # rates are rounded to this fraction, so that running sums are exact
 
 
 def sizes(docs: DataFrame, key: str, source: str, text: str) -> DataFrame:
-    return docs.select(F.col(key).alias("_id"), F.col(source).alias("_source"), words_in(F.col(text)).alias("_size"))
+    """(id, source, size, print, m): rows equal in all columns as one, ``m`` of them."""
+    rows = docs.select(
+        F.col(key).alias("_id"), F.col(source).alias("_source"), words_in(F.col(text)).alias("_size"), row_hash(docs).alias("_print")
+    )
+    return rows.groupBy(*rows.columns).agg(F.count(F.lit(1)).alias("_m"))
 
 
 def targets(hist: DataFrame, weights=WEIGHTS, share: float = SHARE, cap: float = CAP) -> DataFrame:
@@ -128,7 +134,7 @@ def tilts(hist: DataFrame, goal: DataFrame, cap: float = CAP, tolerance: float =
             return state.select("_source", "_total", "_target", "_mean", "_lambda")
 
 
-def copies(
+def laid(
     docs: DataFrame,
     key: str = "doc_id",
     source: str = "source",
@@ -137,9 +143,9 @@ def copies(
     share: float = SHARE,
     cap: float = CAP,
 ) -> DataFrame:
-    """(_id, _source, _size, _total, _target, _copies) of every row."""
+    """(id, source, size, print, m, total, target, rate, begin): where the stretches of equal rows begin."""
     rows = cut_lineage(sizes(docs, key, source, text))
-    hist = cut_lineage(rows.groupBy("_source", "_size").agg(F.count(F.lit(1)).alias("_n")))
+    hist = cut_lineage(rows.groupBy("_source", "_size").agg(F.sum("_m").alias("_n")))
     goal = cut_lineage(targets(hist, weights, share, cap))
     tilt = tilts(hist, goal, cap)
     rate = F.least(F.exp(F.col("_lambda") * F.col("_size") / F.col("_mean")), F.lit(cap))
@@ -154,31 +160,54 @@ def copies(
     )
     at = same(F.col("_source"), F.col("_s")) & (F.col("_size") == F.col("_z"))
     dealt = rows.join(cut_lineage(cells), at).select(
-        "_id", "_source", "_size", "_total", "_target", "_rate",
-        F.pmod(F.xxhash64("_id", F.lit("cell")), F.col("_parts")).alias("_part"),
-    )
+        *rows.columns, "_total", "_target", "_rate", F.pmod(F.xxhash64("_id", "_print", F.lit("cell")), F.col("_parts")).alias("_part")
+    )
     dealt = cut_lineage(dealt)
-    count = dealt.groupBy("_source", "_size", "_part").agg(F.count(F.lit(1)).alias("_n"), F.first("_rate").alias("_r"))
+    count = dealt.groupBy("_source", "_size", "_part").agg(F.sum("_m").alias("_n"), F.first("_rate").alias("_r"))
     along = W.partitionBy("_source").orderBy("_size", "_part")
     begin = count.select(
         F.col("_source").alias("_s"), F.col("_size").alias("_z"), F.col("_part").alias("_p"),
         (F.sum(F.col("_n") * F.col("_r")).over(along) - F.col("_n") * F.col("_r")).alias("_begin"),
     )
-    inside = W.partitionBy("_source", "_size", "_part").orderBy(F.xxhash64("_id", F.lit("order")), "_id")
-    ranked = dealt.withColumn("_rank", F.row_number().over(inside) - 1)
-    laid = ranked.join(
+    inside = W.partitionBy("_source", "_size", "_part").orderBy(F.xxhash64("_id", "_print", F.lit("order")), "_id", "_print")
+    ranked = dealt.withColumn("_before", F.sum("_m").over(inside) - F.col("_m"))
+    joined = ranked.join(
         begin, same(F.col("_source"), F.col("_s")) & (F.col("_size") == F.col("_z")) & (F.col("_part") == F.col("_p"))
     )
-    left = F.col("_begin") + F.col("_rank") * F.col("_rate") + UNIT // 2
-    taken = F.floor((left + F.col("_rate")) / UNIT) - F.floor(left / UNIT)
-    return laid.select("_id", "_source", "_size", "_total", "_target", taken.cast("long").alias("_copies"))
+    left = F.col("_begin") + F.col("_before") * F.col("_rate") + UNIT // 2
+    return joined.select(*rows.columns, "_total", "_target", "_rate", left.alias("_begin"))
+
+
+def _taken(begin, end):
+    """Whole numbers that fall into a stretch."""
+    return (F.floor(end / UNIT) - F.floor(begin / UNIT)).cast("long")
+
+
+def copies(docs: DataFrame, key: str = "doc_id", **options) -> DataFrame:
+    """(_id, _source, _size, _total, _target, _copies) of every row."""
+    each = laid(docs, key, **options)
+    # equal rows in blocks, then one by one
+    blocks = each.withColumn("_b", F.explode(F.expr(f"sequence(0L, (_m - 1) div {UNFOLD})")))
+    rows = blocks.withColumn("_i", F.explode(F.expr(f"sequence(_b * {UNFOLD}, least((_b + 1) * {UNFOLD}, _m) - 1)")))
+    begin = F.col("_begin") + F.col("_i") * F.col("_rate")
+    return rows.select("_id", "_source", "_size", "_total", "_target", _taken(begin, begin + F.col("_rate")).alias("_copies"))
 
 
 def mixed(docs: DataFrame, key: str = "doc_id", **options) -> DataFrame:
-    """The rows of ``docs``, each as often as the mix takes it; rows taken 0 times are absent."""
-    n = copies(docs, key, **options).groupBy("_id").agg(F.max("_copies").alias("_copies")).where("_copies > 0")
-    out = docs.join(n, same(F.col(key), F.col("_id")))
-    return out.withColumn("_copy", F.explode(F.sequence(F.lit(1), F.col("_copies").cast("int")))).select(*docs.columns)
+    """The rows of ``docs``, each as often as the mix takes it; rows taken 0 times are absent.
+
+    Rows equal in all columns share their copies. Rows are found again by id and a hash of all columns.
+    """
+    stretch = laid(docs, key, **options)
+    n = stretch.select(
+        F.col("_id").alias("_i"), F.col("_print").alias("_p"), "_m", _taken(F.col("_begin"), F.col("_begin") + F.col("_m") * F.col("_rate")).alias("_copies")
+    ).where("_copies > 0")
+    rows = docs.select(F.struct("*").alias("_row"), F.col(key).alias("_id"), row_hash(docs).alias("_print"))
+    met = rows.join(n, same(F.col("_id"), F.col("_i")) & (F.col("_print") == F.col("_p")))
+    again = met.where("_m > 1").groupBy("_i", "_p").agg(F.first("_row").alias("_row"), F.first("_copies").alias("_copies"))
+    out = met.where("_m = 1").select("_row", "_copies").unionByName(again.select("_row", "_copies"))
+    blocks = out.withColumn("_b", F.explode(F.expr(f"sequence(0L, (_copies - 1) div {UNFOLD})")))
+    return blocks.select("_row", F.explode(F.expr(f"sequence(_b * {UNFOLD}, least((_b + 1) * {UNFOLD}, _copies) - 1)"))).select("_row.*")
 
 
 def op6_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:

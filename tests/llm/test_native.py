@@ -148,3 +148,41 @@ def test_mixing_awkward_rows(docs, awkward):
     assert len(got) == len(awkward) and all(r._copies is not None for r in got)
     df = docs(awkward)
     assert mixing.mixed(df).columns == df.columns
+
+
+def test_mixing_of_one_id_with_many_texts_meets_targets(docs):
+    """Rows of one id, NULL included, are taken each by its own size and source."""
+    rows = [(None if i % 2 else 7, f"{'w ' * (1 + i % 90)}x{i}", "a") for i in range(600)]
+    rows += [(7, f"{'w ' * (1 + i % 30)}y{i}", "b") for i in range(900)] + [(8, "same same same", "c")] * 500 + [(None, "same same", None)] * 300
+    df = docs(rows)
+    goal = {r._source: r._target for r in mixing.copies(df).select("_source", "_target").distinct().collect()}
+    assert mixing.copies(df).count() == len(rows)
+    assert {sum(1 for r in rows if r[2] == s) > 0 for s in goal} == {True}
+    out = mixing.mixed(df)
+    assert out.columns == df.columns
+    taken, have = Counter(), Counter((r[0], r[1], r[2]) for r in rows)
+    for r in out.collect():
+        taken[r.source] += len(r.text.split())
+        have[(r.doc_id, r.text, r.source)] -= 0.5
+    assert all(n >= 0 for n in have.values())  # none more than twice
+    assert all(abs(taken[s] - goal[s]) <= 100 for s in goal), (taken, goal)
+
+
+CLASHING = ["_id", "_copies", "_sha", "_print", "_gone", "_row", "_copy", "row", "id", "print", "repeat", "a.b", "__h", "__in", "_i", "_p"]
+
+
+@pytest.mark.parametrize("name", ["exact", "near", "mixed", "spans"])
+def test_columns_of_any_name_stay(docs, awkward, name):
+    from kawara.llm import near_dedup, substring_dedup
+
+    run = {"exact": exact_dedup.deduplicate, "near": near_dedup.deduplicate, "mixed": mixing.mixed, "spans": substring_dedup.deduplicate}[name]
+    long = " ".join(f"word{i} goes here." for i in range(40))
+    df = docs(awkward + [(20, long), (21, long), (22, f"{long} more of it")])
+    df = df.selectExpr("*", *[f"concat('{n}', doc_id) AS `{n}`" for n in CLASHING if n not in df.columns])
+    out = run(df)
+    assert out.columns == df.columns
+    rows = out.collect()
+    assert len(rows) >= 8
+    for r in rows:
+        if r["doc_id"] is not None:
+            assert all(r[n] == f"{n}{r['doc_id']}" for n in CLASHING if n not in ("row",))
