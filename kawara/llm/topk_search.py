@@ -10,13 +10,14 @@ may be, until ``k`` are found. Rows that tie at the boundary are taken by smalle
 chosen rows are then recomputed as plain inner products.
 
 Blocks are cut from partitions as they stream by, without a shuffle; query blocks are repeated over
-``SPREAD`` keys and joined to the index blocks of each key, which is the stated query set against
-all rows, in blocks. Each tile gives ``k`` rows per query, and the best of all tiles are kept.
+one key per index block and joined to it, which is the stated query set against all rows, in
+blocks. Each tile gives ``k + 1`` rows per query, and the best of all tiles are kept. Among them a
+query's own row, if it is there, is one of the rows with its id and vector, all alike: one is left out.
 
 Defined results. Vectors that are NULL, empty or hold NULL or non-finite components, or whose id is
 NULL, take no part. Vectors of another length than the query's are no candidates of it. Repeated
-ids are rows of their own; a query excludes the rows with its own id. Fewer candidates than ``k``
-give fewer rows.
+ids are rows of their own, as queries and as candidates. Fewer candidates than ``k`` give fewer rows.
+Scores that might pass 2^62 raise an error.
 """
 
 from __future__ import annotations
@@ -30,13 +31,14 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from kawara.llm.common import with_code
+from kawara.session import cut_lineage
 
 K = 5
 STRIDE = 50
 SCALE = 256
 BLOCK = 8_192
 QUERY_BLOCK = 128
-SPREAD = 16
+LIMIT = 1 << 62
 
 
 def quantised(vectors: DataFrame, key: str, vector: str) -> DataFrame:
@@ -60,7 +62,8 @@ def _blocks(size: int):
             order = np.argsort(ids, kind="stable")
             m = np.stack(rows)[order]
             kind = next(t for t in ("<i2", "<i4", "<i8") if (m == m.astype(t)).all())  # the narrowest that holds all
-            own = {"dim": dim, "kind": kind, "ids": np.array(ids, "<i8")[order].tobytes(), "rows": m.astype(kind).tobytes()}
+            top = float(np.abs(m.astype(float)).max())
+            own = {"dim": dim, "kind": kind, "top": top, "ids": np.array(ids, "<i8")[order].tobytes(), "rows": m.astype(kind).tobytes()}
             return pd.DataFrame([own])
 
         for b in batches:
@@ -137,23 +140,19 @@ def _search(k: int):
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         last, index = None, None
         for b in batches:
-            out = []
             for r in b.itertuples(index=False):
                 ids, m = np.frombuffer(r.ids, "<i8"), np.frombuffer(r.rows, r.kind).reshape(-1, r.dim).astype(np.int64)
-                if last != r.ids or index is None:
-                    last, index = r.ids, slices(m)[0]
+                if last != r.block:
+                    last, index = r.block, slices(m)[0]
                 everything = np.packbits(np.arange(index.shape[2] * 64) < len(ids), bitorder="little").view("<u8")
                 q_ids, q_rows = np.frombuffer(r.q_ids, "<i8"), np.frombuffer(r.q_rows, r.q_kind).reshape(-1, r.dim).astype(np.int64)
-                for q, v in zip(q_ids, q_rows):
-                    allowed = everything
-                    lo, hi = np.searchsorted(ids, [q, q + 1])
-                    if lo < hi:
-                        bits = np.unpackbits(everything.view(np.uint8), bitorder="little")
-                        bits[lo:hi] = 0
-                        allowed = np.packbits(bits, bitorder="little").view("<u8")
-                    top = best_rows(weighted_sum(index, v), allowed, k)
-                    out += zip([int(q)] * len(top), ids[top].tolist(), (m[top] @ v).tolist())
-            yield pd.DataFrame(out, columns=["query_id", "vec_id", "score"], dtype="int64")
+                out = []
+                for i, (q, v) in enumerate(zip(q_ids, q_rows)):
+                    top = best_rows(weighted_sum(index, v), everything, k)
+                    twin = (ids[top] == q) & (m[top] == v).all(axis=1)
+                    n = len(top)
+                    out += zip([r.q_block] * n, [i] * n, [int(q)] * n, ids[top].tolist(), (m[top] @ v).tolist(), twin.tolist())
+                yield pd.DataFrame(out, columns=["q_block", "q_row", "query_id", "vec_id", "score", "twin"])
 
     return run
 
@@ -162,20 +161,30 @@ def search(
     vectors: DataFrame, queries: DataFrame, k: int = K, key: str = "vec_id", vector: str = "embedding"
 ) -> DataFrame:
     """query_id, rank, vec_id, score: the ``k`` best rows of ``vectors`` for every row of ``queries``."""
-    shape = "dim int, kind string, ids binary, rows binary"
-    index = with_code(quantised(vectors, key, vector)).mapInPandas(_blocks(BLOCK), shape)
-    index = index.withColumn("at", F.pmod(F.xxhash64("ids"), F.lit(SPREAD)))
-    asked = quantised(queries, key, vector).mapInPandas(_blocks(QUERY_BLOCK), shape).select(
-        "dim", F.col("kind").alias("q_kind"), F.col("ids").alias("q_ids"), F.col("rows").alias("q_rows"),
-        F.explode(F.expr(f"sequence(0L, {SPREAD - 1}L)")).alias("at"),
+    shape = "dim int, kind string, top double, ids binary, rows binary"
+    index = cut_lineage(with_code(quantised(vectors, key, vector)).mapInPandas(_blocks(BLOCK), shape))
+    index = index.withColumn("block", F.monotonically_increasing_id())
+    asked = cut_lineage(quantised(queries, key, vector).mapInPandas(_blocks(QUERY_BLOCK), shape))
+    asked = asked.select(
+        "dim", "top", F.col("kind").alias("q_kind"), F.col("ids").alias("q_ids"), F.col("rows").alias("q_rows"),
+        F.monotonically_increasing_id().alias("q_block"),
     )
-    tiles = asked.join(index, ["dim", "at"]).select("dim", "kind", "ids", "rows", "q_kind", "q_ids", "q_rows")
-    near = tiles.mapInPandas(_search(k), "query_id long, vec_id long, score long")
-    order = W.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
+    size = index.agg(F.count(F.lit(1)).alias("n"), F.max("top").alias("top"), F.max("dim").alias("dim")).first()
+    widest = asked.agg(F.max("top")).first()[0] or 0.0
+    if size["n"] and size["top"] * widest * size["dim"] >= LIMIT:
+        raise ValueError(f"scores of these vectors may pass {LIMIT}")
+    keys = max(1, size["n"])
+    index = index.withColumn("at", F.pmod(F.xxhash64("block"), F.lit(keys)))
+    asked = asked.withColumn("at", F.explode(F.expr(f"sequence(0L, {keys - 1}L)")))
+    tiles = index.join(asked, ["dim", "at"]).select("dim", "block", "kind", "ids", "rows", "q_block", "q_kind", "q_ids", "q_rows")
+    near = tiles.mapInPandas(_search(k + 1), "q_block long, q_row int, query_id long, vec_id long, score long, twin boolean")
+    own = W.partitionBy("q_block", "q_row")
+    near = near.withColumn("n", F.row_number().over(own.orderBy(F.desc("score"), "vec_id", F.desc("twin")))).where(F.col("n") <= k + 1)
+    itself = F.min(F.when(F.col("twin"), F.col("n"))).over(own)
+    near = near.withColumn("itself", itself).where("itself IS NULL OR n <> itself")
+    near = near.withColumn("rank", F.when(F.col("n") > F.col("itself"), F.col("n") - 1).otherwise(F.col("n"))).where(F.col("rank") <= k)
     kind = queries.schema[key].dataType
-    return near.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k).select(
-        F.col("query_id").cast(kind), "rank", F.col("vec_id").cast(kind), "score"
-    )
+    return near.select(F.col("query_id").cast(kind), "rank", F.col("vec_id").cast(kind), "score")
 
 
 def op4_topk_search(spark: SparkSession, sf_dir: str) -> DataFrame:
