@@ -42,10 +42,22 @@ def shared_folder(spark: SparkSession) -> str:
     return sc.getCheckpointDir()
 
 
+_CLEAN = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
+
 def cut_lineage(df: DataFrame) -> DataFrame:
-    """Reliable checkpoint: survives the loss of executors, keeps iterative plans short."""
-    shared_folder(df.sparkSession)
-    return df.checkpoint(eager=True)
+    """Reliable checkpoint: survives the loss of executors, keeps iterative plans short.
+
+    Nothing reads the shuffles behind it again, so their files go as soon as it is written.
+    """
+    spark = df.sparkSession
+    shared_folder(spark)
+    before = spark.conf.get(_CLEAN, None)
+    spark.conf.set(_CLEAN, "true")
+    try:
+        return df.select("*").checkpoint(eager=True)  # planned anew, under the setting
+    finally:
+        spark.conf.unset(_CLEAN) if before is None else spark.conf.set(_CLEAN, before)
 
 
 def broadcast_if_small(df: DataFrame, max_rows: int = 100_000) -> DataFrame:
