@@ -34,7 +34,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from kawara.llm import shingles
-from kawara.llm.common import documents, same, with_code
+from kawara.llm.common import documents, same, suspects, with_code
 from kawara.session import cut_lineage
 
 MIN_SENTENCES = 2
@@ -129,16 +129,17 @@ def places(docs: DataFrame, key: str, text: str) -> DataFrame:
 
 
 def _met(leaf: DataFrame) -> DataFrame:
-    """(row, hash, place, id, print, n_sentences) of all hashes that have more than one place."""
-    each = leaf.select("row", F.explode(F.arrays_zip("hash", "place")).alias("s")).select("row", "s.hash", "s.place")
+    """(row, id, hash, place) of all hashes that have more than one place."""
+    each = leaf.select("row", "id", F.explode(F.arrays_zip("hash", "place")).alias("s")).select("row", "id", "s.hash", "s.place")
     repeated = cut_lineage(each.groupBy("hash").agg(F.count(F.lit(1)).alias("k")).where("k > 1").select("hash"))
-    return cut_lineage(each.join(repeated, "hash").join(leaf.drop("hash", "place"), "row"))
+    maybe, _ = suspects(each, repeated, "hash")
+    return cut_lineage(maybe.join(repeated, "hash"))
 
 
 def _later(met: DataFrame) -> DataFrame:
     """The places of ``met`` but the first one of each hash, which is ``first``."""
     own = F.struct(F.col("id").isNull().alias("none"), "id", "row", "place")
-    first = cut_lineage(met.groupBy("hash").agg(F.min(own).alias("first")))
+    first = met.groupBy("hash").agg(F.min(own).alias("first"))
     return met.join(first, "hash").where((F.col("row") != F.col("first.row")) | (F.col("place") != F.col("first.place")))
 
 
@@ -159,13 +160,11 @@ def _open(late: DataFrame) -> DataFrame:
     return with_code(late.where(F.size("seeds") > 0).select("n_sentences", "cover", "seeds")).mapInPandas(run, "hash long").distinct()
 
 
-def _runs(docs: DataFrame, met: DataFrame, seen: DataFrame, key: str, text: str) -> DataFrame:
-    """(row, id, print, n_sentences, hash, place): the runs of words around all places of the seeds."""
+def _runs(docs: DataFrame, info: DataFrame, met: DataFrame, seen: DataFrame, key: str, text: str) -> DataFrame:
+    """(row, id, hash, place): the runs of words around all places of the seeds."""
     kind = met.schema["id"].dataType.simpleString()
-    at = met.where("place % 2 = 1").join(seen, "hash").groupBy("row", "id", "print", "n_sentences").agg(
-        F.collect_list(F.shiftright("place", 33)).alias("seeds")
-    )
-    both = _with_text(cut_lineage(at), docs, key, text)
+    at = met.where("place % 2 = 1").join(seen, "hash").groupBy("row").agg(F.collect_list(F.shiftright("place", 33)).alias("seeds"))
+    both = _with_text(cut_lineage(at.join(info, "row")), docs, key, text)
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         cache = shingles.WordHashes()
@@ -178,10 +177,10 @@ def _runs(docs: DataFrame, met: DataFrame, seen: DataFrame, key: str, text: str)
                     near[max(0, s - (LONG_WORDS - SEED)) : s + 1] = True
                 out.append((hashes[near], np.flatnonzero(near)))
             h, p = zip(*out) if out else ((),) * 2
-            yield b[["row", "id", "print", "n_sentences"]].assign(hash=h, place=p)
+            yield b[["row", "id"]].assign(hash=h, place=p)
 
-    rows = both.select("row", F.col("id").cast("string").alias("id"), "print", "n_sentences", "seeds", "text")
-    found = with_code(rows).mapInPandas(run, "row long, id string, print long, n_sentences int, hash array<long>, place array<long>")
+    rows = both.select("row", F.col("id").cast("string").alias("id"), "seeds", "text")
+    found = with_code(rows).mapInPandas(run, "row long, id string, hash array<long>, place array<long>")
     return found.withColumn("id", F.col("id").cast(kind))
 
 
@@ -194,31 +193,32 @@ def _with_text(rows: DataFrame, docs: DataFrame, key: str, text: str) -> DataFra
     """``rows`` with the text of their id and print, which is looked up once for each of them."""
     on, rows = ["_none", "_k", "_p"], _keyed(rows, "id", F.col("print"))
     have = _keyed(docs.select(F.col(key).alias("_key"), F.col(text).alias("text")), "_key", F.xxhash64("text")).drop("_key")
+    have, _ = suspects(have, rows, *on)
     have = have.join(rows.select(*on).distinct(), on, "left_semi").dropDuplicates(on)
     return rows.join(have, on)
 
 
 def removals(docs: DataFrame, leaf: DataFrame, key: str = "doc_id", text: str = "text", runs: bool = True) -> DataFrame:
     """(row, id, print, n_sentences, cover, runs, firsts): what each affected document loses, and to which ones."""
+    info, doc = cut_lineage(leaf.select("row", "id", "print", "n_sentences")), ["row", "id", "print", "n_sentences"]
     met = _met(leaf)
-    later, doc = _later(met), ["row", "id", "print", "n_sentences"]
     span = F.col("place") % 2 == 0
     cover = F.struct(F.shiftright("place", 25).cast("int").alias("at"), (F.shiftright("place", 1) % (1 << 24)).cast("int").alias("n"))
-    late = later.groupBy(*doc).agg(
+    late = _later(met).groupBy("row").agg(
         F.collect_list(F.when(span, cover)).alias("cover"), F.collect_list(F.when(~span, F.struct("hash", "place"))).alias("seeds"),
         F.collect_set(F.when(span, F.col("first.id"))).alias("firsts"),
     )
-    late = cut_lineage(late)
+    late = cut_lineage(late.join(info, "row").select(*doc, "cover", "seeds", "firsts"))
     spans_of = late.where(F.size("cover") > 0).drop("seeds")
     if not runs:
         return spans_of.withColumn("runs", F.expr("CAST(array() AS array<struct<at:int,n:int>>)"))
-    more = _later(_met(cut_lineage(_runs(docs, met, cut_lineage(_open(late)), key, text))))
+    more = _later(_met(cut_lineage(_runs(docs, info, met, cut_lineage(_open(late)), key, text))))
     # a run that overlaps its own first place leaves that place whole
     begin = F.when(F.col("row") == F.col("first.row"), F.greatest("place", F.col("first.place") + LONG_WORDS)).otherwise(F.col("place"))
-    more = more.groupBy(*doc).agg(
+    more = more.groupBy("row").agg(
         F.collect_list(F.struct(begin.cast("int").alias("at"), (F.col("place") + LONG_WORDS - begin).cast("int").alias("n"))).alias("runs"),
         F.collect_set("first.id").alias("firsts"),
-    )
+    ).join(info, "row")
     empty = F.expr("CAST(array() AS array<struct<at:int,n:int>>)")
     both = spans_of.withColumn("runs", empty).select(*doc, "cover", "runs", "firsts").union(
         more.withColumn("cover", empty).select(*doc, "cover", "runs", "firsts")
@@ -278,7 +278,7 @@ def everything(docs: DataFrame, key: str = "doc_id", text: str = "text", runs: b
     own = _ranked(own, twice, "id", "print", "row").select(
         F.col("id").alias("_i"), F.col("print").alias("_q"), F.col("_nth").alias("_m"), "n_sentences", "cover", "runs", "firsts"
     )
-    have = docs.select(F.struct(*docs.columns).alias("_row"), F.col(key).alias("_key"), F.xxhash64(text).alias("_p"))
+    have = docs.select(F.struct("*").alias("_row"), F.col(key).alias("_key"), F.xxhash64(text).alias("_p"))
     have = _ranked(have, twice, "_key", "_p", "_key")
     both = have.join(own, same(F.col("_key"), F.col("_i")) & (F.col("_p") == F.col("_q")) & (F.col("_nth") == F.col("_m")))
 
