@@ -113,6 +113,12 @@ def depth_of_rank(rank: Column) -> Column:
     return F.try_element_at(literal_map(model.RANK_NUMBER_DEPTH), rank.try_cast("int"))
 
 
+def depth_of_exact_rank(rank: Column) -> Column:
+    """Depth of a rank column: 2 and 2.0 are rank 2, 2.7 is no rank."""
+    n = number(rank)
+    return F.when(n == F.floor(n), depth_of_rank(n))
+
+
 def _entry_depth(e: Column) -> Column:
     def candidate(key):
         v = F.try_variant_get(e, f"$.{key}", "variant")
@@ -149,9 +155,9 @@ def with_depth(df: DataFrame, kind: str) -> DataFrame:
     elif "depth" in df.columns:
         depth = number(F.col("depth"))
     elif "depth_rank" in df.columns:
-        depth = depth_of_rank(F.col("depth_rank"))
+        depth = depth_of_exact_rank(F.col("depth_rank"))
     elif "rank" in df.columns:
-        depth = depth_of_rank(F.col("rank"))
+        depth = depth_of_exact_rank(F.col("rank"))
     else:
         depth = F.lit(None)
     return df.withColumn("depth_m", depth.cast("double"))

@@ -270,6 +270,24 @@ def bbox_overlap(df: DataFrame, x0: float, y0: float, x1: float, y1: float) -> D
     )
 
 
+def box_selection(df: DataFrame, x0: float, y0: float, x1: float, y1: float, edges: str = "edges") -> DataFrame:
+    """Rows whose polygon meets a box, borders included.
+
+    Stored bounds (``minx`` and so on), where the table has them, thin the scan out; the edges decide.
+    """
+    if {"minx", "miny", "maxx", "maxy"} <= set(df.columns):
+        df = bbox_overlap(df, x0, y0, x1, y1)
+    a, b, c, d = (g.num(v) for v in (x0, y0, x1, y1))
+    sides = ", ".join(g.side("e", x, y) for x in (a, c) for y in (b, d))
+    # an edge meets the box if its bounds do and its line does not leave all corners on one side
+    meets = (
+        f"exists({edges}, e -> least(e.x1, e.x2) <= {c} AND greatest(e.x1, e.x2) >= {a}"
+        f" AND least(e.y1, e.y2) <= {d} AND greatest(e.y1, e.y2) >= {b}"
+        f" AND least({sides}) <= 0D AND greatest({sides}) >= 0D)"
+    )
+    return df.where(F.expr(f"{meets} OR {g.inside_parity(edges, a, b)}"))
+
+
 def total_bounds(df: DataFrame) -> DataFrame:
     return df.agg(
         F.min("minx").alias("minx"), F.min("miny").alias("miny"),

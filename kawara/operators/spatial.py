@@ -226,7 +226,7 @@ def points_in_polygons(
     knows them already hands them in.
 
     Ids need not be unique: polygons of one id count as separate polygons. Of exact copies of a
-    large polygon one counts.
+    polygon one counts, whatever its size.
     """
     ids = list(dict.fromkeys([poly_id, *poly_cols]))
     pts = points.select(
@@ -250,7 +250,8 @@ def points_in_polygons(
             edges,
             F.when(F.size(es) > CHUNK, F.raise_error(F.lit("polygon too large for large=False"))).otherwise(es),
         ).where(F.size(edges) > 0)
-    m, f, keys = skew.salted(pts, _small_cells(polys, ids, cell, edges), ["cx", "cy"], own, hot)
+    once = polys.select(*ids, edges, F.xxhash64(edges).alias("_shape")).dropDuplicates([*ids, "_shape"])
+    m, f, keys = skew.salted(pts, _small_cells(once, ids, cell, edges), ["cx", "cy"], own, hot)
     small_hits = m.join(f, keys).where(inside & ~on_edge).select(*point_cols, *poly_cols)
     if not large:
         return small_hits

@@ -120,6 +120,22 @@ FROM (SELECT s_suppkey AS poly_id, frame, {KIND_OF} AS kind, 'src-' || CAST(s_su
                    s_suppkey % 1000003 AS m, (s_suppkey + 2) % 5 AS kind_no FROM supplier) a) b
 """
 
+# rings of some 600 vertices a supplier, one per line item, and the same ring again, smaller, as a hole
+_VERTEX = f"""
+SELECT h.poly_id, h.frame, v.i, h.cx, h.cy, h.w * v.r AS reach, {D(6.283185307179586)} * v.i / v.n AS turn
+FROM ({HAZARDS}) h JOIN (
+  SELECT l_suppkey, ROW_NUMBER() OVER (PARTITION BY l_suppkey ORDER BY l_orderkey, l_linenumber, l_quantity) - 1 AS i,
+         COUNT(*) OVER (PARTITION BY l_suppkey) AS n, {D(0.6)} + l_quantity / {D(125)} AS r
+  FROM lineitem) v ON h.poly_id = v.l_suppkey
+"""
+_NEXT = "COALESCE(LEAD({0}) OVER (PARTITION BY poly_id, ring ORDER BY i), FIRST_VALUE({0}) OVER (PARTITION BY poly_id, ring ORDER BY i))"
+MEGA_EDGES = f"""
+SELECT poly_id, frame, ring, i, x AS x1, y AS y1, {_NEXT.format('x')} AS x2, {_NEXT.format('y')} AS y2
+FROM (SELECT poly_id, frame, 0 AS ring, i, cx + reach * COS(turn) AS x, cy + reach * SIN(turn) AS y FROM ({_VERTEX}) a
+      UNION ALL
+      SELECT poly_id, frame, 1, i, cx + {D(0.3)} * reach * COS(turn), cy + {D(0.3)} * reach * SIN(turn) FROM ({_VERTEX}) b) c
+"""
+
 WARDS = f"""
 SELECT ward_seq, frame, LPAD(CAST(ward_seq AS STRING), 9, '0') AS ward_code,
        LPAD(CAST(frame * 5 + CAST(FLOOR(c / {D(2)}) AS BIGINT) AS STRING), 8, '0') AS city_code,
@@ -254,6 +270,16 @@ class Inputs:
         )
         return rows.withColumn("_shape", shapes).withColumn("edges", F.expr(scaled)).drop("_shape")
 
+    def mega(self) -> DataFrame:
+        """Hazards with rings of very many edges, each with a hole."""
+        return self._layer("mega", self._mega)
+
+    def _mega(self) -> DataFrame:
+        each = self.sql(MEGA_EDGES, "supplier", "lineitem")
+        rings = each.groupBy("poly_id").agg(F.sort_array(F.collect_list(F.struct("ring", "i", F.struct("x1", "y1", "x2", "y2").alias("e")))).alias("r"))
+        rows = self.sql(HAZARDS, "supplier").join(rings, "poly_id")
+        return rows.withColumn("edges", F.transform("r", lambda r: r.e)).drop("r")
+
     def extents(self) -> DataFrame:
         return self._layer("extents", lambda: self.boxed(self.sql(EXTENTS, "supplier")))
 

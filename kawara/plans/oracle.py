@@ -6,6 +6,8 @@ tables, unions of boxes are measured on a compressed lattice, components are a r
 
 from __future__ import annotations
 
+import re
+
 from kawara import model
 from kawara.functions.attributes import DECADE_BREAKS
 from kawara.plans import inputs as i
@@ -38,6 +40,19 @@ DEPTH = f"""CASE variant WHEN 0 THEN {_LABEL_DEPTH.format('n % 6')}
  WHEN 2 THEN {_case('n % 7', model.RANK_NUMBER_DEPTH)}
  ELSE CASE WHEN n % 3 = 2 THEN {_LABEL_DEPTH.format('n % 6')} END END"""
 
+
+
+def _edge_meets_box(e: str, x0: str, y0: str, x1: str, y1: str) -> str:
+    """Bounds meet, and the corners of the box do not all lie on one side of the edge's line."""
+    sides = ", ".join(
+        f"({e}.x2 - {e}.x1) * ({y} - {e}.y1) - ({x} - {e}.x1) * ({e}.y2 - {e}.y1)" for x in (x0, x1) for y in (y0, y1)
+    )
+    return (
+        f"(LEAST({e}.x1, {e}.x2) <= {x1} AND GREATEST({e}.x1, {e}.x2) >= {x0} AND LEAST({e}.y1, {e}.y2) <= {y1}"
+        f" AND GREATEST({e}.y1, {e}.y2) >= {y0} AND LEAST({sides}) <= 0 AND GREATEST({sides}) >= 0)"
+    )
+
+
 CTE = {
     "b": f"SELECT *, (x0 + x1) / {D(2)} AS px, (y0 + y1) / {D(2)} AS py FROM ({i.BUILDINGS}) z",
     "attrs": i.ATTRIBUTES,
@@ -55,6 +70,21 @@ CTE = {
     "hits": "SELECT b.building_uid, h.kind, h.source_id, h.depth_m FROM b JOIN haz_edges h ON b.frame = h.frame"
     " AND (h.y1 > b.py) <> (h.y2 > b.py) AND b.px < (h.x2 - h.x1) * (b.py - h.y1) / (h.y2 - h.y1) + h.x1"
     " GROUP BY b.building_uid, h.kind, h.source_id, h.depth_m, h.poly_id HAVING COUNT(*) % 2 = 1",
+    "mega_edges": f"SELECT e.*, h.kind, h.source_id, h.depth_m, 'm' || CAST(h.poly_id AS STRING) AS city_code"
+    f" FROM ({i.MEGA_EDGES}) e JOIN haz h ON e.poly_id = h.poly_id",
+    # no vertex lies farther from the middle than w
+    "mega_near": "SELECT b.*, h.poly_id FROM b JOIN haz h ON b.frame = h.frame AND b.x1 >= h.cx - h.w AND b.x0 <= h.cx + h.w"
+    " AND b.y1 >= h.cy - h.w AND b.y0 <= h.cy + h.w WHERE h.poly_id IN (SELECT poly_id FROM mega_edges)",
+    "mega_hits": "SELECT b.building_uid, h.kind, h.source_id, h.depth_m FROM mega_near b JOIN mega_edges h ON b.poly_id = h.poly_id"
+    " AND (h.y1 > b.py) <> (h.y2 > b.py) AND b.px < (h.x2 - h.x1) * (b.py - h.y1) / (h.y2 - h.y1) + h.x1"
+    " GROUP BY b.building_uid, h.kind, h.source_id, h.depth_m, h.poly_id HAVING COUNT(*) % 2 = 1",
+    "mega_met": "SELECT b.building_uid, b.gml_id, h.kind, h.source_id, h.depth_m, h.city_code FROM mega_near b JOIN mega_edges h"
+    " ON b.poly_id = h.poly_id GROUP BY ALL HAVING COUNT(*) FILTER ((h.y1 > b.y0) <> (h.y2 > b.y0)"
+    " AND b.x0 < (h.x2 - h.x1) * (b.y0 - h.y1) / (h.y2 - h.y1) + h.x1) % 2 = 1 OR BOOL_OR("
+    + _edge_meets_box("h", "b.x0", "b.y0", "b.x1", "b.y1")
+    + ")",
+    "ext_met": "SELECT b.building_uid, e.kind, e.source_id, e.confidence FROM b JOIN ext e"
+    " ON b.frame = e.frame AND b.x0 <= e.x1 AND b.x1 >= e.x0 AND b.y0 <= e.y1 AND b.y1 >= e.y0",
     "height_attrs": f"SELECT *, CASE WHEN measuredHeight > 0 THEN CAST(measuredHeight AS FLOAT) END AS height,"
     " TRY_CAST(yearOfConstruction AS INTEGER) AS year_built FROM attrs",
     "usages": "SELECT gml_id, COALESCE(CASE WHEN o IN (2, 3, 7) THEN "
@@ -104,6 +134,11 @@ _NEEDS = {
     "haz_edges": ["haz", "shapes"],
     "cov": ["b", "ext"],
     "hits": ["b", "haz_edges"],
+    "mega_edges": ["haz"],
+    "mega_near": ["b", "haz", "mega_edges"],
+    "mega_hits": ["mega_near", "mega_edges"],
+    "mega_met": ["mega_near", "mega_edges"],
+    "ext_met": ["b", "ext"],
     "height_attrs": ["attrs"],
     "usages": ["attrs", "b"],
     "structures": ["attrs"],
@@ -220,6 +255,34 @@ def _pivot(kind: str, limit: str) -> str:
     )
 
 
+def _mega(cov: str, hits: str) -> str:
+    cols = []
+    for k in model.HAZARD_KINDS:
+        value = f"{k}_in_zone" if k == model.ZONE_KIND else _r(f"{k}_depth_max", f"{k}_depth_max")
+        cols += [f"{k}_covered", value, f"{k}_hit_source_ids"]
+    built = _built(model.HAZARD_KINDS).replace("FROM cov ", f"FROM {cov} ").replace("FROM hits ", f"FROM {hits} ")
+    return _with(f"SELECT building_uid, {', '.join(cols)} FROM built", cov, hits, extra={"built": built})
+
+
+def _shapes_in_boxes() -> str:
+    """Area of a polygon inside a box: its edges' x, held within the box, summed along y."""
+    x = "(x1 + (y - y1) * (x2 - x1) / (y2 - y1))"
+    below = f"(CASE WHEN x <= lo THEN lo * (x - lo) WHEN x <= hi THEN (x * x - lo * lo) / 2 ELSE (hi * hi - lo * lo) / 2 + hi * (x - hi) END)"
+    xa, xb = x.replace("(y -", "(ya -"), x.replace("(y -", "(yb -")
+    mean = (
+        "CASE WHEN xa = xb THEN GREATEST(LEAST(xa, hi), lo) ELSE ("
+        + re.sub(r"\bx\b", "xb", below) + " - " + re.sub(r"\bx\b", "xa", below) + ") / (xb - xa) END"
+    )
+    return _with(
+        f"SELECT CAST(poly_id AS STRING) AS dataset_id, {_r('w * w * whole', 'hazard_area')}, {_r('w * w * held', 'contained_area')}, {_r('held / whole', 'ratio')}"
+        f" FROM (SELECT poly_id, w, SUM((y2 - y1) * (x1 + x2) / 2) AS whole, SUM(CASE WHEN ya <> yb THEN (yb - ya) * {mean} ELSE 0 END) AS held"
+        f" FROM (SELECT *, {xa} AS xa, {xb} AS xb FROM (SELECT poly_id, w, {D(-0.7)} AS lo, (poly_id % 5) * {D(0.2)} + {D(0.1)} AS hi,"
+        " fx1 AS x1, fy1 AS y1, fx2 AS x2, fy2 AS y2, GREATEST(LEAST(fy1, 0.85), -0.45) AS ya, GREATEST(LEAST(fy2, 0.85), -0.45) AS yb"
+        " FROM haz h JOIN shapes s ON h.shape = s.shape) e) f GROUP BY poly_id, w) g",
+        "haz", "shapes",
+    )
+
+
 def _polygon_mode() -> str:
     """Box against polygon: a corner inside, a vertex inside the box, or edges that meet."""
     def turn(ax, ay, bx, by, cx, cy):
@@ -460,6 +523,16 @@ SQL = {
         "cov",
     ),
     "polygon_mode_join": _polygon_mode(),
+    "mega_hazard_join": _mega("cov", "mega_hits"),
+    "mega_polygon_mode": _mega("ext_met", "mega_met"),
+    "mega_clip": _with("SELECT gml_id, city_code FROM mega_met", "mega_met"),
+    "box_selection": _with(
+        "SELECT e.poly_id, h.shape FROM haz_edges e JOIN haz h ON e.poly_id = h.poly_id GROUP BY ALL HAVING BOOL_OR("
+        + _edge_meets_box("e", "20", "20", "60", "55")
+        + ") OR COUNT(*) FILTER ((e.y1 > 20) <> (e.y2 > 20) AND 20 < (e.x2 - e.x1) * (20 - e.y1) / (e.y2 - e.y1) + e.x1) % 2 = 1",
+        "haz_edges",
+    ),
+    "containment_shapes": _shapes_in_boxes(),
     "clip_to_admin": _with(
         "SELECT gml_id, c.city_code FROM b JOIN cities c ON b.frame = c.frame AND b.x0 <= c.x1 AND b.x1 >= c.x0 AND b.y0 <= c.y1 AND b.y1 >= c.y0",
         "b", "cities",

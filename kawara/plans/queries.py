@@ -30,6 +30,7 @@ from kawara.sources import geojson, metadata, registry
 
 CELL = 2.0
 EPS = 0.005
+BOX = (20.0, 20.0, 60.0, 55.0)
 REGISTRY = {}
 
 
@@ -323,6 +324,57 @@ def polygon_mode_join(t):
     return b.select("building_uid", "river_flood_covered", _dbl("river_flood_depth_max"))
 
 
+def _mega_layers(t):
+    h = t.mega().withColumn("depth_m", at.risk_attribute_depth(F.col("floodingRiskAttribute")))
+    return t.extents(), h.withColumn("in_zone", F.col("kind") == model.ZONE_KIND)
+
+
+def _all_kinds(b):
+    """Covered, value and sources of the hits of all kinds."""
+    cols = []
+    for k in model.HAZARD_KINDS:
+        value = model.hazard_value_column(k)
+        cols += [f"{k}_covered", F.col(value) if k == model.ZONE_KIND else _dbl(value), f"{k}_hit_source_ids"]
+    return b.select("building_uid", *cols)
+
+
+@query
+def mega_hazard_join(t):
+    ext, haz = _mega_layers(t)
+    return _all_kinds(coverage.apply_hazards(located(t), ext, haz, cell=CELL, large=True))
+
+
+@query
+def mega_polygon_mode(t):
+    ext, haz = _mega_layers(t)
+    return _all_kinds(coverage.apply_hazards(t.footprints(), ext, haz, cell=CELL, mode="polygon", large=True))
+
+
+@query
+def mega_clip(t):
+    cities = t.mega().select(F.concat(F.lit("m"), F.col("poly_id").cast("string")).alias("city_code"), "edges")
+    return coverage.clip_to_boundary(t.footprints(), cities, cell=CELL, large=True).select("gml_id", "city_code")
+
+
+@query
+def box_selection(t):
+    """Triangles, L-shapes and boxes with holes that meet a box; their bounds alone would give more."""
+    return coverage.box_selection(t.hazards(), *BOX).select("poly_id", "shape")
+
+
+@query
+def containment_shapes(t):
+    h = t.hazards().withColumn("dataset_id", F.col("poly_id").cast("string"))
+    x1 = F.col("cx") + (F.col("poly_id") % 5 * 0.2 + 0.1) * F.col("w")
+    box = h.select(
+        "dataset_id", "poly_id", (F.col("cx") - 0.7 * F.col("w")).alias("x0"), (F.col("cy") - 0.45 * F.col("w")).alias("y0"),
+        x1.alias("x1"), (F.col("cy") + 0.85 * F.col("w")).alias("y1"),
+    )
+    return containment.containment_ratio(t.boxed(box), h, cell=4.0).select(
+        "dataset_id", _dbl("hazard_area"), _dbl("contained_area"), _dbl("ratio")
+    )
+
+
 @query
 def clip_to_admin(t):
     return coverage.clip_to_boundary(t.footprints(), t.cities(), cell=CELL, large=False).select("gml_id", "city_code")

@@ -108,3 +108,9 @@ def test_bands(make):
     assert _col(make, [None, 1980, 1981, 2000], at.age_band, "int") == ["unknown", "<1981", "1981-1999", ">=2000"]
     assert _col(make, [1949, 1980, 1981, 2020], at.decade_band, "int") == ["<1950", "1970-1980", "1981-1989", ">=2020"]
     assert _col(make, [None, -5.0, 30.0, 99.0], lambda c: at.ramp_position(c, 0, 60), "double") == [None, 0.0, 3.5, 7.0]
+
+
+def test_rank_columns_take_whole_numbers_only(make):
+    df = make([("2", None), ("2.0", None), ("2.7", None), ("x", None), (None, None)], "depth_rank string, x int")
+    got = [r.depth_m for r in at.with_depth(df, "river_flood").collect()]
+    assert got == [3.0, 3.0, None, None, None]

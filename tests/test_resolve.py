@@ -136,3 +136,43 @@ def test_polygons_of_one_id_do_not_cancel_out(make):
         for cell in (1.7, 30.0):
             assert _ratio(make, ext, haz, cell)["d"][2] == pytest.approx(1.0)
             assert _ratio(make, ext[:1], haz, cell)["d"][2] == pytest.approx(1.0)
+
+
+def _teeth(n, x=0.0, w=1.0, h=1.0, ox=0.0, oy=0.0):
+    """A comb with n narrow teeth: many edges side by side in one cell."""
+    pts = [(x, -0.2)]
+    for i in range(n):
+        pts += [(x + w * i / n, 0.0), (x + w * (i + 0.5) / n, h * (0.5 + (i * 7 % 11) / 22))]
+    pts += [(x + w, 0.0), (x + w, -0.2)]
+    return shapes.ring([(a + ox, b + oy) for a, b in pts])
+
+
+def _area(edges):
+    return abs(sum((y2 - y1) * (x1 + x2) / 2 for x1, y1, x2, y2 in edges))
+
+
+def test_crowded_cells_are_cut_finer(make):
+    comb = _teeth(60, ox=0.013, oy=0.31)  # at a cell of 0.1 an edge runs through a corner of the grid
+    hole = comb + shapes.box(0.2, 0.15, 0.6, 0.25)
+    ext = [("comb", "e", shapes.box(-1, -1, 2, 2)), ("half", "e", shapes.box(-1, -1, 0.513, 2)), ("hole", "e", comb)]
+    haz = [("comb", "h", comb), ("half", "h", comb), ("hole", "h", hole)]
+    coarse, fine = _ratio(make, ext, haz, 16.0), _ratio(make, ext, haz, 0.1)
+    for k in fine:
+        assert coarse[k] == pytest.approx(fine[k], rel=1e-9), k
+    assert coarse["comb"] == pytest.approx((_area(comb), _area(comb), 1.0))
+    assert coarse["hole"][2] == pytest.approx(1.0)
+
+
+def test_work_of_a_crowded_cell_is_linear(make):
+    """Pairs of edges that share a final cell, which is what the work grows with."""
+
+    def pairs(n):
+        around = [2 * math.pi * i / n for i in range(n)]
+        ring = shapes.ring([(4 + (1 + 0.3 * math.cos(5 * a)) * math.cos(a), 4 + (1 + 0.3 * math.cos(5 * a)) * math.sin(a)) for a in around])
+        df = make([("d", "h", "p", ring)], f"dataset_id string, role string, pid string, edges {shapes.EDGES}")
+        _, edges = containment._local_edges(df, "dataset_id", 8.0)
+        per_cell = edges.groupBy("sz", "cx", "cy").count().collect()
+        assert max(r["count"] for r in per_cell) <= containment.CROWDED
+        return sum(r["count"] ** 2 for r in per_cell)
+
+    assert pairs(1_920) < 2.5 * pairs(960)

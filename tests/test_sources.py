@@ -122,8 +122,8 @@ META = """<?xml version="1.0" encoding="utf-8"?>
   <keyword>乙川流域浸水予想区域図 平成26年4月</keyword>
   <keyword>甲川水系甲川洪水浸水想定区域図（平成29年7月20日）某局</keyword><type>005</type></MD_Keywords>
 </descriptiveKeywords>
-<extent><geographicElement><EX_GeographicBoundingBox><westBoundLongitude>138.943002</westBoundLongitude>
-<eastBoundLongitude>139.925</eastBoundLongitude><southBoundLatitude>35.5</southBoundLatitude><northBoundLatitude>35.9</northBoundLatitude>
+<extent><geographicElement><EX_GeographicBoundingBox><westBoundLongitude>138.75</westBoundLongitude>
+<eastBoundLongitude>139.5</eastBoundLongitude><southBoundLatitude>35.5</southBoundLatitude><northBoundLatitude>35.9</northBoundLatitude>
 </EX_GeographicBoundingBox></geographicElement></extent>
 </MD_DataIdentification></identificationInfo></MD_Metadata>
 """
@@ -138,13 +138,13 @@ def test_metadata_documents(spark, tmp_path, make):
     rows = meta.collect()
     assert len(rows) == 1
     assert rows[0].title == "洪水モデル_op"
-    assert (rows[0].bbox.west, rows[0].bbox.east) == (138.943002, 139.925)
+    assert (rows[0].bbox.west, rows[0].bbox.east) == (138.75, 139.5)
     assert rows[0].source_documents == [
         "甲川水系甲川洪水浸水想定区域図（平成29年7月20日）某局",
         "乙川流域浸水予想区域図 平成26年4月",
     ]
     assert [r.document[:2] for r in metadata.documents(meta, "d").orderBy("seq").collect()] == ["甲川", "乙川"]
-    no_side = META.replace("<eastBoundLongitude>139.925</eastBoundLongitude>", "")
+    no_side = META.replace("<eastBoundLongitude>139.5</eastBoundLongitude>", "")
     text = make([(1, META.split("\n", 1)[1]), (2, no_side.split("\n", 1)[1])], "n int, doc string")
     got = {r.n: r.bbox for r in metadata.metadata_of_text(text, "doc", ("n",)).collect()}
     assert got[1] is not None and got[2] is None

@@ -1,8 +1,11 @@
+import math
 import random
 
 import pytest
+from pyspark.sql import functions as F
 
-from kawara.operators import spatial
+from kawara.functions import geometry as g
+from kawara.operators import coverage, spatial
 from tests import shapes
 
 
@@ -123,3 +126,26 @@ def test_polygons_of_one_id_count_apart(make):
         got = spatial.points_in_polygons(pts, pol, cell=1.5, point_cols=["pid"], poly_cols=["poly_id"])
         expected = _expected(points, [("same", a), ("same", b)])
         assert {(r.pid, r.poly_id) for r in got.collect()} == expected
+
+
+@pytest.mark.parametrize("n", [8, 100])
+def test_copies_count_once_whatever_their_size(make, n):
+    ring = shapes.ring([(math.cos(2 * math.pi * i / n), math.sin(2 * math.pi * i / n)) for i in range(n)])
+    polys = make([("p", ring), ("p", ring), ("q", ring)], f"poly_id string, edges {shapes.EDGES}")
+    hits = spatial.points_in_polygons(
+        make([(1, 0.1, 0.2)], "k long, px double, py double"), polys, cell=0.5, point_cols=["k"], poly_cols=["poly_id"]
+    )
+    assert sorted(r.poly_id for r in hits.collect()) == ["p", "q"]
+
+
+def test_box_selection_looks_at_edges(make):
+    rng = random.Random(11)
+    rows = [(i, shapes.star(rng.uniform(0, 10), rng.uniform(0, 10), rng.uniform(0.2, 2), rng.randint(3, 9), rng)) for i in range(300)]
+    rows += [(300, shapes.ring([(2, 8), (2, 2), (8, 2), (2.5, 2.5)])), (301, shapes.box(-50, -50, 50, 50)), (302, shapes.box(6, 1, 7, 4.0)), (303, [])]
+    df = make(rows, f"k long, edges {shapes.EDGES}")
+    box = (4.0, 4.0, 7.0, 6.5)
+    got = {r.k for r in coverage.box_selection(df, *box).collect()}
+    assert got == {k for k, es in rows if es and shapes.distance(es, shapes.box(*box)) == 0.0}
+    assert 300 not in got and {301, 302} <= got
+    bounds = df.withColumns(g.bbox(F.col("edges")))
+    assert {r.k for r in coverage.box_selection(bounds, *box).collect()} == got
