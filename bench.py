@@ -25,7 +25,7 @@ FROM_TABLES = [
     "honesty_pivot", "coverage_join", "hazard_join", "polygon_mode_join", "clip_to_admin",
     "zoning_backfill", "ward_counts", "complexes", "containment_ratio", "canonical_tile_key",
     "height_backfill", "tile_index_total", "structure_map", "field_coverage", "diff_hazard_deltas",
-    "coverage_stats", "verify_findings",
+    "coverage_stats", "verify_findings", "mega_hazard_join", "mega_clip",
 ]
 
 
