@@ -25,6 +25,7 @@ from __future__ import annotations
 
 import re
 from collections.abc import Iterator
+from itertools import accumulate
 
 import numpy as np
 import pandas as pd
@@ -42,7 +43,8 @@ MIN_WORDS = 20
 LONG_WORDS = 50
 SEED = 12
 _WORD = re.compile(r"[^\x20\x09-\x0D]+")
-_BREAK = re.compile(r"(?:(?<=[.!?])[^\S\n]+|(?<=[。！？])|\s*\n\s*)")
+_BREAK = re.compile(r"[.!?][^\S\n]+|[。！？]|\n\s*")  # every way starts with one of few characters: fast to search
+_SLICE = 200_000  # words hashed together
 
 
 def sentences(text: str | None) -> list[str]:
@@ -55,10 +57,9 @@ def sentences(text: str | None) -> list[str]:
     return out + ([text[at:]] if text and at < len(text) else [])
 
 
-def spans(parts: list[str]) -> list[tuple[int, int, int]]:
-    """(hash, first sentence, number of sentences) of every span."""
-    words = [shingles.words_of(s) for s in parts]
-    ends, n, j, out = np.cumsum([len(w) for w in words]).tolist(), len(parts), 0, []
+def spans(words: list[list[bytes]]) -> list[tuple[int, int, int]]:
+    """(hash, first sentence, number of sentences) of every span; ``words`` are those of each sentence."""
+    ends, n, j, out = list(accumulate(map(len, words))), len(words), 0, []
     flat = [w for ws in words for w in ws]
     for i in range(n):
         before = ends[i - 1] if i else 0
@@ -79,19 +80,60 @@ def spans(parts: list[str]) -> list[tuple[int, int, int]]:
     return out
 
 
-def seeds(hashes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Word numbers of the smallest run of ``SEED`` words of every ``LONG_WORDS`` words; all runs."""
+def _least(runs: np.ndarray, width: int) -> np.ndarray:
+    """Place of the smallest of every ``width`` values, the first one of equals, by doubling the reach."""
+    value, at, reach = runs, np.arange(len(runs)), 1
+    while reach < width:
+        step = min(reach, width - reach)
+        later = value[step:] < value[:-step]
+        value, at, reach = np.where(later, value[step:], value[:-step]), np.where(later, at[step:], at[:-step]), reach + step
+    return at
+
+
+def seeds(hashes: np.ndarray, lengths: list[int]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(document, word number, hash) of the smallest run of ``SEED`` words of every ``LONG_WORDS`` words.
+
+    ``hashes`` are the words of several documents after each other, ``lengths`` how many each has.
+    """
     runs, width = shingles.rolling(hashes, SEED), LONG_WORDS - SEED + 1
     if len(runs) < width:
-        return np.empty(0, np.int64), runs.view(np.int64)
-    least = np.lib.stride_tricks.sliding_window_view(runs, width).argmin(axis=1)
-    return np.unique(least + np.arange(len(least))), runs.view(np.int64)
+        return (np.empty(0, np.int64),) * 3
+    ends = np.cumsum(lengths)
+    least = _least(runs, width)
+    of = np.searchsorted(ends, np.arange(len(least)), side="right")
+    inside = np.arange(len(least)) + LONG_WORDS <= ends[of]  # the words around it are of one document
+    at = np.unique(least[inside])
+    of = np.searchsorted(ends, at, side="right")
+    return of, at - (ends[of] - np.asarray(lengths)[of]), runs[at].view(np.int64)
+
 
+def _words(parts: list[str]) -> list[list[bytes]]:
+    return [shingles.words_of(s) for s in parts]
 
-def _flat(parts: list[str]) -> tuple[list[bytes], np.ndarray]:
+
+def _flat(words: list[list[bytes]]) -> tuple[list[bytes], np.ndarray]:
     """The words of all sentences, and the sentence of each."""
-    words = [shingles.words_of(s) for s in parts]
-    return [w for ws in words for w in ws], np.repeat(np.arange(len(parts)), [len(w) for w in words])
+    return [w for ws in words for w in ws], np.repeat(np.arange(len(words)), [len(w) for w in words])
+
+
+def _places_of(texts: list[str | None], cache: shingles.WordHashes) -> Iterator[tuple[int, list[int], list[int]]]:
+    """(number of sentences, hashes, places) of each text, together far fewer words than a batch may hold."""
+    each = [_words(sentences(t)) for t in texts]
+    flat = [_flat(words) for words in each]
+    hashes = np.concatenate([shingles.word_hashes(words, cache) for words, _ in flat])
+    of, at, runs = seeds(hashes, [len(words) for words, _ in flat])
+    cuts = np.searchsorted(of, np.arange(len(each) + 1))
+    for d, (words, (all_words, sentence)) in enumerate(zip(each, flat)):
+        found = spans(words)
+        # one number, spans even and seeds odd, in the order of the text: this table is the largest
+        one, packed = [h for h, _, _ in found], [(i << 24 | n) << 1 for _, i, n in found]
+        own = at[cuts[d] : cuts[d + 1]]
+        if len(own):
+            low = sentence[np.maximum(own - (LONG_WORDS - SEED), 0)]
+            n = sentence[np.minimum(own + LONG_WORDS, len(all_words)) - 1] - low + 1  # sentences that a run around it meets
+            one += runs[cuts[d] : cuts[d + 1]].tolist()
+            packed += ((own << 32 | low << 8 | n) << 1 | 1).tolist()
+        yield len(words), one, packed
 
 
 def places(docs: DataFrame, key: str, text: str) -> DataFrame:
@@ -101,19 +143,14 @@ def places(docs: DataFrame, key: str, text: str) -> DataFrame:
     def cut(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         cache = shingles.WordHashes()
         for b in batches:
-            out = []
+            out, some, size = [], [], 0
             for t in b["text"]:
-                parts = sentences(t)
-                found = spans(parts)
-                # one number, spans even and seeds odd, in the order of the text: this table is the largest
-                hashes, packed = [h for h, _, _ in found], [(i << 24 | n) << 1 for _, i, n in found]
-                words, of = _flat(parts)
-                at, runs = seeds(shingles.word_hashes(words, cache))
-                low = of[np.maximum(at - (LONG_WORDS - SEED), 0)]
-                n = of[np.minimum(at + LONG_WORDS, len(words)) - 1] - low + 1  # sentences that a run around it meets
-                hashes += runs[at].tolist()
-                packed += ((at << 32 | low << 8 | n) << 1 | 1).tolist()
-                out.append((len(parts), hashes, packed))
+                some.append(t)
+                size += len(t or "") // 5
+                if size >= _SLICE:
+                    out += _places_of(some, cache)
+                    some, size = [], 0
+            out += _places_of(some, cache) if some else []
             n, h, p = zip(*out) if out else ((),) * 3
             yield pd.DataFrame({"row": b["row"], "id": b["id"], "print": b["print"], "n_sentences": n, "hash": h, "place": p})
 
@@ -171,7 +208,7 @@ def _runs(docs: DataFrame, info: DataFrame, met: DataFrame, seen: DataFrame, key
         for b in batches:
             out = []
             for t, own in zip(b["text"], b["seeds"]):
-                hashes = shingles.rolling(shingles.word_hashes(_flat(sentences(t))[0], cache), LONG_WORDS).view(np.int64)
+                hashes = shingles.rolling(shingles.word_hashes(_flat(_words(sentences(t)))[0], cache), LONG_WORDS).view(np.int64)
                 near = np.zeros(len(hashes), bool)
                 for s in own:
                     near[max(0, s - (LONG_WORDS - SEED)) : s + 1] = True
@@ -241,7 +278,7 @@ def without(text: str, cover, runs) -> tuple[str, int, int, list[dict]]:
     parts = sentences(text)
     starts = np.cumsum([0, *map(len, parts)]).tolist()
     at = [b + m.start() for b, p in zip(starts, parts) for m in _WORD.finditer(p)] + [len(text)]
-    of = _flat(parts)[1]
+    of = _flat(_words(parts))[1]
     gone, lost = _covered(cover, len(parts)), _covered(runs, len(of))
     mask = np.repeat(gone, [len(p) for p in parts])
     for i in np.flatnonzero(lost):
@@ -274,26 +311,33 @@ def everything(docs: DataFrame, key: str = "doc_id", text: str = "text", runs: b
     lost = cut_lineage(removals(docs, leaf, key, text, runs))
     twice = cut_lineage(leaf.groupBy("id", "print").agg(F.count(F.lit(1)).alias("k")).where("k > 1"))
     twice = None if twice.isEmpty() else twice
-    own = leaf.select("row", "id", "print", "n_sentences").join(lost.select("row", "cover", "runs", "firsts"), "row", "left")
-    own = _ranked(own, twice, "id", "print", "row").select(
-        F.col("id").alias("_i"), F.col("print").alias("_q"), F.col("_nth").alias("_m"), "n_sentences", "cover", "runs", "firsts"
-    )
+    own = _ranked(leaf.select("row", "id", "print"), twice, "id", "print", "row") if twice is not None else None
+    own = lost.withColumn("_nth", F.lit(1)) if own is None else lost.join(own.select("row", "_nth"), "row")
+    own = own.select(F.col("id").alias("_i"), F.col("print").alias("_q"), F.col("_nth").alias("_m"), "cover", "runs", "firsts")
     have = docs.select(F.struct("*").alias("_row"), F.col(key).alias("_key"), F.xxhash64(text).alias("_p"))
-    have = _ranked(have, twice, "_key", "_p", "_key")
-    both = have.join(own, same(F.col("_key"), F.col("_i")) & (F.col("_p") == F.col("_q")) & (F.col("_nth") == F.col("_m")))
-
-    @F.pandas_udf("text string, n_removed long, words_removed long, removed array<struct<start:long,length:long>>")
+    # most documents lose nothing: they are not dealt out
+    maybe, stay = suspects(have, own.select(F.col("_i").alias("_key"), F.col("_q").alias("_p")), "_key", "_p")
+    maybe = _ranked(maybe, twice, "_key", "_p", "_key")
+    met = maybe.join(own, same(F.col("_key"), F.col("_i")) & (F.col("_p") == F.col("_q")) & (F.col("_nth") == F.col("_m")), "left")
+    kinds = {f.name: F.lit(None).cast(f.dataType).alias(f.name) for f in own.schema}
+    taken = ["cover", "runs", "firsts"]
+    both = met.select("_row", *taken).union(stay.select("_row", *[kinds[c] for c in taken]))
+
+    @F.pandas_udf("text string, n_sentences long, n_removed long, words_removed long, removed array<struct<start:long,length:long>>")
     def cut(text: pd.Series, cover: pd.Series, runs: pd.Series) -> pd.DataFrame:
-        out = [(None, 0, 0, []) if t is None else without(t, c, r) for t, c, r in zip(text, cover, runs)]
-        return pd.DataFrame(out, columns=["text", "n_removed", "words_removed", "removed"])
+        out = [
+            (None, len(sentences(t)), 0, 0, []) if c is None else ((w := without(t, c, r))[0], len(sentences(t)), *w[1:])
+            for t, c, r in zip(text, cover, runs)
+        ]
+        return pd.DataFrame(out, columns=["text", "n_sentences", "n_removed", "words_removed", "removed"])
 
-    changed = F.col("cover").isNotNull()
+    lost_some = F.col("cover").isNotNull()
     given = F.col("_row").getField(text)
-    each = with_code(both).select("_row", changed.alias("_lost"), "n_sentences", "firsts", cut(F.when(changed, given), "cover", "runs").alias("_cut"))
+    each = with_code(both).select("_row", lost_some.alias("_lost"), "firsts", cut(given, "cover", "runs").alias("_cut"))
     return each.select(
         "_row", "_lost",
         F.struct(
-            F.col("n_sentences").cast("long").alias("n_sentences"), "_cut.n_removed", "_cut.words_removed", "_cut.removed",
+            "_cut.n_sentences", "_cut.n_removed", "_cut.words_removed", "_cut.removed",
             F.coalesce("firsts", F.expr(f"CAST(array() AS array<{docs.schema[key].dataType.simpleString()}>)")).alias("first_doc_ids"),
             F.when(F.col("_lost"), F.col("_cut.text")).otherwise(given).alias("text"),
         ).alias("_cut"),
