@@ -34,11 +34,6 @@ def uid_parts(uid: Column) -> Column:
     ).otherwise(F.raise_error(F.concat(F.lit("not a building uid: "), uid)))
 
 
-def gml_id_or_content_hash(gml_id: Column, edges: Column) -> Column:
-    """A missing id is replaced by a hash of the footprint; row numbers would not be stable."""
-    return F.coalesce(gml_id, F.concat(F.lit("synth_"), F.hex(F.xxhash64(edges))))
-
-
 def id_list(ids: Column) -> Column:
     """Array of ids -> sorted, distinct, comma-joined text for the public table."""
     kept = F.filter(ids, lambda i: i.isNotNull() & (i != ""))

@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from kawara.functions import geometry as g
+from kawara.operators import selection
 
 
 def latest_per(df: DataFrame, key: str, *order: str) -> DataFrame:
@@ -62,13 +63,10 @@ def top_categories(df: DataFrame, col: str, k: int = 8) -> DataFrame:
 def spread(df: DataFrame, col: str, *, exact: bool = True, accuracy: int = 10_000) -> DataFrame:
     """Median and the 1 %, 99 % points with linear interpolation.
 
-    ``exact`` keeps a map of the distinct values per task; set it off for columns with very
-    many of them and take the approximate percentiles instead.
+    ``exact`` selects the ranks in ranges of values; without it one sketch per task does.
     """
-    if exact:
-        p = F.percentile(col, F.array(F.lit(0.01), F.lit(0.5), F.lit(0.99)))
-    else:
-        p = F.percentile_approx(col, [0.01, 0.5, 0.99], accuracy)
-    return df.agg(p.alias("p")).select(
+    shares = [0.01, 0.5, 0.99]
+    found = selection.exact_percentiles(df, col, shares) if exact else df.agg(F.percentile_approx(col, shares, accuracy).alias("p"))
+    return found.select(
         F.col("p")[0].alias("p01"), F.col("p")[1].alias("median"), F.col("p")[2].alias("p99")
     )

@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from kawara import model
 from kawara.functions import ids
-from kawara.operators import components, coverage, normalise, tiles
+from kawara.operators import components, coverage, identity, normalise, tiles
 
 
 def build_buildings(
@@ -36,7 +36,7 @@ def build_buildings(
     buildings are clipped to the cities they meet and carry their codes; otherwise all belong
     to ``city_code``. Without ``extents`` every hazard is unknown.
     """
-    df = footprints.withColumn("gml_id", ids.gml_id_or_content_hash(F.col("gml_id"), F.col("edges")))
+    df = identity.fill_missing_ids(footprints)
     if admin is not None:
         df = coverage.clip_to_boundary(df, admin, cell=cell, large=large)
     elif city_code is not None:

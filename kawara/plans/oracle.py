@@ -466,6 +466,14 @@ SQL = {
         + " FROM height_attrs",
         "height_attrs",
     ),
+    "price_percentiles": "SELECT d.decile, "
+    + _r("(SELECT QUANTILE_CONT(CAST(l_extendedprice AS DOUBLE), [0, 0.1, 0.2, 0.3, 0.4, 0.5, 0.6, 0.7, 0.8, 0.9, 1]) FROM lineitem)[d.decile + 1]", "price", 4)
+    + " FROM (SELECT UNNEST(RANGE(11)) AS decile) d",
+    "missing_ids": (
+        "SELECT CAST(l_partkey AS DOUBLE) AS x0, CAST(l_suppkey AS DOUBLE) AS y0, COUNT(*) AS n_rows,"
+        " COUNT(*) FILTER (l_linenumber <> 1) AS n_made, COUNT(*) FILTER (l_linenumber <> 1) AS n_ids,"
+        " NULLIF(COUNT(*) FILTER (l_linenumber <> 1), 0) AS last_number FROM lineitem GROUP BY 1, 2"
+    ),
     "top_usage": _with("SELECT usage, COUNT(*) AS n FROM usages GROUP BY 1 ORDER BY 2 DESC, 1 LIMIT 8", "usages"),
     "field_coverage": _with(
         " UNION ALL ".join(

@@ -16,10 +16,12 @@ from kawara.operators import (
     containment,
     coverage,
     diff,
+    identity,
     normalise,
     proximity,
     quality,
     resolve,
+    selection,
     spatial,
     tiles,
 )
@@ -228,6 +230,31 @@ def height_percentiles(t):
     return catalog.spread(t.attributes().select(h.alias("h")), "h").select(_dbl("p01"), _dbl("median"), _dbl("p99"))
 
 
+@query
+def price_percentiles(t):
+    """Deciles of a column with very many different values."""
+    p = selection.exact_percentiles(t.table("lineitem"), "l_extendedprice", [i / 10 for i in range(11)])
+    return p.select(F.posexplode("p").alias("decile", "price")).select(F.col("decile").cast("bigint").alias("decile"), _dbl("price", 4))
+
+
+@query
+def missing_ids(t):
+    """Footprints of the line items of a part and supplier, most of them without an id: rows and ids of each."""
+    rows = t.boxed(
+        t.table("lineitem").select(
+            F.when(F.col("l_linenumber") == 1, F.concat(F.lit("l"), F.col("l_orderkey").cast("string"))).alias("gml_id"),
+            F.col("l_quantity").cast("double").alias("quantity"), F.col("l_partkey").cast("double").alias("x0"),
+            F.col("l_suppkey").cast("double").alias("y0"), (F.col("l_partkey") + 1).cast("double").alias("x1"),
+            (F.col("l_suppkey") + 1).cast("double").alias("y1"),
+        )
+    )
+    made = F.col("gml_id").startswith("synth_")
+    return identity.fill_missing_ids(rows).groupBy("x0", "y0").agg(
+        F.count(F.lit(1)).alias("n_rows"), F.count_if(made).alias("n_made"), F.count_distinct(F.when(made, F.col("gml_id"))).alias("n_ids"),
+        F.max(F.when(made, F.coalesce(F.regexp_extract("gml_id", "-([0-9]+)$", 1).try_cast("bigint"), F.lit(1)))).alias("last_number"),
+    )
+
+
 @query
 def top_usage(t):
     return catalog.top_categories(t.attributes().select(at.usage(F.col("usage")).alias("usage")), "usage")

@@ -85,25 +85,53 @@ def replace_buildings(df: DataFrame, path: str, *, cell: float = 0.005) -> None:
         fs.delete(old_p, True)
 
 
-def write_style_tables(rows: DataFrame, path: str) -> None:
-    """One folder of attribute rows per tile; rows without a tile are dropped.
+#: The folder of the table without rows that stands for every empty tile; readers of the whole skip it.
+EMPTY_STYLE = "_empty"
 
-    A tile's rows come together in one task unless there are very many; ``tile_content_uri``
-    is the partition column, so the file itself does not repeat it.
+
+def write_style_tables(rows: DataFrame, path: str, block: int = 100_000) -> None:
+    """One folder of attribute rows per tile, and one empty table; rows without a tile are dropped.
+
+    ``tile_content_uri`` is the partition column, so the file itself does not repeat it. A tile of more
+    than ``block`` features is written by several tasks, a file for each block of feature ids.
     """
+    part = F.floor(F.coalesce("tile_feature_id", F.lit(0)) / block)
     (
         rows.where(F.col("tile_content_uri").isNotNull())
-        .repartition("tile_content_uri")
+        .repartition("tile_content_uri", part)
         .sortWithinPartitions("tile_content_uri", "tile_feature_id")
         .write.mode("overwrite")
         .partitionBy("tile_content_uri")
         .parquet(path)
     )
+    rows.drop("tile_content_uri").limit(0).write.mode("overwrite").parquet(f"{path}/{EMPTY_STYLE}")
+
+
+def stored_tiles(spark: SparkSession, path: str) -> DataFrame:
+    """(tile_content_uri, style_path, n_rows) of the tables that ``write_style_tables`` put there.
+
+    Paths are the folders as they are, relative to ``path``; only footers and names are read.
+    """
+    rows = spark.read.schema("tile_feature_id int, tile_content_uri string").parquet(path)
+    folder = F.regexp_extract(F.col("_metadata.file_path"), "([^/]+)/[^/]+$", 1)  # a URI: its own escapes go, those of the name stay
+    named = rows.select("tile_content_uri", F.url_decode(F.regexp_replace(folder, r"\+", "%2B")).alias("style_path"))
+    return named.groupBy("tile_content_uri", "style_path").agg(F.count(F.lit(1)).alias("n_rows"))
 
 
-def write_tile_index(contents: DataFrame, rows: DataFrame, path: str) -> None:
-    """uri, style path and row count of every tile, as JSON lines in uri order."""
-    tiles.tile_index(contents, rows).orderBy("tile_content_uri").write.mode("overwrite").json(path)
+def write_tile_index(contents: DataFrame, rows: DataFrame | None, path: str, style: str | None = None) -> None:
+    """uri, style path and row count of every tile, as JSON lines in uri order.
+
+    With ``style``, the folder given to ``write_style_tables``, paths and counts are those of the tables
+    stored there and tiles without rows get the path of the empty table; ``rows`` is not read then.
+    """
+    if style is None:
+        index = tiles.tile_index(contents, rows)
+    else:
+        every = contents.select(F.col("uri").alias("tile_content_uri")).distinct()
+        index = every.join(stored_tiles(contents.sparkSession, style), "tile_content_uri", "left").select(
+            "tile_content_uri", F.coalesce("style_path", F.lit(EMPTY_STYLE)).alias("style_path"), F.coalesce("n_rows", F.lit(0)).alias("n_rows")
+        )
+    index.orderBy("tile_content_uri").write.mode("overwrite").json(path)
 
 
 def write_ward_shards(df: DataFrame, path: str) -> None:

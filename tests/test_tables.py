@@ -5,7 +5,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from kawara import model
-from kawara.operators import catalog, diff, quality, tiles
+from kawara.operators import catalog, diff, identity, quality, selection, tiles
 from kawara.plans import analytics
 from kawara.sinks import tables
 from tests import shapes
@@ -216,11 +216,17 @@ def test_geometry_round_trip(make):
 def test_tile_tables_shards_and_map(spark, tmp_path, make):
     rows = make([("tiles/a.glb", 1, "u1"), ("tiles/b.glb", 0, "u2"), (None, 5, "u3")], "tile_content_uri string, tile_feature_id int, building_uid string")
     tables.write_style_tables(rows, str(tmp_path / "style"))
-    assert sorted(p.name for p in (tmp_path / "style").iterdir() if p.is_dir()) == ["tile_content_uri=tiles%2Fa.glb", "tile_content_uri=tiles%2Fb.glb"]
+    assert sorted(p.name for p in (tmp_path / "style").iterdir() if p.is_dir()) == ["_empty", "tile_content_uri=tiles%2Fa.glb", "tile_content_uri=tiles%2Fb.glb"]
     tables.write_tile_index(make([("tiles/a.glb",), ("tiles/z.glb",)], "uri string"), rows, str(tmp_path / "index"))
     index = spark.read.schema("tile_content_uri string, n_rows bigint").json(str(tmp_path / "index"))
     assert sorted(tuple(r) for r in index.collect()) == [("tiles/a.glb", 1), ("tiles/z.glb", 0)]
 
+    tables.write_tile_index(make([("tiles/a.glb",), ("tiles/z.glb",)], "uri string"), None, str(tmp_path / "stored"), style=str(tmp_path / "style"))
+    for r in spark.read.json(str(tmp_path / "stored")).collect():
+        table = spark.read.parquet(str(tmp_path / "style" / r.style_path))
+        assert (tmp_path / "style" / r.style_path).is_dir() and table.count() == r.n_rows == (r.tile_content_uri == "tiles/a.glb")
+        assert table.columns == ["tile_feature_id", "building_uid"]
+
     b = _table(spark, [dict(CLEAN, centroid_lon=139.7, centroid_lat=35.66)])
     b = b.withColumn("polygons", F.from_json(F.lit("[[[[0,0,7],[1,0,7],[1,1,7],[0,0,7]]]]"), "array<array<array<array<double>>>>"))
     tables.write_ward_shards(b.withColumn("ward_code", F.lit("unassigned")), str(tmp_path / "shards"))
@@ -275,3 +281,43 @@ def test_each_tileset_has_its_own_deepest_level(make):
     b = make([("x", "A"), ("y", "A"), ("z", "A")], "city_code string, gml_id string")
     keyed = tiles.attach_tile_keys(b, places, by=by)
     assert {r.city_code: r.tile_content_uri for r in keyed.collect()} == {"x": "18/a.glb", "y": "16/a.glb", "z": None}
+
+
+def test_hot_tile_is_written_in_blocks_and_no_tiles_at_all(spark, tmp_path):
+    hot = spark.range(40).select(F.lit("a +b.glb").alias("tile_content_uri"), F.col("id").cast("int").alias("tile_feature_id"))
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")  # it would put so few rows together again
+    try:
+        tables.write_style_tables(hot, str(tmp_path / "hot"), block=10)
+    finally:
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+    (row,) = tables.stored_tiles(spark, str(tmp_path / "hot")).collect()
+    assert row.tile_content_uri == "a +b.glb" and row.n_rows == 40
+    files = list((tmp_path / "hot" / row.style_path).glob("*.parquet"))
+    assert len(files) > 1
+    tables.write_style_tables(hot.limit(0), str(tmp_path / "none"))
+    assert tables.stored_tiles(spark, str(tmp_path / "none")).count() == 0
+
+
+def test_exact_percentiles(spark, make):
+    rows = [(float(v),) for v in [5, 1, 1, 1, 9, 2, 2, 7]] + [(None,)]
+    got = selection.exact_percentiles(make(rows, "h double"), "h", [0.0, 0.25, 0.5, 0.9, 1.0]).first().p
+    assert got == pytest.approx([1.0, 1.0, 2.0, 7.6, 9.0])
+    assert selection.exact_percentiles(make([], "h double"), "h", [0.5]).first().p == [None]
+    # a third of all rows of one value, over many ranges
+    many = spark.range(9000).select(F.when(F.col("id") % 3 == 0, 4000).otherwise(F.col("id")).alias("h"))
+    expect = many.agg(F.percentile("h", F.array(F.lit(0.1), F.lit(0.5), F.lit(0.99))).alias("p")).first().p
+    assert selection.exact_percentiles(many, "h", [0.1, 0.5, 0.99]).first().p == pytest.approx(expect)
+    with pytest.raises(ValueError):
+        selection.exact_percentiles(many, "h", [1.5])
+
+
+def test_missing_ids_are_numbered_and_stable(spark, make):
+    edge = lambda x: [(x, 0.0, x + 1, 0.0)]
+    rows = [("a", edge(0.0), 1), (None, edge(0.0), 2), (None, edge(0.0), 3), (None, edge(0.0), 3), (None, edge(5.0), 4), (None, None, 5), (None, None, 6)]
+    df = make(rows, "gml_id string, edges array<struct<x1:double,y1:double,x2:double,y2:double>>, n int")
+    got = sorted((r.n, r.gml_id) for r in identity.fill_missing_ids(df).collect())
+    assert got == sorted((r.n, r.gml_id) for r in identity.fill_missing_ids(df.repartition(5, "n")).collect())
+    made = [i for _, i in got if i != "a"]
+    assert len(set(made)) == 6 and all(i.startswith("synth_") for i in made) and sum("-" in i for i in made) == 3
+    assert "-" not in dict(got)[4]
+    assert identity.fill_missing_ids(df.limit(0)).count() == 0
