@@ -300,3 +300,13 @@ def tile_y(lat: Column, zoom: Column) -> Column:
     r = F.radians(lat)
     y = F.floor((1.0 - F.log(F.tan(r) + 1.0 / F.cos(r)) / math.pi) / 2.0 * n)
     return F.greatest(F.least(y, (n - 1).cast("long")), F.lit(0).cast("long"))
+
+
+def tile_lon(x: Column, zoom: Column) -> Column:
+    """Western border of a map tile."""
+    return x / F.pow(F.lit(2.0), zoom) * 360.0 - 180.0
+
+
+def tile_lat(y: Column, zoom: Column) -> Column:
+    """Northern border of a map tile."""
+    return F.degrees(F.atan(F.sinh(F.lit(math.pi) * (1.0 - 2.0 * y / F.pow(F.lit(2.0), zoom)))))

@@ -270,14 +270,8 @@ def bbox_overlap(df: DataFrame, x0: float, y0: float, x1: float, y1: float) -> D
     )
 
 
-def box_selection(df: DataFrame, x0: float, y0: float, x1: float, y1: float, edges: str = "edges") -> DataFrame:
-    """Rows whose polygon meets a box, borders included.
-
-    Stored bounds (``minx`` and so on), where the table has them, thin the scan out; the edges decide.
-    """
-    if {"minx", "miny", "maxx", "maxy"} <= set(df.columns):
-        df = bbox_overlap(df, x0, y0, x1, y1)
-    a, b, c, d = (g.num(v) for v in (x0, y0, x1, y1))
+def meets_box(edges: str, a: str, b: str, c: str, d: str) -> str:
+    """Does a polygon meet the box from (a, b) to (c, d), borders included? Numbers or columns, as SQL."""
     sides = ", ".join(g.side("e", x, y) for x in (a, c) for y in (b, d))
     # an edge meets the box if its bounds do and its line does not leave all corners on one side
     meets = (
@@ -285,7 +279,38 @@ def box_selection(df: DataFrame, x0: float, y0: float, x1: float, y1: float, edg
         f" AND least(e.y1, e.y2) <= {d} AND greatest(e.y1, e.y2) >= {b}"
         f" AND least({sides}) <= 0D AND greatest({sides}) >= 0D)"
     )
-    return df.where(F.expr(f"{meets} OR {g.inside_parity(edges, a, b)}"))
+    return f"({meets} OR {g.inside_parity(edges, a, b)})"
+
+
+def box_selection(df: DataFrame, x0: float, y0: float, x1: float, y1: float, edges: str = "edges") -> DataFrame:
+    """Rows whose polygon meets a box, borders included.
+
+    Stored bounds (``minx`` and so on), where the table has them, thin the scan out; the edges decide.
+    """
+    if {"minx", "miny", "maxx", "maxy"} <= set(df.columns):
+        df = bbox_overlap(df, x0, y0, x1, y1)
+    return df.where(F.expr(meets_box(edges, *(g.num(v) for v in (x0, y0, x1, y1)))))
+
+
+def map_cover(df: DataFrame, min_zoom: int = 10, max_zoom: int = 16, edges: str = "edges") -> DataFrame:
+    """Each row once per zoom and map tile (z, x, y) that its polygon meets; coordinates are degrees.
+
+    The bounds give the tiles to ask about; where they are several, the edges decide, so a tile in a hole
+    or beside an arm of an L is left out. Rows without edges lie in no tile. No shuffle.
+    """
+    box = {f"_{k}": v for k, v in g.bbox(F.col(edges)).items()}
+    z = df.where(F.size(edges) > 0).withColumns(box).withColumn("z", F.explode(F.sequence(F.lit(min_zoom), F.lit(max_zoom))))
+    span = {
+        "_xa": g.tile_x(F.col("_minx"), F.col("z")), "_xb": g.tile_x(F.col("_maxx"), F.col("z")),
+        "_ya": g.tile_y(F.col("_maxy"), F.col("z")), "_yb": g.tile_y(F.col("_miny"), F.col("z")),
+    }
+    z = z.withColumns(span).withColumn("x", F.explode(F.sequence("_xa", "_xb"))).withColumn("y", F.explode(F.sequence("_ya", "_yb")))
+    tile = {
+        "_west": g.tile_lon(F.col("x"), F.col("z")), "_east": g.tile_lon(F.col("x") + 1, F.col("z")),
+        "_north": g.tile_lat(F.col("y"), F.col("z")), "_south": g.tile_lat(F.col("y") + 1, F.col("z")),
+    }
+    met = F.expr(f"(_xa = _xb AND _ya = _yb) OR {meets_box(edges, '_west', '_south', '_east', '_north')}")
+    return z.withColumns(tile).where(met).drop(*box, *span, *tile)
 
 
 def total_bounds(df: DataFrame) -> DataFrame:

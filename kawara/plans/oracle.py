@@ -53,6 +53,11 @@ def _edge_meets_box(e: str, x0: str, y0: str, x1: str, y1: str) -> str:
     )
 
 
+# map tiles: number of a tile from degrees, and degrees of its northern border, at t tiles a side
+_X_OF = "CAST(FLOOR(({} + 180) / CAST(360 AS DOUBLE) * t) AS BIGINT)"
+_Y_OF = "CAST(FLOOR((1 - LN(TAN(RADIANS({0})) + 1 / COS(RADIANS({0}))) / PI()) / 2 * t) AS BIGINT)"
+_LAT_OF = "DEGREES(ATAN((EXP(PI() * (1 - 2 * {0} / t)) - EXP(PI() * (2 * {0} / t - 1))) / 2))"
+
 CTE = {
     "b": f"SELECT *, (x0 + x1) / {D(2)} AS px, (y0 + y1) / {D(2)} AS py FROM ({i.BUILDINGS}) z",
     "attrs": i.ATTRIBUTES,
@@ -540,6 +545,20 @@ SQL = {
         + ") OR COUNT(*) FILTER ((e.y1 > 20) <> (e.y2 > 20) AND 20 < (e.x2 - e.x1) * (20 - e.y1) / (e.y2 - e.y1) + e.x1) % 2 = 1",
         "haz_edges",
     ),
+    "map_tile_cover": _with(
+        "SELECT z, x, y, COUNT(*) AS n FROM (SELECT q.poly_id, q.z, q.x, q.y FROM ("
+        f"SELECT *, x / t * 360 - 180 AS west, (x + 1) / t * 360 - 180 AS east, {_LAT_OF.format('y')} AS north, {_LAT_OF.format('(y + 1)')} AS south"
+        " FROM (SELECT poly_id, z, t, x, UNNEST(RANGE(ya, yb + 1)) AS y FROM (SELECT poly_id, z, t, ya, yb, UNNEST(RANGE(xa, xb + 1)) AS x"
+        f" FROM (SELECT poly_id, z, t, {_X_OF.format('MIN(LEAST(x1, x2))')} AS xa, {_X_OF.format('MAX(GREATEST(x1, x2))')} AS xb,"
+        f" {_Y_OF.format('MAX(GREATEST(y1, y2))')} AS ya, {_Y_OF.format('MIN(LEAST(y1, y2))')} AS yb"
+        f" FROM small, (SELECT CAST(z AS BIGINT) AS z, POW({D(2)}, z) AS t FROM (SELECT UNNEST(RANGE(10, 17)) AS z) r) s"
+        " GROUP BY poly_id, z, t) a) b) c) q JOIN small e ON e.poly_id = q.poly_id GROUP BY ALL HAVING BOOL_OR("
+        + _edge_meets_box("e", "q.west", "q.south", "q.east", "q.north")
+        + ") OR COUNT(*) FILTER ((e.y1 > q.south) <> (e.y2 > q.south) AND q.west < (e.x2 - e.x1) * (q.south - e.y1) / (e.y2 - e.y1) + e.x1) % 2 = 1"
+        " ) m GROUP BY 1, 2, 3",
+        "haz_edges",
+        extra={"small": "SELECT poly_id, x1 / 1000 AS x1, y1 / 1000 AS y1, x2 / 1000 AS x2, y2 / 1000 AS y2 FROM haz_edges"},
+    ),
     "containment_shapes": _shapes_in_boxes(),
     "clip_to_admin": _with(
         "SELECT gml_id, c.city_code FROM b JOIN cities c ON b.frame = c.frame AND b.x0 <= c.x1 AND b.x1 >= c.x0 AND b.y0 <= c.y1 AND b.y1 >= c.y0",

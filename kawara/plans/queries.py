@@ -389,6 +389,14 @@ def box_selection(t):
     return coverage.box_selection(t.hazards(), *BOX).select("poly_id", "shape")
 
 
+@query
+def map_tile_cover(t):
+    """Map tiles of zooms 10 to 16 and how many triangles, L-shapes and boxes with holes meet each."""
+    small = "transform(edges, e -> struct(e.x1 / 1000 AS x1, e.y1 / 1000 AS y1, e.x2 / 1000 AS x2, e.y2 / 1000 AS y2))"
+    h = t.hazards().select("poly_id", F.expr(small).alias("edges"))
+    return coverage.map_cover(h).groupBy(F.col("z").cast("bigint").alias("z"), "x", "y").agg(F.count(F.lit(1)).alias("n"))
+
+
 @query
 def containment_shapes(t):
     h = t.hazards().withColumn("dataset_id", F.col("poly_id").cast("string"))

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from kawara import model
 from kawara.functions import geometry as g
 from kawara.functions import wkb
-from kawara.operators import quality, tiles
+from kawara.operators import coverage, quality, tiles
 
 
 def with_geometry(df: DataFrame) -> DataFrame:
@@ -142,8 +142,13 @@ def write_ward_shards(df: DataFrame, path: str) -> None:
 
 
 def map_features(df: DataFrame) -> DataFrame:
-    """(value): one GeoJSON feature per building with the map properties."""
-    props = [F.col(c) for c in model.MAP_PROPERTIES if c in df.columns]
+    """(value): one GeoJSON feature per building with all map properties, NULL where there is none."""
+    return df.select(_feature(df).alias("value"))
+
+
+def _feature(df: DataFrame):
+    kinds = {f.name: f.dataType for f in model.BUILDINGS_SCHEMA.fields}
+    props = [(F.col(c) if c in df.columns else F.lit(None).cast(kinds[c])).alias(c) for c in model.MAP_PROPERTIES]
     feature = F.struct(
         F.lit("Feature").alias("type"),
         F.struct(
@@ -152,7 +157,7 @@ def map_features(df: DataFrame) -> DataFrame:
         ).alias("geometry"),
         F.struct(*props).alias("properties"),
     )
-    return df.select(F.to_json(feature).alias("value"))
+    return F.to_json(feature, {"ignoreNullFields": "false"})
 
 
 def write_map_features(df: DataFrame, path: str) -> None:
@@ -167,6 +172,23 @@ def map_tiles(df: DataFrame, min_zoom: int = 10, max_zoom: int = 16) -> DataFram
     )
 
 
+def map_tile_features(df: DataFrame, min_zoom: int = 10, max_zoom: int = 16) -> DataFrame:
+    """(z, x, y, building_uid, value): each building's feature in every tile that its footprint meets."""
+    whole = df.withColumn("_feature", _feature(df)).select("building_uid", "edges", "_feature")
+    return coverage.map_cover(whole, min_zoom, max_zoom).select("z", "x", "y", "building_uid", F.col("_feature").alias("value"))
+
+
+def write_map_tiles(df: DataFrame, path: str, min_zoom: int = 10, max_zoom: int = 16) -> None:
+    """Parquet, a folder per zoom, rows in the order of their tiles.
+
+    Files hold ranges of tiles, and a reader of one tile skips the others by their statistics; the rows
+    of a tile over a whole city are split among several tasks.
+    """
+    order = ["z", "x", "y", "building_uid"]
+    rows = map_tile_features(df, min_zoom, max_zoom).repartitionByRange(*order).sortWithinPartitions(*order)
+    rows.write.mode("overwrite").partitionBy("z").parquet(path)
+
+
 def manifest(
     buildings: DataFrame,
     entries: DataFrame,

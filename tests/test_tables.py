@@ -5,7 +5,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from kawara import model
-from kawara.operators import catalog, diff, identity, quality, selection, tiles
+from kawara.operators import catalog, coverage, diff, identity, quality, selection, tiles
 from kawara.plans import analytics
 from kawara.sinks import tables
 from tests import shapes
@@ -321,3 +321,28 @@ def test_missing_ids_are_numbered_and_stable(spark, make):
     assert len(set(made)) == 6 and all(i.startswith("synth_") for i in made) and sum("-" in i for i in made) == 3
     assert "-" not in dict(got)[4]
     assert identity.fill_missing_ids(df.limit(0)).count() == 0
+
+
+def test_map_tiles_follow_the_shape_and_keep_nulls(spark, tmp_path, make):
+    # an L along two borders of a 2 x 2 block of tiles of zoom 10, a tile inside a hole, no edges
+    step = 360 / 1024
+    at = lambda i, j: (i * step, j * step)
+    ring = lambda ps: [(*a, *b) for a, b in zip(ps, ps[1:] + ps[:1])]
+    ell = ring([at(0.1, 0.1), at(1.9, 0.1), at(1.9, 0.2), at(0.2, 0.2), at(0.2, 1.9), at(0.1, 1.9)])
+    holed = ring([at(0.5, 0.5), at(3.5, 0.5), at(3.5, 3.5), at(0.5, 3.5)]) + ring([at(0.9, 0.9), at(0.9, 3.1), at(3.1, 3.1), at(3.1, 0.9)])
+    df = make([("L", ell), ("O", holed), ("none", None)], "building_uid string, edges array<struct<x1:double,y1:double,x2:double,y2:double>>")
+    got = {}
+    for r in coverage.map_cover(df, 10, 10).collect():
+        got.setdefault(r.building_uid, set()).add((r.x - 512, 511 - r.y))
+    assert got["L"] == {(0, 0), (1, 0), (0, 1)}
+    assert got["O"] == {(i, j) for i in range(4) for j in range(4)} - {(i, j) for i in (1, 2) for j in (1, 2)}
+    assert "none" not in got
+
+    b = _table(spark, [dict(CLEAN, height=None)]).withColumn("edges", F.lit(None).cast(df.schema["edges"].dataType)).drop("usage")
+    b = b.withColumn("edges", F.array(*[F.struct(*[F.lit(v).alias(n) for n, v in zip(("x1", "y1", "x2", "y2"), e)]) for e in ell]))
+    b = b.withColumn("polygons", F.lit(None).cast("array<array<array<array<double>>>>"))
+    tables.write_map_tiles(b, str(tmp_path / "tiles"), 10, 11)
+    rows = spark.read.parquet(str(tmp_path / "tiles"))
+    assert rows.where("z = 10").count() == 3 and rows.where("z = 11").count() > 3
+    properties = json.loads(rows.first().value)["properties"]
+    assert set(properties) == set(model.MAP_PROPERTIES) and properties["height"] is None and properties["usage"] is None
