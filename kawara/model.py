@@ -167,6 +167,20 @@ BUILDINGS_SCHEMA = T.StructType(
     CORE_FIELDS + [f for k in HAZARD_KINDS for f in hazard_fields(k)]
 )
 
+# what a stored table carries beside them to be clipped, selected and joined again
+SHAPE_FIELDS = [
+    T.StructField("edges", EDGES_TYPE),
+    T.StructField("parts", PARTS_TYPE),
+    *[T.StructField(n, T.DoubleType()) for n in ("minx", "miny", "maxx", "maxy")],
+]
+
+
+def stored_schema(*, shape: bool = False, geometry: bool = False, extra: str = "") -> T.StructType:
+    """The declared schema of a stored table; ``extra`` are further columns as DDL."""
+    public = [f for f in BUILDINGS_SCHEMA.fields if geometry or f.name != "geometry"]
+    return T.StructType(public + (SHAPE_FIELDS if shape else []) + (T.StructType.fromDDL(extra).fields if extra else []))
+
+
 # columns a finished table must carry (geometry is optional there)
 REQUIRED_COLUMNS = [f.name for f in BUILDINGS_SCHEMA.fields if f.name != "geometry"]
 

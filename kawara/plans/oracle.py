@@ -536,6 +536,8 @@ SQL = {
         "cov",
     ),
     "polygon_mode_join": _polygon_mode(),
+    "stored_polygon_rerun": f"SELECT p.building_uid, '01100' AS city_code, p.river_flood_covered, p.river_flood_depth_max FROM ({_polygon_mode()}) p"
+    f" JOIN ({i.BUILDINGS}) q ON p.building_uid = q.building_uid WHERE q.x0 <= 60 AND q.x1 >= 20 AND q.y0 <= 55 AND q.y1 >= 20",
     "mega_hazard_join": _mega("cov", "mega_hits"),
     "mega_polygon_mode": _mega("ext_met", "mega_met"),
     "mega_clip": _with("SELECT gml_id, city_code FROM mega_met", "mega_met"),

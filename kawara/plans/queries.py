@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -25,9 +27,10 @@ from kawara.operators import (
     spatial,
     tiles,
 )
-from kawara.plans import analytics
+from kawara.plans import analytics, build
 from kawara.plans.inputs import Inputs
-from kawara.session import cut_lineage
+from kawara.session import cut_lineage, shared_folder
+from kawara.sinks import tables
 from kawara.sources import geojson, metadata, registry
 
 CELL = 2.0
@@ -351,6 +354,21 @@ def polygon_mode_join(t):
     return b.select("building_uid", "river_flood_covered", _dbl("river_flood_depth_max"))
 
 
+@query
+def stored_polygon_rerun(t):
+    """A table stored with its shapes, read back, selected by box and joined again by polygon."""
+    folder = f"{shared_folder(t.spark)}/buildings-{uuid.uuid4().hex}"
+    p = g.box_point(F.col("x0"), F.col("y0"), F.col("x1"), F.col("y1"))
+    b = t.footprints().withColumns(
+        {"centroid_lon": p["x"], "centroid_lat": p["y"], "city_code": F.lit("01100"), "dataset_year": F.lit(2023), "source_file_id": F.lit("f")}
+    )
+    tables.write_buildings(tables.to_public_schema(b, shape=True), folder, cell=CELL)
+    stored = coverage.box_selection(tables.read_buildings(t.spark, folder, model.stored_schema(shape=True)), *BOX)
+    ext, haz = layers(t)
+    again = build.recompute_hazards(stored.drop(*model.hazard_column_names()), ext, haz, cell=CELL, mode="polygon", large=True)
+    return again.select("building_uid", "city_code", "river_flood_covered", _dbl("river_flood_depth_max"))
+
+
 def _mega_layers(t):
     h = t.mega().withColumn("depth_m", at.risk_attribute_depth(F.col("floodingRiskAttribute")))
     return t.extents(), h.withColumn("in_zone", F.col("kind") == model.ZONE_KIND)

@@ -6,6 +6,7 @@ import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from kawara import model
 from kawara.functions import geometry as g
@@ -18,8 +19,21 @@ def with_geometry(df: DataFrame) -> DataFrame:
     return df.withColumn("geometry", wkb.wkb_of(F.col("polygons")))
 
 
-def to_public_schema(df: DataFrame, extra: tuple[str, ...] = ()) -> DataFrame:
-    """Declared columns in declared order and type, then the named extra columns."""
+def with_shape(df: DataFrame) -> DataFrame:
+    """``df`` with the bounds of its ``edges``, and ``geometry`` where it has ``polygons`` and no geometry yet."""
+    df = df.withColumns(g.bbox(F.col("edges")))
+    return with_geometry(df) if "polygons" in df.columns and "geometry" not in df.columns else df
+
+
+def to_public_schema(df: DataFrame, extra: tuple[str, ...] = (), shape: bool = False) -> DataFrame:
+    """Declared columns in declared order and type, then the named extra columns.
+
+    With ``shape`` the edges, parts, bounds and, if there are polygons, the geometry go along, so that the stored
+    table can be selected by box, clipped and joined again by polygon.
+    """
+    if shape:
+        df = with_shape(df)
+        extra = (*[f.name for f in model.SHAPE_FIELDS], *extra)
     cols = []
     for f in model.BUILDINGS_SCHEMA.fields:
         if f.name in df.columns:
@@ -48,8 +62,14 @@ def write_buildings(df: DataFrame, path: str, *, cell: float = 0.005) -> None:
     )
 
 
-def read_buildings(spark: SparkSession, path: str) -> DataFrame:
-    """The stored table; codes in its folder names stay text."""
+def read_buildings(spark: SparkSession, path: str, schema: T.StructType | None = None) -> DataFrame:
+    """The stored table; codes in its folder names stay text.
+
+    ``schema``, as from ``model.stored_schema``, spares reading a footer and fixes names and types: declared
+    columns that a file lacks are NULL, others are not read.
+    """
+    if schema is not None:
+        return spark.read.schema(schema).parquet(path).select(*[f.name for f in schema.fields])
     df = spark.read.option("mergeSchema", "false").parquet(path)
     fixed = {f.name: F.col(f.name).cast(f.dataType) for f in model.BUILDINGS_SCHEMA.fields if f.name in ("city_code", "dataset_year") and f.name in df.columns}
     if "city_code" in fixed and df.schema["city_code"].dataType.typeName() != "string":

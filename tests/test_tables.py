@@ -346,3 +346,23 @@ def test_map_tiles_follow_the_shape_and_keep_nulls(spark, tmp_path, make):
     assert rows.where("z = 10").count() == 3 and rows.where("z = 11").count() > 3
     properties = json.loads(rows.first().value)["properties"]
     assert set(properties) == set(model.MAP_PROPERTIES) and properties["height"] is None and properties["usage"] is None
+
+
+def test_stored_shapes_select_clip_and_join_again(spark, tmp_path, make):
+    cells = make([(f"u{i}", 139.0 + i, 35.0, shapes.ring([(i, 0), (i + 0.9, 0), (i, 0.9)])) for i in range(6)], f"building_uid string, centroid_lon double, centroid_lat double, edges {shapes.EDGES}")
+    b = cells.withColumns({"city_code": F.lit("01100"), "dataset_year": F.lit(2024), "parts": F.array(F.array("edges")), "source_file_id": F.lit("f")})
+    b = b.withColumn("gml_id", F.col("building_uid")).withColumn("polygons", F.expr("array(array(transform(edges, e -> array(e.x1, e.y1))))"))
+    path = str(tmp_path / "stored")
+    tables.write_buildings(tables.to_public_schema(b, extra=("note",), shape=True), path)
+    schema = model.stored_schema(shape=True, geometry=True, extra="complex_uid string")
+    back = tables.read_buildings(spark, path, schema)
+    assert back.columns == [f.name for f in schema.fields] and back.count() == 6
+    assert {(r.city_code, r.dataset_year, r.complex_uid) for r in back.collect()} == {("01100", 2024, None)}
+    assert back.where("geometry IS NULL OR minx IS NULL OR maxy <> 0.9").count() == 0
+    # the bounds of u2 meet the box, its edges don't
+    chosen = coverage.box_selection(back, 2.6, 0.6, 3.2, 0.8)
+    assert [r.building_uid for r in chosen.select("building_uid").collect()] == ["u3"]
+    assert "PushedFilters: [" in (plan := chosen._jdf.queryExecution().toString()) and "LessThanOrEqual(minx" in plan
+    admin = make([("13113", shapes.box(-1, -1, 2.5, 5))], f"city_code string, edges {shapes.EDGES}")
+    clipped = coverage.clip_to_boundary(back, admin, cell=0.5)
+    assert sorted(r.gml_id for r in clipped.select("gml_id").collect()) == ["u0", "u1", "u2"]
