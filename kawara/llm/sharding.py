@@ -5,7 +5,7 @@ smallest ``-ln(u) / weight``. The choice depends on the key and the list of shar
 needs no shuffle and no state, and one more shard takes records only into itself: the scores of
 the old shards do not change.
 
-Slots number the records of a shard from 0. A shard is cut into chunks by a hash of the key; a
+Slots number the records of a shard from 0. A shard is cut into chunks by a hash of the row; a
 chunk is numbered in one task, and the chunks' offsets come from a running sum over chunk counts.
 Chunks grow in number with the data, so a task never numbers a whole shard. Identical rows are
 counted first and unfolded at the end, so a key that repeats without end never gathers in a task.
@@ -22,7 +22,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from kawara.llm.common import documents, text_or_empty
+from kawara.llm.common import documents, row_hash, text_or_empty
 
 SHARDS = 16
 CHUNK_ROWS = 16_384
@@ -55,12 +55,14 @@ def with_slots(rows: DataFrame, shard: str, key: str, chunk_rows: int = CHUNK_RO
     folded = rows.groupBy(*cols).agg(F.count(F.lit(1)).alias("_n"))
     total = rows.count()
     chunks = max(1, -(-total // (chunk_rows * SHARDS)))
-    folded = folded.withColumn("_chunk", F.pmod(F.xxhash64(F.lit("chunk"), _key(F.col(key))), F.lit(chunks)))
-    inside = W.partitionBy(shard, "_chunk").orderBy(*cols)
+    # by all columns, so that one key (NULL) with many different rows is split as well
+    chunk = F.pmod(row_hash(rows), F.lit(chunks)).alias("_chunk")
+    folded = folded.select("*", chunk)
+    inside = W.partitionBy(shard, "_chunk").orderBy(key, *[c for c in cols if c != key])
     first = folded.withColumn("_before", F.sum("_n").over(inside) - F.col("_n"))
     along = W.partitionBy(shard).orderBy("_chunk")
     offsets = (
-        rows.select(shard, F.pmod(F.xxhash64(F.lit("chunk"), _key(F.col(key))), F.lit(chunks)).alias("_chunk"))
+        rows.select(shard, chunk)
         .groupBy(shard, "_chunk")
         .agg(F.count(F.lit(1)).alias("_n"))
         .select(shard, "_chunk", (F.sum("_n").over(along) - F.col("_n")).alias("_offset"))

@@ -186,3 +186,12 @@ def test_columns_of_any_name_stay(docs, awkward, name):
     for r in rows:
         if r["doc_id"] is not None:
             assert all(r[n] == f"{n}{r['doc_id']}" for n in CLASHING if n not in ("row",))
+
+
+def test_one_key_with_many_texts_gets_gapless_slots(spark):
+    rows = spark.range(3000).selectExpr("CAST(NULL AS STRING) AS k", "id % 1000 AS size", "0 AS shard")
+    got = sharding.with_slots(rows, "shard", "k", chunk_rows=4).collect()
+    assert sorted(r.slot for r in got) == list(range(3000))
+    # the chunks are cut by all columns: neighbours in one chunk are few of the thousand sizes
+    first = [r.size for r in sorted(got, key=lambda r: r.slot)[:300]]
+    assert first != sorted(first)
