@@ -1,10 +1,12 @@
 """Token counts by a two-tier lookup on the map side.
 
-First tier: a broadcast table of the ``FREQUENT`` most frequent pre-tokens (words as cut at single
-spaces and line feeds, with or without a space before them) and their numbers of tokens. They
-are found by a pass over the whole corpus in which every task keeps a bounded summary of its own
-words and hands on its ``FREQUENT`` best; summaries are added up, pre-tokens themselves are never
-shuffled. Second tier: words not in the table are encoded once per worker and cached, bounded.
+First tier: a broadcast table of at most ``FREQUENT`` frequent pre-tokens (words as cut at single
+spaces and line feeds, with or without a space before them, up to ``tokens.LONGEST`` characters) and
+their numbers of tokens. They are found by a pass over the whole corpus in which every task keeps a
+bounded summary of its own words and hands on its ``FREQUENT`` best; summaries are added up, pre-tokens
+themselves are never shuffled. A histogram of the sums says from which count on the words fit into the
+table, and only those reach the driver. Second tier: words not in the table are encoded by the worker
+that meets them and cached, bounded in entries and, as long words are not kept, in bytes.
 Texts with other white space or special strings are encoded whole. Counts do not depend on what
 is in the table.
 
@@ -22,10 +24,12 @@ from pyspark.sql import functions as F
 
 from kawara.llm import tokens
 from kawara.llm.common import documents, with_code
+from kawara.session import cut_lineage
 
 LIMIT = 1024
 FREQUENT = 8_192
 SUMMARY = 100_000
+STEPS = 16  # steps of the histogram of counts between a number and its double
 
 
 def _frequent(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -41,7 +45,10 @@ def _frequent(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
                 lines = t.split("\n")
                 for line in lines:
                     first, *rest = line.split(" ")
-                    seen[0][first] += 1
+                    if len(first) <= tokens.LONGEST:
+                        seen[0][first] += 1
+                    if len(line) > tokens.LONGEST and max(map(len, rest), default=0) > tokens.LONGEST:
+                        rest = [w for w in rest if len(w) <= tokens.LONGEST]
                     seen[1].update(rest)
         seen = tuple(trim(c, SUMMARY) if len(c) > 3 * SUMMARY else c for c in seen)
     top = [(w, bool(inner), n) for inner, c in enumerate(seen) for w, n in c.most_common(FREQUENT)]
@@ -50,15 +57,20 @@ def _frequent(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
 
 def frequent_lengths(docs: DataFrame, text: str, name: str) -> tuple[dict[str, int], dict[str, int]]:
     """Words at the start of a line and words after a space, with their numbers of tokens."""
-    found = (
+    summed = cut_lineage(
         with_code(docs.select(F.col(text).alias("text")))
         .mapInPandas(_frequent, "word string, inner boolean, n long")
         .groupBy("word", "inner")
         .agg(F.sum("n").alias("n"))
-        .orderBy(F.desc("n"), "word", "inner")
-        .limit(FREQUENT)
-        .collect()
     )
+    step = F.floor(F.log2("n") * STEPS)
+    least, total = None, 0
+    for r in summed.groupBy(step.alias("step")).agg(F.count(F.lit(1)).alias("k")).orderBy(F.desc("step")).collect():
+        total += r["k"]
+        if total > FREQUENT:
+            break
+        least = r["step"]
+    found = [] if least is None else summed.where(step >= least).select("word", "inner").collect()
     encode = tokens.encoder(name).encode_ordinary
     heads = {r["word"]: len(encode(r["word"])) for r in found if not r["inner"]}
     return heads, {r["word"]: len(encode(" " + r["word"])) for r in found if r["inner"]}

@@ -17,6 +17,8 @@ OTHER_SPACE = tuple(
     map(chr, (9, 11, 12, 13, 28, 29, 30, 31, 0x85, 0xA0, 0x1680, *range(0x2000, 0x200B), 0x2028, 0x2029, 0x202F, 0x205F, 0x3000))
 )
 CACHE = 300_000
+#: Characters of a word that is kept; of text without spaces a word is a whole line.
+LONGEST = 64
 
 
 @lru_cache(maxsize=2)
@@ -62,7 +64,7 @@ class Lengths(dict):
     """Word -> number of tokens: frequent words given, the others encoded once and cached.
 
     ``lead`` stands before the word when it is encoded. The cache is emptied down to the frequent
-    words when full, so its size is bounded.
+    words when full and long words are not kept, so its size is bounded.
     """
 
     def __init__(self, frequent: dict[str, int], lead: str, encode, limit: int = CACHE):
@@ -70,8 +72,10 @@ class Lengths(dict):
         self.frequent, self.lead, self.encode, self.limit = frequent, lead, encode, limit
 
     def __missing__(self, word: str) -> int:
-        if len(self) >= self.limit + len(self.frequent):
-            self.clear()
-            self.update(self.frequent)
-        value = self[word] = len(self.encode(self.lead + word))
+        value = len(self.encode(self.lead + word))
+        if len(word) <= LONGEST:
+            if len(self) >= self.limit + len(self.frequent):
+                self.clear()
+                self.update(self.frequent)
+            self[word] = value
         return value

@@ -53,6 +53,20 @@ def test_cache_is_bounded():
     for i in range(100):
         assert c[f"w{i}"] == len(f" w{i}")
     assert len(c) <= 11 and c["the"] == 1
+    line = "x" * (tokens.LONGEST + 1)
+    assert c[line] == len(line) + 1 and line not in c
+
+
+def test_table_holds_what_fits(docs, monkeypatch):
+    text = " ".join(["start", *["often"] * 40, *["some"] * 20, *[f"once{i}" for i in range(50)], "y" * 200])
+    rows = docs([(i, text, "en", "a", len(text)) for i in range(4)])
+    monkeypatch.setattr(token_counts, "FREQUENT", 2)
+    heads, inner = token_counts.frequent_lengths(rows, "text", tokens.VOCABULARY)
+    assert not heads and set(inner) == {"often", "some"}
+    monkeypatch.setattr(token_counts, "FREQUENT", 100)
+    heads, inner = token_counts.frequent_lengths(rows, "text", tokens.VOCABULARY)
+    assert set(heads) == {"start"} and len(inner) == 52
+    assert token_counts.frequent_lengths(docs([]), "text", tokens.VOCABULARY) == ({}, {})
 
 
 @settings(max_examples=300, deadline=None)
