@@ -8,16 +8,19 @@ import xxhash
 from kawara.llm.common import SHINGLE
 
 WORD_CACHE = 100_000
+LONGEST = 64  # bytes of a word that is kept
 _MUL = np.uint64(0x9E3779B97F4A7C15)
 
 
 class WordHashes(dict):
-    """Word -> 64-bit hash; emptied when full, so its size is bounded."""
+    """Word -> 64-bit hash; emptied when full, and long words are not kept, so its size is bounded."""
 
     def __missing__(self, word: bytes) -> int:
-        if len(self) >= WORD_CACHE:
-            self.clear()
-        value = self[word] = xxhash.xxh3_64_intdigest(word)
+        value = xxhash.xxh3_64_intdigest(word)
+        if len(word) <= LONGEST:
+            if len(self) >= WORD_CACHE:
+                self.clear()
+            self[word] = value
         return value
 
 

@@ -174,9 +174,13 @@ def _met(leaf: DataFrame) -> DataFrame:
 
 
 def _later(met: DataFrame) -> DataFrame:
-    """The places of ``met`` but the first one of each hash, which is ``first``."""
+    """The places of ``met`` but the first one of each hash, which is ``first``.
+
+    First places are written before they are joined: a hash with very many places is then a skewed
+    side of a plain join, which Spark deals out over many tasks.
+    """
     own = F.struct(F.col("id").isNull().alias("none"), "id", "row", "place")
-    first = met.groupBy("hash").agg(F.min(own).alias("first"))
+    first = cut_lineage(met.groupBy("hash").agg(F.min(own).alias("first")))
     return met.join(first, "hash").where((F.col("row") != F.col("first.row")) | (F.col("place") != F.col("first.place")))
 
 
