@@ -30,7 +30,7 @@ from itertools import accumulate
 import numpy as np
 import pandas as pd
 import xxhash
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
@@ -45,6 +45,10 @@ SEED = 12
 _WORD = re.compile(r"[^\x20\x09-\x0D]+")
 _BREAK = re.compile(r"[.!?][^\S\n]+|[。！？]|\n\s*")  # every way starts with one of few characters: fast to search
 _SLICE = 200_000  # words hashed together
+#: White space as Python's patterns see it, without the line feed, for the JVM.
+_BLANK = r"\t\x0B\f\r\x1C-\x20\x{85}\x{A0}\x{1680}\x{2000}-\x{200A}\x{2028}\x{2029}\x{202F}\x{205F}\x{3000}"
+#: A sentence break, or the last character of a text that ends without one: as many as there are sentences.
+_SENTENCE_END = rf"[.!?][{_BLANK}]+|[。！？]|\n[{_BLANK}\n]*|(?s:.)\z"
 
 
 def sentences(text: str | None) -> list[str]:
@@ -57,6 +61,11 @@ def sentences(text: str | None) -> list[str]:
     return out + ([text[at:]] if text and at < len(text) else [])
 
 
+def n_sentences(text: Column) -> Column:
+    """The length of ``sentences``, counted in the JVM; 0 for NULL."""
+    return F.coalesce(F.regexp_count(text, F.lit(_SENTENCE_END)), F.lit(0)).cast("long")
+
+
 def spans(words: list[list[bytes]]) -> list[tuple[int, int, int]]:
     """(hash, first sentence, number of sentences) of every span; ``words`` are those of each sentence."""
     ends, n, j, out = list(accumulate(map(len, words))), len(words), 0, []
@@ -136,6 +145,20 @@ def _places_of(texts: list[str | None], cache: shingles.WordHashes) -> Iterator[
         yield len(words), one, packed
 
 
+def _runs_of(rows: list[tuple[str, list[int]]], cache: shingles.WordHashes) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """(hashes, places) of the runs of words around the seeds of each text, hashed together like places."""
+    flat = [[w for ws in _words(sentences(t)) for w in ws] for t, _ in rows]
+    runs = shingles.rolling(np.concatenate([shingles.word_hashes(words, cache) for words in flat]), LONG_WORDS).view(np.int64)
+    begin = 0
+    for words, (_, own) in zip(flat, rows):
+        near = np.zeros(max(len(words) - LONG_WORDS + 1, 0), bool)
+        for s in own:
+            near[max(0, s - (LONG_WORDS - SEED)) : s + 1] = True
+        at = np.flatnonzero(near)
+        yield runs[begin + at], at
+        begin += len(words)
+
+
 def places(docs: DataFrame, key: str, text: str) -> DataFrame:
     """(row, id, print, n_sentences, hash, place): all spans and seeds of each document."""
     kind = docs.schema[key].dataType.simpleString()
@@ -210,13 +233,14 @@ def _runs(docs: DataFrame, info: DataFrame, met: DataFrame, seen: DataFrame, key
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         cache = shingles.WordHashes()
         for b in batches:
-            out = []
+            out, some, size = [], [], 0
             for t, own in zip(b["text"], b["seeds"]):
-                hashes = shingles.rolling(shingles.word_hashes(_flat(_words(sentences(t)))[0], cache), LONG_WORDS).view(np.int64)
-                near = np.zeros(len(hashes), bool)
-                for s in own:
-                    near[max(0, s - (LONG_WORDS - SEED)) : s + 1] = True
-                out.append((hashes[near], np.flatnonzero(near)))
+                some.append((t, own))
+                size += len(t or "") // 5
+                if size >= _SLICE:
+                    out += _runs_of(some, cache)
+                    some, size = [], 0
+            out += _runs_of(some, cache) if some else []
             h, p = zip(*out) if out else ((),) * 2
             yield b[["row", "id"]].assign(hash=h, place=p)
 
@@ -281,8 +305,8 @@ def without(text: str, cover, runs) -> tuple[str, int, int, list[dict]]:
     """What is left of a text, how many sentences and words were removed, and where."""
     parts = sentences(text)
     starts = np.cumsum([0, *map(len, parts)]).tolist()
-    at = [b + m.start() for b, p in zip(starts, parts) for m in _WORD.finditer(p)] + [len(text)]
-    of = _flat(_words(parts))[1]
+    each = [[b + m.start() for m in _WORD.finditer(p)] for b, p in zip(starts, parts)]
+    at, of = [a for own in each for a in own] + [len(text)], np.repeat(np.arange(len(parts)), [len(own) for own in each])
     gone, lost = _covered(cover, len(parts)), _covered(runs, len(of))
     mask = np.repeat(gone, [len(p) for p in parts])
     for i in np.flatnonzero(lost):
@@ -317,27 +341,32 @@ def everything(docs: DataFrame, key: str = "doc_id", text: str = "text", runs: b
     twice = None if twice.isEmpty() else twice
     own = _ranked(leaf.select("row", "id", "print"), twice, "id", "print", "row") if twice is not None else None
     own = lost.withColumn("_nth", F.lit(1)) if own is None else lost.join(own.select("row", "_nth"), "row")
-    own = own.select(F.col("id").alias("_i"), F.col("print").alias("_q"), F.col("_nth").alias("_m"), "cover", "runs", "firsts")
+    own = own.select(F.col("id").alias("_i"), F.col("print").alias("_q"), F.col("_nth").alias("_m"), "cover", "runs", "firsts", "n_sentences")
     have = docs.select(F.struct("*").alias("_row"), F.col(key).alias("_key"), F.xxhash64(text).alias("_p"))
     # most documents lose nothing: they are not dealt out
     maybe, stay = suspects(have, own.select(F.col("_i").alias("_key"), F.col("_q").alias("_p")), "_key", "_p")
     maybe = _ranked(maybe, twice, "_key", "_p", "_key")
     met = maybe.join(own, same(F.col("_key"), F.col("_i")) & (F.col("_p") == F.col("_q")) & (F.col("_nth") == F.col("_m")), "left")
-    kinds = {f.name: F.lit(None).cast(f.dataType).alias(f.name) for f in own.schema}
-    taken = ["cover", "runs", "firsts"]
-    both = met.select("_row", *taken).union(stay.select("_row", *[kinds[c] for c in taken]))
+    kind = "struct<text:string,n_sentences:long,n_removed:long,words_removed:long,removed:array<struct<start:long,length:long>>>"
 
-    @F.pandas_udf("text string, n_sentences long, n_removed long, words_removed long, removed array<struct<start:long,length:long>>")
-    def cut(text: pd.Series, cover: pd.Series, runs: pd.Series) -> pd.DataFrame:
+    @F.pandas_udf(kind)
+    def cut(text: pd.Series, cover: pd.Series, runs: pd.Series, n: pd.Series) -> pd.DataFrame:
         out = [
-            (None, len(sentences(t)), 0, 0, []) if c is None else ((w := without(t, c, r))[0], len(sentences(t)), *w[1:])
-            for t, c, r in zip(text, cover, runs)
+            (None, len(sentences(t)), 0, 0, []) if c is None else ((w := without(t, c, r))[0], int(k), *w[1:])
+            for t, c, r, k in zip(text, cover, runs, n)
         ]
         return pd.DataFrame(out, columns=["text", "n_sentences", "n_removed", "words_removed", "removed"])
 
-    lost_some = F.col("cover").isNotNull()
     given = F.col("_row").getField(text)
-    each = with_code(both).select("_row", lost_some.alias("_lost"), "firsts", cut(given, "cover", "runs").alias("_cut"))
+    lost_some = F.col("cover").isNotNull()
+    changed = with_code(met).select("_row", lost_some.alias("_lost"), "firsts", cut(given, "cover", "runs", "n_sentences").alias("_cut"))
+    none, nothing = F.lit(None), F.expr("CAST(array() AS array<struct<start:long,length:long>>)")
+    as_is = F.struct(
+        none.cast("string").alias("text"), n_sentences(given).alias("n_sentences"), F.lit(0).cast("long").alias("n_removed"),
+        F.lit(0).cast("long").alias("words_removed"), nothing.alias("removed"),
+    )
+    # texts that lose nothing never leave the JVM
+    each = changed.union(stay.select("_row", F.lit(False), none.cast(own.schema["firsts"].dataType), as_is))
     return each.select(
         "_row", "_lost",
         F.struct(
