@@ -118,11 +118,14 @@ def mesh_heights(
     )
 
 
-def backfill_heights(buildings: DataFrame, heights: DataFrame, by: Sequence[str] = ()) -> DataFrame:
+def backfill_heights(buildings: DataFrame, heights: DataFrame | None, by: Sequence[str] = ()) -> DataFrame:
     """Height: measured, else from the mesh, else the footprint default; says which in
     ``height_source``."""
     missing = F.col("height").isNull()
-    out = buildings.join(heights, [*by, "gml_id"], "left")
+    if heights is None:
+        out = buildings.withColumn("mesh_height", F.lit(None).cast("float"))
+    else:
+        out = buildings.join(heights, [*by, "gml_id"], "left")
     return (
         out.withColumn(
             "height_source",
@@ -138,6 +141,21 @@ def backfill_heights(buildings: DataFrame, heights: DataFrame, by: Sequence[str]
     )
 
 
+def fill_where_tiled(buildings: DataFrame, heights: DataFrame | None, by: Sequence[str] = ()) -> DataFrame:
+    """``backfill_heights`` in the tilesets (``by``) where some building has a tile key.
+
+    Elsewhere heights stay as they are: a default never stands in for a tileset that is not there.
+    """
+    has = F.coalesce(F.bool_or(F.col("tile_content_uri").isNotNull()), F.lit(False)).alias("_tiled")
+    if by:
+        marked = buildings.join(buildings.groupBy(*by).agg(has), [*by], "left")
+    else:
+        marked = buildings.withColumn("_tiled", buildings.agg(has).scalar())
+    was = ("height", "height_source")
+    filled = backfill_heights(marked.withColumns({f"_{c}": F.col(c) for c in was}), heights, by)
+    return filled.withColumns({c: F.when(F.col("_tiled"), F.col(c)).otherwise(F.col(f"_{c}")) for c in was}).select(*buildings.columns)
+
+
 def duplicate_feature_keys(buildings: DataFrame) -> DataFrame:
     """Tile keys that more than one building claims (an exact check, not a sample)."""
     return (

@@ -91,18 +91,18 @@ def add_tiles(
     eps: float = model.TOUCH_EPS_M,
     cell: float = 40.0,
     project: bool = True,
-    by: Sequence[str] = (),
+    by: Sequence[str] | None = None,
 ) -> DataFrame:
     """Canonical tile keys, heights for buildings without a measured one, complexes.
 
-    ``by`` names the columns that tell several tilesets apart, such as ``city_code``.
-
-    Heights are back-filled only where tiles were given, so a footprint default never
-    stands in for a tileset that is not there.
+    ``by`` names the columns that tell several tilesets apart: ``city_code`` unless given, where all
+    tables have it. Heights are back-filled in tilesets that some building has a tile key in.
     """
+    meshes = () if vertices is None or contents is None else (vertices, contents)
+    if by is None:
+        by = ("city_code",) if all("city_code" in x.columns for x in (buildings, placements, *meshes)) else ()
     df = tiles.attach_tile_keys(buildings, placements, by=by)
-    if vertices is not None and contents is not None:
-        df = tiles.backfill_heights(df, tiles.mesh_heights(vertices, placements, contents, by), by)
+    df = tiles.fill_where_tiled(df, tiles.mesh_heights(vertices, placements, contents, by) if meshes else None, by)
     return components.building_complexes(df, eps=eps, cell=cell, project=project)
 
 

@@ -96,17 +96,26 @@ def footprint_polygons() -> Column:
     )
 
 
-def input_files(spark: SparkSession, path: str, pattern: str = "*.gml") -> list[str]:
-    """Sorted files below a folder, of a glob, or the file itself; an error when there is none."""
+def file_table(spark: SparkSession, path: str, pattern: str = "*.gml") -> DataFrame:
+    """(file, bytes) below a folder, of a glob, or the file itself; an error when there is none.
+
+    Spark lists the files and reads none of them; the names stay a table, however many there are.
+    Spark's reader leaves out files of no bytes.
+    """
     listing = spark.read.format("binaryFile").option("recursiveFileLookup", "true")
     if not path.endswith(pattern.lstrip("*")):
         listing = listing.option("pathGlobFilter", pattern)
-    files = sorted(listing.load(path).inputFiles())
-    if not files:
+    files = listing.load(path).select(F.col("path").alias("file"), F.col("length").alias("bytes"))
+    if files.isEmpty():
         raise FileNotFoundError(f"no {pattern} under {path}")
     return files
 
 
+def input_files(spark: SparkSession, path: str, pattern: str = "*.gml") -> list[str]:
+    """Sorted names in Python, for the files of one city; ``file_table`` keeps those of many as a table."""
+    return sorted(r["file"] for r in file_table(spark, path, pattern).select("file").toLocalIterator())
+
+
 def read_buildings(spark: SparkSession, path: str | list[str], tag: str = "Building") -> DataFrame:
     """One row per building element, straight from the XML (namespaces are dropped first)."""
     return spark.read.format("xml").options(rowTag=tag, **XML_OPTIONS).schema(BUILDING_SCHEMA).load(path)

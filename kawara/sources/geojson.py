@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -12,6 +14,10 @@ from kawara.functions import geometry as g
 from kawara.operators.coverage import bbox_overlap
 
 
+#: Pieces between commas in which the first feature of a collection has to begin.
+_HEAD_PIECES = 200
+
+
 def feature_schema(properties: T.StructType) -> T.StructType:
     """Coordinates stay JSON text: their nesting differs between geometry types."""
     return T.StructType(
@@ -53,6 +59,40 @@ def with_shape(df: DataFrame) -> DataFrame:
     ).where(F.size("edges") > 0)
 
 
+def feature_border(spark: SparkSession, path: str | list[str]) -> str | None:
+    """The text that begins every feature, spaces and line feeds included, as the first feature has it.
+
+    None where features don't begin with their type, or there are none. Reads the first pieces only.
+    """
+    head = ",".join(r["value"] for r in spark.read.text(path, lineSep=",").limit(_HEAD_PIECES).collect())
+    found = re.search(r'"features"\s*:\s*\[\s*(\{\s*"type"\s*:\s*"Feature"\s*,)', head)
+    return found[1] if found else None
+
+
+def collection_features(spark: SparkSession, path: str | list[str], schema: T.StructType) -> DataFrame:
+    """(f): the features of FeatureCollection files.
+
+    Files are cut where a feature begins, so many tasks read one large file. Every piece has to be a
+    whole feature: files written in several ways, or features inside properties, raise an error.
+    Where features don't begin with their type, a file is read as one document by one task.
+    """
+    border = feature_border(spark, path)
+    if border is None:
+        outer = T.StructType([T.StructField("features", T.ArrayType(schema))])
+        return spark.read.schema(outer).option("multiLine", True).json(path).select(F.explode("features").alias("f"))
+    value = F.regexp_replace("value", "^[\\s\ufeff]+", "")
+    pieces = spark.read.text(path, lineSep=border).select(F.col("_metadata.file_path").alias("file"), value.alias("value"))
+    # what stands before the first feature is an object that opens the list, or closes it at once
+    head = F.col("value").startswith("{")
+    opens = F.col("value").rlike(r'(?s)"features"\s*:\s*\[\s*(\]|$)')
+    checked = T.StructType([*schema.fields, T.StructField("_bad", T.StringType())])
+    text = F.concat(F.lit(border), "value")
+    parsed = pieces.select("file", head.alias("head"), opens.alias("opens"), F.from_json(text, checked, {"columnNameOfCorruptRecord": "_bad"}).alias("f"))
+    wrong = F.when(F.col("head"), ~F.col("opens")).otherwise(F.col("f").isNull() | F.col("f._bad").isNotNull())
+    error = F.raise_error(F.concat(F.lit("not cut at whole features: "), "file")).cast("boolean")
+    return parsed.where(F.when(wrong, error).otherwise(~F.col("head"))).select("f")
+
+
 def read_features(
     spark: SparkSession,
     path: str | list[str],
@@ -63,15 +103,13 @@ def read_features(
 ) -> DataFrame:
     """gml_id, properties, polygons, parts, edges and bounds of every polygon feature.
 
-    Prefer one feature per line, which Spark can split; ``collection=True`` reads whole
-    FeatureCollection files, one task per file. Several paths are one layer. ``mercator``
-    says that coordinates are Web-Mercator metres; they are turned into degrees.
+    One feature per line, or with ``collection=True`` FeatureCollection files (``collection_features``).
+    Several paths are one layer. ``mercator`` says that coordinates are Web-Mercator metres; they
+    are turned into degrees.
     """
     schema = feature_schema(properties)
     if collection:
-        outer = T.StructType([T.StructField("features", T.ArrayType(schema))])
-        rows = spark.read.schema(outer).option("multiLine", True).json(path)
-        features = rows.select(F.explode("features").alias("f"))
+        features = collection_features(spark, path, schema)
     else:
         features = spark.read.schema(schema).json(path).select(
             F.struct("id", "properties", "geometry").alias("f")

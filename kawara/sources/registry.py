@@ -2,6 +2,10 @@
 
 from __future__ import annotations
 
+import hashlib
+from collections.abc import Iterator
+
+import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -85,13 +89,42 @@ def read_index(spark: SparkSession, path: str) -> DataFrame:
     return rows.select(F.explode("cities").alias("c")).select("c.*")
 
 
-def check_files(spark: SparkSession, folder: str, index: DataFrame) -> DataFrame:
+#: Bytes of a file that Spark may hold in one row; larger files are read as streams.
+ROW_BYTES = 256 << 20
+
+
+def _streamed(files: DataFrame, chunk: int = 8 << 20) -> DataFrame:
+    """(path, got): digests of files of any size, each read by one task in pieces of ``chunk`` bytes."""
+
+    def digest(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        from pyarrow import fs
+
+        for b in batches:
+            for path in b["path"]:
+                scheme, _, rest = path.partition(":")
+                if scheme == "file":
+                    store, name = fs.LocalFileSystem(), "/" + rest.lstrip("/")
+                else:
+                    store, name = fs.FileSystem.from_uri(path)
+                h = hashlib.sha256()
+                with store.open_input_stream(name) as f:
+                    while piece := f.read(chunk):
+                        h.update(piece)
+                yield pd.DataFrame({"path": [path], "got": [h.hexdigest()]})
+
+    return files.select("path").mapInPandas(digest, "path string, got string")
+
+
+def check_files(spark: SparkSession, folder: str, index: DataFrame, row_bytes: int = ROW_BYTES) -> DataFrame:
     """(file, bundle_url, ok): bundle files whose checksum the index confirms.
 
-    ``binaryFile`` holds one file per row, so this is for bundles below 2 GB.
+    Files of more than ``row_bytes`` never become a row: a task reads them as a stream, with the
+    file systems that Arrow knows (local, HDFS, S3, GCS).
     """
-    files = spark.read.format("binaryFile").load(folder).select(
-        F.substring_index("path", "/", -1).alias("file"), F.sha2("content", 256).alias("got")
-    )
+    files = spark.read.format("binaryFile").load(folder)
+    small = files.where(F.col("length") <= row_bytes).select("path", F.sha2("content", 256).alias("got"))
+    large = files.where(F.col("length") > row_bytes).select("path")
     known = index.select(F.substring_index("bundle_url", "/", -1).alias("file"), "bundle_url", "sha256")
-    return files.join(known, "file").select("file", "bundle_url", (F.col("got") == F.col("sha256")).alias("ok"))
+    name = F.substring_index("path", "/", -1).alias("file")
+    got = small.union(_streamed(large)).select(name, "got")
+    return got.join(known, "file").select("file", "bundle_url", (F.col("got") == F.col("sha256")).alias("ok"))

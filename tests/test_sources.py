@@ -1,3 +1,4 @@
+import hashlib
 import json
 
 import pytest
@@ -219,3 +220,42 @@ def test_tileset_is_walked_in_tree_order(spark, tmp_path):
     (tmp_path / "sub" / "ext.json").write_text(json.dumps(ext))
     got = tileset.read_tileset(spark, str(tmp_path)).orderBy("walk").collect()
     assert [r.uri for r in got] == ["15/a.glb", "sub/c.glb", "d.glb", "18/z.glb", "15/b.glb"]
+
+
+def test_large_collection_is_read_by_many_tasks(spark, tmp_path):
+    feats = [_feature(f"f{i}", SQUARE, yearOfConstruction="1990", note='{"type":"Feature",') for i in range(300)]
+    ways = {"tight.json": {"separators": (",", ":")}, "indented.json": {"indent": 1}, "plain.json": {}}
+    for name, how in ways.items():
+        (tmp_path / name).write_text(json.dumps({"type": "FeatureCollection", "name": "x, y", "features": feats}, **how))
+    (tmp_path / "empty.json").write_text('{"type":"FeatureCollection","features":[]}')
+    size = "spark.sql.files.maxPartitionBytes"
+    before = spark.conf.get(size)
+    spark.conf.set(size, "8k")
+    try:
+        for name in ways:
+            raw = geojson.collection_features(spark, str(tmp_path / name), geojson.feature_schema(PROPS))
+            assert raw.select(F.spark_partition_id()).distinct().count() > 3
+            rows = geojson.read_features(spark, str(tmp_path / name), PROPS, collection=True).collect()
+            assert sorted(r.gml_id for r in rows) == sorted(f["id"] for f in feats)
+            assert all(len(r.edges) == 4 and r.yearOfConstruction == "1990" for r in rows)
+        both = [str(tmp_path / n) for n in ("empty.json", "tight.json")]
+        assert geojson.read_features(spark, both, PROPS, collection=True).count() == 300
+        with pytest.raises(Exception, match="whole features"):
+            geojson.read_features(spark, [str(tmp_path / n) for n in ways], PROPS, collection=True).collect()
+    finally:
+        spark.conf.set(size, before)
+    assert geojson.read_features(spark, str(tmp_path / "empty.json"), PROPS, collection=True).count() == 0
+
+
+def test_file_table_and_streamed_checksums(spark, tmp_path, make):
+    data = {"a b.zip": b"x" * 3_000_000, "c.zip": b"c", "d.zip": b"other"}
+    for n, body in data.items():
+        (tmp_path / n).write_bytes(body)
+    (tmp_path / "note.txt").write_text("no bundle")
+    files = citygml.file_table(spark, str(tmp_path), "*.zip")
+    assert {r.file.rsplit("/", 1)[1]: r.bytes for r in files.collect()} == {n: len(b) for n, b in data.items()}
+    sums = {n: hashlib.sha256(b if n != "d.zip" else b"another").hexdigest() for n, b in data.items()}
+    index = make([(f"https://host/{n}", s) for n, s in sums.items()], "bundle_url string, sha256 string")
+    for limit in (registry.ROW_BYTES, 4, -1):
+        got = {r.file: r.ok for r in registry.check_files(spark, str(tmp_path), index, limit).collect()}
+        assert got == {"a b.zip": True, "c.zip": True, "d.zip": False}

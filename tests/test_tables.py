@@ -366,3 +366,17 @@ def test_stored_shapes_select_clip_and_join_again(spark, tmp_path, make):
     admin = make([("13113", shapes.box(-1, -1, 2.5, 5))], f"city_code string, edges {shapes.EDGES}")
     clipped = coverage.clip_to_boundary(back, admin, cell=0.5)
     assert sorted(r.gml_id for r in clipped.select("gml_id").collect()) == ["u0", "u1", "u2"]
+
+
+def test_heights_are_filled_where_tiles_matched(make):
+    b = make(
+        [("c1", "a", None, None, "u", 1), ("c1", "b", None, None, None, None), ("c2", "c", None, None, None, None), ("c1", "d", 7.0, "measured", None, None)],
+        "city_code string, gml_id string, height float, height_source string, tile_content_uri string, tile_feature_id int",
+    )
+    heights = make([("c1", "a", 4.0)], "city_code string, gml_id string, mesh_height float")
+    of = lambda df: {r.gml_id: (r.height, r.height_source) for r in df.collect()}
+    low, kept = (3.5, "footprint_fallback"), {"c": (None, None), "d": (7.0, "measured")}
+    assert of(tiles.fill_where_tiled(b, heights, ("city_code",))) == {"a": (4.0, "geometric"), "b": low, **kept}
+    assert of(tiles.fill_where_tiled(b, None)) == {"a": low, "b": low, "c": low, "d": (7.0, "measured")}
+    untiled = b.where("tile_content_uri IS NULL")
+    assert of(tiles.fill_where_tiled(untiled, None)) == {"b": (None, None), **kept}
