@@ -17,23 +17,48 @@ from kawara.session import cut_lineage
 
 HOT_SHARE = 1e-4
 HOT_FLOOR = 1_000_000
+ROWS_PER_TASK = 100_000
 
 
-def hot_keys(
+def crowding(
     df: DataFrame, keys: list[str], share: float = HOT_SHARE, floor: int = HOT_FLOOR
-) -> DataFrame | None:
-    """(keys, n_salt): the hot keys and into how many pieces to split each; None if none is.
+) -> tuple[DataFrame | None, int]:
+    """The hot keys (see ``hot_keys``) and how many tasks the rows are to be shuffled to.
 
-    At most ``1 / share`` keys, and at most about twice as many pieces in all.
+    The number grows with the rows, so that no task does.
     """
+    spark = df.sparkSession
     counts = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"))
+    n, most = counts.agg(F.coalesce(F.sum("_n"), F.lit(0)), F.coalesce(F.max("_n"), F.lit(0))).first()
+    pieces = math.ceil(n / ROWS_PER_TASK)
+    if most <= floor:
+        return None, pieces
     top = counts.where(F.col("_n") > floor).orderBy(F.desc("_n")).limit(int(1 / share)).collect()
-    if not top:
-        return None
     piece = max(floor, share * sum(r["_n"] for r in top))
     rows = [(*[r[k] for k in keys], math.ceil(r["_n"] / piece)) for r in top]
     ddl = ", ".join(f"{k} {df.schema[k].dataType.simpleString()}" for k in keys)
-    return df.sparkSession.createDataFrame(rows, f"{ddl}, n_salt int").where("n_salt > 1")
+    return spark.createDataFrame(rows, f"{ddl}, n_salt int").where("n_salt > 1"), pieces
+
+
+def hot_keys(
+    df: DataFrame, keys: list[str], share: float = HOT_SHARE, floor: int = HOT_FLOOR
+) -> DataFrame | None:
+    """(keys, n_salt): the hot keys and into how many pieces to split each; None if none is.
+
+    At most ``1 / share`` keys, and at most about twice as many pieces in all.
+    """
+    return crowding(df, keys, share, floor)[0]
+
+
+def shuffled_join(many: DataFrame, few: DataFrame, keys: list[str], pieces: int) -> DataFrame:
+    """Inner join through a shuffle of both sides, never a broadcast.
+
+    For sides that are made by exploding: Spark estimates them by what stood before, and would
+    send through the driver a table that is far larger than it seems.
+    """
+    if pieces > many.sparkSession.sparkContext.defaultParallelism:  # else Spark's own number will do
+        many, few = many.repartition(pieces, *keys), few.repartition(pieces, *keys)
+    return many.hint("merge").join(few, keys)
 
 
 def salted(

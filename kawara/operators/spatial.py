@@ -19,7 +19,6 @@ from pyspark.sql import functions as F
 
 from kawara.functions import geometry as g
 from kawara.operators import skew
-from kawara.session import spread
 
 CHUNK = 64
 _MARGIN = 1e-7  # in cells: an extra edge in a cell does no harm, a missing one would
@@ -217,13 +216,13 @@ def points_in_polygons(
     large: bool = True,
     share: float = skew.HOT_SHARE,
     floor: int = skew.HOT_FLOOR,
-    hot: DataFrame | None | str = "find",
+    crowd: tuple[DataFrame | None, int] | None = None,
 ) -> DataFrame:
     """(point_cols, poly_cols) for every point strictly inside a polygon.
 
     ``large=False`` states that no polygon has more than ``CHUNK`` edges; it is checked while
     running. Hot cells are salted, so one crowded cell does not become one task; a caller that
-    knows them already hands them in.
+    knows them already hands them in, with the number of tasks (``skew.crowding``).
 
     Ids need not be unique: polygons of one id count as separate polygons. Of exact copies of a
     polygon one counts, whatever its size.
@@ -236,10 +235,8 @@ def points_in_polygons(
         _cell(F.col(x), cell).alias("cx"),
         _cell(F.col(y), cell).alias("cy"),
     )
-    if isinstance(hot, str):
-        hot = skew.hot_keys(pts, ["cx", "cy"], share, floor)
+    hot, pieces = crowd or skew.crowding(pts, ["cx", "cy"], share, floor)
     own = [*point_cols, "_px", "_py"]
-    pts = spread(pts, *point_cols)
     flips = _flips(cell)
     inside = (F.col("base") + flips) % 2 == 1
     on_edge = F.expr(f"exists(edges, e -> {g.on_segment('e', '_px', '_py')})")
@@ -250,9 +247,11 @@ def points_in_polygons(
             edges,
             F.when(F.size(es) > CHUNK, F.raise_error(F.lit("polygon too large for large=False"))).otherwise(es),
         ).where(F.size(edges) > 0)
-    once = polys.select(*ids, edges, F.xxhash64(edges).alias("_shape")).dropDuplicates([*ids, "_shape"])
+    few_edges = polys.where(F.size(edges) <= CHUNK).select(*ids, edges, F.xxhash64(edges).alias("_shape"))
+    cores = polys.sparkSession.sparkContext.defaultParallelism
+    once = few_edges.repartition(max(pieces, cores), *ids, "_shape").dropDuplicates([*ids, "_shape"])
     m, f, keys = skew.salted(pts, _small_cells(once, ids, cell, edges), ["cx", "cy"], own, hot)
-    small_hits = m.join(f, keys).where(inside & ~on_edge).select(*point_cols, *poly_cols)
+    small_hits = skew.shuffled_join(m, f, keys, pieces).where(inside & ~on_edge).select(*point_cols, *poly_cols)
     if not large:
         return small_hits
 
@@ -260,7 +259,7 @@ def points_in_polygons(
     # all rows of one point and polygon meet in one cell, so these aggregates need no shuffle
     one = [*keys, *own, *ids, "_shape"]
     per_block = (
-        m.join(f, keys)
+        skew.shuffled_join(m, f, keys, pieces)
         .select(
             *one,
             "_block",
@@ -310,7 +309,7 @@ def intersecting_pairs(
         return polygon_cells(df, ids, cell, edges) if large else _small_cells(df, ids, cell, edges)
 
     # a crowded cell shows in the first vertices already, which are cheap to count
-    hot = skew.hot_keys(
+    hot, pieces = crowd = skew.crowding(
         left.select(
             _cell(F.get(F.col(left_edges), F.lit(0))["x1"], cell).alias("cx"),
             _cell(F.get(F.col(left_edges), F.lit(0))["y1"], cell).alias("cy"),
@@ -319,7 +318,7 @@ def intersecting_pairs(
     )
     left_in_right = points_in_polygons(
         starts(left, lids, left_edges), right, cell=cell, point_cols=lids, poly_cols=rids,
-        poly_id=right_id, edges=right_edges, large=large, hot=hot,
+        poly_id=right_id, edges=right_edges, large=large, crowd=crowd,
     ).select(*out)
 
     # what a left polygon can meet in a cell: pieces of right boundary, and right vertices
@@ -343,7 +342,7 @@ def intersecting_pairs(
     b = g.bbox(F.col(left_edges))
     small = left.where(F.size(left_edges) <= CHUNK) if large else left
     small = small.select(*lids, F.col(left_edges).alias("_le"), *[c.alias(f"_{n}") for n, c in b.items()])
-    placed = spread(small, *lids).withColumn(
+    placed = small.withColumn(
         "cx", F.explode(F.sequence(_low(F.col("_minx"), cell), _high(F.col("_maxx"), cell)))
     ).withColumn("cy", F.explode(F.sequence(_low(F.col("_miny"), cell), _high(F.col("_maxy"), cell))))
     m, f, keys = skew.salted(placed, met, ["cx", "cy"], lids, hot)
@@ -358,7 +357,7 @@ def intersecting_pairs(
         f" AND {g.inside_parity('_le', '_vx', '_vy')})"
     )
     found = left_in_right.unionByName(
-        m.join(f, keys).where(F.expr(f"coalesce({holding}, false) OR {touching}")).select(*out)
+        skew.shuffled_join(m, f, keys, pieces).where(F.expr(f"coalesce({holding}, false) OR {touching}")).select(*out)
     )
     if large:
         big = left.where(F.size(left_edges) > CHUNK)
@@ -366,16 +365,16 @@ def intersecting_pairs(
             starts(right, rids, right_edges), big, cell=cell, point_cols=rids, poly_cols=lids,
             poly_id=left_id, edges=left_edges,
         ).select(*out)
-        pieces = _large_cells(big, lids, cell, left_edges).where(F.size("edges") > 0)
+        cut = _large_cells(big, lids, cell, left_edges).where(F.size("edges") > 0)
         m, f, keys = skew.salted(
-            pieces.select(*lids, "cx", "cy", F.col("edges").alias("_le")),
+            cut.select(*lids, "cx", "cy", F.col("edges").alias("_le")),
             met.where(F.size("_re") > 0).select(*rids, "cx", "cy", "_re"),
             ["cx", "cy"],
             lids,
             hot,
         )
         crossing = (
-            m.join(f, keys)
+            skew.shuffled_join(m, f, keys, pieces)
             .where(F.expr(f"exists(_le, a -> exists(_re, b -> {g.segments_touch('a', 'b')}))"))
             .select(*out)
         )
