@@ -8,8 +8,8 @@ The cost per point is the number of edges in one cell, whatever the size of the
 cells wholly inside carry no edges at all.
 
 Polygons of at most ``CHUNK`` edges are cut inside their own row, without a shuffle. Larger
-ones are exploded to edges; their cell rows hold at most ``CHUNK`` edges each, because edges
-are grouped by blocks of consecutive ordinals, so no row and no group grows with the polygon.
+ones are first split into blocks of ``CHUNK`` consecutive edges, which are cut in the same way, so
+no cell row grows with the polygon and only cell rows are moved.
 """
 
 from __future__ import annotations
@@ -36,10 +36,6 @@ def _high(v: Column, size: float) -> Column:
     return F.floor(v / F.lit(size) + F.lit(_MARGIN))
 
 
-def _mid(cy: Column, size: float) -> Column:
-    return (cy + F.lit(0.5)) * F.lit(size)
-
-
 def _mid_sql(size: float) -> str:
     return f"((cy + 0.5D) * {g.num(size)})"
 
@@ -84,66 +80,69 @@ def _small_cells(polys: DataFrame, ids: list[str], size: float, edges: str) -> D
     return cells.where((F.col("base") == 1) | (F.size("edges") > 0))
 
 
-def _edge_rows(polys: DataFrame, ids: list[str], size: float, edges: str) -> DataFrame:
-    """One row per edge of the larger polygons and grid row it passes.
+def _block_rows(polys: DataFrame, ids: list[str], size: float, edges: str) -> DataFrame:
+    """One row per block of ``CHUNK`` consecutive edges of the larger polygons and grid row it passes.
 
-    ``_shape``, a hash of the edges, keeps polygons of equal ids apart.
+    Narrow, no shuffle. ``_shape``, a hash of the edges, keeps polygons of equal ids apart.
     """
-    e = F.col("e")
-    long = polys.where(F.size(edges) > CHUNK).select(
-        *ids, F.xxhash64(edges).alias("_shape"), F.posexplode(edges).alias("_seq", "e")
-    )
-    return long.select(
+    large = polys.where(F.size(edges) > CHUNK).select(*ids, F.xxhash64(edges).alias("_shape"), F.col(edges).alias("_all"))
+    blocks = large.select(
         *ids,
         "_shape",
-        "_seq",
-        F.floor(F.col("_seq") / CHUNK).alias("_block"),
-        "e",
-        F.explode(
-            F.sequence(
-                _low(F.least(e["y1"], e["y2"]), size), _high(F.greatest(e["y1"], e["y2"]), size)
-            )
-        ).alias("cy"),
+        F.expr(
+            f"inline(transform(sequence(0L, (size(_all) - 1) div {CHUNK}),"
+            f" b -> struct(b AS _block, slice(_all, cast(b * {CHUNK} + 1 AS int), {CHUNK}) AS _edges)))"
+        ),
     )
+    low = F.array_min(F.transform("_edges", lambda e: F.least(e.y1, e.y2)))
+    high = F.array_max(F.transform("_edges", lambda e: F.greatest(e.y1, e.y2)))
+    return blocks.withColumn("cy", F.explode(F.sequence(_low(low, size), _high(high, size))))
 
 
 def _large_cells(polys: DataFrame, ids: list[str], size: float, edges: str) -> DataFrame:
     """Cell rows of polygons with many edges: edge blocks, plus edge-free base rows.
 
-    Exact copies of a polygon become one: an edge counts once per place in its polygon.
+    Copies of a polygon give equal rows of each block, told by ``_block``, and one base row.
     """
-    rows = _edge_rows(polys, ids, size, edges)
+    rows = _block_rows(polys, ids, size, edges)
     ids = [*ids, "_shape"]
-    e, cy = F.col("e"), F.col("cy")
-
-    # the x range of the edge inside this grid row
-    lo = F.greatest(cy * F.lit(size), F.least(e["y1"], e["y2"]))
-    hi = F.least((cy + 1) * F.lit(size), F.greatest(e["y1"], e["y2"]))
-    flat = e["y1"] == e["y2"]
-    xa = F.when(flat, e["x1"]).otherwise(_clamped_x(e, lo))
-    xb = F.when(flat, e["x2"]).otherwise(_clamped_x(e, hi))
+    mid = _mid_sql(size)
+
+    # the columns that each edge passes inside this grid row
+    bottom, top = "least(e.y1, e.y2)", "greatest(e.y1, e.y2)"
+    xa = _clamped_x("e", f"greatest(cy * {g.num(size)}, {bottom})")
+    xb = _clamped_x("e", f"least((cy + 1) * {g.num(size)}, {top})")
+    ends = f"CASE WHEN e.y1 = e.y2 THEN struct(e AS e, e.x1 AS a, e.x2 AS b) ELSE struct(e AS e, {xa} AS a, {xb} AS b) END"
+    span = (
+        f"struct(p.e AS e, floor(least(p.a, p.b) / {g.num(size)} - {g.num(_MARGIN)}) AS c0,"
+        f" floor(greatest(p.a, p.b) / {g.num(size)} + {g.num(_MARGIN)}) AS c1)"
+    )
+    passing = f"transform(transform(filter(_edges, e -> {_touches('y', 'cy', size)}), e -> {ends}), p -> {span})"
     blocks = (
-        rows.select(
-            *ids,
-            "_block",
-            "_seq",
-            "e",
-            "cy",
-            F.explode(
-                F.sequence(_low(F.least(xa, xb), size), _high(F.greatest(xa, xb), size))
-            ).alias("cx"),
+        rows.select(*ids, "_block", "cy", F.expr(passing).alias("_row"))
+        .select(
+            *ids, "_block", "cy", "_row",
+            F.expr("explode(sequence(array_min(transform(_row, p -> p.c0)), array_max(transform(_row, p -> p.c1))))").alias("cx"),
         )
-        .groupBy(*ids, "cx", "cy", "_block")
-        .agg(F.collect_set(F.struct("_seq", "e")).getField("e").alias("edges"))
-        .withColumn("base", F.lit(0))
-    )
+        .select(
+            *ids, "cx", "cy", "_block",
+            F.expr("transform(filter(_row, p -> p.c0 <= cx AND p.c1 >= cx), p -> p.e)").alias("edges"),
+            F.lit(0).alias("base"),
+        )
+        .where(F.size("edges") > 0)
+    )
 
     # cells whose left side lies inside: between an odd crossing of the row and the next one
-    mid = _mid(cy, size)
+    cross = f"transform(filter(_edges, e -> {g.straddles_y('e', mid)}), e -> floor({g.x_at('e', mid)} / {g.num(size)}))"
+    odd = "filter(array_distinct(_cross), c -> size(filter(_cross, d -> d = c)) % 2 = 1)"
     crossings = (
-        rows.where((e["y1"] > mid) != (e["y2"] > mid))
-        .groupBy(*ids, "cy", _cell(_x_on(e, mid), size).alias("cx"))
-        .agg(F.count_distinct("_seq").alias("_n"))
+        rows.select(*ids, "_block", "cy", F.expr(cross).alias("_cross"))
+        .select(*ids, "_block", "cy", F.expr(odd).alias("_odd"))
+        .where(F.size("_odd") > 0)
+        .repartition("_shape", "cy")  # serves the count and the window
+        .select(*ids, "_block", "cy", F.explode("_odd").alias("cx"))
+        .groupBy(*ids, "cy", "cx")
+        .agg(F.count_distinct("_block").alias("_n"))
         .where(F.col("_n") % 2 == 1)
     )
     w = Window.partitionBy(*ids, "cy").orderBy("cx")
@@ -169,13 +168,8 @@ def _large_cells(polys: DataFrame, ids: list[str], size: float, edges: str) -> D
     return blocks.unionByName(spans)
 
 
-def _x_on(e: Column, y: Column) -> Column:
-    return e["x1"] + (y - e["y1"]) * (e["x2"] - e["x1"]) / (e["y2"] - e["y1"])
-
-
-def _clamped_x(e: Column, y: Column) -> Column:
-    x = _x_on(e, y)
-    return F.least(F.greatest(x, F.least(e["x1"], e["x2"])), F.greatest(e["x1"], e["x2"]))
+def _clamped_x(e: str, y: str) -> str:
+    return f"least(greatest({g.x_at(e, y)}, least({e}.x1, {e}.x2)), greatest({e}.x1, {e}.x2))"
 
 
 def polygon_cells(
@@ -190,7 +184,23 @@ def polygon_cells(
     return small.unionByName(large.withColumn("base", F.col("base").cast("int")))
 
 
-def _flips(size: float) -> Column:
+#: Edges of ``_re`` whose boxes meet the box of a placed polygon; others cannot meet it.
+_NEAR = (
+    "filter(_re, e -> least(e.x1, e.x2) <= _maxx AND greatest(e.x1, e.x2) >= _minx"
+    " AND least(e.y1, e.y2) <= _maxy AND greatest(e.y1, e.y2) >= _miny)"
+)
+
+
+def _placed(small: DataFrame, ids: list[str], size: float, edges: str) -> DataFrame:
+    """Small polygons whole (``_le``, with bounds) on all cells they reach: cutting costs more than it saves."""
+    b = g.bbox(F.col(edges))
+    rows = small.select(*ids, F.col(edges).alias("_le"), *[c.alias(f"_{n}") for n, c in b.items()])
+    return rows.withColumn(
+        "cx", F.explode(F.sequence(_low(F.col("_minx"), size), _high(F.col("_maxx"), size)))
+    ).withColumn("cy", F.explode(F.sequence(_low(F.col("_miny"), size), _high(F.col("_maxy"), size))))
+
+
+def _flips(size: float, edges: str = "edges") -> Column:
     """Edges crossed on the way from the cell's left side to the point (_px, _py)."""
     mid = _mid_sql(size)
     at_mid, at_point = g.right_of("e", "_px", mid), g.right_of("e", "_px", "_py")
@@ -199,7 +209,7 @@ def _flips(size: float) -> Column:
         f" AND ({at_mid} = (e.y2 > e.y1)))"
     )
     up_or_down = f"({g.straddles_x('e', '_px')} AND ({at_mid} != {at_point}))"
-    return F.expr(f"size(filter(edges, e -> {along} != {up_or_down}))")
+    return F.expr(f"size(filter({edges}, e -> {along} != {up_or_down}))")
 
 
 def points_in_polygons(
@@ -217,6 +227,7 @@ def points_in_polygons(
     share: float = skew.HOT_SHARE,
     floor: int = skew.HOT_FLOOR,
     crowd: tuple[DataFrame | None, int] | None = None,
+    shapes: DataFrame | None = None,
 ) -> DataFrame:
     """(point_cols, poly_cols) for every point strictly inside a polygon.
 
@@ -226,6 +237,10 @@ def points_in_polygons(
 
     Ids need not be unique: polygons of one id count as separate polygons. Of exact copies of a
     polygon one counts, whatever its size.
+
+    ``shapes`` are small polygons placed on cells (``_placed``), under the points' ``point_cols``. They
+    are held against the edges of the large polygons in the join of the points, and what they touch
+    is among the hits: the cell rows of large polygons are by far the most, and are moved once.
     """
     ids = list(dict.fromkeys([poly_id, *poly_cols]))
     pts = points.select(
@@ -255,25 +270,31 @@ def points_in_polygons(
     if not large:
         return small_hits
 
-    m, f, keys = skew.salted(pts, _large_cells(polys, ids, cell, edges), ["cx", "cy"], own, hot)
+    met, touch = pts, F.lit(False)
+    if shapes is not None:
+        met = pts.unionByName(shapes, allowMissingColumns=True)
+        touch = F.col("_px").isNull() & F.expr(f"exists({_NEAR}, b -> exists(_le, a -> {g.segments_touch('a', 'b')}))")
+    m, f, keys = skew.salted(met, _large_cells(polys, ids, cell, edges).withColumnRenamed("edges", "_re"), ["cx", "cy"], own, hot)
     # all rows of one point and polygon meet in one cell, so these aggregates need no shuffle
     one = [*keys, *own, *ids, "_shape"]
+    point = F.col("_px").isNotNull()
     per_block = (
         skew.shuffled_join(m, f, keys, pieces)
         .select(
             *one,
             "_block",
-            ((F.col("base") + flips) % 2).alias("_odd"),
-            on_edge.cast("int").alias("_edge"),
+            F.when(point, (F.col("base") + _flips(cell, "_re")) % 2).otherwise(0).alias("_odd"),
+            F.when(point, F.expr(f"exists(_re, e -> {g.on_segment('e', '_px', '_py')})").cast("int")).otherwise(0).alias("_edge"),
+            touch.cast("int").alias("_touch"),
         )
-        .where((F.col("_odd") == 1) | (F.col("_edge") == 1))
+        .where((F.col("_odd") == 1) | (F.col("_edge") == 1) | (F.col("_touch") == 1))
         .groupBy(*one, "_block")
-        .agg(F.max("_odd").alias("_odd"), F.max("_edge").alias("_edge"))
+        .agg(*[F.max(c).alias(c) for c in ("_odd", "_edge", "_touch")])
     )
     large_hits = (
         per_block.groupBy(*one)
-        .agg(F.sum("_odd").alias("_odd"), F.max("_edge").alias("_edge"))
-        .where((F.col("_odd") % 2 == 1) & (F.col("_edge") == 0))
+        .agg(F.sum("_odd").alias("_odd"), F.max("_edge").alias("_edge"), F.max("_touch").alias("_touch"))
+        .where((F.col("_touch") == 1) | ((F.col("_odd") % 2 == 1) & (F.col("_edge") == 0)))
         .select(*point_cols, *poly_cols)
     )
     return small_hits.unionByName(large_hits)
@@ -305,9 +326,6 @@ def intersecting_pairs(
             *ids, F.col("v.x").alias("px"), F.col("v.y").alias("py")
         )
 
-    def cells_of(df, ids, edges):
-        return polygon_cells(df, ids, cell, edges) if large else _small_cells(df, ids, cell, edges)
-
     # a crowded cell shows in the first vertices already, which are cheap to count
     hot, pieces = crowd = skew.crowding(
         left.select(
@@ -316,42 +334,28 @@ def intersecting_pairs(
         ),
         ["cx", "cy"],
     )
+    small = left.where(F.size(left_edges) <= CHUNK) if large else left
+    placed = _placed(small, lids, cell, left_edges)
+    # the vertices of the left in the right, and small left polygons against large right ones
     left_in_right = points_in_polygons(
         starts(left, lids, left_edges), right, cell=cell, point_cols=lids, poly_cols=rids,
-        poly_id=right_id, edges=right_edges, large=large, crowd=crowd,
+        poly_id=right_id, edges=right_edges, large=large, crowd=crowd, shapes=placed if large else None,
     ).select(*out)
 
-    # what a left polygon can meet in a cell: pieces of right boundary, and right vertices
+    # what a left polygon can meet in a cell: pieces of small right polygons, and right vertices
     none = F.array().cast("array<struct<x1:double,y1:double,x2:double,y2:double>>")
-    met = (
-        cells_of(right, rids, right_edges)
+    pieces_met = (
+        _small_cells(right, rids, cell, right_edges)
         .where(F.size("edges") > 0)
-        .select(*rids, "cx", "cy", F.col("edges").alias("_re"), F.lit(None).cast("double").alias("_vx"), F.lit(None).cast("double").alias("_vy"))
-        .unionByName(
-            starts(right, rids, right_edges).select(
-                *rids,
-                _cell(F.col("px"), cell).alias("cx"),
-                _cell(F.col("py"), cell).alias("cy"),
-                none.alias("_re"),
-                F.col("px").alias("_vx"),
-                F.col("py").alias("_vy"),
-            )
-        )
+        .select(*rids, "cx", "cy", F.col("edges").alias("_re"))
     )
-    # small left polygons go to their cells whole: cutting each one up costs more than it saves
-    b = g.bbox(F.col(left_edges))
-    small = left.where(F.size(left_edges) <= CHUNK) if large else left
-    small = small.select(*lids, F.col(left_edges).alias("_le"), *[c.alias(f"_{n}") for n, c in b.items()])
-    placed = small.withColumn(
-        "cx", F.explode(F.sequence(_low(F.col("_minx"), cell), _high(F.col("_maxx"), cell)))
-    ).withColumn("cy", F.explode(F.sequence(_low(F.col("_miny"), cell), _high(F.col("_maxy"), cell))))
+    vertices_met = starts(right, rids, right_edges).select(
+        *rids, _cell(F.col("px"), cell).alias("cx"), _cell(F.col("py"), cell).alias("cy"), none.alias("_re"),
+        F.col("px").alias("_vx"), F.col("py").alias("_vy"),
+    )
+    met = pieces_met.unionByName(vertices_met, allowMissingColumns=True)
     m, f, keys = skew.salted(placed, met, ["cx", "cy"], lids, hot)
-    # edges whose boxes miss the left polygon's box cannot meet it
-    reach = (
-        "filter(_re, e -> least(e.x1, e.x2) <= _maxx AND greatest(e.x1, e.x2) >= _minx"
-        " AND least(e.y1, e.y2) <= _maxy AND greatest(e.y1, e.y2) >= _miny)"
-    )
-    touching = f"exists({reach}, b -> exists(_le, a -> {g.segments_touch('a', 'b')}))"
+    touching = f"exists({_NEAR}, b -> exists(_le, a -> {g.segments_touch('a', 'b')}))"
     holding = (
         "(_vx BETWEEN _minx AND _maxx AND _vy BETWEEN _miny AND _maxy"
         f" AND {g.inside_parity('_le', '_vx', '_vy')})"
@@ -359,7 +363,7 @@ def intersecting_pairs(
     found = left_in_right.unionByName(
         skew.shuffled_join(m, f, keys, pieces).where(F.expr(f"coalesce({holding}, false) OR {touching}")).select(*out)
     )
-    if large:
+    if large and (left.agg(F.max(F.size(left_edges))).first()[0] or 0) > CHUNK:
         big = left.where(F.size(left_edges) > CHUNK)
         right_in_big = points_in_polygons(
             starts(right, rids, right_edges), big, cell=cell, point_cols=rids, poly_cols=lids,
@@ -368,7 +372,7 @@ def intersecting_pairs(
         cut = _large_cells(big, lids, cell, left_edges).where(F.size("edges") > 0)
         m, f, keys = skew.salted(
             cut.select(*lids, "cx", "cy", F.col("edges").alias("_le")),
-            met.where(F.size("_re") > 0).select(*rids, "cx", "cy", "_re"),
+            polygon_cells(right, rids, cell, right_edges).where(F.size("edges") > 0).select(*rids, "cx", "cy", F.col("edges").alias("_re")),
             ["cx", "cy"],
             lids,
             hot,

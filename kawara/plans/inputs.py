@@ -239,7 +239,7 @@ class Inputs:
             self.sql(BUILDINGS, "orders").select("k", "gml_id", "building_uid", "x0", "y0", "x1", "y1")
         )
 
-    def _layer(self, name: str, make) -> DataFrame:
+    def _layer(self, name: str, make, spread: bool = True) -> DataFrame:
         """A polygon layer, written once per session and folder: a stored table, as layers are.
 
         Layers are far smaller than the buildings, and many queries share them.
@@ -247,7 +247,7 @@ class Inputs:
         key = (self.spark.sparkContext.applicationId, self.sf_dir, name)
         if key not in _LAYERS:
             cores = self.spark.sparkContext.defaultParallelism
-            _LAYERS[key] = cut_lineage(make().repartition(cores))
+            _LAYERS[key] = cut_lineage(make().repartition(cores) if spread else make())
         return _LAYERS[key]
 
     def attributes(self) -> DataFrame:
@@ -271,14 +271,33 @@ class Inputs:
         return rows.withColumn("_shape", shapes).withColumn("edges", F.expr(scaled)).drop("_shape")
 
     def mega(self) -> DataFrame:
-        """Hazards with rings of very many edges, each with a hole."""
-        return self._layer("mega", self._mega)
+        """Hazards with rings of very many edges, each with a hole.
+
+        The stored layer holds the vertices, once each; edges are made from them where it is read.
+        """
+
+        def ring(x: str, y: str) -> str:
+            after = f"(i + 1) % size({x})"
+            return f"transform({x}, (x, i) -> struct(x AS x1, get({y}, i) AS y1, get({x}, {after}) AS x2, get({y}, {after}) AS y2))"
+
+        edges = F.expr(f"concat({ring('_x0', '_y0')}, {ring('_x1', '_y1')})")
+        stored = self._layer("mega", self._mega, spread=False)
+        return stored.withColumn("edges", edges).drop("_x0", "_y0", "_x1", "_y1")
 
     def _mega(self) -> DataFrame:
-        each = self.sql(MEGA_EDGES, "supplier", "lineitem")
-        rings = each.groupBy("poly_id").agg(F.sort_array(F.collect_list(F.struct("ring", "i", F.struct("x1", "y1", "x2", "y2").alias("e")))).alias("r"))
-        rows = self.sql(HAZARDS, "supplier").join(rings, "poly_id")
-        return rows.withColumn("edges", F.transform("r", lambda r: r.e)).drop("r")
+        """The rows of ``MEGA_EDGES`` by polygon: each line item is moved once, its polygon is made in place."""
+        v = self.table("lineitem").groupBy(F.col("l_suppkey").alias("poly_id")).agg(
+            F.sort_array(F.collect_list(F.struct("l_orderkey", "l_linenumber", "l_quantity"))).alias("_v")
+        )
+        reach = f"(w * ({D(0.6)} + p.l_quantity / {D(125)}))"
+        turn = f"({D(6.283185307179586)} * i / size(_v))"
+
+        def along(centre: str, reach: str, wave: str):
+            return F.expr(f"transform(_v, (p, i) -> {centre} + {reach} * {wave}({turn}))")
+
+        hole = f"{D(0.3)} * {reach}"
+        vertices = {"_x0": along("cx", reach, "cos"), "_y0": along("cy", reach, "sin"), "_x1": along("cx", hole, "cos"), "_y1": along("cy", hole, "sin")}
+        return self.sql(HAZARDS, "supplier").join(v, "poly_id").withColumns(vertices).drop("_v")
 
     def extents(self) -> DataFrame:
         return self._layer("extents", lambda: self.boxed(self.sql(EXTENTS, "supplier")))

@@ -35,3 +35,23 @@ def test_tasks_of_a_join_grow_in_number_not_in_size(make, monkeypatch):
     joined = skew.shuffled_join(points, points.select("cx").distinct(), ["cx"], pieces)
     assert joined.count() == 1000 and "hashpartitioning(cx" in _plan(joined) and ", 100)" in _plan(joined)
     assert skew.crowding(points.limit(0), ["cx"]) == (None, 0)
+
+
+def test_large_polygons_are_cut_where_they_are(make):
+    """Only cell rows are moved: the blocks of a large polygon are cut without a shuffle, its copies alike."""
+    star = shapes.star(0, 0, 9, 700, random.Random(2))
+    polys = make([("a", star), ("a", star)], f"poly_id string, edges {shapes.EDGES}")
+    cells = spatial._large_cells(polys, ["poly_id"], 1.0, "edges").where("_block >= 0")
+    assert "collect_set" not in cells._jdf.queryExecution().optimizedPlan().toString()
+    assert cells.count() == 2 * cells.distinct().count()
+    assert {(e.x1, e.y1, e.x2, e.y2) for r in cells.collect() for e in r.edges} == set(star)
+
+
+def test_rings_equal_their_sql_and_are_moved_once(spark):
+    from kawara.plans import inputs
+
+    t = inputs.Inputs(spark, "/root/testdata/sf0.001")
+    made = t.mega().selectExpr("poly_id", "inline(edges)")
+    told = t.sql(inputs.MEGA_EDGES, "supplier", "lineitem").select("poly_id", "x1", "y1", "x2", "y2")
+    assert made.count() == told.count() and made.exceptAll(told).isEmpty()
+    assert t._mega()._jdf.queryExecution().executedPlan().toString().count("Window") == 0
