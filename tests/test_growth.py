@@ -2,7 +2,7 @@
 
 import random
 
-from kawara.operators import skew, spatial
+from kawara.operators import identity, skew, spatial
 from tests import shapes
 
 
@@ -55,3 +55,23 @@ def test_rings_equal_their_sql_and_are_moved_once(spark):
     told = t.sql(inputs.MEGA_EDGES, "supplier", "lineitem").select("poly_id", "x1", "y1", "x2", "y2")
     assert made.count() == told.count() and made.exceptAll(told).isEmpty()
     assert t._mega()._jdf.queryExecution().executedPlan().toString().count("Window") == 0
+
+
+def test_missing_ids_store_no_rows(make, monkeypatch):
+    """Ids are numbered on counts; hot hashes and many copies take other ways to the same ids."""
+
+    def fail(df):
+        raise AssertionError("rows are stored")
+
+    monkeypatch.setattr(identity, "cut_lineage", fail, raising=False)
+    rng = random.Random(3)
+    rows = [(None, shapes.box(0, 0, 1, k % 3 + 1), rng.randrange(12), {"a": k % 2}) for k in range(200)]
+    df = make([*rows, ("own", None, 1, None)], f"gml_id string, edges {shapes.EDGES}, n int, m map<string,int>")
+    seen = lambda d: sorted((r.gml_id, r.n, (r.m or {}).get("a", 9)) for r in d.collect())
+    plain = seen(identity.fill_missing_ids(df))
+    assert len({r[0] for r in plain}) == 201
+    assert sorted((n, a) for _, n, a in plain) == sorted([*((n, m["a"]) for _, _, n, m in rows), (1, 9)])
+    numbers = sorted(int(i.split("-")[1]) if "-" in i else 1 for i, _, _ in plain if i != "own")
+    assert numbers == sorted([*range(1, 68), *range(1, 68), *range(1, 67)])
+    monkeypatch.setattr(identity, "COPIES", 2)
+    assert seen(identity.fill_missing_ids(df.repartition(7), floor=66)) == plain
