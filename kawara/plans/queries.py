@@ -24,6 +24,7 @@ from kawara.operators import (
     quality,
     resolve,
     selection,
+    skew,
     spatial,
     tiles,
 )
@@ -565,8 +566,7 @@ def documents_to_urls(t):
         F.array(F.concat(F.lit("u"), (F.col("p_partkey") % 97).cast("string")), F.lit("u-all")).alias("urls"),
     )
     docs = (
-        t.table("lineitem")
-        .select("l_suppkey", "l_partkey")
+        skew.spread_rows(t.table("lineitem").select("l_suppkey", "l_partkey"), "l_suppkey", "l_partkey")
         .distinct()
         .join(parts.select(F.col("p_partkey").alias("l_partkey"), name.alias("n")), "l_partkey")
         .select(

@@ -75,3 +75,10 @@ def test_missing_ids_store_no_rows(make, monkeypatch):
     assert numbers == sorted([*range(1, 68), *range(1, 68), *range(1, 67)])
     monkeypatch.setattr(identity, "COPIES", 2)
     assert seen(identity.fill_missing_ids(df.repartition(7), floor=66)) == plain
+
+
+def test_small_rows_are_spread_by_their_number(spark):
+    df = spark.range(1000).selectExpr("id % 300 AS a")
+    some = skew.spread_rows(df, "a", rows=20)
+    assert some.rdd.getNumPartitions() == 50 and some.distinct().count() == 300
+    assert skew.spread_rows(df, "a").rdd.getNumPartitions() == df.rdd.getNumPartitions()
