@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from kawara import model
 from kawara.functions import geometry as g
 from kawara.functions import ids as idf
-from kawara.operators import spatial
+from kawara.operators import skew, spatial
 
 EXTENT, HAZARD = "extent", "hazard"
 
@@ -73,6 +73,7 @@ def hazard_hits(
     cell: float,
     mode: str = "point",
     large: bool = True,
+    crowd: tuple[DataFrame | None, int] | None = None,
 ) -> DataFrame:
     """One row per building and polygon that holds it (point mode) or meets it (polygon mode)."""
     layers = _layer_rows(extents, hazards)
@@ -82,7 +83,7 @@ def hazard_hits(
             "building_uid", F.col("centroid_lon").alias("px"), F.col("centroid_lat").alias("py")
         )
         return spatial.points_in_polygons(
-            points, layers, cell=cell, point_cols=["building_uid"], poly_cols=cols, large=large
+            points, layers, cell=cell, point_cols=["building_uid"], poly_cols=cols, large=large, crowd=crowd
         )
     if mode == "polygon":
         keyed = layers.withColumn("poly_key", F.concat_ws("|", "role", "kind", "source_id", "poly_id"))
@@ -95,6 +96,7 @@ def hazard_hits(
             left_id="building_uid",
             right_id="poly_key",
             large=large,
+            crowd=crowd,
         ).drop("poly_key")
     raise ValueError(f"mode must be 'point' or 'polygon', not {mode!r}")
 
@@ -194,9 +196,14 @@ def apply_hazards(
     def only(df):
         return None if df is None else df.where(F.col("kind").isin(*kinds))
 
+    if mode == "point":
+        crowd = spatial.point_crowd(buildings, F.col("centroid_lon"), F.col("centroid_lat"), cell)
+    else:
+        crowd = spatial.polygon_crowd(buildings, cell)
     hits = hazard_hits(
-        buildings, only(extents), only(hazards), cell=cell, mode=mode, large=large
+        buildings, only(extents), only(hazards), cell=cell, mode=mode, large=large, crowd=crowd
     )
+    hits = skew.dealt(hits, crowd[1], "building_uid")  # serves both aggregates and the join
     return with_hazard_columns(buildings, summarise_hits(hits, kinds), kinds)
 
 
@@ -213,11 +220,12 @@ def first_zone(
     points = buildings.select(
         "building_uid", F.col("centroid_lon").alias("px"), F.col("centroid_lat").alias("py")
     )
+    crowd = spatial.point_crowd(points, F.col("px"), F.col("py"), cell)
     hits = spatial.points_in_polygons(
         points, zones, cell=cell, point_cols=["building_uid"], poly_cols=[seq, *value_cols],
-        poly_id=seq, large=large,
+        poly_id=seq, large=large, crowd=crowd,
     )
-    first = hits.groupBy("building_uid").agg(
+    first = skew.dealt(hits, crowd[1], "building_uid").groupBy("building_uid").agg(
         F.min_by(F.struct(*value_cols), F.col(seq)).alias("_z")
     )
     out = buildings.drop(*value_cols).join(first, "building_uid", "left")

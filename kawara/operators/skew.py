@@ -57,6 +57,17 @@ def spread_rows(df: DataFrame, *keys: str, rows: int = 250_000) -> DataFrame:
     return df.repartition(pieces, *keys) if pieces > df.sparkSession.sparkContext.defaultParallelism else df
 
 
+def dealt(df: DataFrame, pieces: int, *keys: str) -> DataFrame:
+    """``df`` shuffled by keys to ``pieces`` tasks, for aggregates of what a join of so many tasks gave.
+
+    Spark cuts shuffles by their compressed size, and by a fixed number: a task would grow with the rows.
+    """
+    spark = df.sparkSession
+    if pieces <= spark.sparkContext.defaultParallelism:  # Spark's own number will do
+        return df
+    return df.repartition(max(pieces, int(spark.conf.get("spark.sql.shuffle.partitions"))), *keys)
+
+
 def shuffled_join(many: DataFrame, few: DataFrame, keys: list[str], pieces: int) -> DataFrame:
     """Inner join through a shuffle of both sides, never a broadcast.
 

@@ -212,6 +212,17 @@ def _flips(size: float, edges: str = "edges") -> Column:
     return F.expr(f"size(filter({edges}, e -> {along} != {up_or_down}))")
 
 
+def point_crowd(points: DataFrame, x: Column, y: Column, cell: float) -> tuple[DataFrame | None, int]:
+    """The crowded cells of points and how many tasks their rows need (``skew.crowding``)."""
+    return skew.crowding(points.select(_cell(x, cell).alias("cx"), _cell(y, cell).alias("cy")), ["cx", "cy"])
+
+
+def polygon_crowd(polys: DataFrame, cell: float, edges: str = "edges") -> tuple[DataFrame | None, int]:
+    """The same for polygons: a crowded cell shows in the first vertices already, which are cheap to count."""
+    first = F.get(F.col(edges), F.lit(0))
+    return point_crowd(polys, first["x1"], first["y1"], cell)
+
+
 def points_in_polygons(
     points: DataFrame,
     polys: DataFrame,
@@ -312,10 +323,12 @@ def intersecting_pairs(
     left_edges: str = "edges",
     right_edges: str = "edges",
     large: bool = True,
+    crowd: tuple[DataFrame | None, int] | None = None,
 ) -> DataFrame:
     """Distinct (left_cols, right_cols) of polygons that share at least a boundary point.
 
-    Two polygons intersect when a vertex of one lies in the other, or their edges touch.
+    Two polygons intersect when a vertex of one lies in the other, or their edges touch. A caller that
+    has the ``polygon_crowd`` of the left already hands it in.
     """
     lids = list(dict.fromkeys([left_id, *left_cols]))
     rids = list(dict.fromkeys([right_id, *right_cols]))
@@ -326,14 +339,7 @@ def intersecting_pairs(
             *ids, F.col("v.x").alias("px"), F.col("v.y").alias("py")
         )
 
-    # a crowded cell shows in the first vertices already, which are cheap to count
-    hot, pieces = crowd = skew.crowding(
-        left.select(
-            _cell(F.get(F.col(left_edges), F.lit(0))["x1"], cell).alias("cx"),
-            _cell(F.get(F.col(left_edges), F.lit(0))["y1"], cell).alias("cy"),
-        ),
-        ["cx", "cy"],
-    )
+    hot, pieces = crowd = crowd or polygon_crowd(left, cell, left_edges)
     small = left.where(F.size(left_edges) <= CHUNK) if large else left
     placed = _placed(small, lids, cell, left_edges)
     # the vertices of the left in the right, and small left polygons against large right ones

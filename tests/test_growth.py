@@ -1,8 +1,9 @@
 """What must not grow with the input: the driver's share of a plan, and the data that is moved."""
 
 import random
+import re
 
-from kawara.operators import identity, skew, spatial
+from kawara.operators import coverage, identity, skew, spatial
 from tests import shapes
 
 
@@ -82,3 +83,25 @@ def test_small_rows_are_spread_by_their_number(spark):
     some = skew.spread_rows(df, "a", rows=20)
     assert some.rdd.getNumPartitions() == 50 and some.distinct().count() == 300
     assert skew.spread_rows(df, "a").rdd.getNumPartitions() == df.rdd.getNumPartitions()
+
+
+def test_hits_are_summed_up_in_tasks_that_grow_in_number(make, monkeypatch):
+    """Spark's own number of tasks is fixed, and the hits of the buildings of one task grew with the input."""
+    rng = random.Random(7)
+    rows = [(f"b{i}", x := rng.uniform(0, 29), y := rng.uniform(0, 29), shapes.box(x, y, x + 0.1, y + 0.1)) for i in range(1000)]
+    b = make(rows, f"building_uid string, centroid_lon double, centroid_lat double, edges {shapes.EDGES}")
+    boxes = [(f"e{i}", "river_flood", f"s{i}", "explicit_polygon", shapes.box(3 * i, i, 3 * i + 9, i + 9)) for i in range(9)]
+    ext = make(boxes, f"poly_id string, kind string, source_id string, confidence string, edges {shapes.EDGES}")
+    zones = ext.selectExpr("poly_id AS zone_seq", "source_id AS zoning_use", "1f AS far_max", "edges")
+
+    def runs():
+        for mode in ("point", "polygon"):
+            yield coverage.apply_hazards(b, ext, None, cell=2.0, mode=mode, large=False)
+        yield coverage.backfill_zoning(b, zones, cell=2.0, large=False)
+
+    few = [sorted(map(str, df.collect())) for df in runs()]
+    monkeypatch.setattr(skew, "ROWS_PER_TASK", 10)
+    for df, want in zip(runs(), few):
+        assert sorted(map(str, df.collect())) == want
+        assert re.search(r"hashpartitioning\(building_uid#\d+, 100\)", _plan(df))
+        assert not re.search(r"hashpartitioning\(building_uid#\d+, 8\)", _plan(df))
