@@ -25,16 +25,13 @@ from __future__ import annotations
 
 import re
 from collections.abc import Iterator
-from itertools import accumulate
 
 import numpy as np
 import pandas as pd
-import xxhash
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from kawara.llm import shingles
 from kawara.llm.common import documents, same, suspects, with_code
 from kawara.session import cut_lineage
 
@@ -42,7 +39,6 @@ MIN_SENTENCES = 2
 MIN_WORDS = 20
 LONG_WORDS = 50
 SEED = 12
-_WORD = re.compile(r"[^\x20\x09-\x0D]+")
 _BREAK = re.compile(r"[.!?][^\S\n]+|[。！？]|\n\s*")  # every way starts with one of few characters: fast to search
 _SLICE = 200_000  # words hashed together
 #: White space as Python's patterns see it, without the line feed, for the JVM.
@@ -51,14 +47,16 @@ _BLANK = r"\t\x0B\f\r\x1C-\x20\x{85}\x{A0}\x{1680}\x{2000}-\x{200A}\x{2028}\x{20
 _SENTENCE_END = rf"[.!?][{_BLANK}]+|[。！？]|\n[{_BLANK}\n]*|(?s:.)\z"
 
 
+def _ends(text: str) -> list[int]:
+    """Where each sentence ends, the white space behind it included."""
+    ends = [m.end() for m in _BREAK.finditer(text)]
+    return ends if not text or ends and ends[-1] == len(text) else [*ends, len(text)]
+
+
 def sentences(text: str | None) -> list[str]:
     """The text cut after sentence marks and at line feeds; joined again they are the text."""
-    out, at = [], 0
-    for m in _BREAK.finditer(text or ""):
-        if m.end() > at:
-            out.append(text[at : m.end()])
-            at = m.end()
-    return out + ([text[at:]] if text and at < len(text) else [])
+    ends = _ends(text or "")
+    return [text[i:j] for i, j in zip([0, *ends], ends)]
 
 
 def n_sentences(text: Column) -> Column:
@@ -66,27 +64,90 @@ def n_sentences(text: Column) -> Column:
     return F.coalesce(F.regexp_count(text, F.lit(_SENTENCE_END)), F.lit(0)).cast("long")
 
 
-def spans(words: list[list[bytes]]) -> list[tuple[int, int, int]]:
-    """(hash, first sentence, number of sentences) of every span; ``words`` are those of each sentence."""
-    ends, n, j, out = list(accumulate(map(len, words))), len(words), 0, []
-    flat = [w for ws in words for w in ws]
-    for i in range(n):
-        before = ends[i - 1] if i else 0
-        if not words[i]:
-            continue
-        j = max(j, i)
-        if ends[i] - before >= LONG_WORDS:
-            last = i
-        else:
-            j = max(j, min(i + MIN_SENTENCES - 1, n))
-            while j < n and ends[j] - before < MIN_WORDS:
-                j += 1
-            last = j
-        if last >= n or last - i + 1 < MIN_SENTENCES and ends[last] - before < LONG_WORDS:
-            continue
-        h = xxhash.xxh3_64_intdigest(b" ".join(flat[before : ends[last]]))
-        out.append((h - (1 << 64) if h >> 63 else h, i, last - i + 1))
-    return out
+def _mixed(h: np.ndarray) -> np.ndarray:
+    for by, shift in _MIX:
+        h = h * by
+        h ^= h >> shift
+    return h
+
+
+_MIX = [(np.uint64(0x9E3779B97F4A7C15), np.uint64(32)), (np.uint64(0xD6E8FEB86659FD93), np.uint64(29))]
+_BYTE = _mixed(np.arange(1, 257, dtype=np.uint64))
+_SPACE = np.isin(np.arange(256), [32, *range(9, 14)])
+_BASE = 0xBF58476D1CE4E5B9
+_BLOCK = 1 << 17  # bytes whose words are hashed together
+
+
+def _powers(n: int) -> tuple[np.ndarray, np.ndarray]:
+    """The first powers of ``_BASE`` and of its inverse, modulo 2 ** 64."""
+    both = np.array([[_BASE], [pow(_BASE, -1, 1 << 64)]], np.uint64).repeat(n + 1, 1)
+    both[:, 0] = 1
+    return tuple(np.cumprod(both, axis=1))
+
+
+_KEPT = _powers(2 * _BLOCK)
+
+
+def _hashed(values: np.ndarray, begins: np.ndarray, stops: np.ndarray) -> np.ndarray:
+    """One hash of ``values[begin:stop]`` for each pair: a polynomial by differences of running sums, mixed."""
+    up, down = _KEPT if len(values) < len(_KEPT[0]) else _powers(len(values))
+    sums = np.zeros(len(values) + 1, np.uint64)
+    np.cumsum(values * up[: len(values)], out=sums[1:])
+    return _mixed((sums[stops] - sums[begins]) * down[begins] ^ (stops - begins).astype(np.uint64))
+
+
+def _runs_hashed(hashes: np.ndarray, k: int) -> np.ndarray:
+    """One hash per run of ``k`` words, in order."""
+    at = np.arange(max(len(hashes) - k + 1, 0))
+    return _hashed(hashes, at, at + k)
+
+
+def _words(texts: list[str | None]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """(hash of each word, its sentence, number of sentences of each text, of words): texts after each other.
+
+    Words are those of ``shingles.words_of`` in each sentence; sentences are numbered through all texts.
+    """
+    raws, ends, size = [], [], 0
+    for t in texts:
+        raw = (t or "").encode("utf-8", "surrogatepass")
+        own = np.array(_ends(t or ""), np.int64)
+        if len(raw) != len(t or ""):
+            own = np.append(np.flatnonzero((np.frombuffer(raw, np.uint8) & 0xC0) != 0x80), len(raw))[own]
+        raws.append(raw.lower())
+        ends.append(own + size)
+        size += len(raw)
+    counts, ends, buf = np.array(list(map(len, ends)), np.int64), np.concatenate(ends), np.frombuffer(b"".join(raws), np.uint8)
+    begins, stops = _word_bounds(_SPACE[buf], ends)
+    hashes, i = np.empty(len(begins), np.uint64), 0
+    while i < len(begins):
+        low = begins[i]
+        j = max(i + 1, int(np.searchsorted(begins, low + _BLOCK)))
+        hashes[i:j] = _hashed(_BYTE[buf[low : stops[j - 1]]], begins[i:j] - low, stops[i:j] - low)
+        i = j
+    sentence = np.searchsorted(ends, begins, side="right")
+    words = np.diff(np.searchsorted(sentence, np.concatenate([[0], np.cumsum(counts)])))
+    return hashes, sentence, counts, words
+
+
+def _word_bounds(space: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Where words begin and stop: at white space and at sentence ends."""
+    cut = np.ones(len(space) + 1, bool)
+    cut[1:-1] = space[1:] | space[:-1]
+    cut[ends] = True
+    return np.flatnonzero(cut[:-1] & ~space), np.flatnonzero(cut[1:] & ~space) + 1
+
+
+def spans(hashes: np.ndarray, sentence: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(first sentence, last sentence, hash) of every span, from what ``_words`` gives."""
+    i = np.arange(counts.sum())
+    ends = np.searchsorted(sentence, i, side="right")
+    before = np.concatenate([[0], ends])[:-1]
+    after = np.repeat(np.cumsum(counts), counts)  # the first sentence of the next text
+    reach = np.maximum(i + MIN_SENTENCES - 1, np.searchsorted(ends, before + MIN_WORDS))
+    last = np.where(ends - before >= LONG_WORDS, i, reach)
+    own = (ends > before) & (last < after)
+    i, last = i[own], last[own]
+    return i, last, _hashed(hashes, before[i], ends[last])
 
 
 def _least(runs: np.ndarray, width: int) -> np.ndarray:
@@ -99,64 +160,57 @@ def _least(runs: np.ndarray, width: int) -> np.ndarray:
     return at
 
 
-def seeds(hashes: np.ndarray, lengths: list[int]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+def seeds(hashes: np.ndarray, lengths: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """(document, word number, hash) of the smallest run of ``SEED`` words of every ``LONG_WORDS`` words.
 
     ``hashes`` are the words of several documents after each other, ``lengths`` how many each has.
     """
-    runs, width = shingles.rolling(hashes, SEED), LONG_WORDS - SEED + 1
+    runs, width = _runs_hashed(hashes, SEED), LONG_WORDS - SEED + 1
     if len(runs) < width:
         return (np.empty(0, np.int64),) * 3
     ends = np.cumsum(lengths)
     least = _least(runs, width)
     of = np.searchsorted(ends, np.arange(len(least)), side="right")
     inside = np.arange(len(least)) + LONG_WORDS <= ends[of]  # the words around it are of one document
-    at = np.unique(least[inside])
+    at = least[inside]
+    at = at[np.diff(at, prepend=-1) > 0]  # a later stretch never has an earlier least
     of = np.searchsorted(ends, at, side="right")
-    return of, at - (ends[of] - np.asarray(lengths)[of]), runs[at].view(np.int64)
-
-
-def _words(parts: list[str]) -> list[list[bytes]]:
-    return [shingles.words_of(s) for s in parts]
-
-
-def _flat(words: list[list[bytes]]) -> tuple[list[bytes], np.ndarray]:
-    """The words of all sentences, and the sentence of each."""
-    return [w for ws in words for w in ws], np.repeat(np.arange(len(words)), [len(w) for w in words])
+    return of, at - (ends[of] - lengths[of]), runs[at].view(np.int64)
 
 
-def _places_of(texts: list[str | None], cache: shingles.WordHashes) -> Iterator[tuple[int, list[int], list[int]]]:
+def _places_of(texts: list[str | None]) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
     """(number of sentences, hashes, places) of each text, together far fewer words than a batch may hold."""
-    each = [_words(sentences(t)) for t in texts]
-    flat = [_flat(words) for words in each]
-    hashes = np.concatenate([shingles.word_hashes(words, cache) for words, _ in flat])
-    of, at, runs = seeds(hashes, [len(words) for words, _ in flat])
-    cuts = np.searchsorted(of, np.arange(len(each) + 1))
-    for d, (words, (all_words, sentence)) in enumerate(zip(each, flat)):
-        found = spans(words)
-        # one number, spans even and seeds odd, in the order of the text: this table is the largest
-        one, packed = [h for h, _, _ in found], [(i << 24 | n) << 1 for _, i, n in found]
-        own = at[cuts[d] : cuts[d + 1]]
-        if len(own):
-            low = sentence[np.maximum(own - (LONG_WORDS - SEED), 0)]
-            n = sentence[np.minimum(own + LONG_WORDS, len(all_words)) - 1] - low + 1  # sentences that a run around it meets
-            one += runs[cuts[d] : cuts[d + 1]].tolist()
-            packed += ((own << 32 | low << 8 | n) << 1 | 1).tolist()
-        yield len(words), one, packed
-
-
-def _runs_of(rows: list[tuple[str, list[int]]], cache: shingles.WordHashes) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    hashes, sentence, counts, words = _words(texts)
+    first, to = np.cumsum(counts) - counts, np.cumsum(words)
+    at, last, spanned = spans(hashes, sentence, counts)
+    of = np.searchsorted(first + counts, at, side="right")
+    # one number, spans even and seeds odd: this table is the largest
+    spanning = ((at - first[of]) << 24 | last - at + 1) << 1
+    seeded, own, runs = seeds(hashes, words)
+    word, low = own + (to - words)[seeded], (to - words)[seeded]
+    low = sentence[np.maximum(word - (LONG_WORDS - SEED), low)]
+    n = sentence[np.minimum(word + LONG_WORDS, to[seeded]) - 1] - low + 1  # sentences that a run around it meets
+    seeding = (own << 32 | (low - first[seeded]) << 8 | n) << 1 | 1
+    each = np.concatenate([of, seeded])
+    order = np.argsort(each, kind="stable")
+    one, packed = np.concatenate([spanned.view(np.int64), runs])[order], np.concatenate([spanning, seeding])[order]
+    cuts = np.searchsorted(each[order], np.arange(len(texts) + 1)).tolist()
+    for k, i, j in zip(counts.tolist(), cuts, cuts[1:]):
+        yield k, one[i:j], packed[i:j]
+
+
+def _runs_of(rows: list[tuple[str, list[int]]]) -> Iterator[tuple[np.ndarray, np.ndarray]]:
     """(hashes, places) of the runs of words around the seeds of each text, hashed together like places."""
-    flat = [[w for ws in _words(sentences(t)) for w in ws] for t, _ in rows]
-    runs = shingles.rolling(np.concatenate([shingles.word_hashes(words, cache) for words in flat]), LONG_WORDS).view(np.int64)
+    hashes, _, _, words = _words([t for t, _ in rows])
+    runs = _runs_hashed(hashes, LONG_WORDS).view(np.int64)
     begin = 0
-    for words, (_, own) in zip(flat, rows):
-        near = np.zeros(max(len(words) - LONG_WORDS + 1, 0), bool)
+    for n, (_, own) in zip(words.tolist(), rows):
+        near = np.zeros(max(n - LONG_WORDS + 1, 0), bool)
         for s in own:
             near[max(0, s - (LONG_WORDS - SEED)) : s + 1] = True
         at = np.flatnonzero(near)
         yield runs[begin + at], at
-        begin += len(words)
+        begin += n
 
 
 def places(docs: DataFrame, key: str, text: str) -> DataFrame:
@@ -164,16 +218,15 @@ def places(docs: DataFrame, key: str, text: str) -> DataFrame:
     kind = docs.schema[key].dataType.simpleString()
 
     def cut(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        cache = shingles.WordHashes()
         for b in batches:
             out, some, size = [], [], 0
             for t in b["text"]:
                 some.append(t)
                 size += len(t or "") // 5
                 if size >= _SLICE:
-                    out += _places_of(some, cache)
+                    out += _places_of(some)
                     some, size = [], 0
-            out += _places_of(some, cache) if some else []
+            out += _places_of(some) if some else []
             n, h, p = zip(*out) if out else ((),) * 3
             yield pd.DataFrame({"row": b["row"], "id": b["id"], "print": b["print"], "n_sentences": n, "hash": h, "place": p})
 
@@ -231,16 +284,15 @@ def _runs(docs: DataFrame, info: DataFrame, met: DataFrame, seen: DataFrame, key
     both = _with_text(cut_lineage(at.join(info, "row")), docs, key, text)
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        cache = shingles.WordHashes()
         for b in batches:
             out, some, size = [], [], 0
             for t, own in zip(b["text"], b["seeds"]):
                 some.append((t, own))
                 size += len(t or "") // 5
                 if size >= _SLICE:
-                    out += _runs_of(some, cache)
+                    out += _runs_of(some)
                     some, size = [], 0
-            out += _runs_of(some, cache) if some else []
+            out += _runs_of(some) if some else []
             h, p = zip(*out) if out else ((),) * 2
             yield b[["row", "id"]].assign(hash=h, place=p)
 
@@ -303,16 +355,16 @@ def _covered(cover, n: int) -> np.ndarray:
 
 def without(text: str, cover, runs) -> tuple[str, int, int, list[dict]]:
     """What is left of a text, how many sentences and words were removed, and where."""
-    parts = sentences(text)
-    starts = np.cumsum([0, *map(len, parts)]).tolist()
-    each = [[b + m.start() for m in _WORD.finditer(p)] for b, p in zip(starts, parts)]
-    at, of = [a for own in each for a in own] + [len(text)], np.repeat(np.arange(len(parts)), [len(own) for own in each])
-    gone, lost = _covered(cover, len(parts)), _covered(runs, len(of))
-    mask = np.repeat(gone, [len(p) for p in parts])
+    ends = np.array(_ends(text), np.int64)
+    points = np.frombuffer(text.encode("utf-32-le", "surrogatepass"), np.uint32)
+    at, _ = _word_bounds((points == 32) | (points >= 9) & (points <= 13), ends)
+    of, at = np.searchsorted(ends, at, side="right"), np.append(at, len(text))
+    gone, lost = _covered(cover, len(ends)), _covered(runs, len(of))
+    mask = np.repeat(gone, np.diff(ends, prepend=0))
     for i in np.flatnonzero(lost):
         mask[at[i] : at[i + 1]] = True
     lost |= gone[of]
-    n, k = np.bincount(of, minlength=len(parts)), np.bincount(of[lost], minlength=len(parts))
+    n, k = np.bincount(of, minlength=len(ends)), np.bincount(of[lost], minlength=len(ends))
     edges = np.flatnonzero(np.diff(np.concatenate([[0], mask.astype(np.int8), [0]]))).tolist()
     removed = [{"start": i, "length": j - i} for i, j in zip(edges[::2], edges[1::2])]
     kept = [text[i:j] for i, j in zip([0, *edges[1::2]], [*edges[::2], len(text)])]
@@ -352,7 +404,7 @@ def everything(docs: DataFrame, key: str = "doc_id", text: str = "text", runs: b
     @F.pandas_udf(kind)
     def cut(text: pd.Series, cover: pd.Series, runs: pd.Series, n: pd.Series) -> pd.DataFrame:
         out = [
-            (None, len(sentences(t)), 0, 0, []) if c is None else ((w := without(t, c, r))[0], int(k), *w[1:])
+            (None, len(_ends(t or "")), 0, 0, []) if c is None else ((w := without(t, c, r))[0], int(k), *w[1:])
             for t, c, r, k in zip(text, cover, runs, n)
         ]
         return pd.DataFrame(out, columns=["text", "n_sentences", "n_removed", "words_removed", "removed"])

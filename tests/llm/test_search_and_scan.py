@@ -3,12 +3,13 @@
 import os
 import random
 import re
+import sys
 from collections import Counter
 
 import numpy as np
 import pytest
 
-from kawara.llm import license_scan, quality, substring_dedup, topk_search
+from kawara.llm import license_scan, quality, shingles, substring_dedup, topk_search
 from kawara.llm.common import documents
 
 SF_DIR = os.environ.get("TEST_SF_DIR", "/root/testdata/sf0.001")
@@ -251,3 +252,29 @@ def test_license_notices_that_differ_in_a_word(docs):
     got = {r.doc_id: r for r in license_scan.scan(docs([(i, t) for i, (t, _) in enumerate(NEAR_MISSES)])).collect()}
     assert [got[i].labels for i in range(len(got))] == [x for _, x in NEAR_MISSES]
     assert all((r.score >= license_scan.COVERED) == bool(r.labels) for r in got.values())
+
+
+def test_words_are_hashed_together_whatever_their_number():
+    """The cost of a text was a Python call or more per new word, which took most of the time of the scan."""
+    text = " ".join(f"w{k:05d}" + "." * (k % 20 == 19) for k in range(20_000))
+    calls = []
+    sys.setprofile(lambda frame, event, arg: calls.append(event) if event in ("call", "c_call") else None)
+    try:
+        found = list(substring_dedup._places_of([text]))
+    finally:
+        sys.setprofile(None)
+    assert found[0][0] == 1_000 and len(calls) < 3_000
+    parts = ["a", "Bc", " ", ". ", "。", "!　", "\xa0", "\n \x85", "\x1c", "é", "\ud800", "\U0001f600", "\t"]
+    rng = random.Random(4)
+    texts = [None, "", "\n", *("".join(rng.choices(parts, k=rng.randrange(200))) for _ in range(300))]
+    hashes, sentence, counts, words = substring_dedup._words(texts)
+    cut = [substring_dedup.sentences(t) for t in texts]
+    each = [[w for s in own for w in shingles.words_of(s)] for own in cut]
+    assert counts.tolist() == [len(own) for own in cut] and words.tolist() == [len(own) for own in each]
+    told = [w for own in each for w in own]
+    assert len(set(told)) == len(set(hashes.tolist())) == len(set(zip(told, hashes.tolist())))
+    numbered = [s for own in cut for s in own]
+    assert sentence.tolist() == [k for k, s in enumerate(numbered) for _ in shingles.words_of(s)]
+    firsts, lasts, spanned = substring_dedup.spans(hashes, sentence, counts)
+    of = [tuple(w for s in numbered[i : j + 1] for w in shingles.words_of(s)) for i, j in zip(firsts, lasts)]
+    assert len(set(of)) == len(set(spanned.tolist())) == len(set(zip(of, spanned.tolist())))
