@@ -184,11 +184,12 @@ def polygon_cells(
     return small.unionByName(large.withColumn("base", F.col("base").cast("int")))
 
 
-#: Edges of ``_re`` whose boxes meet the box of a placed polygon; others cannot meet it.
-_NEAR = (
-    "filter(_re, e -> least(e.x1, e.x2) <= _maxx AND greatest(e.x1, e.x2) >= _minx"
+#: Does the box of edge ``e`` meet that of a placed polygon? Others cannot meet it.
+_BOXES_MEET = (
+    "(least(e.x1, e.x2) <= _maxx AND greatest(e.x1, e.x2) >= _minx"
     " AND least(e.y1, e.y2) <= _maxy AND greatest(e.y1, e.y2) >= _miny)"
 )
+_NEAR = f"filter(_re, e -> {_BOXES_MEET})"
 
 
 def _placed(small: DataFrame, ids: list[str], size: float, edges: str) -> DataFrame:
@@ -200,8 +201,8 @@ def _placed(small: DataFrame, ids: list[str], size: float, edges: str) -> DataFr
     ).withColumn("cy", F.explode(F.sequence(_low(F.col("_miny"), size), _high(F.col("_maxy"), size))))
 
 
-def _flips(size: float, edges: str = "edges") -> Column:
-    """Edges crossed on the way from the cell's left side to the point (_px, _py)."""
+def _flip(size: float) -> str:
+    """Is edge ``e`` crossed on the way from the cell's left side to the point (_px, _py)? SQL text."""
     mid = _mid_sql(size)
     at_mid, at_point = g.right_of("e", "_px", mid), g.right_of("e", "_px", "_py")
     along = (
@@ -209,7 +210,12 @@ def _flips(size: float, edges: str = "edges") -> Column:
         f" AND ({at_mid} = (e.y2 > e.y1)))"
     )
     up_or_down = f"({g.straddles_x('e', '_px')} AND ({at_mid} != {at_point}))"
-    return F.expr(f"size(filter({edges}, e -> {along} != {up_or_down}))")
+    return f"({along} != {up_or_down})"
+
+
+def _flips(size: float) -> Column:
+    """How many of the ``edges`` are crossed."""
+    return F.expr(f"size(filter(edges, e -> {_flip(size)}))")
 
 
 def point_crowd(points: DataFrame, x: Column, y: Column, cell: float) -> tuple[DataFrame | None, int]:
@@ -284,26 +290,30 @@ def points_in_polygons(
     met, touch = pts, F.lit(False)
     if shapes is not None:
         met = pts.unionByName(shapes, allowMissingColumns=True)
-        touch = F.col("_px").isNull() & F.expr(f"exists({_NEAR}, b -> exists(_le, a -> {g.segments_touch('a', 'b')}))")
+        touch = F.col("_px").isNull() & F.expr(f"{_BOXES_MEET} AND exists(_le, a -> {g.segments_touch('a', 'e')})")
     m, f, keys = skew.salted(met, _large_cells(polys, ids, cell, edges).withColumnRenamed("edges", "_re"), ["cx", "cy"], own, hot)
     # all rows of one point and polygon meet in one cell, so these aggregates need no shuffle
     one = [*keys, *own, *ids, "_shape"]
     point = F.col("_px").isNotNull()
-    per_block = (
+    # a row per edge: plain columns are compiled, functions on arrays are not; base rows have no edges.
+    # Copies of a polygon give equal edges of each block, told by their place
+    per_edge = (
         skew.shuffled_join(m, f, keys, pieces)
+        .select("*", F.posexplode_outer("_re").alias("_i", "e"))
         .select(
             *one,
             "_block",
-            F.when(point, (F.col("base") + _flips(cell, "_re")) % 2).otherwise(0).alias("_odd"),
-            F.when(point, F.expr(f"exists(_re, e -> {g.on_segment('e', '_px', '_py')})").cast("int")).otherwise(0).alias("_edge"),
-            touch.cast("int").alias("_touch"),
+            "_i",
+            F.when(point, F.col("base") + F.coalesce(F.expr(_flip(cell)).cast("int"), F.lit(0))).otherwise(0).alias("_odd"),
+            (point & F.coalesce(F.expr(g.on_segment("e", "_px", "_py")), F.lit(False))).cast("int").alias("_edge"),
+            F.coalesce(touch, F.lit(False)).cast("int").alias("_touch"),
         )
         .where((F.col("_odd") == 1) | (F.col("_edge") == 1) | (F.col("_touch") == 1))
-        .groupBy(*one, "_block")
+        .groupBy(*one, "_block", "_i")
         .agg(*[F.max(c).alias(c) for c in ("_odd", "_edge", "_touch")])
     )
     large_hits = (
-        per_block.groupBy(*one)
+        per_edge.groupBy(*one)
         .agg(F.sum("_odd").alias("_odd"), F.max("_edge").alias("_edge"), F.max("_touch").alias("_touch"))
         .where((F.col("_touch") == 1) | ((F.col("_odd") % 2 == 1) & (F.col("_edge") == 0)))
         .select(*point_cols, *poly_cols)

@@ -105,3 +105,17 @@ def test_hits_are_summed_up_in_tasks_that_grow_in_number(make, monkeypatch):
         assert sorted(map(str, df.collect())) == want
         assert re.search(r"hashpartitioning\(building_uid#\d+, 100\)", _plan(df))
         assert not re.search(r"hashpartitioning\(building_uid#\d+, 8\)", _plan(df))
+
+
+def test_edges_met_by_a_point_are_rows_of_compiled_code(make):
+    """Functions on the array of edges are not compiled, and took most of the time of the join."""
+    star = shapes.star(0, 0, 9, 700, random.Random(3))
+    polys = make([("a", star), ("a", star), ("b", star)], f"poly_id string, edges {shapes.EDGES}")
+    rng = random.Random(8)
+    rows = [(i, rng.uniform(-9, 9), rng.uniform(-9, 9)) for i in range(300)]
+    points = make([*rows, (300, star[5][0], star[5][1])], "pid int, px double, py double")
+    hits = spatial.points_in_polygons(points, polys, cell=1.0, point_cols=["pid"], poly_cols=["poly_id"])
+    plan = hits._jdf.queryExecution().optimizedPlan().toString()
+    assert "posexplode(_re#" in plan and not re.search(r"(filter|exists)\(_re#", plan)
+    want = sorted((i, p) for i, x, y in rows if shapes.inside(star, x, y) for p in "ab")
+    assert sorted(map(tuple, hits.collect())) == want
