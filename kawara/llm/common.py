@@ -3,13 +3,12 @@
 from __future__ import annotations
 
 import string
-import tempfile
-import zipfile
-from pathlib import Path
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from kawara.session import ship_code
+
 SHINGLE = 5
 DOCUMENT_COLUMNS = ("doc_id", "text", "lang", "source", "n_chars")
 
@@ -89,7 +88,6 @@ def remaining(docs: DataFrame, gone: DataFrame, key: str, mark: Column) -> DataF
 
 #: Rows of an Arrow batch: whole texts are long, and a worker holds a batch several times over.
 BATCH_ROWS = 1_000
-_SHIPPED: set[str] = set()
 
 
 def with_code(df: DataFrame) -> DataFrame:
@@ -97,15 +95,7 @@ def with_code(df: DataFrame) -> DataFrame:
 
     Sets the session's Arrow batches to ``BATCH_ROWS`` rows, unless they are smaller.
     """
-    sc, size = df.sparkSession.sparkContext, "spark.sql.execution.arrow.maxRecordsPerBatch"
+    size = "spark.sql.execution.arrow.maxRecordsPerBatch"
     if not 0 < int(df.sparkSession.conf.get(size)) <= BATCH_ROWS:
         df.sparkSession.conf.set(size, BATCH_ROWS)
-    if sc.applicationId not in _SHIPPED:
-        root = Path(__file__).resolve().parents[1]
-        bundle = f"{tempfile.mkdtemp(prefix='spark-')}/{root.name}.zip"  # read by the driver, which serves it
-        with zipfile.ZipFile(bundle, "w") as z:
-            for p in sorted(root.rglob("*.py")):
-                z.write(p, p.relative_to(root.parent))
-        sc.addPyFile(bundle)
-        _SHIPPED.add(sc.applicationId)
-    return df
+    return ship_code(df)

@@ -7,18 +7,22 @@ the middle line, then straight up or down), and flip once for every edge crossed
 The cost per point is the number of edges in one cell, whatever the size of the polygon, and
 cells wholly inside carry no edges at all.
 
-Polygons of at most ``CHUNK`` edges are cut inside their own row, without a shuffle. Larger
-ones are first split into blocks of ``CHUNK`` consecutive edges, which are cut in the same way, so
-no cell row grows with the polygon and only cell rows are moved.
+Where polygons may have many edges, they are cut and matched in numpy (``functions.cells``): Spark
+deals points and cell rows by cell and sorts them, tasks read them cell by cell. No cell row holds
+more than ``CHUNK`` edges, and only cell rows are moved. Polygons of at most ``CHUNK`` edges among
+their like are cut inside their own row and joined by column expressions.
 """
 
 from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
+from kawara.functions import cells
 from kawara.functions import geometry as g
 from kawara.operators import skew
+from kawara.session import ship_code
 
 CHUNK = 64
 _MARGIN = 1e-7  # in cells: an extra edge in a cell does no harm, a missing one would
@@ -80,96 +84,39 @@ def _small_cells(polys: DataFrame, ids: list[str], size: float, edges: str) -> D
     return cells.where((F.col("base") == 1) | (F.size("edges") > 0))
 
 
-def _block_rows(polys: DataFrame, ids: list[str], size: float, edges: str) -> DataFrame:
-    """One row per block of ``CHUNK`` consecutive edges of the larger polygons and grid row it passes.
+_EDGES = T.ArrayType(T.StructType([T.StructField(c, T.DoubleType(), False) for c in cells.AXES]), False)
 
-    Narrow, no shuffle. ``_shape``, a hash of the edges, keeps polygons of equal ids apart.
+_CELL = T.StructType(
+    [T.StructField(n, t, False) for n, t in [("cx", T.LongType()), ("_block", T.LongType()), ("base", T.IntegerType()), ("edges", _EDGES)]]
+)
+
+
+def _cut(polys: DataFrame, ids: list[str], size: float, edges: str) -> DataFrame:
+    """Cell rows (ids, _shape, cx, cy, _block, base, edges) of polygons of any size; no shuffle.
+
+    ``_shape``, a hash of the edges, keeps polygons of equal ids apart; copies of a polygon give equal rows.
+    Rows of block -1 hold no edges, but tell that the cell's left side lies inside.
     """
-    large = polys.where(F.size(edges) > CHUNK).select(*ids, F.xxhash64(edges).alias("_shape"), F.col(edges).alias("_all"))
-    blocks = large.select(
+    ids = [*ids, "_shape"]
+    whole = polys.where(F.size(edges) > 0).withColumn("_shape", F.xxhash64(edges)).select(*ids, F.col(edges).alias("_all"))
+    # blocks of edges are rows: a batch of so many polygons could be of any size
+    blocks = whole.select(
         *ids,
-        "_shape",
+        F.expr(f"(size(_all) - 1) div {CHUNK} + 1").alias("_n"),
         F.expr(
             f"inline(transform(sequence(0L, (size(_all) - 1) div {CHUNK}),"
-            f" b -> struct(b AS _block, slice(_all, cast(b * {CHUNK} + 1 AS int), {CHUNK}) AS _edges)))"
+            f" b -> struct(b AS _b, slice(_all, cast(b * {CHUNK} + 1 AS int), {CHUNK}) AS _edges)))"
         ),
     )
-    low = F.array_min(F.transform("_edges", lambda e: F.least(e.y1, e.y2)))
-    high = F.array_max(F.transform("_edges", lambda e: F.greatest(e.y1, e.y2)))
-    return blocks.withColumn("cy", F.explode(F.sequence(_low(low, size), _high(high, size))))
+    made = T.StructType([T.StructField("cy", T.LongType(), False), T.StructField("_re", T.ArrayType(_CELL, False), False)])
+    schema = T.StructType([*(blocks.schema[c] for c in ids), *made])
+    rows = ship_code(blocks).mapInArrow(cells.cut(size, _MARGIN, CHUNK, ids), schema)
+    return rows.select(*ids, "cy", F.posexplode("_re").alias("_i", "c")).select(*ids, "c.cx", "cy", "c._block", "c.base", "c.edges")
 
 
 def _large_cells(polys: DataFrame, ids: list[str], size: float, edges: str) -> DataFrame:
-    """Cell rows of polygons with many edges: edge blocks, plus edge-free base rows.
-
-    Copies of a polygon give equal rows of each block, told by ``_block``, and one base row.
-    """
-    rows = _block_rows(polys, ids, size, edges)
-    ids = [*ids, "_shape"]
-    mid = _mid_sql(size)
-
-    # the columns that each edge passes inside this grid row
-    bottom, top = "least(e.y1, e.y2)", "greatest(e.y1, e.y2)"
-    xa = _clamped_x("e", f"greatest(cy * {g.num(size)}, {bottom})")
-    xb = _clamped_x("e", f"least((cy + 1) * {g.num(size)}, {top})")
-    ends = f"CASE WHEN e.y1 = e.y2 THEN struct(e AS e, e.x1 AS a, e.x2 AS b) ELSE struct(e AS e, {xa} AS a, {xb} AS b) END"
-    span = (
-        f"struct(p.e AS e, floor(least(p.a, p.b) / {g.num(size)} - {g.num(_MARGIN)}) AS c0,"
-        f" floor(greatest(p.a, p.b) / {g.num(size)} + {g.num(_MARGIN)}) AS c1)"
-    )
-    passing = f"transform(transform(filter(_edges, e -> {_touches('y', 'cy', size)}), e -> {ends}), p -> {span})"
-    blocks = (
-        rows.select(*ids, "_block", "cy", F.expr(passing).alias("_row"))
-        .select(
-            *ids, "_block", "cy", "_row",
-            F.expr("explode(sequence(array_min(transform(_row, p -> p.c0)), array_max(transform(_row, p -> p.c1))))").alias("cx"),
-        )
-        .select(
-            *ids, "cx", "cy", "_block",
-            F.expr("transform(filter(_row, p -> p.c0 <= cx AND p.c1 >= cx), p -> p.e)").alias("edges"),
-            F.lit(0).alias("base"),
-        )
-        .where(F.size("edges") > 0)
-    )
-
-    # cells whose left side lies inside: between an odd crossing of the row and the next one
-    cross = f"transform(filter(_edges, e -> {g.straddles_y('e', mid)}), e -> floor({g.x_at('e', mid)} / {g.num(size)}))"
-    odd = "filter(array_distinct(_cross), c -> size(filter(_cross, d -> d = c)) % 2 = 1)"
-    crossings = (
-        rows.select(*ids, "_block", "cy", F.expr(cross).alias("_cross"))
-        .select(*ids, "_block", "cy", F.expr(odd).alias("_odd"))
-        .where(F.size("_odd") > 0)
-        .repartition("_shape", "cy")  # serves the count and the window
-        .select(*ids, "_block", "cy", F.explode("_odd").alias("cx"))
-        .groupBy(*ids, "cy", "cx")
-        .agg(F.count_distinct("_block").alias("_n"))
-        .where(F.col("_n") % 2 == 1)
-    )
-    w = Window.partitionBy(*ids, "cy").orderBy("cx")
-    spans = (
-        crossings.select(
-            *ids,
-            "cy",
-            "cx",
-            F.lead("cx").over(w).alias("_next"),
-            F.row_number().over(w).alias("_i"),
-        )
-        .where(F.col("_i") % 2 == 1)
-        .select(*ids, "cy", F.explode(F.sequence(F.col("cx") + 1, F.col("_next"))).alias("cx"))
-        .select(
-            *ids,
-            "cx",
-            "cy",
-            F.lit(-1).cast("bigint").alias("_block"),
-            F.array().cast("array<struct<x1:double,y1:double,x2:double,y2:double>>").alias("edges"),
-            F.lit(1).alias("base"),
-        )
-    )
-    return blocks.unionByName(spans)
-
-
-def _clamped_x(e: str, y: str) -> str:
-    return f"least(greatest({g.x_at(e, y)}, least({e}.x1, {e}.x2)), greatest({e}.x1, {e}.x2))"
+    """Cell rows of polygons with many edges."""
+    return _cut(polys.where(F.size(edges) > CHUNK), ids, size, edges)
 
 
 def polygon_cells(
@@ -180,8 +127,7 @@ def polygon_cells(
     ``_block`` tells the rows of one large polygon and cell apart; it is -2 for small polygons.
     """
     small = _small_cells(polys, ids, cell, edges).withColumn("_block", F.lit(-2).cast("bigint"))
-    large = _large_cells(polys, ids, cell, edges).drop("_shape")
-    return small.unionByName(large.withColumn("base", F.col("base").cast("int")))
+    return small.unionByName(_large_cells(polys, ids, cell, edges).drop("_shape"))
 
 
 #: Does the box of edge ``e`` meet that of a placed polygon? Others cannot meet it.
@@ -244,7 +190,6 @@ def points_in_polygons(
     share: float = skew.HOT_SHARE,
     floor: int = skew.HOT_FLOOR,
     crowd: tuple[DataFrame | None, int] | None = None,
-    shapes: DataFrame | None = None,
 ) -> DataFrame:
     """(point_cols, poly_cols) for every point strictly inside a polygon.
 
@@ -254,10 +199,6 @@ def points_in_polygons(
 
     Ids need not be unique: polygons of one id count as separate polygons. Of exact copies of a
     polygon one counts, whatever its size.
-
-    ``shapes`` are small polygons placed on cells (``_placed``), under the points' ``point_cols``. They
-    are held against the edges of the large polygons in the join of the points, and what they touch
-    is among the hits: the cell rows of large polygons are by far the most, and are moved once.
     """
     ids = list(dict.fromkeys([poly_id, *poly_cols]))
     pts = points.select(
@@ -273,52 +214,97 @@ def points_in_polygons(
     inside = (F.col("base") + flips) % 2 == 1
     on_edge = F.expr(f"exists(edges, e -> {g.on_segment('e', '_px', '_py')})")
 
-    if not large:
-        es = F.col(edges)
-        polys = polys.withColumn(
-            edges,
-            F.when(F.size(es) > CHUNK, F.raise_error(F.lit("polygon too large for large=False"))).otherwise(es),
-        ).where(F.size(edges) > 0)
-    few_edges = polys.where(F.size(edges) <= CHUNK).select(*ids, edges, F.xxhash64(edges).alias("_shape"))
+    if large:
+        return _met(pts, polys, ids, cell, point_cols, poly_cols, edges, hot, pieces)
+    es = F.col(edges)
+    polys = polys.withColumn(
+        edges,
+        F.when(F.size(es) > CHUNK, F.raise_error(F.lit("polygon too large for large=False"))).otherwise(es),
+    ).where(F.size(edges) > 0)
     cores = polys.sparkSession.sparkContext.defaultParallelism
-    once = few_edges.repartition(max(pieces, cores), *ids, "_shape").dropDuplicates([*ids, "_shape"])
+    shaped = polys.select(*ids, edges, F.xxhash64(edges).alias("_shape"))
+    once = shaped.repartition(max(pieces, cores), *ids, "_shape").dropDuplicates([*ids, "_shape"])
     m, f, keys = skew.salted(pts, _small_cells(once, ids, cell, edges), ["cx", "cy"], own, hot)
-    small_hits = skew.shuffled_join(m, f, keys, pieces).where(inside & ~on_edge).select(*point_cols, *poly_cols)
-    if not large:
-        return small_hits
-
-    met, touch = pts, F.lit(False)
-    if shapes is not None:
-        met = pts.unionByName(shapes, allowMissingColumns=True)
-        touch = F.col("_px").isNull() & F.expr(f"{_BOXES_MEET} AND exists(_le, a -> {g.segments_touch('a', 'e')})")
-    m, f, keys = skew.salted(met, _large_cells(polys, ids, cell, edges).withColumnRenamed("edges", "_re"), ["cx", "cy"], own, hot)
-    # all rows of one point and polygon meet in one cell, so these aggregates need no shuffle
-    one = [*keys, *own, *ids, "_shape"]
-    point = F.col("_px").isNotNull()
-    # a row per edge: plain columns are compiled, functions on arrays are not; base rows have no edges.
-    # Copies of a polygon give equal edges of each block, told by their place
-    per_edge = (
-        skew.shuffled_join(m, f, keys, pieces)
-        .select("*", F.posexplode_outer("_re").alias("_i", "e"))
-        .select(
-            *one,
-            "_block",
-            "_i",
-            F.when(point, F.col("base") + F.coalesce(F.expr(_flip(cell)).cast("int"), F.lit(0))).otherwise(0).alias("_odd"),
-            (point & F.coalesce(F.expr(g.on_segment("e", "_px", "_py")), F.lit(False))).cast("int").alias("_edge"),
-            F.coalesce(touch, F.lit(False)).cast("int").alias("_touch"),
-        )
-        .where((F.col("_odd") == 1) | (F.col("_edge") == 1) | (F.col("_touch") == 1))
-        .groupBy(*one, "_block", "_i")
-        .agg(*[F.max(c).alias(c) for c in ("_odd", "_edge", "_touch")])
+    return skew.shuffled_join(m, f, keys, pieces).where(inside & ~on_edge).select(*point_cols, *poly_cols)
+
+
+def _met(
+    lefts: DataFrame,
+    polys: DataFrame,
+    ids: list[str],
+    cell: float,
+    left_cols: list[str],
+    poly_cols: list[str],
+    edges: str,
+    hot: DataFrame | None,
+    pieces: int,
+    vertices: DataFrame | None = None,
+) -> DataFrame:
+    """(left_cols, poly_cols) of points (_px, _py) and small polygons (_le) on cells, and the polygons they meet.
+
+    Points and cell rows are dealt and sorted by cell once, and read cell by cell: there is no row per
+    pair. ``vertices`` (ids, cx, cy, _vx, _vy) of the polygons are held against the small polygons.
+    """
+    def key(names):
+        return F.xxhash64(*[c for i in names for c in (F.col(i), F.isnull(i))]).alias("_pk")
+
+    def at(x, y):
+        """A place, as an edge without length."""
+        return F.array(g.edge(F.col(x), F.col(y), F.col(x), F.col(y)))
+
+    rows = _cut(polys, ids, cell, edges).select(
+        *ids, "cx", "cy", F.lit(cells.PIECE).alias("_side"), key([*ids, "_shape"]), "_block", "base", F.col("edges").alias("_es")
     )
-    large_hits = (
-        per_edge.groupBy(*one)
-        .agg(F.sum("_odd").alias("_odd"), F.max("_edge").alias("_edge"), F.max("_touch").alias("_touch"))
-        .where((F.col("_touch") == 1) | ((F.col("_odd") % 2 == 1) & (F.col("_edge") == 0)))
-        .select(*point_cols, *poly_cols)
+    if vertices is not None:
+        ends = vertices.select(*ids, "cx", "cy", F.lit(cells.VERTEX).alias("_side"), key(ids), at("_vx", "_vy").alias("_es"))
+        rows = rows.unionByName(ends, allowMissingColumns=True)
+    if "_le" not in lefts.columns:
+        lefts = lefts.withColumn("_le", F.lit(None).cast(_EDGES))
+    own = [*left_cols, "_px", "_py"]
+    m, f, keys = skew.salted(lefts.where("cx IS NOT NULL AND cy IS NOT NULL"), rows, ["cx", "cy"], own, hot)
+    side = F.when(F.col("_le").isNull(), cells.POINT).otherwise(cells.SHAPE)
+    m = m.select(*keys, side.alias("_side"), F.struct(*left_cols).alias("_l"), F.coalesce("_le", at("_px", "_py")).alias("_es"))
+    f = f.select(*keys, "_side", "_pk", "_block", "base", F.struct(*poly_cols).alias("_r"), "_es")
+    # null lists would take time that grows with the square of an Arrow batch; there are none
+    both = m.unionByName(f, allowMissingColumns=True).fillna(0, ["_pk", "_block", "base"])
+    parts = [pieces] if pieces > both.sparkSession.sparkContext.defaultParallelism else []  # else Spark's own number
+    both = both.repartition(*parts, *keys).sortWithinPartitions(*keys, "_side", "_pk", "_block")
+    schema = T.StructType([both.schema["_l"], both.schema["_r"]])
+    return ship_code(both).mapInArrow(cells.meet(cell, keys), schema).select("_l.*", "_r.*")
+
+
+def _small_pairs(
+    starts: DataFrame,
+    placed: DataFrame,
+    right: DataFrame,
+    vertices: DataFrame,
+    cell: float,
+    lids: list[str],
+    rids: list[str],
+    right_edges: str,
+    crowd: tuple[DataFrame | None, int],
+) -> DataFrame:
+    """(lids, rids) of polygons that meet, none of more than ``CHUNK`` edges."""
+    hot, pieces = crowd
+    left_in_right = points_in_polygons(
+        starts, right, cell=cell, point_cols=lids, poly_cols=rids, poly_id=rids[0], edges=right_edges, large=False, crowd=crowd
     )
-    return small_hits.unionByName(large_hits)
+    # what a left polygon can meet in a cell: pieces of right polygons, and right vertices
+    none = F.array().cast("array<struct<x1:double,y1:double,x2:double,y2:double>>")
+    pieces_met = (
+        _small_cells(right, rids, cell, right_edges)
+        .where(F.size("edges") > 0)
+        .select(*rids, "cx", "cy", F.col("edges").alias("_re"))
+    )
+    met = pieces_met.unionByName(vertices.withColumn("_re", none), allowMissingColumns=True)
+    m, f, keys = skew.salted(placed, met, ["cx", "cy"], lids, hot)
+    touching = f"exists({_NEAR}, b -> exists(_le, a -> {g.segments_touch('a', 'b')}))"
+    holding = (
+        "(_vx BETWEEN _minx AND _maxx AND _vy BETWEEN _miny AND _maxy"
+        f" AND {g.inside_parity('_le', '_vx', '_vy')})"
+    )
+    touched = skew.shuffled_join(m, f, keys, pieces).where(F.expr(f"coalesce({holding}, false) OR {touching}"))
+    return left_in_right.unionByName(touched.select(*lids, *rids))
 
 
 def intersecting_pairs(
@@ -352,33 +338,20 @@ def intersecting_pairs(
     hot, pieces = crowd = crowd or polygon_crowd(left, cell, left_edges)
     small = left.where(F.size(left_edges) <= CHUNK) if large else left
     placed = _placed(small, lids, cell, left_edges)
-    # the vertices of the left in the right, and small left polygons against large right ones
-    left_in_right = points_in_polygons(
-        starts(left, lids, left_edges), right, cell=cell, point_cols=lids, poly_cols=rids,
-        poly_id=right_id, edges=right_edges, large=large, crowd=crowd, shapes=placed if large else None,
-    ).select(*out)
-
-    # what a left polygon can meet in a cell: pieces of small right polygons, and right vertices
-    none = F.array().cast("array<struct<x1:double,y1:double,x2:double,y2:double>>")
-    pieces_met = (
-        _small_cells(right, rids, cell, right_edges)
-        .where(F.size("edges") > 0)
-        .select(*rids, "cx", "cy", F.col("edges").alias("_re"))
-    )
-    vertices_met = starts(right, rids, right_edges).select(
-        *rids, _cell(F.col("px"), cell).alias("cx"), _cell(F.col("py"), cell).alias("cy"), none.alias("_re"),
+    first_left = starts(left, lids, left_edges)
+    vertices = starts(right, rids, right_edges).select(
+        *rids, _cell(F.col("px"), cell).alias("cx"), _cell(F.col("py"), cell).alias("cy"),
         F.col("px").alias("_vx"), F.col("py").alias("_vy"),
     )
-    met = pieces_met.unionByName(vertices_met, allowMissingColumns=True)
-    m, f, keys = skew.salted(placed, met, ["cx", "cy"], lids, hot)
-    touching = f"exists({_NEAR}, b -> exists(_le, a -> {g.segments_touch('a', 'b')}))"
-    holding = (
-        "(_vx BETWEEN _minx AND _maxx AND _vy BETWEEN _miny AND _maxy"
-        f" AND {g.inside_parity('_le', '_vx', '_vy')})"
-    )
-    found = left_in_right.unionByName(
-        skew.shuffled_join(m, f, keys, pieces).where(F.expr(f"coalesce({holding}, false) OR {touching}")).select(*out)
-    )
+    if large:
+        points = first_left.select(
+            *lids, F.col("px").alias("_px"), F.col("py").alias("_py"),
+            _cell(F.col("px"), cell).alias("cx"), _cell(F.col("py"), cell).alias("cy"),
+        )
+        met = points.unionByName(placed.select(*lids, "cx", "cy", "_le"), allowMissingColumns=True)
+        found = _met(met, right, rids, cell, left_cols, right_cols, right_edges, hot, pieces, vertices)
+    else:
+        found = _small_pairs(first_left, placed, right, vertices, cell, lids, rids, right_edges, crowd).select(*out)
     if large and (left.agg(F.max(F.size(left_edges))).first()[0] or 0) > CHUNK:
         big = left.where(F.size(left_edges) > CHUNK)
         right_in_big = points_in_polygons(

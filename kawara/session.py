@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 import tempfile
+import zipfile
+from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -42,6 +44,23 @@ def shared_folder(spark: SparkSession) -> str:
     return sc.getCheckpointDir()
 
 
+_SHIPPED: set[str] = set()
+
+
+def ship_code(df: DataFrame) -> DataFrame:
+    """``df``, once Spark hands this package to Python workers that don't have it installed."""
+    sc = df.sparkSession.sparkContext
+    if sc.applicationId not in _SHIPPED:
+        root = Path(__file__).resolve().parent
+        bundle = f"{tempfile.mkdtemp(prefix='spark-')}/{root.name}.zip"  # read by the driver, which serves it
+        with zipfile.ZipFile(bundle, "w") as z:
+            for p in sorted(root.rglob("*.py")):
+                z.write(p, p.relative_to(root.parent))
+        sc.addPyFile(bundle)
+        _SHIPPED.add(sc.applicationId)
+    return df
+
+
 _CLEAN = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 
 
