@@ -74,12 +74,20 @@ def _within(e: list[np.ndarray], x: np.ndarray, y: np.ndarray) -> np.ndarray:
 # --- cutting ---------------------------------------------------------------------------
 
 
-def cut(size: float, margin: float, chunk: int, ids: list[str]):
+def _starts(e: list[np.ndarray], first: np.ndarray) -> np.ndarray:
+    """Does an edge begin a ring? True for the first ones, and for all that don't continue the one before."""
+    out = first.copy()
+    out[1:] |= (e[0][1:] != e[2][:-1]) | (e[1][1:] != e[3][:-1])
+    return out
+
+
+def cut(size: float, margin: float, chunk: int, ids: list[str], vertices: bool = False):
     """A function for ``mapInArrow``: blocks of edges (ids, _n, _b, _edges) -> cell rows of whole polygons.
 
     The ``_n`` blocks of a polygon follow each other. Cell rows come as lists, ``_re``, of the cells of a
     polygon in a grid row. A cell row holds at most ``chunk`` of the edges that pass the cell, numbered by
-    ``_block``; row -1 tells that the cell's left side lies inside (``base``).
+    ``_block``; row -1 tells that the cell's left side lies inside (``base``). With ``vertices``, rows of block
+    -2 hold a vertex of each ring, as an edge without length.
     """
 
     def rows(table: pa.Table, poly, cy, cx, block, base, n, e) -> pa.RecordBatch:
@@ -140,6 +148,13 @@ def cut(size: float, margin: float, chunk: int, ids: list[str]):
     def polygons(table: pa.Table):
         n, e = _edges(table.column("_edges").combine_chunks())
         poly = np.repeat(np.maximum.accumulate(np.where(_numbers(table, "_b") == 0, np.arange(table.num_rows), 0)), n)
+        if vertices and len(poly):
+            at = np.flatnonzero(_starts(e, np.r_[True, poly[1:] != poly[:-1]]) & ~np.isnan(e[0] + e[1]))
+            x, y = e[0][at], e[1][at]
+            cx, cy = (np.floor(v / size).astype(np.int64) for v in (x, y))
+            one = np.ones(len(at), np.int64)
+            if len(at):
+                yield rows(table, poly[at], cy, cx, -2 * one, np.zeros(len(at), np.int32), one, [x, y, x, y])
         known = ~np.isnan(e[0] + e[1] + e[2] + e[3])
         poly, e = poly[known], [c[known] for c in e]
         low = np.floor(np.minimum(e[1], e[3]) / size - margin).astype(np.int64)
@@ -180,8 +195,8 @@ def meet(size: float, keys: list[str]):
 
     A cell's rows are its points and small polygons (``_l``), and, polygon by polygon (``_pk``), the cell rows
     of the others (``_r``), then vertices of those; points and vertices are edges without length. A point meets
-    a polygon strictly inside, a small polygon one whose edge it touches or whose vertex it holds. Copies of a
-    cell row count once.
+    a polygon strictly inside, a small polygon one that holds a vertex of its rings, touches its edges or has a
+    vertex inside it. Copies of a cell row count once.
     """
 
     def changes(table: pa.Table, names: list[str]) -> np.ndarray:
@@ -192,11 +207,6 @@ def meet(size: float, keys: list[str]):
             new[1:] |= v[1:] != v[:-1]
         return new
 
-    def lists(side, cell, n_cells, kind):
-        rows = np.flatnonzero(side == kind)
-        n = np.bincount(cell[rows], minlength=n_cells)
-        return rows, np.cumsum(n) - n, n
-
     def shares(n, each):
         """Slices of units: runs by the lefts ``n`` of their cells, each worth ``each`` pairs."""
         each = np.maximum(each, 1)
@@ -285,6 +295,11 @@ def meet(size: float, keys: list[str]):
             l, r = (w.take(pa.array(i)) for w, i in zip(whole, (left, right)))
             return pa.RecordBatch.from_arrays([l, r], ["_l", "_r"])
 
+        def spans(rows):
+            """Where the rows of each cell begin, and how many they are."""
+            n = np.bincount(cell[rows], minlength=n_cells)
+            return np.cumsum(n) - n, n
+
         def runs(rows):
             """Polygon by polygon in a cell: numbers of the runs, the first row and the cell of each."""
             new = np.r_[True, (pk[rows[1:]] != pk[rows[:-1]]) | (cell[rows[1:]] != cell[rows[:-1]])] if len(rows) else np.zeros(0, bool)
@@ -302,10 +317,21 @@ def meet(size: float, keys: list[str]):
         owner, place = _items(length[rows])
         e = [c[begin[rows][owner] + place] for c in xs]
 
-        points, p0, pn = lists(side, cell, n_cells, POINT)
+        points, shapes = np.flatnonzero(side == POINT), np.flatnonzero(side == SHAPE)
+        px, py = xs[0][begin[points]], xs[1][begin[points]]
+        columns = [_numbers(table, c) for c in ("cx", "cy")]
+        if len(shapes):  # the vertices in the cell are points, too
+            k, place = _items(length[shapes])
+            es = [c[begin[shapes][k] + place] for c in xs]
+            here = _starts(es, place == 0)
+            for v, c in zip(es, columns):
+                here &= np.floor(v / size) == c[shapes][k]
+            points, px, py = (np.r_[a, b[here]] for a, b in ((points, shapes[k]), (px, es[0]), (py, es[1])))
+            order = np.argsort(points, kind="stable")
+            points, px, py = points[order], px[order], py[order]
         if len(points) and len(rows):
-            px, py = xs[0][begin[points]], xs[1][begin[points]]
-            cx, cy = (_numbers(table, c)[rows][owner] for c in ("cx", "cy"))
+            p0, pn = spans(points)
+            cx, cy = (c[rows][owner] for c in columns)
             mid = (cy + 0.5) * size
             along = (e[1] > mid) != (e[3] > mid)
             along[along] = np.floor(_x_at([c[along] for c in e], mid[along]) / size) == cx[along]
@@ -314,9 +340,9 @@ def meet(size: float, keys: list[str]):
                 hit = in_points(px, py, e, along, mid, n, first, base, r, p)
                 yield pairs(points[p[hit]], head[r[hit]])
 
-        shapes, s0, sn = lists(side, cell, n_cells, SHAPE)
         if not len(shapes):
             return
+        s0, sn = spans(shapes)
         m = length[shapes]
         owner, place = _items(m)
         box, m0 = boxes(m, [c[begin[shapes][owner] + place] for c in xs]), begin[shapes]

@@ -75,7 +75,7 @@ def hazard_hits(
     large: bool = True,
     crowd: tuple[DataFrame | None, int] | None = None,
 ) -> DataFrame:
-    """One row per building and polygon that holds it (point mode) or meets it (polygon mode)."""
+    """A row per building and polygon that holds it (point mode) or meets it (polygon mode, where some come twice)."""
     layers = _layer_rows(extents, hazards)
     cols = ["role", "kind", "source_id", "rank", "depth_m", "in_zone"]
     if mode == "point":
@@ -97,6 +97,7 @@ def hazard_hits(
             right_id="poly_key",
             large=large,
             crowd=crowd,
+            distinct=False,
         ).drop("poly_key")
     raise ValueError(f"mode must be 'point' or 'polygon', not {mode!r}")
 

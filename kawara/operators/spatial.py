@@ -91,11 +91,12 @@ _CELL = T.StructType(
 )
 
 
-def _cut(polys: DataFrame, ids: list[str], size: float, edges: str) -> DataFrame:
+def _cut(polys: DataFrame, ids: list[str], size: float, edges: str, vertices: bool = False) -> DataFrame:
     """Cell rows (ids, _shape, cx, cy, _block, base, edges) of polygons of any size; no shuffle.
 
     ``_shape``, a hash of the edges, keeps polygons of equal ids apart; copies of a polygon give equal rows.
-    Rows of block -1 hold no edges, but tell that the cell's left side lies inside.
+    Rows of block -1 hold no edges, but tell that the cell's left side lies inside; ``vertices`` adds
+    rows of block -2, a vertex of each ring.
     """
     ids = [*ids, "_shape"]
     whole = polys.where(F.size(edges) > 0).withColumn("_shape", F.xxhash64(edges)).select(*ids, F.col(edges).alias("_all"))
@@ -110,7 +111,7 @@ def _cut(polys: DataFrame, ids: list[str], size: float, edges: str) -> DataFrame
     )
     made = T.StructType([T.StructField("cy", T.LongType(), False), T.StructField("_re", T.ArrayType(_CELL, False), False)])
     schema = T.StructType([*(blocks.schema[c] for c in ids), *made])
-    rows = ship_code(blocks).mapInArrow(cells.cut(size, _MARGIN, CHUNK, ids), schema)
+    rows = ship_code(blocks).mapInArrow(cells.cut(size, _MARGIN, CHUNK, ids, vertices), schema)
     return rows.select(*ids, "cy", F.posexplode("_re").alias("_i", "c")).select(*ids, "c.cx", "cy", "c._block", "c.base", "c.edges")
 
 
@@ -238,33 +239,22 @@ def _met(
     edges: str,
     hot: DataFrame | None,
     pieces: int,
-    vertices: DataFrame | None = None,
 ) -> DataFrame:
     """(left_cols, poly_cols) of points (_px, _py) and small polygons (_le) on cells, and the polygons they meet.
 
-    Points and cell rows are dealt and sorted by cell once, and read cell by cell: there is no row per
-    pair. ``vertices`` (ids, cx, cy, _vx, _vy) of the polygons are held against the small polygons.
+    Points and cell rows are dealt and sorted by cell once, and read cell by cell: there is no row per pair.
     """
-    def key(names):
-        return F.xxhash64(*[c for i in names for c in (F.col(i), F.isnull(i))]).alias("_pk")
-
-    def at(x, y):
-        """A place, as an edge without length."""
-        return F.array(g.edge(F.col(x), F.col(y), F.col(x), F.col(y)))
-
-    rows = _cut(polys, ids, cell, edges).select(
-        *ids, "cx", "cy", F.lit(cells.PIECE).alias("_side"), key([*ids, "_shape"]), "_block", "base", F.col("edges").alias("_es")
-    )
-    if vertices is not None:
-        ends = vertices.select(*ids, "cx", "cy", F.lit(cells.VERTEX).alias("_side"), key(ids), at("_vx", "_vy").alias("_es"))
-        rows = rows.unionByName(ends, allowMissingColumns=True)
-    if "_le" not in lefts.columns:
-        lefts = lefts.withColumn("_le", F.lit(None).cast(_EDGES))
+    shapes = "_le" in lefts.columns
+    side = F.when(F.col("_block") == -2, cells.VERTEX).otherwise(cells.PIECE)
+    rows = _cut(polys, ids, cell, edges, vertices=shapes)
     own = [*left_cols, "_px", "_py"]
     m, f, keys = skew.salted(lefts.where("cx IS NOT NULL AND cy IS NOT NULL"), rows, ["cx", "cy"], own, hot)
-    side = F.when(F.col("_le").isNull(), cells.POINT).otherwise(cells.SHAPE)
-    m = m.select(*keys, side.alias("_side"), F.struct(*left_cols).alias("_l"), F.coalesce("_le", at("_px", "_py")).alias("_es"))
-    f = f.select(*keys, "_side", "_pk", "_block", "base", F.struct(*poly_cols).alias("_r"), "_es")
+    place = F.array(g.edge(F.col("_px"), F.col("_py"), F.col("_px"), F.col("_py")))  # an edge without length
+    kind = F.when(F.col("_le").isNull(), cells.POINT).otherwise(cells.SHAPE) if shapes else F.lit(cells.POINT)
+    held = F.coalesce("_le", place) if shapes else place
+    m = m.select(*keys, kind.alias("_side"), F.struct(*left_cols).alias("_l"), held.alias("_es"))
+    known = F.xxhash64(*[c for i in [*ids, "_shape"] for c in (F.col(i), F.isnull(i))])
+    f = f.select(*keys, side.alias("_side"), known.alias("_pk"), "_block", "base", F.struct(*poly_cols).alias("_r"), F.col("edges").alias("_es"))
     # null lists would take time that grows with the square of an Arrow batch; there are none
     both = m.unionByName(f, allowMissingColumns=True).fillna(0, ["_pk", "_block", "base"])
     parts = [pieces] if pieces > both.sparkSession.sparkContext.defaultParallelism else []  # else Spark's own number
@@ -273,22 +263,29 @@ def _met(
     return ship_code(both).mapInArrow(cells.meet(cell, keys), schema).select("_l.*", "_r.*")
 
 
+def _ring_points(df: DataFrame, ids: list[str], edges: str) -> DataFrame:
+    """A vertex (px, py) of each ring."""
+    return df.select(*ids, F.expr(f"explode({g.ring_starts(edges)})").alias("v")).select(
+        *ids, F.col("v.x").alias("px"), F.col("v.y").alias("py")
+    )
+
+
 def _small_pairs(
-    starts: DataFrame,
-    placed: DataFrame,
+    left: DataFrame,
     right: DataFrame,
-    vertices: DataFrame,
     cell: float,
     lids: list[str],
     rids: list[str],
+    left_edges: str,
     right_edges: str,
     crowd: tuple[DataFrame | None, int],
 ) -> DataFrame:
     """(lids, rids) of polygons that meet, none of more than ``CHUNK`` edges."""
     hot, pieces = crowd
     left_in_right = points_in_polygons(
-        starts, right, cell=cell, point_cols=lids, poly_cols=rids, poly_id=rids[0], edges=right_edges, large=False, crowd=crowd
-    )
+        _ring_points(left, lids, left_edges), right, cell=cell, point_cols=lids, poly_cols=rids,
+        poly_id=rids[0], edges=right_edges, large=False, crowd=crowd,
+    )
     # what a left polygon can meet in a cell: pieces of right polygons, and right vertices
     none = F.array().cast("array<struct<x1:double,y1:double,x2:double,y2:double>>")
     pieces_met = (
@@ -296,8 +293,12 @@ def _small_pairs(
         .where(F.size("edges") > 0)
         .select(*rids, "cx", "cy", F.col("edges").alias("_re"))
     )
-    met = pieces_met.unionByName(vertices.withColumn("_re", none), allowMissingColumns=True)
-    m, f, keys = skew.salted(placed, met, ["cx", "cy"], lids, hot)
+    vertices_met = _ring_points(right, rids, right_edges).select(
+        *rids, _cell(F.col("px"), cell).alias("cx"), _cell(F.col("py"), cell).alias("cy"), none.alias("_re"),
+        F.col("px").alias("_vx"), F.col("py").alias("_vy"),
+    )
+    met = pieces_met.unionByName(vertices_met, allowMissingColumns=True)
+    m, f, keys = skew.salted(_placed(left, lids, cell, left_edges), met, ["cx", "cy"], lids, hot)
     touching = f"exists({_NEAR}, b -> exists(_le, a -> {g.segments_touch('a', 'b')}))"
     holding = (
         "(_vx BETWEEN _minx AND _maxx AND _vy BETWEEN _miny AND _maxy"
@@ -320,44 +321,40 @@ def intersecting_pairs(
     right_edges: str = "edges",
     large: bool = True,
     crowd: tuple[DataFrame | None, int] | None = None,
+    distinct: bool = True,
 ) -> DataFrame:
     """Distinct (left_cols, right_cols) of polygons that share at least a boundary point.
 
     Two polygons intersect when a vertex of one lies in the other, or their edges touch. A caller that
-    has the ``polygon_crowd`` of the left already hands it in.
+    has the ``polygon_crowd`` of the left already hands it in; one that doesn't mind a pair that comes
+    once per cell saves a shuffle with ``distinct=False``.
     """
     lids = list(dict.fromkeys([left_id, *left_cols]))
     rids = list(dict.fromkeys([right_id, *right_cols]))
     out = [*left_cols, *right_cols]
-
-    def starts(df, ids, edges):
-        return df.select(*ids, F.expr(f"explode({g.ring_starts(edges)})").alias("v")).select(
-            *ids, F.col("v.x").alias("px"), F.col("v.y").alias("py")
-        )
-
     hot, pieces = crowd = crowd or polygon_crowd(left, cell, left_edges)
-    small = left.where(F.size(left_edges) <= CHUNK) if large else left
-    placed = _placed(small, lids, cell, left_edges)
-    first_left = starts(left, lids, left_edges)
-    vertices = starts(right, rids, right_edges).select(
-        *rids, _cell(F.col("px"), cell).alias("cx"), _cell(F.col("py"), cell).alias("cy"),
-        F.col("px").alias("_vx"), F.col("py").alias("_vy"),
-    )
-    if large:
-        points = first_left.select(
-            *lids, F.col("px").alias("_px"), F.col("py").alias("_py"),
-            _cell(F.col("px"), cell).alias("cx"), _cell(F.col("py"), cell).alias("cy"),
+    if not large:
+        found = _small_pairs(left, right, cell, lids, rids, left_edges, right_edges, crowd).select(*out)
+        return found.distinct() if distinct else found
+
+    # small left polygons are held whole against all on their cells, with their vertices
+    lefts = _placed(left.where(F.size(left_edges) <= CHUNK), lids, cell, left_edges).select(
+        *lids, "cx", "cy", "_le", *[F.lit(None).cast("double").alias(c) for c in ("_px", "_py")]
+    )
+    some_big = (left.agg(F.max(F.size(left_edges))).first()[0] or 0) > CHUNK
+    big = left.where(F.size(left_edges) > CHUNK)
+    if some_big:
+        points = _ring_points(big, lids, left_edges).select(
+            *lids, _cell(F.col("px"), cell).alias("cx"), _cell(F.col("py"), cell).alias("cy"),
+            F.col("px").alias("_px"), F.col("py").alias("_py"),
         )
-        met = points.unionByName(placed.select(*lids, "cx", "cy", "_le"), allowMissingColumns=True)
-        found = _met(met, right, rids, cell, left_cols, right_cols, right_edges, hot, pieces, vertices)
-    else:
-        found = _small_pairs(first_left, placed, right, vertices, cell, lids, rids, right_edges, crowd).select(*out)
-    if large and (left.agg(F.max(F.size(left_edges))).first()[0] or 0) > CHUNK:
-        big = left.where(F.size(left_edges) > CHUNK)
+        lefts = lefts.unionByName(points, allowMissingColumns=True)
+    found = _met(lefts, right, rids, cell, left_cols, right_cols, right_edges, hot, pieces)
+    if some_big:
         right_in_big = points_in_polygons(
-            starts(right, rids, right_edges), big, cell=cell, point_cols=rids, poly_cols=lids,
+            _ring_points(right, rids, right_edges), big, cell=cell, point_cols=rids, poly_cols=lids,
             poly_id=left_id, edges=left_edges,
-        ).select(*out)
+        ).select(*out)
         cut = _large_cells(big, lids, cell, left_edges).where(F.size("edges") > 0)
         m, f, keys = skew.salted(
             cut.select(*lids, "cx", "cy", F.col("edges").alias("_le")),
@@ -372,4 +369,4 @@ def intersecting_pairs(
             .select(*out)
         )
         found = found.unionByName(right_in_big).unionByName(crossing)
-    return found.distinct()
+    return found.distinct() if distinct or some_big else found

@@ -18,13 +18,13 @@ def _listed(es):
     return [dict(zip(cells.AXES, e)) for e in es]
 
 
-def _cell_rows(polys, size, batch):
+def _cell_rows(polys, size, batch, vertices=False):
     blocks = []
     for name, es in polys:
         parts = [es[i : i + 64] for i in range(0, len(es), 64)]
         blocks += [{"id": name, "_n": len(parts), "_b": b, "_edges": _listed(p)} for b, p in enumerate(parts)]
     table = pa.Table.from_pylist(blocks, pa.schema([("id", pa.string()), ("_n", pa.int32()), ("_b", pa.int32()), ("_edges", EDGES)]))
-    made = cells.cut(size, 1e-7, 64, ["id"])(iter(table.to_batches(batch)))
+    made = cells.cut(size, 1e-7, 64, ["id"], vertices)(iter(table.to_batches(batch)))
     return [{"id": r["id"], "cy": r["cy"], **c} for b in made for r in b.to_pylist() for c in r["_re"]]
 
 
@@ -39,11 +39,9 @@ def _met(points, boxes, polys, size, batch):
                 {"cx": cx, "cy": cy, "_side": cells.SHAPE, "_l": {"k": k}, "_es": _listed(es)}
                 for cy in range(int(y0 // size), int(y1 // size) + 1)
             ]
-    for c in _cell_rows(polys, size, batch):
-        rows.append({"cx": c["cx"], "cy": c["cy"], "_side": cells.PIECE, "_pk": int(c["id"][1:]), "_block": c["_block"], "base": c["base"], "_r": {"id": c["id"]}, "_es": c["edges"]})
-    for name, es in polys:
-        x, y = es[0][:2]
-        rows.append({"cx": int(x // size), "cy": int(y // size), "_side": cells.VERTEX, "_pk": int(name[1:]), "_r": {"id": name}, "_es": _listed([(x, y, x, y)])})
+    for c in _cell_rows(polys, size, batch, vertices=True):
+        side = cells.VERTEX if c["_block"] == -2 else cells.PIECE
+        rows.append({"cx": c["cx"], "cy": c["cy"], "_side": side, "_pk": int(c["id"][1:]), "_block": c["_block"], "base": c["base"], "_r": {"id": c["id"]}, "_es": c["edges"]})
     schema = pa.schema(
         [("cx", pa.int64()), ("cy", pa.int64()), ("_side", pa.int32()), ("_pk", pa.int64()), ("_block", pa.int64()), ("base", pa.int32()),
          ("_l", pa.struct([("k", pa.int64())])), ("_r", pa.struct([("id", pa.string())])), ("_es", EDGES)]
@@ -59,22 +57,20 @@ def _met(points, boxes, polys, size, batch):
 def test_batches_of_any_size_give_the_same(monkeypatch, batch):
     rng = random.Random(4)
     polys = [(f"p{i}", shapes.star(rng.uniform(0, 9), rng.uniform(0, 9), rng.uniform(1, 6), n, rng)) for i, n in enumerate([3, 70, 300, 4])]
-    polys.append(("p9", shapes.box(2.25, 2.25, 2.5, 2.5)))
+    polys.append(("p9", shapes.box(2.25, 2.25, 2.5, 2.5) + shapes.box(8, 8, 8.1, 8.1)))  # two parts
     polys += [polys[2], polys[3]]  # copies count once
     points = [(i, rng.uniform(-4, 13), rng.uniform(-4, 13)) for i in range(150)] + [(150, *polys[1][1][7][:2])]
     at = [(rng.uniform(0, 9), rng.uniform(0, 9)) for _ in range(40)]
-    boxes = [(1000 + i, shapes.box(x, y, x + 0.3, y + 0.3)) for i, (x, y) in enumerate(at)] + [(2000, shapes.box(2, 2, 3, 3))]
+    boxes = [(1000 + i, shapes.box(x, y, x + 0.3, y + 0.3)) for i, (x, y) in enumerate(at)] + [(2000, shapes.box(2, 2, 3, 3)), (2001, shapes.box(7.5, 7.5, 8.5, 8.5))]
     if batch == 3:
         monkeypatch.setattr(cells, "ROWS", 4)
         monkeypatch.setattr(cells, "PAIRS", 30)
     for size in (0.7, 2.0):
         met = _met(points, [], polys, size, batch)
         assert met == sorted({(k, p) for k, x, y in points for p, es in polys if shapes.inside(es, x, y) and not shapes.on_edge(es, x, y)})
-        # a corner of a small polygon is held against the polygons as a point is
-        corners = [(k, *es[0][:2]) for k, es in boxes]
-        met = _met(corners, boxes, polys, size, batch)
+        met = _met([], boxes, polys, size, batch)
         assert met == sorted({(k, p) for k, b in boxes for p, es in polys if shapes.distance(b, es) == 0.0})
-        assert (2000, "p9") in met
+        assert (2000, "p9") in met and (2001, "p9") in met
 
 
 def test_cell_rows_of_a_polygon_do_not_depend_on_batches(monkeypatch):
@@ -101,3 +97,19 @@ def test_points_and_large_polygons_are_dealt_once_and_not_joined(make):
     plan = hits._jdf.queryExecution().executedPlan().toString()
     assert "MapInArrow" in plan and "Join" not in plan and len(re.findall(r"\bExchange\b", plan)) == 1
     assert [tuple(r) for r in hits.collect()] == [(1, "a")]
+
+
+def test_footprints_and_large_polygons_are_dealt_once_and_not_joined(make):
+    """Vertices and footprints had joins of their own, and pairs were made distinct by one more shuffle."""
+    star, ring = shapes.star(0, 0, 9, 700, random.Random(3)), shapes.box(20, 20, 30, 30) + shapes.box(22, 22, 28, 28)
+    left = [(i, shapes.box(x, x, x + 0.5, y)) for i, (x, y) in enumerate([(0.1, 0.4), (8.5, 9), (21, 21.5), (24, 24.5), (21.8, 22.1)])]
+    left += [(5, shapes.box(-0.05, -0.05, 0.05, 0.05)), (6, shapes.box(-20, -20, 20, 20))]
+    polys = [("a", star), ("ring", ring)]
+    pairs = spatial.intersecting_pairs(
+        make(left, f"lid int, edges {shapes.EDGES}"), make(polys, f"rid string, edges {shapes.EDGES}"),
+        cell=1.5, left_cols=["lid"], right_cols=["rid"], left_id="lid", right_id="rid", distinct=False,
+    )
+    plan = pairs._jdf.queryExecution().executedPlan().toString()
+    assert "MapInArrow" in plan and "Join" not in plan and len(re.findall(r"\bExchange\b", plan)) == 1
+    want = {(k, p) for k, le in left for p, es in polys if shapes.distance(le, es) == 0.0}
+    assert {tuple(r) for r in pairs.collect()} == want and (3, "ring") not in want
