@@ -258,6 +258,7 @@ def clip_to_boundary(
     Ids need not be unique: a footprint is known by its id and a hash of its edges.
     """
     shape = F.xxhash64("edges")
+    crowd = spatial.polygon_crowd(buildings, cell)
     pairs = spatial.intersecting_pairs(
         buildings.select(key, shape.alias("_shape_of"), "edges"),
         admin.select("city_code", "edges", F.col("city_code").alias("_city")),
@@ -267,9 +268,12 @@ def clip_to_boundary(
         left_id=key,
         right_id="_city",
         large=large,
+        crowd=crowd,
+        distinct=False,
     )
+    pairs = skew.dealt(pairs, crowd[1], key, "_shape_of").distinct()  # serves the join as well
     own = buildings.drop("city_code").withColumn("_shape_of", shape)
-    return own.join(pairs, [key, "_shape_of"]).drop("_shape_of")
+    return skew.shuffled_join(own, pairs, [key, "_shape_of"], 0).drop("_shape_of")
 
 
 def bbox_overlap(df: DataFrame, x0: float, y0: float, x1: float, y1: float) -> DataFrame:

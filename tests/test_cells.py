@@ -8,7 +8,7 @@ import pyarrow as pa
 import pytest
 
 from kawara.functions import cells
-from kawara.operators import spatial
+from kawara.operators import coverage, skew, spatial
 from tests import shapes
 
 EDGES = pa.list_(pa.struct([(c, pa.float64()) for c in cells.AXES]))
@@ -113,3 +113,26 @@ def test_footprints_and_large_polygons_are_dealt_once_and_not_joined(make):
     assert "MapInArrow" in plan and "Join" not in plan and len(re.findall(r"\bExchange\b", plan)) == 1
     want = {(k, p) for k, le in left for p, es in polys if shapes.distance(le, es) == 0.0}
     assert {tuple(r) for r in pairs.collect()} == want and (3, "ring") not in want
+
+
+def test_clip_deals_pairs_once_for_all(make):
+    """They were dealt to be made distinct and again to be joined, and footprints went through the driver."""
+    rng = random.Random(6)
+    rows = [(f"b{i}", shapes.box(x, y, x + 0.3, y + 0.3)) for i in range(60) for x, y in [(rng.uniform(-9, 9), rng.uniform(-9, 9))]]
+    rows += [("b0", shapes.box(0, 0, 0.1, 0.1)), rows[1], (None, shapes.box(0, 0, 0.1, 0.1))]
+    star = shapes.star(0, 0, 9, 300, rng)
+    cities = make([("c1", star), ("c2", shapes.box(0, 0, 9, 9))], f"city_code string, edges {shapes.EDGES}")
+    clipped = coverage.clip_to_boundary(make(rows, f"gml_id string, edges {shapes.EDGES}"), cities, cell=1.0)
+    want = [(k, c) for k, es in rows for c, poly in (("c1", star), ("c2", shapes.box(0, 0, 9, 9))) if k and shapes.distance(es, poly) == 0.0]
+    assert sorted((r.gml_id, r.city_code) for r in clipped.collect()) == sorted(want)
+    plan = clipped._jdf.queryExecution().executedPlan().toString()
+    assert "BroadcastExchange" not in plan and "BroadcastHashJoin" not in plan
+
+
+def test_clip_serves_distinct_and_join_by_one_shuffle(make, monkeypatch):
+    monkeypatch.setattr(skew, "ROWS_PER_TASK", 5)
+    rows = [(f"b{i}", shapes.box(i / 10, 0, i / 10 + 0.2, 0.2)) for i in range(100)]
+    city = make([("c", shapes.star(0, 0, 9, 300, random.Random(6)))], f"city_code string, edges {shapes.EDGES}")
+    clipped = coverage.clip_to_boundary(make(rows, f"gml_id string, edges {shapes.EDGES}"), city, cell=1.0)
+    plan = clipped._jdf.queryExecution().executedPlan().toString()
+    assert not re.search(r"hashpartitioning\([^)]*city_code", plan) and "hashpartitioning(gml_id" in plan
