@@ -15,8 +15,8 @@ import pyarrow as pa
 import pyarrow.compute as pc
 
 AXES = ("x1", "y1", "x2", "y2")
-ROWS = 1 << 14  # cell rows gathered before they are worked on
-PAIRS = 1 << 20  # pairs, or pieces of edges, held at a time
+ROWS = 1 << 13  # cell rows gathered before they are worked on
+PAIRS = 1 << 17  # pairs, or pieces of edges, held at a time
 POINT, SHAPE, PIECE, VERTEX = range(4)  # what a row of ``meet`` is, in the order of a cell's rows
 
 

@@ -73,9 +73,8 @@ def all_rings_closed(polygons: Column) -> Column:
 
 
 def bbox(edges: Column) -> dict[str, Column]:
-    """Bounds of the edges; rings are closed, so start points are enough."""
-    xs = F.transform(edges, lambda e: e.x1)
-    ys = F.transform(edges, lambda e: e.y1)
+    """Bounds of the edges; rings are closed, so start points are enough. Compiled, as lambdas are not."""
+    xs, ys = edges.getField("x1"), edges.getField("y1")
     return {
         "minx": F.array_min(xs),
         "miny": F.array_min(ys),

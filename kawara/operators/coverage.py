@@ -105,50 +105,32 @@ def hazard_hits(
 def summarise_hits(hits: DataFrame, kinds=model.HAZARD_KINDS) -> DataFrame:
     """Hits -> one row per building with the five columns of every kind.
 
-    First one row per building and kind, then the kinds side by side. A kind that does not
-    cover the building is dropped in between: its hits must not show, and its columns are the
-    same as if there were none.
+    One aggregate for all kinds: sources of any kind go into two sets, all else is a plain maximum. The
+    columns of a kind that does not cover the building are null: its hits must not show.
     """
     cov, hit = F.col("role") == EXTENT, F.col("role") == HAZARD
-    per_kind = (
-        hits.groupBy("building_uid", "kind")
-        .agg(
-            F.max(cov).alias("covered"),
-            F.collect_set(F.when(cov, F.col("source_id"))).alias("cov_ids"),
-            F.max("rank").alias("rank"),
-            F.collect_set(F.when(hit, F.col("source_id"))).alias("hit_ids"),
-            F.max("depth_m").alias("depth"),
-            F.max(F.when(hit, F.col("in_zone"))).alias("zone"),
-        )
-        .where("covered")
-        .select(
-            "building_uid",
-            "kind",
-            F.struct(
-                F.lit(True).alias("covered"),
-                idf.id_list(F.col("cov_ids")).alias("cov_ids"),
-                F.col("depth"),
-                F.col("zone"),
-                idf.id_list(F.col("hit_ids")).alias("hit_ids"),
-                idf.confidence_name(F.col("rank")).alias("confidence"),
-            ).alias("v"),
-        )
-    )
-    side_by_side = per_kind.groupBy("building_uid").agg(
-        F.map_from_entries(F.collect_list(F.struct("kind", "v"))).alias("m")
-    )
+    source = F.struct("kind", "source_id")
+    sums = [F.collect_set(F.when(cov, source)).alias("cov_ids"), F.collect_set(F.when(hit, source)).alias("hit_ids")]
+    for i, k in enumerate(kinds):
+        own = F.col("kind") == k
+        value = F.max(F.when(own & hit, F.col("in_zone"))) if k == model.ZONE_KIND else F.max(F.when(own, F.col("depth_m")))
+        sums += [F.max(own & cov).alias(f"covered_{i}"), F.max(F.when(own, F.col("rank"))).alias(f"rank_{i}"), value.alias(f"value_{i}")]
+    summed = hits.groupBy("building_uid").agg(*sums)
+
+    def ids(name: str, k: str):
+        return idf.id_list(F.transform(F.filter(name, lambda s: s.kind == k), lambda s: s.source_id))
+
     out = []
-    for k in kinds:
-        v = F.try_element_at("m", F.lit(k))
-        value = v["zone"] if k == model.ZONE_KIND else v["depth"]
-        out += [
-            v["covered"].alias(f"{k}_covered"),
-            v["cov_ids"].alias(f"{k}_coverage_source_ids"),
-            value.alias(model.hazard_value_column(k)),
-            v["hit_ids"].alias(f"{k}_hit_source_ids"),
-            v["confidence"].alias(f"{k}_coverage_confidence"),
-        ]
-    return side_by_side.select("building_uid", *out)
+    for i, k in enumerate(kinds):
+        columns = {
+            f"{k}_covered": F.lit(True),
+            f"{k}_coverage_source_ids": ids("cov_ids", k),
+            model.hazard_value_column(k): F.col(f"value_{i}"),
+            f"{k}_hit_source_ids": ids("hit_ids", k),
+            f"{k}_coverage_confidence": idf.confidence_name(F.col(f"rank_{i}")),
+        }
+        out += [F.when(F.col(f"covered_{i}"), c).alias(n) for n, c in columns.items()]
+    return summed.select("building_uid", *out)
 
 
 def with_hazard_columns(

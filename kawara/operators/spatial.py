@@ -99,7 +99,7 @@ def _cut(polys: DataFrame, ids: list[str], size: float, edges: str, vertices: bo
     rows of block -2, a vertex of each ring.
     """
     ids = [*ids, "_shape"]
-    whole = polys.where(F.size(edges) > 0).withColumn("_shape", F.xxhash64(edges)).select(*ids, F.col(edges).alias("_all"))
+    whole = polys.withColumn("_shape", F.xxhash64(edges)).select(*ids, F.col(edges).alias("_all"))
     # blocks of edges are rows: a batch of so many polygons could be of any size
     blocks = whole.select(
         *ids,
@@ -108,7 +108,7 @@ def _cut(polys: DataFrame, ids: list[str], size: float, edges: str, vertices: bo
             f"inline(transform(sequence(0L, (size(_all) - 1) div {CHUNK}),"
             f" b -> struct(b AS _b, slice(_all, cast(b * {CHUNK} + 1 AS int), {CHUNK}) AS _edges)))"
         ),
-    )
+    ).where(F.size("_edges") > 0)
     made = T.StructType([T.StructField("cy", T.LongType(), False), T.StructField("_re", T.ArrayType(_CELL, False), False)])
     schema = T.StructType([*(blocks.schema[c] for c in ids), *made])
     rows = ship_code(blocks).mapInArrow(cells.cut(size, _MARGIN, CHUNK, ids, vertices), schema)

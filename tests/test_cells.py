@@ -136,3 +136,25 @@ def test_clip_serves_distinct_and_join_by_one_shuffle(make, monkeypatch):
     clipped = coverage.clip_to_boundary(make(rows, f"gml_id string, edges {shapes.EDGES}"), city, cell=1.0)
     plan = clipped._jdf.queryExecution().executedPlan().toString()
     assert not re.search(r"hashpartitioning\([^)]*city_code", plan) and "hashpartitioning(gml_id" in plan
+
+
+def test_hits_of_all_kinds_are_summed_up_at_once(make):
+    """By building and kind, and then by building, were two aggregates of objects, each sorted by text."""
+    schema = "building_uid string, role string, kind string, source_id string, rank int, depth_m double, in_zone boolean"
+    rows = [
+        ("b1", "extent", "river_flood", "s2", 1, None, False), ("b1", "extent", "river_flood", "s1", 3, None, False),
+        ("b1", "hazard", "river_flood", "h", 0, 0.5, False), ("b1", "hazard", "river_flood", "h", 0, 2.0, False),
+        ("b1", "hazard", "tsunami", "t", 0, 9.0, False),  # not covered: must not show
+        ("b2", "extent", "landslide", "s3", 2, None, False), ("b2", "hazard", "landslide", None, 0, None, True),
+        ("b3", "hazard", "river_flood", "h", 0, 1.0, False),
+    ]
+    hits = make(rows, schema)
+    summed = coverage.summarise_hits(hits)
+    plan = summed._jdf.queryExecution().executedPlan().toString()
+    assert len(re.findall(r"\bExchange\b", plan)) == 1
+    got = {r.building_uid: r for r in coverage.with_hazard_columns(make([("b1",), ("b2",), ("b3",)], "building_uid string"), summed).collect()}
+    b = got["b1"]
+    assert (b.river_flood_covered, b.river_flood_coverage_source_ids, b.river_flood_hit_source_ids, b.river_flood_depth_max) == (True, "s1,s2", "h", 2.0)
+    assert (b.tsunami_covered, b.tsunami_hit_source_ids, b.tsunami_depth_max, b.tsunami_coverage_confidence) == (False, "", None, "unknown")
+    assert (got["b2"].landslide_covered, got["b2"].landslide_in_zone, got["b2"].landslide_hit_source_ids) == (True, True, "")
+    assert not any(v for k, v in got["b3"].asDict().items() if k.endswith("_covered"))
