@@ -15,7 +15,7 @@ their like are cut inside their own row and joined by column expressions.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -210,13 +210,13 @@ def points_in_polygons(
         _cell(F.col(y), cell).alias("cy"),
     )
     hot, pieces = crowd or skew.crowding(pts, ["cx", "cy"], share, floor)
+    if large:
+        return _met(pts, polys, ids, cell, point_cols, poly_cols, edges, hot, pieces)
+
     own = [*point_cols, "_px", "_py"]
     flips = _flips(cell)
     inside = (F.col("base") + flips) % 2 == 1
     on_edge = F.expr(f"exists(edges, e -> {g.on_segment('e', '_px', '_py')})")
-
-    if large:
-        return _met(pts, polys, ids, cell, point_cols, poly_cols, edges, hot, pieces)
     es = F.col(edges)
     polys = polys.withColumn(
         edges,
